@@ -87,7 +87,13 @@ def embed(
     call = predict_batch_udf(
         _requests(provider, out), return_type=row, batch_size=batch
     ).asNondeterministic()
-    return df.withColumn("_reply", call(F.col(text))).select(*df.columns, "_reply.*")
+    # Batch predictions cannot hold nulls, so an empty error marks success until here.
+    good = F.col("_reply.error") == ""
+    return df.withColumn("_reply", call(F.col(text))).select(
+        *df.columns,
+        F.when(good, F.col(f"_reply.{out}")).alias(out),
+        F.when(~good, F.col("_reply.error")).alias("error"),
+    )
 
 
 def _requests(provider, out: str | None):
@@ -99,9 +105,9 @@ def _requests(provider, out: str | None):
 
         def tolerant(texts: np.ndarray) -> list[dict]:
             try:
-                return [{out: list(map(float, v)), "error": None} for v in predict(list(texts))]
+                return [{out: list(map(float, v)), "error": ""} for v in predict(list(texts))]
             except Exception as failure:
-                return [{out: None, "error": str(failure)} for _ in texts]
+                return [{out: [], "error": str(failure) or "failed"} for _ in texts]
 
         return strict if out is None else tolerant
 
