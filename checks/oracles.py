@@ -10,11 +10,11 @@ def _terms(text: str) -> str:
 
 
 def _tokens(text: str) -> str:
-    return f"list_filter(regexp_split_to_array({text}, '\\s+'), lambda x: x <> '')"
+    return f"list_filter(regexp_split_to_array({text}, '[ \\t\\n\\x0B\\f\\r]+'), lambda x: x <> '')"
 
 
 def _trimmed(text: str) -> str:
-    return f"trim({text}, ' ' || chr(9) || chr(10) || chr(12) || chr(13))"
+    return f"trim({text}, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))"
 
 
 def _elements(text: str) -> str:
@@ -25,7 +25,7 @@ def _elements(text: str) -> str:
 
 
 def _sentences(text: str) -> str:
-    line = f"regexp_replace({text}, '[ \\t\\f\\r]+', ' ', 'g')"
+    line = f"regexp_replace({text}, '[ \\t\\x0B\\f\\r]+', ' ', 'g')"
     marked = f"regexp_replace({line}, '([.!?]) ', '\\1' || chr(10), 'g')"
     return (
         f"list_filter(list_transform(string_split({marked}, chr(10)), lambda x: trim(x)), "
@@ -290,7 +290,7 @@ WHERE o.content IS DISTINCT FROM n.content"""
 def _cells(source: str, key: str) -> str:
     return (
         f"WITH {_vector_parts('v', source)} "
-        f"SELECT id AS {key}, dim, round(weight, 6) AS weight FROM v_cells"
+        f"SELECT id AS {key}, dim, weight FROM v_cells"
     )
 
 

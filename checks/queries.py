@@ -342,7 +342,7 @@ def _cells(vectors: DataFrame, key: str) -> DataFrame:
     return (
         vectors.select(key, F.posexplode("embedding").alias("dim", "weight"))
         .where("weight <> 0")
-        .select(key, F.col("dim").cast("bigint"), F.round(F.col("weight").cast("double"), 6).alias("weight"))
+        .select(key, F.col("dim").cast("bigint"), F.col("weight").cast("double"))
     )
 
 

@@ -11,9 +11,10 @@ from pyspark.sql import functions as F
 # The patterns below are also used by the checking SQL, so they stay in the subset
 # that Java and RE2 share.
 TERM_PATTERN = r"[\p{L}\p{N}]+"
-BLANKS_IN_LINE = r"[ \t\f\r]+"
+BLANKS = r"[ \t\n\x0B\f\r]+"
+BLANKS_IN_LINE = r"[ \t\x0B\f\r]+"
 SENTENCE_END = r"([.!?]) "
-EDGE_BLANKS = " \t\f\r\n"
+EDGE_BLANKS = " \t\x0b\f\r\n"
 HTML_DROPPED = [
     r"(?s)<!--.*?-->",
     r"(?is)<script\b.*?</script>",
@@ -45,7 +46,7 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 def tokens(text: Column) -> Column:
     """Blank-separated tokens, the unit in which chunks are measured."""
-    return F.filter(F.split(text, r"\s+"), lambda token: token != "")
+    return F.filter(F.split(text, BLANKS), lambda token: token != "")
 
 
 def token_count(text: Column) -> Column:

@@ -121,8 +121,9 @@ def keyword_topk(
     """
     spark = docs.sparkSession
     asked = queries.select(query_id, F.array_distinct(terms(F.col(query_text))).alias("terms"))
-    corpus = docs.select(F.col(doc_id), terms(F.col(doc_text)).alias("terms")).where(
-        F.col("terms").isNotNull()
+    # The filter is on the text: on the terms it would find them a second time.
+    corpus = docs.where(F.col(doc_text).isNotNull()).select(
+        doc_id, terms(F.col(doc_text)).alias("terms")
     )
     schema = hit_schema(queries, query_id, docs, doc_id)
     counted = StructType(

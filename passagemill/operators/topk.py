@@ -43,38 +43,50 @@ def query_blocks(queries: DataFrame, key: str, limit: int) -> list[pa.Table]:
 
 
 class BestRows:
-    """The best k rows per question seen so far in a task."""
+    """The best k rows per question seen so far in a task.
+
+    Candidates are gathered and sorted in from time to time. ``floor`` is each question's k-th
+    score as of the last sort; rows below it need not be offered.
+    """
 
     def __init__(self, questions: int, k: int):
         self.k = k
-        self.query = np.empty(0, dtype=np.int64)
-        self.score = np.empty(0)
-        self.ident = None
         self.floor = np.full(questions, -np.inf)
+        self.parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        self.waiting = 0
+        self.sort_at = max(50_000, 2 * questions * k)
 
     def add(self, query: np.ndarray, score: np.ndarray, ident: np.ndarray) -> None:
-        if len(query) == 0:
+        if len(query):
+            self.parts.append((query, score, ident))
+            self.waiting += len(query)
+        if self.waiting >= self.sort_at:
+            self.sort()
+
+    def sort(self) -> None:
+        if not self.parts:
             return
-        if self.ident is not None:
-            query = np.concatenate([self.query, query])
-            score = np.concatenate([self.score, score])
-            ident = np.concatenate([self.ident, ident])
+        query, score, ident = (np.concatenate(column) for column in zip(*self.parts))
         by_id = np.unique(ident, return_inverse=True)[1]
         order = np.lexsort((by_id, -score, query))
         grouped = query[order]
         place = np.arange(len(order)) - np.searchsorted(grouped, grouped, side="left")
-        order = order[place < self.k]
-        self.query, self.score, self.ident = query[order], score[order], ident[order]
-        full = place[place < self.k] == self.k - 1
-        self.floor[self.query[full]] = self.score[full]
+        order, place = order[place < self.k], place[place < self.k]
+        query, score, ident = query[order], score[order], ident[order]
+        last = place == self.k - 1
+        self.floor[query[last]] = score[last]
+        self.parts = [(query, score, ident)]
+        self.waiting = 0
 
     def table(self, query_ids: pa.Array, schema: pa.Schema) -> pa.RecordBatch:
-        if self.ident is None:
+        self.sort()
+        if not self.parts:
             return pa.RecordBatch.from_arrays([pa.array([], f.type) for f in schema], schema=schema)
+        query, score, ident = self.parts[0]
         columns = [
-            query_ids.take(pa.array(self.query)).cast(schema.field(0).type),
-            pa.array(self.ident, type=schema.field(1).type),
-            pa.array(self.score),
+            query_ids.take(pa.array(query)).cast(schema.field(0).type),
+            pa.array(ident, type=schema.field(1).type),
+            pa.array(score),
         ]
         return pa.RecordBatch.from_arrays(columns, schema=schema)
 

@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from itertools import pairwise
+from operator import or_
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from passagemill.operators.topk import (
@@ -17,11 +20,13 @@ from passagemill.operators.topk import (
     query_blocks,
     scan_search,
 )
+from passagemill.session import stage
 
 METRICS = ("cosine", "l2", "dot")
 # Size bound of one broadcast block of question vectors, and of one score matrix in a task.
 BLOCK_BYTES = 64 * 1024 * 1024
 SCORE_CELLS = 2_000_000
+MAX_CELL_RANGES = 64
 
 
 def matrix(vectors: pa.Array, dim: int) -> np.ndarray:
@@ -49,17 +54,18 @@ def _scorer(questions: np.ndarray, metric: str, k: int):
     def add(best: BestRows, asked: np.ndarray, ids: np.ndarray, rows: np.ndarray) -> None:
         if metric == "cosine":
             rows = _unit(rows)
+        asking = questions if len(asked) == len(questions) else questions[asked]
         step = max(1, SCORE_CELLS // max(1, len(asked)))
         for at in range(0, len(rows), step):
             part = rows[at : at + step]
-            scores = _score(questions[asked], part, metric)
+            scores = _score(asking, part, metric)
             if metric == "l2":
                 # The expanded square loses digits near zero: choose with slack, then measure.
-                squares = (questions[asked] ** 2).sum(axis=1).max(initial=0)
+                squares = (asking**2).sum(axis=1).max(initial=0)
                 squares += (part**2).sum(axis=1).max(initial=0)
                 slack = 4 * np.sqrt(np.finfo(float).eps * part.shape[1] * squares) + 1e-6
                 chosen, row = candidates(scores, best.floor[asked], k, slack)
-                gaps = questions[asked][chosen] - part[row]
+                gaps = asking[chosen] - part[row]
                 found = -np.sqrt((gaps * gaps).sum(axis=1))
             else:
                 scores = np.round(scores, SCORE_DIGITS)
@@ -185,13 +191,25 @@ def _search(
         shared = spark.sparkContext.broadcast((block.column(0).combine_chunks(), questions, probed))
         scanned = rows
         if probed is not None:
-            scanned = rows.where(F.col(cell).isin([int(c) for c in probed]))
+            scanned = rows.where(_cell_filter(cell, sorted(probed)))
         return scanned.mapInArrow(_scan(shared, k, metric, dim, schema), schema)
 
     blocks = query_blocks(_usable(queries, query_vector, dim), query_id, limit)
     return scan_search(blocks, one_pass, query_id, k)
 
 
+def _cell_filter(cell: str, cells: Sequence[int]) -> Column:
+    """A filter that keeps all rows of these cells, and of others if that saves ranges.
+
+    Ranges, unlike a long IN list, reach the Parquet scan one by one; the scan drops the extra rows.
+    """
+    ranges = [[c, c] for c in cells]
+    while len(ranges) > MAX_CELL_RANGES or any(b[0] - a[1] == 1 for a, b in pairwise(ranges)):
+        at = min(range(len(ranges) - 1), key=lambda i: ranges[i + 1][0] - ranges[i][1])
+        ranges[at : at + 2] = [[ranges[at][0], ranges[at + 1][1]]]
+    return reduce(or_, (F.col(cell).between(first, last) for first, last in ranges))
+
+
 def _probed_cells(
     questions: np.ndarray, centroids: np.ndarray, probes: int, metric: str
 ) -> dict[int, np.ndarray]:
@@ -240,9 +258,11 @@ def with_columns(
 ) -> DataFrame:
     """Add wide columns of the base to hits found by id.
 
-    Hits hold k rows per question, so the adaptive planner broadcasts them whenever they are small
-    and the wide columns are then read once without a shuffle.
+    The hits are written first: the search then runs once, and Spark knows their size. Small hits
+    are broadcast, so the wide columns are read in one pass without a shuffle; hits above Spark's
+    broadcast threshold are joined by a shuffle on id.
     """
+    hits = stage(hits, "hits")
     wide = base.select(F.col(base_id).alias("id"), *columns)
     return hits.join(wide, "id").select(*hits.columns, *columns)
 
