@@ -346,6 +346,9 @@ SELECT doc_id, i - 1 AS sentence_no, s[i] AS sentence
 FROM (SELECT doc_id, {_sentences('text')} AS s FROM documents), unnest(range(1, len(s) + 1)) AS t(i)
 """,
     "count_tokens": f"SELECT doc_id, len({_tokens('text')}) AS tokens FROM documents",
+    "count_tokens_model": f"""
+SELECT doc_id, coalesce(list_sum(list_transform({_tokens('text')}, lambda x: (len(x) + 3) // 4)), 0)
+  ::BIGINT AS tokens FROM documents""",
     "chunk_windows": f"""
 SELECT doc_id, i AS chunk_no, array_to_string(w[i * 450 + 1 : i * 450 + 500], ' ') AS content
 FROM (SELECT doc_id, {_tokens('text')} AS w FROM documents),

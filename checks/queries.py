@@ -29,7 +29,12 @@ from passagemill.operators.changes import (
     live,
     versioned,
 )
-from passagemill.operators.chunk import chunk_sentences, chunk_windows, split_sentences
+from passagemill.operators.chunk import (
+    chunk_sentences,
+    chunk_windows,
+    count_tokens_with,
+    split_sentences,
+)
 from passagemill.operators.embed import check_vectors, embed, hash_embed
 from passagemill.operators.evaluate import (
     answer_relevance,
@@ -70,7 +75,12 @@ from passagemill.plans.rag import (
     embed_documents,
     embed_queries,
 )
-from passagemill.providers.text_models import FirstTokensModel, HashingEmbedder, WordShareScorer
+from passagemill.providers.text_models import (
+    FirstTokensModel,
+    HashingEmbedder,
+    PieceCounter,
+    WordShareScorer,
+)
 from passagemill.session import new_path, spread, stage
 from passagemill.sources.readers import (
     parse_csv_lines,
@@ -322,6 +332,11 @@ def count_tokens(spark, sf):
     )
 
 
+def count_tokens_model(spark, sf):
+    docs = _documents(spark, sf, "doc_id", "text")
+    return count_tokens_with(docs, PieceCounter()).select("doc_id", "tokens")
+
+
 def chunk_windows_(spark, sf):
     return chunk_windows(_documents(spark, sf, "doc_id", "text"))
 
@@ -707,6 +722,7 @@ QUERIES = {
         extract_html_text,
         split_sentences_,
         count_tokens,
+        count_tokens_model,
         chunk_windows_,
         chunk_sentences_,
         chunk_documents_,

@@ -105,9 +105,11 @@ def _requests(provider, out: str | None):
 
         def tolerant(texts: np.ndarray) -> list[dict]:
             try:
-                return [{out: list(map(float, v)), "error": ""} for v in predict(list(texts))]
+                vectors = np.asarray(predict(list(texts)), dtype=np.float32)
+                return [{out: vector, "error": ""} for vector in vectors]
             except Exception as failure:
-                return [{out: [], "error": str(failure) or "failed"} for _ in texts]
+                nothing = np.empty(0, dtype=np.float32)
+                return [{out: nothing, "error": str(failure) or "failed"} for _ in texts]
 
         return strict if out is None else tolerant
 

@@ -32,13 +32,18 @@ def query_blocks(queries: DataFrame, key: str, limit: int) -> list[pa.Table]:
         return [head]
     staged = stage(queries, "questions")
     parts = math.ceil(staged.count() / (limit / 2))
+    todo = [(part, parts) for part in range(parts)]
     blocks = []
-    for part in range(parts):
+    while todo:
+        part, parts = todo.pop()
         rows = staged.where(F.pmod(F.xxhash64(key), F.lit(parts)) == part)
         block = rows.limit(limit + 1).toArrow()
-        if block.num_rows > limit:
+        if block.num_rows <= limit:
+            blocks.append(block)
+        elif parts < 2**40:
+            todo += [(part, 2 * parts), (part + parts, 2 * parts)]
+        else:
             raise ValueError(f"{key} is not unique: one block of questions is too large")
-        blocks.append(block)
     return blocks
 
 
