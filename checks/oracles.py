@@ -386,8 +386,8 @@ WHERE doc_id NOT IN (SELECT doc_id FROM latest)""",
     "sync_index": f"""WITH {SNAPSHOTS}
 SELECT doc_id, content, 64::BIGINT AS width FROM third""",
     "index_stats": """
-SELECT count(*) AS row_count, count(DISTINCT vec_id) AS key_count, min(len(embedding)) AS min_width,
-  max(len(embedding)) AS max_width, 0::BIGINT AS last_version, 0::BIGINT AS tombstone_count
+SELECT count(*) AS row_count, count(DISTINCT vec_id) AS key_count, 
+  max(len(embedding)) AS width, 0::BIGINT AS last_version, 0::BIGINT AS tombstone_count
 FROM embeddings""",
     "vector_topk_cosine": COSINE + TOP5,
     "vector_topk_l2": _nearest("-list_distance(q.v, b.v)") + TOP5,
@@ -484,6 +484,8 @@ _CONTEXTS = """
 contexts AS (
   SELECT query_id, string_agg(content, chr(10) || chr(10) ORDER BY rank) AS context
   FROM hits GROUP BY query_id)"""
+ORACLES["sink_change_feed"] = ORACLES["change_rows"]
+ORACLES["keyword_topk_stored"] = ORACLES["keyword_topk"]
 ORACLES["build_prompt"] = f"""WITH RECURSIVE {_hit_parts(2)}, {_CONTEXTS}
 SELECT q.query_id, {_PROMPT} AS prompt
 FROM questions q LEFT JOIN contexts c ON c.query_id = q.query_id"""

@@ -52,12 +52,14 @@ from passagemill.operators.index import (
     build_index,
     describe_index,
     open_index,
-    recall,
+    probes_for_recall,
+    recall_by_probes,
     rows_per_cell,
     vector_topk_indexed,
 )
 from passagemill.operators.keys import add_content_key, add_dense_id
 from passagemill.operators.keyword_search import (
+    corpus_totals,
     document_frequency,
     keyword_lookup,
     keyword_topk,
@@ -97,7 +99,7 @@ from passagemill.sources.writers import (
     write_evolved,
     write_overwrite,
 )
-from passagemill.streaming.sync import append_changes, create_or_sync
+from passagemill.streaming.sync import append_changes, create_or_sync, replace_table
 
 # ---- inputs
 
@@ -223,6 +225,16 @@ def sink_evolve_schema(spark, sf):
     return write_evolved(keyed, name)
 
 
+def sink_change_feed(spark, sf):
+    name, path = _temporary_table(spark)
+    first, second, _ = _snapshots(spark, sf)
+    feed = new_path(spark, "feed")
+    write_overwrite(first, name, path)
+    set_change_feed(spark, name)
+    replace_table(second, name, "doc_id", 1, feed)
+    return read_table(spark, feed)
+
+
 def preview_topn(spark, sf):
     return preview(_table(spark, sf, "documents", "source", "doc_id", "n_chars"), 20, ["source", "doc_id"])
 
@@ -484,7 +496,9 @@ def vector_topk_dot(spark, sf):
 
 def vector_topk_ivf(spark, sf):
     index = _vector_index(spark, sf)
-    return vector_topk_indexed(_vector_questions(spark, sf), index, 5, 4, embedder="given")
+    questions = _vector_questions(spark, sf)
+    probes = probes_for_recall(questions, index, 5, 0.9)
+    return vector_topk_indexed(questions, index, 5, probes, embedder="given")
 
 
 def vector_topk_ivf_all_cells(spark, sf):
@@ -493,7 +507,7 @@ def vector_topk_ivf_all_cells(spark, sf):
 
 
 def ivf_recall(spark, sf):
-    return recall(_vector_questions(spark, sf), _vector_index(spark, sf), 5, 4)
+    return recall_by_probes(_vector_questions(spark, sf), _vector_index(spark, sf), 5)
 
 
 def search_columns(spark, sf):
@@ -506,6 +520,22 @@ def keyword_topk_(spark, sf):
     return keyword_topk(_questions(spark, sf), docs, 3, doc_id="doc_id", doc_text="text")
 
 
+def keyword_topk_stored(spark, sf):
+    """The same search with the corpus figures computed and stored beforehand."""
+    docs = _documents(spark, sf, "doc_id", "text")
+    counts = stage(document_frequency(docs, "text"), "term-counts")
+    totals = stage(corpus_totals(docs, "text"), "totals")
+    return keyword_topk(
+        _questions(spark, sf),
+        docs,
+        3,
+        doc_id="doc_id",
+        doc_text="text",
+        term_counts=counts,
+        totals=totals,
+    )
+
+
 def keyword_top1_truncated(spark, sf):
     docs = _documents(spark, sf, "doc_id", "text")
     return keyword_lookup(_questions(spark, sf), docs, 100, doc_id="doc_id", doc_text="text")
@@ -707,6 +737,7 @@ QUERIES = {
         sink_append_dedup,
         sink_create_table,
         sink_evolve_schema,
+        sink_change_feed,
         preview_topn,
         project_rename,
         elements_nonempty,
@@ -746,6 +777,7 @@ QUERIES = {
         ivf_recall,
         search_columns,
         keyword_topk_,
+        keyword_topk_stored,
         keyword_top1_truncated,
         rerank_overlap_,
         rerank_model,

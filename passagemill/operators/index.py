@@ -15,18 +15,20 @@ import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType
+from pyspark.sql.types import ArrayType, IntegerType
 
 from passagemill.operators.changes import live, versioned
 from passagemill.operators.embed import check_vectors, same_embedder
 from passagemill.operators.vector_search import (
     BLOCK_BYTES,
     SCORE_CELLS,
+    cell_order,
     matrix,
     vector_topk,
     vector_topk_probed,
+    with_columns,
 )
 
 TRAIN_ROWS_PER_CELL = 256
@@ -99,6 +101,11 @@ def write_rows(rows: DataFrame, path: str, mode: str) -> None:
     )
 
 
+def write_rejected(rows: DataFrame, path: str, load: str) -> None:
+    """Keep rows that cannot be indexed, by load, so that a load that is run again replaces its own."""
+    rows.write.mode("overwrite").parquet(f"{path}/rejected/load={load}")
+
+
 def build_index(
     table: DataFrame,
     path: str,
@@ -123,7 +130,7 @@ def build_index(
         .withColumn("bucket", bucket_of(key, buckets))
     )
     write_rows(placed, path, "overwrite")
-    bad.write.mode("overwrite").parquet(f"{path}/rejected")
+    write_rejected(bad, path, "build")
     spark.createDataFrame(
         [(cell, centre) for cell, centre in enumerate(centroids.tolist())],
         "cell int, centroid array<double>",
@@ -160,16 +167,16 @@ def index_exists(spark: SparkSession, path: str) -> bool:
 
 
 def describe_index(spark: SparkSession, path: str) -> DataFrame:
-    """One row: live rows, distinct keys, vector width range, used cells, last version."""
+    """One row: live rows, distinct keys, vector width, last version, tombstones.
+
+    Build and sync let only vectors of the index's width in, so no vector is read for it.
+    """
     index = open_index(spark, path)
-    width = F.size(index.vector).cast("bigint")
-    stored = index.stored_rows(spark)
     alive = ~F.col("_deleted")
-    return stored.agg(
+    return index.stored_rows(spark).agg(
         F.count_if(alive).alias("row_count"),
         F.countDistinct(F.when(alive, F.col(index.key))).alias("key_count"),
-        F.min(F.when(alive, width)).alias("min_width"),
-        F.max(F.when(alive, width)).alias("max_width"),
+        F.lit(index.dim).cast("bigint").alias("width"),
         F.max("_commit_version").alias("last_version"),
         F.count_if(F.col("_deleted")).alias("tombstone_count"),
     )
@@ -207,35 +214,57 @@ def vector_topk_indexed(
     )
 
 
-def recall(queries: DataFrame, index: VectorIndex, k: int, probes: int, metric: str = "cosine"):
-    """One row: the share of the exact hits that the probed search finds."""
+def probe_order(vector: Column, index: VectorIndex, metric: str) -> Column:
+    """All cells of the index, nearest first: the order in which a question probes them."""
+    centroids, dim = index.centroids, index.dim
+
+    def order(vectors: pa.Array) -> pa.Array:
+        cells = cell_order(matrix(vectors, dim), centroids, metric)
+        offsets = np.arange(0, cells.size + 1, cells.shape[1], dtype=np.int32)
+        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(cells.ravel().astype(np.int32)))
+
+    return F.arrow_udf(order, ArrayType(IntegerType()))(vector)
+
+
+def recall_by_probes(
+    queries: DataFrame, index: VectorIndex, k: int, metric: str = "cosine"
+) -> DataFrame:
+    """Share of the exact hits that a probed search finds, for every number of probes.
+
+    An exact hit is found as soon as its cell is probed, so one exact search and the place of each
+    hit's cell in its question's probe order give the whole curve. One row per cell of the index.
+    """
     spark = queries.sparkSession
+    questions = queries.select("query_id", "embedding").where(F.size("embedding") == index.dim)
+    rows = index.rows(spark)
     exact = vector_topk(
-        queries,
-        index.rows(spark),
-        k,
-        metric,
-        index.dim,
-        base_id=index.key,
-        base_vector=index.vector,
+        questions, rows, k, metric, index.dim, base_id=index.key, base_vector=index.vector
+    )
+    placed = with_columns(exact, rows, ["cell"], index.key).join(
+        questions.select("query_id", probe_order(F.col("embedding"), index, metric).alias("order")),
+        "query_id",
+    )
+    found = placed.groupBy(F.array_position("order", F.col("cell")).alias("probes")).agg(
+        F.count("*").alias("hits")
+    )
+    numbers = spark.range(1, len(index.centroids) + 1).withColumnRenamed("id", "probes")
+    # One row per cell, so the ungrouped windows are over a few rows.
+    up_to = Window.orderBy("probes").rowsBetween(Window.unboundedPreceding, 0)
+    everything = Window.orderBy("probes").rowsBetween(
+        Window.unboundedPreceding, Window.unboundedFollowing
     )
-    near = vector_topk_indexed(queries, index, k, probes, metric)
-    found = near.select("query_id", "id", F.lit(1).alias("found"))
-    return exact.join(found, ["query_id", "id"], "left").agg(
-        F.count("*").alias("exact_hits"),
-        F.count("found").alias("found_hits"),
-        F.round(F.count("found") / F.count("*"), 6).alias("recall"),
+    hits = F.coalesce("hits", F.lit(0))
+    return numbers.join(found, "probes", "left").select(
+        "probes",
+        F.sum(hits).over(up_to).alias("found_hits"),
+        F.round(F.sum(hits).over(up_to) / F.sum(hits).over(everything), 6).alias("recall"),
     )
 
 
 def probes_for_recall(
     queries: DataFrame, index: VectorIndex, k: int, target: float, metric: str = "cosine"
 ) -> int:
-    """The smallest power-of-two number of probes that reaches the recall on these questions."""
-    cells = len(index.centroids)
-    probes = 1
-    while probes < cells:
-        if recall(queries, index, k, probes, metric).first()["recall"] >= target:
-            return probes
-        probes *= 2
-    return cells
+    """The smallest number of probes that reaches the recall on these questions."""
+    curve = recall_by_probes(queries, index, k, metric)
+    reached = curve.where(F.col("recall") >= target).agg(F.min("probes")).first()[0]
+    return int(reached) if reached is not None else len(index.centroids)

@@ -40,6 +40,13 @@ def document_frequency(docs: DataFrame, text: str = "content") -> DataFrame:
     )
 
 
+def corpus_totals(docs: DataFrame, text: str = "content") -> DataFrame:
+    """One row: rows with a text, and terms in all of them."""
+    return docs.where(F.col(text).isNotNull()).agg(
+        F.count("*").alias("rows"), F.sum(F.size(terms(F.col(text)))).alias("terms")
+    )
+
+
 def _coded(term_lists: pa.Array, vocabulary: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(row, term code) of every term that is in the vocabulary, and all rows' lengths."""
     lengths = np.asarray(term_lists.value_lengths().fill_null(0))
@@ -113,12 +120,17 @@ def keyword_topk(
     doc_id: str = "id",
     doc_text: str = "content",
     block_questions: int | None = None,
+    term_counts: DataFrame | None = None,
+    totals: DataFrame | None = None,
 ) -> DataFrame:
     """The k best rows per question by BM25 over distinct question terms: rank from 1, id, score.
 
     Rows without any question term are no hits. The corpus is read twice: once to count the
-    questions' terms, once to score; neither pass shuffles text.
+    questions' terms, once to score; neither pass shuffles text. Stored copies of
+    ``document_frequency`` and ``corpus_totals`` save the first pass.
     """
+    if (term_counts is None) != (totals is None):
+        raise ValueError("term_counts and totals go together")
     spark = docs.sparkSession
     asked = queries.select(query_id, F.array_distinct(terms(F.col(query_text))).alias("terms"))
     # The filter is on the text: on the terms it would find them a second time.
@@ -135,15 +147,16 @@ def keyword_topk(
         vocabulary = lists.flatten().unique().drop_null()
         if len(vocabulary) == 0:
             return spark.createDataFrame([], schema)
-        shared = spark.sparkContext.broadcast((vocabulary,))
-        totals = (
-            corpus.select("terms")
-            .mapInArrow(_count_terms(shared), counted)
-            .groupBy("code")
-            .agg(F.sum("rows").alias("rows"), F.sum("terms").alias("terms"))
-            .toArrow()
+        if term_counts is None:
+            shared = spark.sparkContext.broadcast((vocabulary,))
+            passed = corpus.select("terms").mapInArrow(_count_terms(shared), counted)
+        else:
+            passed = _stored_counts(vocabulary, term_counts, totals)
+        # At most one row per vocabulary term of the block.
+        counts = passed.groupBy("code").agg(
+            F.sum("rows").alias("rows"), F.sum("terms").alias("terms")
         )
-        weights, mean_length = _weights(lists, vocabulary, totals)
+        weights, mean_length = _weights(lists, vocabulary, counts.toArrow())
         query_ids = block.column(0).combine_chunks()
         scorer = spark.sparkContext.broadcast((vocabulary, query_ids, weights, mean_length))
         return corpus.mapInArrow(_score_terms(scorer, k, schema), schema)
@@ -152,6 +165,20 @@ def keyword_topk(
     return scan_search(blocks, one_pass, query_id, k)
 
 
+def _stored_counts(
+    vocabulary: pa.Array, term_counts: DataFrame, totals: DataFrame
+) -> DataFrame:
+    """Stored counts of one block's vocabulary in the form that the counting pass yields."""
+    words = term_counts.sparkSession.createDataFrame(
+        pa.table({"term": vocabulary, "code": np.arange(len(vocabulary))})
+    )
+    none = F.lit(0).cast("bigint").alias("terms")
+    held = term_counts.join(F.broadcast(words), "term").select(
+        "code", F.col("doc_count").alias("rows"), none
+    )
+    return held.unionByName(totals.select(F.lit(-1).cast("bigint").alias("code"), "rows", "terms"))
+
+
 def _narrow(blocks: list[pa.Table]) -> list[pa.Table]:
     """Halve blocks whose vocabulary times questions would not fit the weight matrix bound."""
     done = []

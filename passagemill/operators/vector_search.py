@@ -190,7 +190,7 @@ def _search(
             questions = _unit(questions)
         shared = spark.sparkContext.broadcast((block.column(0).combine_chunks(), questions, probed))
         scanned = rows
-        if probed is not None:
+        if probed:
             scanned = rows.where(_cell_filter(cell, sorted(probed)))
         return scanned.mapInArrow(_scan(shared, k, metric, dim, schema), schema)
 
@@ -210,15 +210,20 @@ def _cell_filter(cell: str, cells: Sequence[int]) -> Column:
     return reduce(or_, (F.col(cell).between(first, last) for first, last in ranges))
 
 
+def cell_order(questions: np.ndarray, centroids: np.ndarray, metric: str) -> np.ndarray:
+    """Cells per question, nearest first. Cells come from k-means, so nearness is distance, except
+    that the dot product looks for large products."""
+    if metric == "cosine":
+        questions = _unit(questions)
+    nearness = _score(questions, centroids, "dot" if metric == "dot" else "l2")
+    return np.argsort(-nearness, axis=1, kind="stable")
+
+
 def _probed_cells(
     questions: np.ndarray, centroids: np.ndarray, probes: int, metric: str
 ) -> dict[int, np.ndarray]:
     """For every cell the questions that probe it."""
-    if metric == "cosine":
-        questions = _unit(questions)
-    # Cells come from k-means, so nearness to a centroid is distance whatever the metric ranks by.
-    nearness = _score(questions, centroids, "l2" if metric != "dot" else "dot")
-    order = np.argsort(-nearness, axis=1, kind="stable")[:, :probes]
+    order = cell_order(questions, centroids, metric)[:, :probes]
     asked = np.repeat(np.arange(len(questions)), order.shape[1])
     cells = order.ravel()
     return {int(c): asked[cells == c] for c in np.unique(cells)}

@@ -5,7 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from passagemill.operators.changes import apply_changes
+from passagemill.functions.vectors import vector_fault
+from passagemill.operators.changes import (
+    DELETE,
+    UPDATE_BEFORE,
+    apply_changes,
+    diff_snapshots,
+)
 from passagemill.operators.index import (
     VectorIndex,
     bucket_of,
@@ -13,8 +19,10 @@ from passagemill.operators.index import (
     index_exists,
     nearest_cell,
     open_index,
+    write_rejected,
     write_rows,
 )
+from passagemill.sources.writers import has_change_feed, write_evolved
 
 
 def append_changes(changes: DataFrame, path: str) -> None:
@@ -22,19 +30,31 @@ def append_changes(changes: DataFrame, path: str) -> None:
     changes.write.mode("append").parquet(path)
 
 
-def apply_to_index(spark: SparkSession, index: VectorIndex, changes: DataFrame) -> None:
+def apply_to_index(
+    spark: SparkSession, index: VectorIndex, changes: DataFrame, load: str = "sync"
+) -> None:
     """Apply change rows to the stored index, reading and writing only the buckets they fall into.
 
+    A row whose new vector cannot be indexed leaves the index and is listed in ``rejected``.
     Applying the same changes again leads to the same rows, so a batch may be replayed after a
     failure at any point.
     """
-    placed = changes.withColumn(
-        "cell", nearest_cell(F.col(index.vector), index.centroids)
-    )
     hit = changes.select(bucket_of(index.key, index.buckets).alias("bucket")).distinct()
     touched = [row["bucket"] for row in hit.collect()]  # at most index.buckets numbers
     if not touched:
         return
+    fault = F.when(
+        ~F.col("_change_type").isin(DELETE, UPDATE_BEFORE),
+        vector_fault(F.col(index.vector), index.dim),
+    )
+    checked = changes.withColumn("fault", fault)
+    write_rejected(checked.where(F.col("fault").isNotNull()), index.path, load)
+    kind = F.when(F.col("fault").isNotNull(), DELETE).otherwise(F.col("_change_type"))
+    placed = (
+        checked.withColumn("_change_type", kind)
+        .drop("fault")
+        .withColumn("cell", nearest_cell(F.col(index.vector), index.centroids))
+    )
     stored = index.stored_rows(spark).where(F.col("bucket").isin(touched)).drop("bucket")
     merged = apply_changes(stored, placed, index.key).withColumn(
         "bucket", bucket_of(index.key, index.buckets)
@@ -43,14 +63,27 @@ def apply_to_index(spark: SparkSession, index: VectorIndex, changes: DataFrame)
 
 
 def sync_index_stream(
-    spark: SparkSession, feed: str, feed_schema, index_path: str, checkpoint: str
+    spark: SparkSession,
+    feed: str,
+    feed_schema,
+    index_path: str,
+    checkpoint: str,
+    files_per_batch: int | None = None,
 ) -> None:
-    """Apply the change rows that arrived since the last call, then stop."""
+    """Apply the change rows that arrived since the last call, then stop.
+
+    ``files_per_batch`` cuts a long backlog into several batches; versions make their order
+    irrelevant.
+    """
     index = open_index(spark, index_path)
+    reader = spark.readStream.schema(feed_schema)
+    if files_per_batch is not None:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
     query = (
-        spark.readStream.schema(feed_schema)
-        .parquet(feed)
-        .writeStream.foreachBatch(lambda batch, _: apply_to_index(spark, index, batch))
+        reader.parquet(feed)
+        .writeStream.foreachBatch(
+            lambda batch, number: apply_to_index(spark, index, batch, f"batch{number}")
+        )
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
@@ -58,6 +91,17 @@ def sync_index_stream(
     query.awaitTermination()
 
 
+def replace_table(df: DataFrame, name: str, key: str, version: int, feed: str) -> None:
+    """Replace a keyed table; while its change feed is on, the differences go to the feed first.
+
+    Running it again after a failure adds the same change rows again, which a sync takes as one.
+    """
+    spark = df.sparkSession
+    if spark.catalog.tableExists(name) and has_change_feed(spark, name):
+        append_changes(diff_snapshots(spark.table(name), df, key, version), feed)
+    write_evolved(df, name)
+
+
 def create_or_sync(
     spark: SparkSession,
     table: DataFrame,

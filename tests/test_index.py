@@ -12,7 +12,13 @@ from passagemill.operators.index import (
     rows_per_cell,
 )
 from passagemill.operators.keys import add_content_key, add_dense_id
-from passagemill.streaming.sync import apply_to_index, append_changes, create_or_sync
+from passagemill.sources.writers import has_change_feed, set_change_feed, write_overwrite
+from passagemill.streaming.sync import (
+    append_changes,
+    apply_to_index,
+    create_or_sync,
+    replace_table,
+)
 
 BUILD = dict(dim=4, cells=3, buckets=4, embedder="test")
 
@@ -61,7 +67,7 @@ def test_build_puts_every_row_in_one_cell(spark, folder):
     assert sum(r["row_count"] for r in rows_per_cell(spark, folder).collect()) == 90
     assert [r["fault"] for r in spark.read.parquet(folder + "/rejected").collect()] == ["width"]
     stats = describe_index(spark, folder).first()
-    assert (stats["row_count"], stats["key_count"], stats["min_width"]) == (90, 90, 4)
+    assert (stats["row_count"], stats["key_count"], stats["width"]) == (90, 90, 4)
     queries = index.rows(spark).select(F.col("id").alias("query_id"), "embedding")
     assert probes_for_recall(queries, index, 3, 1.0) <= 3
 
@@ -93,6 +99,33 @@ def test_sync_runs_only_when_called(spark, folder):
     assert contents(spark, path) == expected
 
 
+def test_unusable_vectors_leave_the_index(spark, folder):
+    index = build_index(table(spark, 20), folder, **BUILD)
+    bad = [(3, "x", [1.0], "update_postimage", 1), (4, "t4", None, "delete", 1), (30, "y", None, "insert", 1)]
+    schema = (
+        "id bigint, content string, embedding array<float>, _change_type string, "
+        "_commit_version bigint"
+    )
+    apply_to_index(spark, index, spark.createDataFrame(bad, schema))
+    assert set(contents(spark, folder)) == set(range(20)) - {3, 4}
+    rejected = spark.read.parquet(folder + "/rejected")
+    assert {(r["id"], r["fault"]) for r in rejected.where("load = 'sync'").collect()} == {
+        (3, "width"),
+        (30, "null"),
+    }
+
+
+def test_replaced_table_feeds_its_changes(spark, folder):
+    write_overwrite(table(spark, 5), "feeding")
+    replace_table(table(spark, 6), "feeding", "id", 1, folder + "/feed")
+    assert not index_exists(spark, folder + "/feed")
+    set_change_feed(spark, "feeding")
+    replace_table(table(spark, 7).where("id > 0"), "feeding", "id", 2, folder + "/feed")
+    feed = {(r["id"], r["_change_type"]) for r in spark.read.parquet(folder + "/feed").collect()}
+    assert feed == {(6, "insert"), (0, "delete")}
+    assert has_change_feed(spark, "feeding") and spark.table("feeding").count() == 6
+
+
 def test_sync_leaves_other_buckets_alone(spark, folder):
     index = build_index(table(spark, 80), folder, **BUILD)
     files = lambda: {

@@ -5,8 +5,18 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from passagemill.operators.index import build_index, recall, vector_topk_indexed
-from passagemill.operators.keyword_search import keyword_lookup, keyword_topk
+from passagemill.operators.index import (
+    build_index,
+    probes_for_recall,
+    recall_by_probes,
+    vector_topk_indexed,
+)
+from passagemill.operators.keyword_search import (
+    corpus_totals,
+    document_frequency,
+    keyword_lookup,
+    keyword_topk,
+)
 from passagemill.operators.rerank import rerank_with
 from passagemill.operators.vector_search import METRICS, _cell_filter, vector_topk
 from passagemill.providers.text_models import WordShareScorer
@@ -114,8 +124,14 @@ def test_index_search(spark, data, folder):
         )
         inside = [(i, vectors[i]) for i in vectors if cell[i] == nearest]
         assert {h for h in few if h[0] == qid} == brute("l2", [(qid, q)], inside, 4)
-    report = recall(queries, index, 4, 5).first()
-    assert report["recall"] == 1.0 and report["exact_hits"] == len(exact)
+    curve = {r["probes"]: r for r in recall_by_probes(queries, index, 4, "l2").collect()}
+    assert curve[5]["recall"] == 1.0 and curve[5]["found_hits"] == len(exact)
+    hit = {(q, i) for q, _, i, _ in exact}
+    for probes in range(1, 6):
+        near = {(q, i) for q, _, i, _ in rows(vector_topk_indexed(queries, index, 4, probes, "l2"))}
+        assert curve[probes]["found_hits"] == len(hit & near)
+    enough = probes_for_recall(queries, index, 4, 0.8, "l2")
+    assert curve[enough]["recall"] >= 0.8 and all(curve[p]["recall"] < 0.8 for p in range(1, enough))
     with pytest.raises(ValueError):
         vector_topk_indexed(queries, index, 4, 1, embedder="other")
 
@@ -167,7 +183,12 @@ def test_keyword_search(spark, block):
     queries, docs = texts()
     asked = spark.createDataFrame(queries, "query_id int, query string")
     corpus = spark.createDataFrame(docs, "id int, content string").repartition(3)
-    assert rows(keyword_topk(asked, corpus, 3, block_questions=block)) == bm25(queries, docs, 3)
+    expected = bm25(queries, docs, 3)
+    assert rows(keyword_topk(asked, corpus, 3, block_questions=block)) == expected
+    stored = dict(term_counts=document_frequency(corpus), totals=corpus_totals(corpus))
+    assert rows(keyword_topk(asked, corpus, 3, block_questions=block, **stored)) == expected
+    with pytest.raises(ValueError):
+        keyword_topk(asked, corpus, 3, totals=stored["totals"])
 
 
 def test_keyword_lookup_cuts_text(spark):
