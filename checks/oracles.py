@@ -393,6 +393,21 @@ FROM embeddings""",
     "vector_topk_l2": _nearest("-list_distance(q.v, b.v)") + TOP5,
     "vector_topk_dot": _nearest("list_dot_product(q.v, b.v)") + TOP5,
     "vector_topk_ivf_all_cells": COSINE + TOP5,
+    "vector_topk_ivf_label_cells": """
+WITH e AS (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings),
+means AS (
+  SELECT label, i, avg(embedding[i]::DOUBLE) AS x FROM embeddings, unnest(range(1, 65)) AS t(i)
+  GROUP BY ALL),
+centres AS (SELECT label, list(x ORDER BY i) AS c FROM means GROUP BY label),
+near AS (
+  SELECT vec_id, label, row_number() OVER (
+    PARTITION BY vec_id ORDER BY list_distance(v, c), label) AS place FROM e CROSS JOIN centres),
+scored AS (
+  SELECT p.vec_id AS query_id, b.vec_id AS id, round(-list_distance(q.v, b.v), 6) + 0.0::DOUBLE AS score
+  FROM near p JOIN near m ON m.label = p.label AND m.place = 1
+  JOIN e q ON q.vec_id = p.vec_id JOIN e b ON b.vec_id = m.vec_id WHERE p.place <= 3)
+SELECT query_id, rank, id, score FROM (SELECT query_id, id, score, row_number() OVER (
+  PARTITION BY query_id ORDER BY score DESC, id) AS rank FROM scored) WHERE rank <= 5""",
     "search_columns": COSINE + "SELECT query_id, rank, id, score, label FROM hits WHERE rank <= 5",
     "keyword_topk": f"""WITH {QUESTIONS},
 {_keyword_parts(3, 'SELECT doc_id AS id, text FROM documents')}

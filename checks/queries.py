@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -506,6 +507,23 @@ def vector_topk_ivf_all_cells(spark, sf):
     return vector_topk_indexed(_vector_questions(spark, sf), index, 5, len(index.centroids))
 
 
+def vector_topk_ivf_label_cells(spark, sf):
+    """Cells with known centres: the mean vector of every label."""
+    rows = _vectors(spark, sf)
+    means = (
+        rows.select("label", F.posexplode("embedding").alias("dim", "x"))
+        .groupBy("label", "dim")
+        .agg(F.avg(F.col("x").cast("double")).alias("x"))
+        .groupBy("label")
+        .agg(F.array_sort(F.collect_list(F.struct("dim", "x"))).alias("entries"))
+        .select("label", F.col("entries.x").alias("centre"))
+    )
+    centres = [row["centre"] for row in means.orderBy("label").collect()]  # one row per label
+    path = new_path(spark, "index")
+    index = build_index(rows, path, dim=64, embedder="given", centroids=np.array(centres))
+    return vector_topk_indexed(_vector_questions(spark, sf), index, 5, 3, "l2")
+
+
 def ivf_recall(spark, sf):
     return recall_by_probes(_vector_questions(spark, sf), _vector_index(spark, sf), 5)
 
@@ -774,6 +792,7 @@ QUERIES = {
         vector_topk_dot,
         vector_topk_ivf,
         vector_topk_ivf_all_cells,
+        vector_topk_ivf_label_cells,
         ivf_recall,
         search_columns,
         keyword_topk_,

@@ -16,31 +16,41 @@ from passagemill.functions.vectors import vector_fault
 
 REQUEST_TEXTS = 150
 HASH_DIM = 256
+RUN_CELLS = 2_000_000
 
 
 def _term_lists_to_unit_vectors(dim: int):
     """Arrow function: lists of terms to float32 vectors of unit length.
 
-    Each distinct term of a batch is hashed once; the counting is array arithmetic.
+    Each distinct term of a batch is hashed once; the counting is array arithmetic on runs of rows
+    of bounded size.
     """
 
-    def unit_vectors(term_lists: pa.Array) -> pa.Array:
+    def run_vectors(term_lists: pa.Array) -> np.ndarray:
         lengths = np.asarray(term_lists.value_lengths().fill_null(0))
         rows = np.repeat(np.arange(len(term_lists)), lengths)
         coded = term_lists.flatten().dictionary_encode()
+        words = coded.dictionary.to_pylist()
         buckets = np.array(
-            [int(md5(term.encode()).hexdigest()[:8], 16) % dim for term in coded.dictionary.to_pylist()],
-            dtype=np.int64,
+            [int(md5(word.encode()).hexdigest()[:8], 16) % dim for word in words], dtype=np.int64
         )
         cells = rows * dim + buckets[coded.indices.to_numpy(zero_copy_only=False)]
         counts = np.bincount(cells, minlength=len(term_lists) * dim)
         counts = counts.reshape(len(term_lists), dim).astype(np.float64)
         norms = np.sqrt((counts * counts).sum(axis=1))
         norms[norms == 0] = 1.0
-        vectors = (counts / norms[:, None]).astype(np.float32)
+        return (counts / norms[:, None]).astype(np.float32)
+
+    def unit_vectors(term_lists: pa.Array) -> pa.Array:
+        step = max(1, RUN_CELLS // dim)
+        runs = [
+            run_vectors(term_lists.slice(at, step)).ravel()
+            for at in range(0, len(term_lists), step)
+        ]
+        values = np.concatenate(runs) if runs else np.empty(0, dtype=np.float32)
         offsets = pa.array(np.arange(0, (len(term_lists) + 1) * dim, dim, dtype=np.int32))
         mask = term_lists.is_null() if term_lists.null_count else None
-        return pa.ListArray.from_arrays(offsets, pa.array(vectors.ravel()), mask=mask)
+        return pa.ListArray.from_arrays(offsets, pa.array(values), mask=mask)
 
     return unit_vectors
 

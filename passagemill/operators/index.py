@@ -116,14 +116,16 @@ def build_index(
     embedder: str = "hashing",
     buckets: int = 8,
     version: int = 0,
+    centroids: np.ndarray | None = None,
 ) -> VectorIndex:
     """Create the index. ``meta`` is written last: an index without it does not exist yet.
 
-    Rows whose vector cannot be indexed go to ``rejected`` below the path, with the reason.
+    Cells come from k-means unless ``centroids`` gives their centres, one row per cell. Rows whose vector cannot be indexed go to ``rejected`` below the path, with the reason.
     """
     spark = table.sparkSession
     good, bad = check_vectors(table, dim, vector)
-    centroids = train_centroids(good, vector, cells)
+    if centroids is None:
+        centroids = train_centroids(good, vector, cells)
     placed = (
         versioned(good, version)
         .withColumn("cell", nearest_cell(F.col(vector), centroids))

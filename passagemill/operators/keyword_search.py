@@ -162,7 +162,7 @@ def keyword_topk(
         return corpus.mapInArrow(_score_terms(scorer, k, schema), schema)
 
     blocks = _narrow(query_blocks(asked, query_id, block_questions or BLOCK_QUESTIONS))
-    return scan_search(blocks, one_pass, query_id, k)
+    return scan_search(blocks, one_pass, query_id, k, corpus)
 
 
 def _stored_counts(

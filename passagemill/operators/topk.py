@@ -23,6 +23,7 @@ from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 from passagemill.session import stage
 
 SCORE_DIGITS = 6
+MERGED_CORES = 256
 
 
 def query_blocks(queries: DataFrame, key: str, limit: int) -> list[pa.Table]:
@@ -122,18 +123,38 @@ def hit_schema(queries: DataFrame, query_id: str, base: DataFrame, base_id: str)
     )
 
 
-def ranked(hits: DataFrame, query_id: str, k: int) -> DataFrame:
-    """The best k hits per question; equal scores rank by id."""
-    order = Window.partitionBy(query_id).orderBy(F.col("score").desc(), F.col("id"))
+def ranked(hits: DataFrame, query_id: str, k: int, salts: int = 1) -> DataFrame:
+    """The best k hits per question; equal scores rank by id.
+
+    With ``salts`` above 1 the hits of a question are first thinned out in that many groups.
+    """
+    order = [F.col("score").desc(), F.col("id")]
+    if salts > 1:
+        salt = F.pmod(F.xxhash64("id"), F.lit(salts))
+        place = F.row_number().over(Window.partitionBy(query_id, "_salt").orderBy(*order))
+        hits = (
+            hits.withColumn("_salt", salt)
+            .withColumn("_place", place)
+            .where(F.col("_place") <= k)
+            .drop("_salt", "_place")
+        )
+    rank = F.row_number().over(Window.partitionBy(query_id).orderBy(*order))
     return (
-        hits.withColumn("rank", F.row_number().over(order).cast(LongType()))
+        hits.withColumn("rank", rank.cast(LongType()))
         .where(F.col("rank") <= k)
         .select(query_id, "rank", "id", "score")
     )
 
 
 def scan_search(
-    blocks: list[pa.Table], one_pass: Callable[[pa.Table], DataFrame], query_id: str, k: int
+    blocks: list[pa.Table],
+    one_pass: Callable[[pa.Table], DataFrame],
+    query_id: str,
+    k: int,
+    base: DataFrame,
 ) -> DataFrame:
+    """All blocks' passes over ``base``, ranked. Every task of a pass sends up to k rows for each
+    question; on a cluster with many cores, so many tasks, they are merged in two steps."""
+    salts = math.ceil(base.sparkSession.sparkContext.defaultParallelism / MERGED_CORES)
     passes = [one_pass(block) for block in blocks]
-    return ranked(reduce(DataFrame.unionByName, passes), query_id, k)
+    return ranked(reduce(DataFrame.unionByName, passes), query_id, k, salts)

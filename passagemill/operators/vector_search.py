@@ -195,7 +195,7 @@ def _search(
         return scanned.mapInArrow(_scan(shared, k, metric, dim, schema), schema)
 
     blocks = query_blocks(_usable(queries, query_vector, dim), query_id, limit)
-    return scan_search(blocks, one_pass, query_id, k)
+    return scan_search(blocks, one_pass, query_id, k, rows)
 
 
 def _cell_filter(cell: str, cells: Sequence[int]) -> Column:

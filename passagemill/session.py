@@ -34,7 +34,8 @@ def new_path(spark: SparkSession, label: str) -> str:
 def spread(df: DataFrame, *keys: str) -> DataFrame:
     """Hash rows over all cores if the input has fewer splits than there are cores.
 
-    Meant for a small table in one row group; a large table has many splits and is left alone.
+    Meant for a small table as read, in one row group; a large one has many splits and is left
+    alone.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, *keys)

@@ -72,6 +72,11 @@ def test_exact_search(spark, data, metric, block_rows):
     assert found == brute(metric, *data, 4)
 
 
+def test_two_step_merge(spark, data, monkeypatch):
+    monkeypatch.setattr("passagemill.operators.topk.MERGED_CORES", 1)
+    assert rows(vector_topk(*frames(spark, data), 4)) == brute("cosine", *data, 4)
+
+
 def test_k_beyond_the_base(spark, data):
     queries, base = data
     small = base[:3]
