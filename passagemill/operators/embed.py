@@ -55,14 +55,21 @@ def _term_lists_to_unit_vectors(dim: int):
     return unit_vectors
 
 
+def run_once(function, return_type):
+    """An Arrow function that the optimizer neither repeats nor moves.
+
+    From an explode of its result, for one, it would infer a filter that calls it a second time.
+    """
+    return F.arrow_udf(function, return_type).asNondeterministic()
+
+
 def hash_vector(text: Column, dim: int = HASH_DIM) -> Column:
     """Unit vector of term counts by hash bucket; all zero for a text without terms.
 
     The JVM finds the terms. Counting them into a dense vector is the one step without a
     row-local native form, so it is a vectorised Arrow function over whole batches.
     """
-    count = F.arrow_udf(_term_lists_to_unit_vectors(dim), ArrayType(FloatType()))
-    return count(terms(text))
+    return run_once(_term_lists_to_unit_vectors(dim), ArrayType(FloatType()))(terms(text))
 
 
 def hash_embed(

@@ -48,4 +48,4 @@ def extract_with(
             )
 
     kept = [name for name in df.columns if name not in (content, out)]
-    return df.select(*kept, parse(F.col(content)).alias(out))
+    return df.select(*kept, parse.asNondeterministic()(F.col(content)).alias(out))

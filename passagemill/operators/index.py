@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType
 
 from passagemill.operators.changes import live, versioned
-from passagemill.operators.embed import check_vectors, same_embedder
+from passagemill.operators.embed import check_vectors, run_once, same_embedder
 from passagemill.operators.vector_search import (
     BLOCK_BYTES,
     SCORE_CELLS,
@@ -72,7 +72,7 @@ def nearest_cell(vector: Column, centroids: np.ndarray) -> Column:
             cells[usable[at : at + step]] = gaps.argmin(axis=1)
         return pa.array(cells)
 
-    return F.arrow_udf(assign, IntegerType())(vector)
+    return run_once(assign, IntegerType())(vector)
 
 
 def train_centroids(rows: DataFrame, vector: str, cells: int, seed: int = 42) -> np.ndarray:
@@ -225,7 +225,7 @@ def probe_order(vector: Column, index: VectorIndex, metric: str) -> Column:
         offsets = np.arange(0, cells.size + 1, cells.shape[1], dtype=np.int32)
         return pa.ListArray.from_arrays(pa.array(offsets), pa.array(cells.ravel().astype(np.int32)))
 
-    return F.arrow_udf(order, ArrayType(IntegerType()))(vector)
+    return run_once(order, ArrayType(IntegerType()))(vector)
 
 
 def recall_by_probes(

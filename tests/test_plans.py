@@ -51,3 +51,24 @@ def test_counts_aggregate_before_the_shuffle(spark):
     text = plan(QUERIES["count_by_location"](spark, SF_DIR))
     assert "partial_count" in text
     assert "c_name" not in text
+
+
+def test_python_steps_run_once(spark):
+    from passagemill.operators.embed import check_vectors, hash_embed
+
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "text")
+    vectors = hash_embed(docs.repartition(4, "doc_id"), "text")
+    for df in (
+        vectors.select("doc_id", F.posexplode("embedding")),
+        check_vectors(vectors, 256)[0],
+        vectors.where("embedding is not null"),
+    ):
+        assert plan(df).count("ArrowEvalPython") == 1
+
+
+def test_chunks_are_computed_once(spark):
+    from passagemill.operators.chunk import chunk_sentences
+
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "text")
+    assert plan(chunk_sentences(docs).where("content <> ''")).count("posexplode") == 1
+    assert "Filter (size" not in plan(chunk_sentences(docs))
