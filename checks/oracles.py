@@ -499,6 +499,7 @@ _CONTEXTS = """
 contexts AS (
   SELECT query_id, string_agg(content, chr(10) || chr(10) ORDER BY rank) AS context
   FROM hits GROUP BY query_id)"""
+ORACLES["embed_documents_append"] = ORACLES["embed_documents"]
 ORACLES["sink_change_feed"] = ORACLES["change_rows"]
 ORACLES["keyword_topk_stored"] = ORACLES["keyword_topk"]
 ORACLES["build_prompt"] = f"""WITH RECURSIVE {_hit_parts(2)}, {_CONTEXTS}

@@ -72,6 +72,7 @@ from passagemill.operators.summary import chart_top_groups, count_by, count_rows
 from passagemill.operators.vector_search import passages, vector_topk, with_columns
 from passagemill.plans.chain import stage_assign, stage_map, stage_pipe
 from passagemill.plans.rag import (
+    add_documents,
     answer_questions,
     batch_retrieve,
     chunk_documents,
@@ -117,9 +118,9 @@ def _pdf_name() -> Column:
     return F.concat_ws("/", "source", "doc_id").alias("pdf_name")
 
 
-def _document_chunks(spark: SparkSession, sf: str) -> DataFrame:
-    docs = _documents(spark, sf, "doc_id", "source", "text").select(_pdf_name(), "text")
-    return chunk_sentences(docs)
+def _document_chunks(spark: SparkSession, sf: str, *columns: str) -> DataFrame:
+    docs = _documents(spark, sf, "doc_id", "source", "text", *columns)
+    return chunk_sentences(docs.select(_pdf_name(), "text", *columns))
 
 
 def _chunk_table(spark: SparkSession, sf: str) -> DataFrame:
@@ -401,8 +402,8 @@ def check_vectors_(spark, sf):
     return good.select("id", F.lit("none").alias("fault")).unionByName(bad.select("id", "fault"))
 
 
-def embed_documents_(spark, sf):
-    return embed_documents(_document_chunks(spark, sf)).select(
+def _embedded(table: DataFrame) -> DataFrame:
+    return table.select(
         "id",
         "pdf_name",
         "content",
@@ -410,6 +411,19 @@ def embed_documents_(spark, sf):
     )
 
 
+def embed_documents_(spark, sf):
+    return _embedded(embed_documents(_document_chunks(spark, sf)))
+
+
+def embed_documents_append(spark, sf):
+    """English and French documents first, then all: only the chunks still missing are embedded."""
+    name, path = _temporary_table(spark)
+    chunks = _document_chunks(spark, sf, "lang")
+    add_documents(chunks.where("lang in ('en', 'fr')"), name, path=path)
+    add_documents(chunks, name, HashingEmbedder(), path=path)
+    return _embedded(read_table(spark, name))
+
+
 # ---- keys, changes, index
 
 
@@ -780,6 +794,7 @@ QUERIES = {
         embed_queries_,
         check_vectors_,
         embed_documents_,
+        embed_documents_append,
         content_key,
         dense_id,
         change_rows,

@@ -6,12 +6,13 @@ from pyspark.sql import DataFrame
 
 from passagemill.operators.answer import ANSWER_TOKENS, extractive_answer
 from passagemill.operators.chunk import CHUNK_OVERLAP, CHUNK_SIZE, chunk_sentences
-from passagemill.operators.embed import HASH_DIM, hash_embed
+from passagemill.operators.embed import HASH_DIM, embed, hash_embed
 from passagemill.operators.extract import extract_text
 from passagemill.operators.keys import add_content_key
 from passagemill.operators.prompt import QA_TEMPLATE, build_prompt
 from passagemill.operators.vector_search import vector_topk, with_columns
 from passagemill.session import stage
+from passagemill.sources.writers import write_append
 
 
 def chunk_documents(
@@ -25,10 +26,33 @@ def chunk_documents(
     return chunk_sentences(extract_text(files, content, kind), "text", size, overlap)
 
 
+def _keyed(chunks: DataFrame) -> DataFrame:
+    return add_content_key(chunks, ["pdf_name", "chunk_no", "content"])
+
+
 def embed_documents(chunks: DataFrame, dim: int = HASH_DIM) -> DataFrame:
     """Chunk rows (pdf_name, chunk_no, content) to table rows (id, pdf_name, content, embedding)."""
-    keyed = add_content_key(chunks, ["pdf_name", "chunk_no", "content"])
-    return hash_embed(keyed, dim=dim).select("id", "pdf_name", "content", "embedding")
+    return hash_embed(_keyed(chunks), dim=dim).select("id", "pdf_name", "content", "embedding")
+
+
+def add_documents(
+    chunks: DataFrame,
+    table: str,
+    provider=None,
+    dim: int = HASH_DIM,
+    path: str | None = None,
+) -> None:
+    """Embed the chunks whose key the table does not hold yet, and append them.
+
+    Chunks already in the table are dropped before embedding, so a rerun pays for no vector again.
+    Without a provider the hashing embedder is used.
+    """
+    spark = chunks.sparkSession
+    fresh = _keyed(chunks).select("id", "pdf_name", "content").dropDuplicates(["id"])
+    if spark.catalog.tableExists(table):
+        fresh = fresh.join(spark.table(table).select("id"), "id", "left_anti")
+    vectors = hash_embed(fresh, dim=dim) if provider is None else embed(fresh, provider)
+    write_append(vectors.select("id", "pdf_name", "content", "embedding"), table, path=path)
 
 
 def embed_queries(
