@@ -203,11 +203,10 @@ def _cell_filter(cell: str, cells: Sequence[int]) -> Column:
 
     Ranges, unlike a long IN list, reach the Parquet scan one by one; the scan drops the extra rows.
     """
-    ranges = [[c, c] for c in cells]
-    while len(ranges) > MAX_CELL_RANGES or any(b[0] - a[1] == 1 for a, b in pairwise(ranges)):
-        at = min(range(len(ranges) - 1), key=lambda i: ranges[i + 1][0] - ranges[i][1])
-        ranges[at : at + 2] = [[ranges[at][0], ranges[at + 1][1]]]
-    return reduce(or_, (F.col(cell).between(first, last) for first, last in ranges))
+    gaps = sorted((a - b, at) for at, (a, b) in enumerate(pairwise(cells)) if b - a > 1)
+    cuts = sorted(at + 1 for _, at in gaps[: MAX_CELL_RANGES - 1])
+    bounds = zip([0, *cuts], [*cuts, len(cells)])
+    return reduce(or_, (F.col(cell).between(cells[a], cells[b - 1]) for a, b in bounds))
 
 
 def cell_order(questions: np.ndarray, centroids: np.ndarray, metric: str) -> np.ndarray:
@@ -225,8 +224,14 @@ def _probed_cells(
     """For every cell the questions that probe it."""
     order = cell_order(questions, centroids, metric)[:, :probes]
     asked = np.repeat(np.arange(len(questions)), order.shape[1])
-    cells = order.ravel()
-    return {int(c): asked[cells == c] for c in np.unique(cells)}
+    return {c: asked[places] for c, places in _places(order.ravel())}
+
+
+def _places(cells: np.ndarray) -> list[tuple[int, np.ndarray]]:
+    """Every cell that occurs, with the positions where it does."""
+    order = np.argsort(cells, kind="stable")
+    names, starts = np.unique(cells[order], return_index=True)
+    return list(zip(names.tolist(), np.split(order, starts[1:])))
 
 
 def _scan(shared, k: int, metric: str, dim: int, schema):
@@ -248,11 +253,9 @@ def _scan(shared, k: int, metric: str, dim: int, schema):
             if probed is None:
                 add(best, everyone, ids, rows)
                 continue
-            cells = batch.column(2).to_numpy(zero_copy_only=False)
-            for c in np.unique(cells):
-                if int(c) in probed:
-                    inside = cells == c
-                    add(best, probed[int(c)], ids[inside], rows[inside])
+            for c, places in _places(batch.column(2).to_numpy(zero_copy_only=False)):
+                if c in probed:
+                    add(best, probed[c], ids[places], rows[places])
         yield best.table(query_ids, arrow_schema)
 
     return run
