@@ -5,13 +5,39 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from passagemill.llm import packing, quality_rules, sharding, token_counts
-from passagemill.llm.common import table, utf8_bytes
+from passagemill.llm import (
+    fingerprints,
+    html_text,
+    near_dups,
+    packing,
+    quality_rules,
+    sharding,
+    token_counts,
+    toxicity,
+)
+from passagemill.llm.common import id_crc32, table, utf8_bytes
 
 SHARDS = 24
 TOKEN_LIMIT = 512
 
 
+def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents", "doc_id", "text")
+    return near_dups.near_duplicates(documents, words=4, similarity=80)
+
+
+def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages", "page_id", "url", "html")
+    return html_text.extract_main_text(pages).select(
+        "page_id", "url", "text", F.length("text").cast("long").alias("n_chars")
+    )
+
+
+def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents", "doc_id", "text")
+    return fingerprints.compare_versions(fingerprints.edited_versions(documents))
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_report(table(spark, sf_dir, "documents", "doc_id", "text"), TOKEN_LIMIT)
 
@@ -20,6 +46,17 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.piece_report(packing.pack(table(spark, sf_dir, "documents", "doc_id", "text")))
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents", "doc_id", "text")
+    model = toxicity.fit_toxicity(documents, toxicity.read_labels(spark, sf_dir))
+    return toxicity.score_toxicity(documents, model).select(
+        "row.doc_id",
+        (id_crc32(F.col("row.doc_id")) % 4 == 2).alias("held_out"),
+        "score",
+        "predicted",
+    )
+
+
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents", "doc_id", "text")
     records = documents.select(
@@ -58,8 +95,12 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op3_near_duplicates": op3_near_duplicates,
+    "op4_html_text": op4_html_text,
+    "op5_fingerprints": op5_fingerprints,
     "op6_token_counts": op6_token_counts,
     "op7_packing": op7_packing,
+    "op8_toxicity": op8_toxicity,
     "op9_sharding": op9_sharding,
     "op10_quality_rules": op10_quality_rules,
 }
