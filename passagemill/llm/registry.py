@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from passagemill.llm import (
     fingerprints,
     html_text,
+    lm_scoring,
     near_dups,
     packing,
     quality_rules,
@@ -21,6 +22,21 @@ SHARDS = 24
 TOKEN_LIMIT = 512
 
 
+def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents", "doc_id", "text")
+    held_out = id_crc32(F.col("doc_id")) % 5 == 1
+    model = lm_scoring.fit_ngram_model(documents.where(~held_out))
+    return lm_scoring.score_documents(documents, model).select(
+        "doc_id",
+        held_out.alias("held_out"),
+        "n_tokens",
+        "n_known",
+        F.lit(model.tokens).cast("long").alias("train_tokens"),
+        "base_score",
+        "score",
+    )
+
+
 def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents", "doc_id", "text")
     return near_dups.near_duplicates(documents, words=4, similarity=80)
@@ -95,6 +111,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_lm_scoring": op1_lm_scoring,
     "op3_near_duplicates": op3_near_duplicates,
     "op4_html_text": op4_html_text,
     "op5_fingerprints": op5_fingerprints,
