@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import sys
 import types
 from collections.abc import Callable
@@ -58,3 +59,20 @@ def worker_state(name: str) -> dict:
 def text_list(column: pa.Array) -> list[str]:
     """The strings of an Arrow column, null as empty."""
     return [value or "" for value in column.to_pylist()]
+
+
+def labelled_sample(documents: DataFrame, labelled: DataFrame, column: str, limit: int) -> DataFrame:
+    """``doc_id, text`` and the label of about ``limit`` labelled rows at most, chosen by a hash.
+
+    If a key has several labels, the greatest counts. The chosen labels are few by construction, so
+    they are broadcast and the documents are not shuffled to find their texts.
+    """
+    marked = (
+        labelled.where("doc_id is not null").groupBy("doc_id").agg(F.max(column).alias(column))
+    )
+    scale = 1 << 20
+    share = math.floor(scale * min(1.0, limit / max(marked.count(), 1)))
+    chosen = marked.where(F.pmod(F.xxhash64("doc_id"), F.lit(scale)) < share)
+    return documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(
+        F.broadcast(chosen), "doc_id"
+    )

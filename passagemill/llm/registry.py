@@ -9,6 +9,7 @@ from passagemill.llm import (
     fingerprints,
     html_text,
     lm_scoring,
+    mixing,
     near_dups,
     packing,
     quality_rules,
@@ -37,6 +38,25 @@ def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents", "doc_id", "text", "lang")
+    labels = table(spark, sf_dir, "labels", "doc_id", "quality")
+    labelled = mixing.labelled_domains(documents, labels)
+    rated, rates = mixing.mixed_rates(
+        documents.select("doc_id", "text"), labelled, mixing.language_targets()
+    )
+    domains = F.array(*[F.lit(name) for name in rates.domains])
+    best = F.array_position("grid", F.array_max("grid")).cast("int")
+    return rated.select(
+        "row.doc_id",
+        "n_tokens",
+        F.element_at(domains, best).alias("domain"),
+        F.transform("grid", lambda one: one / F.lit(float(mixing.GRID))).alias("posteriors"),
+        "rate",
+        "copies",
+    )
+
+
 def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents", "doc_id", "text")
     return near_dups.near_duplicates(documents, words=4, similarity=80)
@@ -112,6 +132,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_lm_scoring": op1_lm_scoring,
+    "op2_source_mixing": op2_source_mixing,
     "op3_near_duplicates": op3_near_duplicates,
     "op4_html_text": op4_html_text,
     "op5_fingerprints": op5_fingerprints,

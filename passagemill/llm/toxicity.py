@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from passagemill.llm.common import id_crc32, text_list, worker_state
+from passagemill.llm.common import id_crc32, labelled_sample, text_list, worker_state
 from passagemill.llm.tokenizing import PieceCache, batches_of
 from passagemill.session import stage
 
@@ -303,20 +303,11 @@ def learned_rows(documents: DataFrame, labels: DataFrame, limit: int = LABELLED_
     Rows whose key has CRC-32 remainder 2 by 4 are never learned from. The chosen labels have a
     bounded count, so that the documents are not shuffled to find their texts.
     """
-    marked = (
-        labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull())
-        .where(id_crc32(F.col("doc_id")) % 4 != 2)
-        .groupBy("doc_id")
-        .agg(F.max("toxic").cast("int").alias("toxic"))
-    )
-    total = marked.count()
-    scale = 1 << 20
-    share = math.floor(scale * min(1.0, limit / max(total, 1)))
-    chosen = marked.where(F.pmod(F.xxhash64("doc_id"), F.lit(scale)) < share)
-    fold = id_crc32(F.col("doc_id")) % 4
-    return documents.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select(
-        "doc_id", F.coalesce("text", F.lit("")).alias("text"), "toxic", fold.alias("fold")
+    marked = labels.where(F.col("toxic").isin(0, 1) & (id_crc32(F.col("doc_id")) % 4 != 2)).select(
+        "doc_id", F.col("toxic").cast("int").alias("toxic")
     )
+    sample = labelled_sample(documents, marked, "toxic", limit)
+    return sample.withColumn("fold", id_crc32(F.col("doc_id")) % 4)
 
 
 def fit_toxicity(documents: DataFrame, labels: DataFrame, limit: int = LABELLED_ROWS) -> ToxicityModel:
