@@ -18,6 +18,7 @@ from passagemill.llm import (
     toxicity,
 )
 from passagemill.llm.common import id_crc32, table, utf8_bytes
+from passagemill.llm.oracles import ORACLES  # noqa: F401
 
 SHARDS = 24
 TOKEN_LIMIT = 512
@@ -142,5 +143,3 @@ QUERIES = {
     "op9_sharding": op9_sharding,
     "op10_quality_rules": op10_quality_rules,
 }
-
-ORACLES: dict[str, str] = {}
