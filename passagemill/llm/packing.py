@@ -7,6 +7,7 @@ second pass cuts: a document that crosses window borders becomes one piece per w
 
 from __future__ import annotations
 
+import struct
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,7 +21,7 @@ from passagemill.llm.common import let, text_list, worker_state
 from passagemill.llm.tokenizing import (
     PieceCache,
     batches_of,
-    open_tokenizer,
+    encode_pieces,
     segments,
 )
 from passagemill.session import new_path
@@ -37,11 +38,10 @@ def encode_words(texts: list[str], tokenizer: str, end_id: int) -> Iterator[byte
     those of its words, one after the other, and each word is encoded once per worker.
     """
     cache = worker_state("word_ids").setdefault(tokenizer, PieceCache())
-    end = np.uint32(end_id).tobytes()
+    end = struct.pack("<I", end_id)
 
     def encode(words: list[str]) -> Iterator[bytes]:
-        found = open_tokenizer(tokenizer).encode_batch_fast(words, add_special_tokens=False)
-        return (np.array(one.ids, dtype="<u4").tobytes() for one in found)
+        return (struct.pack(f"<{len(ids)}I", *ids) for ids in encode_pieces(words, tokenizer))
 
     def words_of(text: str) -> list[bytes]:
         # bytes.split() knows the six ASCII blanks only; str.split() would cut at others too
@@ -52,7 +52,7 @@ def encode_words(texts: list[str], tokenizer: str, end_id: int) -> Iterator[byte
         words = set().union(*(part for parts in cut for part in parts))
         cache.fill(words, lambda missing: encode([word.decode("utf-8") for word in missing]))
         for parts in cut:
-            yield b"".join([cache[word] for part in parts for word in part]) + end
+            yield b"".join([b"".join(map(cache.__getitem__, part)) for part in parts] + [end])
 
 
 def token_stream(

@@ -8,8 +8,8 @@ from collections.abc import Callable, Iterable
 
 from passagemill.llm.common import worker_state
 
-#: Entries of a worker's cache; it starts anew when it is full, which changes no result.
-CACHE_ENTRIES = 400_000
+#: Entries of each generation of a worker's cache.
+CACHE_ENTRIES = 300_000
 
 #: Longer pieces are encoded each time and never cached.
 CACHED_CHARS = 64
@@ -43,6 +43,57 @@ def open_tokenizer(name: str):
     return opened[name]
 
 
+#: Plain words: Latin letters, then ASCII punctuation but for the apostrophe. Each of the two is one
+#: pre-token, and both are their own composed form.
+_PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]*)([!-&(-/:-@\[-`{-~]*)")
+_TRIED = ("the", "Été", "straßenbahn", "ÑANDÚ", "qzxvkj", "ÿ", "the,", "was###", "é...", "$$%_", "A<|")
+
+
+def _byte_signs() -> list[str]:
+    """The sign that stands for each byte in byte-level vocabularies: printable bytes stand for
+    themselves, the others for signs from 256 on, in order."""
+    printable = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = iter(range(256, 512))
+    return [chr(byte if byte in printable else next(others)) for byte in range(256)]
+
+
+def _direct(tokenizer) -> Callable[[str], list[int] | None] | None:
+    """Ids of a plain word straight from the merges, without the steps before them that change
+    nothing in it but its case, and None for any other word. None at all unless trial words show
+    that the tokenizer is of this kind."""
+    signs, merges, plain = _byte_signs(), tokenizer.model.tokenize, _PLAIN.fullmatch
+
+    def ids(word: str) -> list[int] | None:
+        found = plain(word)
+        if found is None:
+            return None
+        letters, others = found.groups()
+        letters = letters.lower()
+        if not letters.isascii():
+            letters = "".join([signs[byte] for byte in letters.encode()])
+        tokens = merges(letters) if letters else []
+        return [token.id for token in (tokens + merges(others) if others else tokens)]
+
+    tried = tokenizer.encode_batch(list(_TRIED), add_special_tokens=False)
+    same = all(one.ids == ids(word) for one, word in zip(tried, _TRIED, strict=True))
+    return ids if same else None
+
+
+def encode_pieces(pieces: list[str], name: str) -> list[list[int]]:
+    """The ids of each piece on its own, without special tokens around it."""
+    tokenizer = open_tokenizer(name)
+    known = worker_state("direct_ids")
+    if name not in known:
+        known[name] = _direct(tokenizer)
+    direct = known[name]
+    found = [direct(piece) for piece in pieces] if direct else [None] * len(pieces)
+    rest = [at for at, ids in enumerate(found) if ids is None]
+    encoded = tokenizer.encode_batch_fast([pieces[at] for at in rest], add_special_tokens=False)
+    for at, one in zip(rest, encoded, strict=True):
+        found[at] = one.ids
+    return found
+
+
 def segments(text: str) -> Iterable[str]:
     """``text`` cut before single spaces between two words, where no pre-token can lie across."""
     begin = 0
@@ -56,19 +107,26 @@ def segments(text: str) -> Iterable[str]:
 
 
 class PieceCache(dict):
-    """What each piece is encoded to, filled for whole batches of missing pieces."""
+    """What each piece is encoded to, filled for whole batches of missing pieces.
+
+    When it is full, its entries become the older generation; those that are met again come back from
+    there, so that frequent pieces stay and rare ones go.
+    """
 
-    def fill(self, pieces: set[str], encode: Callable[[list[str]], Iterable]) -> None:
+    def __init__(self):
+        super().__init__()
+        self.older: dict = {}
+
+    def fill(self, pieces: set, encode: Callable[[list], Iterable]) -> None:
         missing = [piece for piece in pieces if piece not in self]
         if len(self) + len(missing) > CACHE_ENTRIES:
+            self.older = dict(self)
             self.clear()
             missing = list(pieces)
-        self.update(zip(missing, encode(missing), strict=True))
-
-    def trim(self) -> None:
-        """Forget long pieces after a batch."""
-        if len(self) > CACHE_ENTRIES:
-            self.clear()
+        older = self.older
+        self.update((piece, older[piece]) for piece in missing if piece in older)
+        unknown = [piece for piece in missing if piece not in older]
+        self.update(zip(unknown, encode(unknown), strict=True))
 
 
 def batches_of(texts: list[str], limit: int = 1 << 22) -> Iterable[tuple[int, int]]:
