@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import math
 import sys
+import tempfile
 import time
 from collections import Counter
 from pathlib import Path
@@ -62,6 +63,7 @@ def session(cores: str = "8") -> SparkSession:
         .config("spark.driver.memory", "8g")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="passagemill-shared-"))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

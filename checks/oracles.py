@@ -38,11 +38,10 @@ def _html_text(html: str) -> str:
         r"(?s)<!--.*?-->",
         r"(?is)<script\b.*?</script>",
         r"(?is)<style\b.*?</style>",
-        r"(?is)<nav\b.*?</nav>",
     ):
         html = f"regexp_replace({html}, '{pattern}', '', 'g')"
     html = f"regexp_replace({html}, '\\s+', ' ', 'g')"
-    block = r"(?i)</?(p|br|li|ul|div|h1|title|article|footer|head|body|html)\b[^>]*>"
+    block = r"(?i)</?(article|body|br|div|footer|h1|head|html|li|nav|p|title|ul)\b[^>]*>"
     html = f"regexp_replace({html}, '{block}', chr(10), 'g')"
     html = f"regexp_replace({html}, '(?s)<[^>]*>', '', 'g')"
     for entity, plain in (
@@ -297,7 +296,23 @@ def _cells(source: str, key: str) -> str:
 DOCUMENT_CELLS = _cells("SELECT doc_id AS id, text FROM documents", "doc_id")
 LABELS = "SELECT doc_id, quality, toxic FROM labels"
 
+LABEL_CELLS = """
+WITH e AS (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings),
+means AS (
+  SELECT label, i, avg(embedding[i]::DOUBLE) AS x FROM embeddings, unnest(range(1, 65)) AS t(i)
+  GROUP BY ALL),
+centres AS (SELECT label, list(x ORDER BY i) AS c FROM means GROUP BY label),
+near AS (
+  SELECT vec_id, label, row_number() OVER (
+    PARTITION BY vec_id ORDER BY list_distance(v, c), label) AS place FROM e CROSS JOIN centres)"""
+
 ORACLES = {
+    "src_binary_files": """
+SELECT page_id, strlen(line) + 1 AS length, md5(line) AS digest
+FROM (SELECT page_id, regexp_replace(html, '[\\r\\n]+', ' ', 'g') AS line FROM pages)""",
+    "src_one_file": """
+SELECT page_id, strlen(regexp_replace(html, '[\\r\\n]+', ' ', 'g')) + 1 AS length
+FROM pages WHERE page_id = 7""",
     "src_table_scan": "SELECT doc_id, lang, source, n_chars FROM documents",
     "src_csv_file": "SELECT conv_id, turn, role, text FROM conversations",
     "src_csv_lines": """
@@ -329,8 +344,8 @@ SELECT doc_id, 'Sum up this ' || lang || ' text from ' || source || ' in ' || la
 SELECT event_id, upper(state) AS state, CASE WHEN contains(upper(state), 'ERR') THEN 'failed'
   WHEN contains(upper(state), 'SIGN') THEN 'provisioning'
   WHEN contains(upper(state), 'VIEW') THEN 'online' ELSE 'unknown' END AS kind
-FROM (SELECT event_id, coalesce(json_extract_string(props, '$.state'), event_type, 'UNKNOWN')
-  AS state FROM events)""",
+FROM (SELECT event_id, coalesce(CASE WHEN event_id % 2 = 0 THEN json_extract_string(props, '$.k') END,
+  event_type, 'UNKNOWN') AS state FROM events)""",
     "passages_format": f"""{COSINE}
 SELECT query_id, rank, source AS file, text FROM hits JOIN documents ON doc_id = id
 WHERE rank <= 2""",
@@ -393,21 +408,28 @@ FROM embeddings""",
     "vector_topk_l2": _nearest("-list_distance(q.v, b.v)") + TOP5,
     "vector_topk_dot": _nearest("list_dot_product(q.v, b.v)") + TOP5,
     "vector_topk_ivf_all_cells": COSINE + TOP5,
-    "vector_topk_ivf_label_cells": """
-WITH e AS (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings),
-means AS (
-  SELECT label, i, avg(embedding[i]::DOUBLE) AS x FROM embeddings, unnest(range(1, 65)) AS t(i)
-  GROUP BY ALL),
-centres AS (SELECT label, list(x ORDER BY i) AS c FROM means GROUP BY label),
-near AS (
-  SELECT vec_id, label, row_number() OVER (
-    PARTITION BY vec_id ORDER BY list_distance(v, c), label) AS place FROM e CROSS JOIN centres),
+    "vector_topk_ivf_label_cells": LABEL_CELLS + """,
 scored AS (
   SELECT p.vec_id AS query_id, b.vec_id AS id, round(-list_distance(q.v, b.v), 6) + 0.0::DOUBLE AS score
   FROM near p JOIN near m ON m.label = p.label AND m.place = 1
   JOIN e q ON q.vec_id = p.vec_id JOIN e b ON b.vec_id = m.vec_id WHERE p.place <= 3)
 SELECT query_id, rank, id, score FROM (SELECT query_id, id, score, row_number() OVER (
   PARTITION BY query_id ORDER BY score DESC, id) AS rank FROM scored) WHERE rank <= 5""",
+    "index_cells": LABEL_CELLS + """
+SELECT (dense_rank() OVER (ORDER BY label) - 1)::INTEGER AS cell, row_count
+FROM (SELECT label, count(*) AS row_count FROM near WHERE place = 1 GROUP BY label)""",
+    "ivf_recall": LABEL_CELLS + """,
+exact AS (
+  SELECT q.vec_id AS query_id, b.vec_id AS id, row_number() OVER (
+    PARTITION BY q.vec_id ORDER BY round(-list_distance(q.v, b.v), 6) DESC, b.vec_id) AS rank
+  FROM e q CROSS JOIN e b),
+places AS (
+  SELECT p.place FROM exact x JOIN near m ON m.vec_id = x.id AND m.place = 1
+  JOIN near p ON p.vec_id = x.query_id AND p.label = m.label WHERE x.rank <= 5)
+SELECT probes, count(place) AS found_hits,
+  round(count(place) / (SELECT count(*) FROM places), 6) AS recall
+FROM range(1, (SELECT count(*) FROM centres) + 1) AS t(probes) LEFT JOIN places ON place <= probes
+GROUP BY probes""",
     "search_columns": COSINE + "SELECT query_id, rank, id, score, label FROM hits WHERE rank <= 5",
     "keyword_topk": f"""WITH {QUESTIONS},
 {_keyword_parts(3, 'SELECT doc_id AS id, text FROM documents')}
@@ -458,7 +480,7 @@ hits AS (SELECT query_id, rank, text AS content FROM found JOIN documents ON doc
 SELECT query_id, result FROM answers""",
     "chain_pipe": f"""
 SELECT item_id AS query_id, array_to_string(({_tokens(
-        "'Explain in simple words. Question: ' || text || ' Answer:'")})[1:12], ' ') AS answer
+        "'In plain words, tell a newcomer about this: ' || text")})[1:12], ' ') AS answer
 FROM benchmark""",
     "chain_map": f"""
 SELECT doc_id, 'Answer this: ' || text AS c, 'Watch ' || source AS d, len({_terms('text')}) AS e
@@ -491,16 +513,23 @@ GROUP BY event_type ORDER BY total DESC, event_type LIMIT 3""",
 }
 
 _PROMPT = """
-'Answer the question from the passages below and nothing else.' || chr(10)
-|| 'If they do not hold the answer, say that you do not know. Be brief.' || chr(10) || chr(10)
-|| '<context>' || chr(10) || coalesce(c.context, '') || chr(10) || '</context>' || chr(10) || chr(10)
-|| 'Question: ' || q.query || chr(10) || chr(10) || 'Answer:' || chr(10)"""
+'You are given passages from a document collection, each under its file name.' || chr(10)
+|| 'Reply to the request at the end in a few words, with what the passages say and nothing else. '
+|| 'If they' || chr(10) || 'say nothing about it, reply: not found.' || chr(10) || chr(10)
+|| coalesce(c.context, '') || chr(10) || chr(10) || 'Request: ' || q.query || chr(10)"""
 _CONTEXTS = """
 contexts AS (
-  SELECT query_id, string_agg(content, chr(10) || chr(10) ORDER BY rank) AS context
+  SELECT query_id, string_agg('[' || rank || '] ' || pdf_name || chr(10) || content,
+    chr(10) || chr(10) ORDER BY rank) AS context
   FROM hits GROUP BY query_id)"""
 ORACLES["embed_documents_append"] = ORACLES["embed_documents"]
 ORACLES["sink_change_feed"] = ORACLES["change_rows"]
+ORACLES["sink_change_feed_added_column"] = f"""WITH {SNAPSHOTS}
+SELECT coalesce(s.doc_id, f.doc_id) AS doc_id, coalesce(s.content, f.content) AS content,
+  length(s.content) AS size, length(s.content) AS held_size, 1::BIGINT AS _commit_version,
+  CASE WHEN f.doc_id IS NULL THEN 'insert' WHEN s.doc_id IS NULL THEN 'delete'
+    ELSE 'update_postimage' END AS _change_type
+FROM first f FULL JOIN second s ON s.doc_id = f.doc_id"""
 ORACLES["keyword_topk_stored"] = ORACLES["keyword_topk"]
 ORACLES["build_prompt"] = f"""WITH RECURSIVE {_hit_parts(2)}, {_CONTEXTS}
 SELECT q.query_id, {_PROMPT} AS prompt

@@ -36,7 +36,7 @@ from passagemill.operators.chunk import (
     count_tokens_with,
     split_sentences,
 )
-from passagemill.operators.embed import check_vectors, embed, hash_embed
+from passagemill.operators.embed import HASH_DIM, check_vectors, embed, hash_embed
 from passagemill.operators.evaluate import (
     answer_relevance,
     answer_similarity,
@@ -53,7 +53,6 @@ from passagemill.operators.index import (
     build_index,
     describe_index,
     open_index,
-    probes_for_recall,
     recall_by_probes,
     rows_per_cell,
     vector_topk_indexed,
@@ -79,13 +78,13 @@ from passagemill.plans.rag import (
     embed_documents,
     embed_queries,
 )
-from passagemill.providers.text_models import (
+from checks.text_models import (
     FirstTokensModel,
     HashingEmbedder,
     PieceCounter,
     WordShareScorer,
 )
-from passagemill.session import new_path, spread, stage
+from passagemill.session import new_path, stage
 from passagemill.sources.readers import (
     parse_csv_lines,
     read_binary_files,
@@ -111,7 +110,7 @@ def _table(spark: SparkSession, sf: str, name: str, *columns: str) -> DataFrame:
 
 
 def _documents(spark: SparkSession, sf: str, *columns: str) -> DataFrame:
-    return spread(_table(spark, sf, "documents", *columns), "doc_id")
+    return _table(spark, sf, "documents", *columns)
 
 
 def _pdf_name() -> Column:
@@ -150,19 +149,35 @@ def _temporary_table(spark: SparkSession) -> tuple[str, str]:
 # ---- sources and sinks
 
 
+def _page_files(spark: SparkSession, sf: str) -> str:
+    """Every page as a text file of its own, below one folder per page."""
+    path = new_path(spark, "pages")
+    pages = _table(spark, sf, "pages")
+    line = F.regexp_replace("html", "[\\r\\n]+", " ").alias("value")
+    pages.select("page_id", line).write.partitionBy("page_id").option("lineSep", "\n").text(path)
+    return path
+
+
 def src_binary_files(spark, sf):
-    files = read_binary_files(spark, sf, glob="*.parquet")
+    files = read_binary_files(spark, _page_files(spark, sf), glob="*.txt")
+    text = F.decode("content", "UTF-8")
     return files.select(
-        F.regexp_extract("path", "[^/]+$", 0).alias("file"),
+        F.regexp_extract("path", "page_id=([0-9]+)", 1).cast("bigint").alias("page_id"),
         "length",
-        F.decode(F.substring("content", 1, 4), "UTF-8").alias("magic"),
+        F.md5(F.encode(F.regexp_replace(text, "\n$", ""), "UTF-8")).alias("digest"),
     )
 
 
 def src_one_file(spark, sf):
-    files = read_one_file(read_binary_files(spark, sf), "documents.parquet")
-    return files.select(
-        "length", (F.octet_length("content") == F.col("length")).alias("whole")
+    """The one file of each page's folder, found by its name."""
+    files = read_binary_files(spark, _page_files(spark, sf), glob="*.txt")
+    name = files.where("path like '%/page_id=7/%'").select(
+        F.regexp_extract("path", "page_id=7/[^/]+$", 0)
+    )
+    found = read_one_file(files, name.first()[0])
+    return found.select(
+        F.regexp_extract("path", "page_id=([0-9]+)", 1).cast("bigint").alias("page_id"),
+        "length",
     )
 
 
@@ -180,7 +195,7 @@ def src_csv_file(spark, sf):
         .option("ignoreTrailingWhiteSpace", False)
         .csv(path)
     )
-    return read_csv_file(spark, path, turns.schema)
+    return read_csv_file(spark, path, turns.schema, multi_line=True)
 
 
 def src_csv_lines(spark, sf):
@@ -224,7 +239,7 @@ def sink_evolve_schema(spark, sf):
     name, path = _temporary_table(spark)
     write_overwrite(_table(spark, sf, "documents", "doc_id", "lang", "text"), name, path)
     keyed = add_content_key(read_table(spark, name), ["doc_id", "text"]).drop("text")
-    return write_evolved(keyed, name)
+    return write_evolved(keyed, name).select("doc_id", "lang", "id")
 
 
 def sink_change_feed(spark, sf):
@@ -237,6 +252,19 @@ def sink_change_feed(spark, sf):
     return read_table(spark, feed)
 
 
+def sink_change_feed_added_column(spark, sf):
+    """A column is added while the change feed is on: it counts as null in the old rows."""
+    name, path = _temporary_table(spark)
+    first, second, _ = _snapshots(spark, sf)
+    feed = new_path(spark, "feed")
+    write_overwrite(first, name, path)
+    set_change_feed(spark, name)
+    sized = second.withColumn("size", F.length("content").cast("bigint"))
+    replace_table(sized, name, "doc_id", 1, feed)
+    held = spark.table(name).select("doc_id", F.col("size").alias("held_size"))
+    return read_table(spark, feed).join(held, "doc_id", "left")
+
+
 def preview_topn(spark, sf):
     return preview(_table(spark, sf, "documents", "source", "doc_id", "n_chars"), 20, ["source", "doc_id"])
 
@@ -296,7 +324,9 @@ def prompt_format(spark, sf):
 
 def coalesce_fields(spark, sf):
     state = first_present(
-        reply_field(F.col("props"), "state"), F.col("event_type"), default="UNKNOWN"
+        reply_field(F.when(F.col("event_id") % 2 == 0, F.col("props")), "k"),
+        F.col("event_type"),
+        default="UNKNOWN",
     )
     words = {"ERR": "failed", "SIGN": "provisioning", "VIEW": "online"}
     return _table(spark, sf, "events").select(
@@ -307,7 +337,7 @@ def coalesce_fields(spark, sf):
 
 
 def passages_format(spark, sf):
-    hits = vector_topk(_vector_questions(spark, sf), _vectors(spark, sf), 2)
+    hits = vector_topk(_vector_questions(spark, sf), _vectors(spark, sf), 64, 2)
     docs = _table(spark, sf, "documents")
     found = with_columns(hits, docs, ["source", "text"], "doc_id")
     return passages(found, "source", "text").select("query_id", "rank", "file", "text")
@@ -330,7 +360,7 @@ def reply_field_(spark, sf):
 
 
 def extract_html_text(spark, sf):
-    pages = spread(_table(spark, sf, "pages"), "page_id").select(
+    pages = _table(spark, sf, "pages").select(
         "page_id", F.encode("html", "UTF-8").alias("content")
     )
     return extract_text(pages)
@@ -360,7 +390,7 @@ def chunk_sentences_(spark, sf):
 
 
 def chunk_documents_(spark, sf):
-    files = spread(_table(spark, sf, "pages"), "page_id").select(
+    files = _table(spark, sf, "pages").select(
         F.col("url").alias("pdf_name"), "page_id", F.encode("html", "UTF-8").alias("content")
     )
     return chunk_documents(files, size=120, overlap=20)
@@ -471,7 +501,7 @@ def sync_index(spark, sf):
     )
     feed, path, checkpoint = (new_path(spark, n) for n in ("feed", "index", "checkpoint"))
     changes = diff_snapshots(first, second, "doc_id", 1)
-    build = dict(key="doc_id", dim=64, cells=4, buckets=4)
+    build = dict(key="doc_id", dim=64, cells=4)
     for old, new, version in ((None, None, 0), (first, second, 1), (second, third, 2)):
         if version:
             append_changes(diff_snapshots(old, new, "doc_id", version), feed)
@@ -491,37 +521,41 @@ def index_stats(spark, sf):
 
 
 def index_cells(spark, sf):
-    return rows_per_cell(spark, _vector_index(spark, sf).path)
+    return rows_per_cell(spark, _label_index(spark, sf).path)
 
 
 # ---- search
 
 
 def vector_topk_cosine(spark, sf):
-    return vector_topk(_vector_questions(spark, sf), _vectors(spark, sf), 5, "cosine")
+    return vector_topk(_vector_questions(spark, sf), _vectors(spark, sf), 64, 5, "cosine")
 
 
 def vector_topk_l2(spark, sf):
-    return vector_topk(_vector_questions(spark, sf), _vectors(spark, sf), 5, "l2")
+    return vector_topk(_vector_questions(spark, sf), _vectors(spark, sf), 64, 5, "l2")
 
 
 def vector_topk_dot(spark, sf):
-    return vector_topk(_vector_questions(spark, sf), _vectors(spark, sf), 5, "dot")
+    return vector_topk(_vector_questions(spark, sf), _vectors(spark, sf), 64, 5, "dot")
 
 
 def vector_topk_ivf(spark, sf):
     index = _vector_index(spark, sf)
     questions = _vector_questions(spark, sf)
-    probes = probes_for_recall(questions, index, 5, 0.9)
-    return vector_topk_indexed(questions, index, 5, probes, embedder="given")
+    curve = stage(recall_by_probes(questions, index, 5), "recall")
+    chosen = curve.where("recall >= 0.9").orderBy("probes").first()
+    hits = vector_topk_indexed(questions, index, ("given", 64), 5, chosen["probes"])
+    return hits.withColumn("recall", F.lit(chosen["recall"]))
 
 
 def vector_topk_ivf_all_cells(spark, sf):
     index = _vector_index(spark, sf)
-    return vector_topk_indexed(_vector_questions(spark, sf), index, 5, len(index.centroids))
+    return vector_topk_indexed(
+        _vector_questions(spark, sf), index, ("given", 64), 5, len(index.centroids)
+    )
 
 
-def vector_topk_ivf_label_cells(spark, sf):
+def _label_index(spark: SparkSession, sf: str):
     """Cells with known centres: the mean vector of every label."""
     rows = _vectors(spark, sf)
     means = (
@@ -534,16 +568,20 @@ def vector_topk_ivf_label_cells(spark, sf):
     )
     centres = [row["centre"] for row in means.orderBy("label").collect()]  # one row per label
     path = new_path(spark, "index")
-    index = build_index(rows, path, dim=64, embedder="given", centroids=np.array(centres))
-    return vector_topk_indexed(_vector_questions(spark, sf), index, 5, 3, "l2")
+    return build_index(rows, path, dim=64, embedder="given", centroids=np.array(centres))
+
+
+def vector_topk_ivf_label_cells(spark, sf):
+    index = _label_index(spark, sf)
+    return vector_topk_indexed(_vector_questions(spark, sf), index, ("given", 64), 5, 3, "l2")
 
 
 def ivf_recall(spark, sf):
-    return recall_by_probes(_vector_questions(spark, sf), _vector_index(spark, sf), 5)
+    return recall_by_probes(_vector_questions(spark, sf), _label_index(spark, sf), 5, "l2")
 
 
 def search_columns(spark, sf):
-    hits = vector_topk(_vector_questions(spark, sf), _vectors(spark, sf), 5)
+    hits = vector_topk(_vector_questions(spark, sf), _vectors(spark, sf), 64, 5)
     return with_columns(hits, _vectors(spark, sf), ["label"])
 
 
@@ -598,7 +636,7 @@ def batch_retrieve_(spark, sf):
 def two_hop_lookup_(spark, sf):
     base = _chunk_table(spark, sf)
     first = batch_retrieve(_questions(spark, sf), base, 1)
-    pages = extract_text(spread(_table(spark, sf, "pages", "page_id", "html"), "page_id"), "html")
+    pages = extract_text(_table(spark, sf, "pages", "page_id", "html"), "html")
     return two_hop_lookup(first, pages, doc_id="page_id", doc_text="text")
 
 
@@ -633,7 +671,9 @@ def extractive_answer_(spark, sf):
 
 
 def rag_answer(spark, sf):
-    answers = answer_questions(_questions(spark, sf), _chunk_table(spark, sf))
+    """Answers through the vector index of the chunk table, all cells probed."""
+    index = build_index(_chunk_table(spark, sf), new_path(spark, "index"), dim=HASH_DIM)
+    answers = answer_questions(_questions(spark, sf), index)
     return answers.select("query_id", "query", "prompt", "result")
 
 
@@ -641,7 +681,7 @@ def chain_pipe(spark, sf):
     """Template, model call, text of the reply."""
 
     def prompted(df: DataFrame) -> DataFrame:
-        return fill_template(df, "Explain in simple words.\n\nQuestion: {query}\n\nAnswer:\n")
+        return fill_template(df, "In plain words, tell a newcomer about this: {query}")
 
     def answered(df: DataFrame) -> DataFrame:
         return generate(df, FirstTokensModel(12))
@@ -770,6 +810,7 @@ QUERIES = {
         sink_create_table,
         sink_evolve_schema,
         sink_change_feed,
+        sink_change_feed_added_column,
         preview_topn,
         project_rename,
         elements_nonempty,

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable, Mapping
+from html.entities import name2codepoint
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -19,20 +20,16 @@ HTML_DROPPED = [
     r"(?s)<!--.*?-->",
     r"(?is)<script\b.*?</script>",
     r"(?is)<style\b.*?</style>",
-    r"(?is)<nav\b.*?</nav>",
 ]
-HTML_BREAK = r"(?i)</?(p|br|li|ul|div|h1|title|article|footer|head|body|html)\b[^>]*>"
+# The elements of a page that begin and end a line.
+BLOCK_TAGS = (
+    "address article aside blockquote body br caption center dd details dialog div dl dt fieldset "
+    "figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hr html legend li main menu nav ol "
+    "optgroup option p pre section select summary table tbody td tfoot th thead title tr ul"
+).split()
+HTML_BREAK = rf"(?i)</?({'|'.join(BLOCK_TAGS)})\b[^>]*>"
 HTML_TAG = r"(?s)<[^>]*>"
-HTML_ENTITIES = [
-    ("&nbsp;", " "),
-    ("&middot;", "·"),
-    ("&copy;", "©"),
-    ("&quot;", '"'),
-    ("&#39;", "'"),
-    ("&lt;", "<"),
-    ("&gt;", ">"),
-    ("&amp;", "&"),
-]
+HTML_ENTITY = r"&(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);"
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -82,6 +79,39 @@ def words(sentence: Column) -> Column:
     return F.split(sentence, " ")
 
 
+def _entity(name: Column) -> Column:
+    """The sign that a character reference stands for; an unknown one stays as it is written."""
+    signs = {name: chr(code) for name, code in name2codepoint.items()}
+    signs |= {"apos": "'", "nbsp": " "}
+    named = F.create_map(
+        *[F.lit(part) for name, sign in signs.items() for part in (name, sign)],
+    )
+    written = F.concat(F.lit("&"), name, F.lit(";"))
+    number = F.when(
+        F.lower(F.substring(name, 2, 1)) == "x", F.conv(F.substring(name, 3, 6), 16, 10)
+    ).otherwise(F.substring(name, 2, 7)).cast("int")
+    valid = (number > 0) & (number <= 0x10FFFF) & ~number.between(0xD800, 0xDFFF)
+    sign = F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32")
+    return F.when(
+        F.startswith(name, F.lit("#")), F.when(valid, sign).otherwise(written)
+    ).otherwise(F.coalesce(F.try_element_at(named, name), written))
+
+
+def decoded(text: Column) -> Column:
+    """``text`` with each character reference replaced once."""
+
+    def joined(parts: Column, names: Column) -> Column:
+        signs = F.transform(names, _entity)
+        return F.array_join(
+            F.zip_with(parts, signs, lambda part, sign: F.concat(part, F.coalesce(sign, F.lit("")))),
+            "",
+        )
+
+    names = F.regexp_extract_all(text, F.lit(HTML_ENTITY), F.lit(1))
+    plain = F.instr(text, "&") == 0
+    return F.when(plain, text).otherwise(joined(F.split(text, HTML_ENTITY, -1), names))
+
+
 def html_elements(html: Column) -> Column:
     """Texts of the layout elements of a page, in order, without empty ones."""
     for pattern in HTML_DROPPED:
@@ -90,9 +120,8 @@ def html_elements(html: Column) -> Column:
     html = F.regexp_replace(html, r"\s+", " ")
     html = F.regexp_replace(html, HTML_BREAK, "\n")
     html = F.regexp_replace(html, HTML_TAG, "")
-    for entity, plain in HTML_ENTITIES:
-        html = F.replace(html, F.lit(entity), F.lit(plain))
-    return nonempty(F.transform(F.split(html, "\n"), trimmed))
+    lines = F.transform(F.split(html, "\n"), lambda line: trimmed(decoded(line)))
+    return nonempty(lines)
 
 
 def plain_elements(text: Column) -> Column:

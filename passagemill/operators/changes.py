@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from passagemill.session import stage
+
 INSERT = "insert"
 UPDATE = "update_postimage"
 UPDATE_BEFORE = "update_preimage"
@@ -14,27 +16,42 @@ DELETE = "delete"
 def diff_snapshots(old: DataFrame, new: DataFrame, key: str, version: int) -> DataFrame:
     """The rows to insert, update or delete to get from ``old`` to ``new``.
 
-    A deleted row carries its old values. Keys are unique in both snapshots.
+    A deleted row carries its old values. Keys are unique in both snapshots. A column that ``old``
+    lacks counts as null there. Rows are compared by a 128-bit digest of their values, and only the
+    rows that differ are fetched whole.
     """
     columns = [name for name in new.columns if name != key]
-    before = old.select(key, F.struct(*columns).alias("_old"))
-    after = new.select(key, F.struct(*columns).alias("_new"))
+    types = {field.name: field.dataType for field in new.schema.fields}
+    before = old.select(
+        key,
+        *[
+            F.col(name) if name in old.columns else F.lit(None).cast(types[name]).alias(name)
+            for name in columns
+        ],
+    )
+    after = new.select(key, *columns)
+
+    def marked(rows: DataFrame, name: str) -> DataFrame:
+        digest = F.md5(F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}))
+        return rows.select(key, digest.alias(name))
+
     kind = (
         F.when(F.col("_old").isNull(), INSERT)
         .when(F.col("_new").isNull(), DELETE)
-        .when(~F.col("_old").eqNullSafe(F.col("_new")), UPDATE)
+        .when(F.col("_old") != F.col("_new"), UPDATE)
+    )
+    changed = stage(
+        marked(before, "_old")
+        .join(marked(after, "_new"), key, "full_outer")
+        .select(key, kind.alias("_change_type"))
+        .where(F.col("_change_type").isNotNull()),
+        "changed-keys",
     )
-    values = F.coalesce("_new", "_old")
+    gone = F.col("_change_type") == DELETE
     return (
-        before.join(after, key, "full_outer")
-        .withColumn("_change_type", kind)
-        .where(F.col("_change_type").isNotNull())
-        .select(
-            key,
-            *[values[name].alias(name) for name in columns],
-            "_change_type",
-            F.lit(version).cast("bigint").alias("_commit_version"),
-        )
+        after.join(changed.where(~gone), key)
+        .unionByName(before.join(changed.where(gone), key))
+        .select(key, *columns, "_change_type", F.lit(version).cast("bigint").alias("_commit_version"))
     )
 
 
@@ -65,6 +82,17 @@ def latest_changes(changes: DataFrame, key: str) -> DataFrame:
     return rows.groupBy(key).agg(F.max_by("_row", age).alias("_row")).select(key, "_row.*")
 
 
+def latest_rows(rows: DataFrame, key: str) -> DataFrame:
+    """Per key the row of the highest version; within one, a row that is there wins over a
+    tombstone."""
+    values = [name for name in rows.columns if name != key]
+    packed = rows.select(key, F.struct(*values).alias("_row"))
+    age = F.struct(
+        F.col("_row._commit_version"), ~F.col("_row._deleted"), F.xxhash64(F.col("_row"))
+    )
+    return packed.groupBy(key).agg(F.max_by("_row", age).alias("_row")).select(key, "_row.*")
+
+
 def apply_changes(base: DataFrame, changes: DataFrame, key: str) -> DataFrame:
     """The table after the changes. Deleted keys stay as tombstones with their version, so that a
     change of a lower version that arrives late loses; ``live`` hides them."""

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from hashlib import md5
 
 import numpy as np
@@ -13,6 +14,7 @@ from pyspark.sql.types import ArrayType, FloatType, StringType, StructField, Str
 
 from passagemill.functions.text import terms
 from passagemill.functions.vectors import vector_fault
+from passagemill.session import stage
 
 REQUEST_TEXTS = 150
 HASH_DIM = 256
@@ -113,6 +115,30 @@ def embed(
     )
 
 
+@dataclass(frozen=True)
+class HashEmbedder:
+    """The built-in embedder, as the plans take one: a name, a width, and a way to add vectors."""
+
+    dim: int = HASH_DIM
+    name: str = "hashing"
+
+    def add(self, df: DataFrame, text: str = "content", out: str = "embedding") -> DataFrame:
+        return hash_embed(df, text, self.dim, out)
+
+
+@dataclass(frozen=True)
+class ModelEmbedder:
+    """A hosted model behind a provider. Vectors are written once, so that no call is repeated."""
+
+    name: str
+    dim: int
+    provider: object
+    batch: int = REQUEST_TEXTS
+
+    def add(self, df: DataFrame, text: str = "content", out: str = "embedding") -> DataFrame:
+        return stage(embed(df, self.provider, text, self.batch, out), "vectors")
+
+
 def _requests(provider, out: str | None):
     def make():
         predict = provider.make()

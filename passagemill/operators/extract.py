@@ -7,9 +7,13 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
-from passagemill.functions.text import html_elements, join_lines, plain_elements
+from passagemill.functions.text import (
+    html_elements,
+    join_lines,
+    nonempty,
+    plain_elements,
+)
 
 _ELEMENTS = {"html": html_elements, "plain": plain_elements}
 
@@ -17,8 +21,13 @@ _ELEMENTS = {"html": html_elements, "plain": plain_elements}
 def extract_text(
     df: DataFrame, content: str = "content", kind: str = "html", out: str = "text"
 ) -> DataFrame:
-    """Replace the bytes column by the non-empty element texts joined by line ends."""
-    text = F.decode(F.col(content), "UTF-8") if _is_binary(df, content) else F.col(content)
+    """Replace the bytes column by the non-empty element texts joined by line ends.
+
+    Bytes that are no UTF-8 become replacement signs; they never fail a file.
+    """
+    text = F.col(content)
+    if _is_binary(df, content):
+        text = F.make_valid_utf8(text.cast("string"))
     kept = [name for name in df.columns if name not in (content, out)]
     return df.select(*kept, join_lines(_ELEMENTS[kind](text)).alias(out))
 
@@ -39,13 +48,13 @@ def extract_with(
     small Arrow batch (``stage(df, label, arrow_rows=10)``).
     """
 
-    @F.pandas_udf(StringType())
+    @F.pandas_udf("array<string>")
     def parse(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         parser = make_parser()
         for files in batches:
-            yield files.map(
-                lambda data: None if data is None else "\n".join(t for t in parser(data) if t)
-            )
+            yield files.map(lambda data: None if data is None else list(parser(data)))
 
     kept = [name for name in df.columns if name not in (content, out)]
-    return df.select(*kept, parse.asNondeterministic()(F.col(content)).alias(out))
+    elements = parse.asNondeterministic()(F.col(content))
+    parsed = df.select(*kept, elements.alias("_elements"))
+    return parsed.select(*kept, join_lines(nonempty(F.col("_elements"))).alias(out))

@@ -1,13 +1,16 @@
-"""Vector index: a keyed Parquet table whose rows carry the cell of their vector.
-
-Layout below the index path: ``rows`` (partitioned by key bucket, sorted by cell inside), the small
-tables ``centroids`` and ``meta``. Buckets come from a hash of the unique key, so they are even
-however uneven the cells are, and a sync rewrites only the buckets that changes fall into. The sort
-by cell lets Parquet statistics skip the row groups and pages of cells that no question probes.
+"""Vector index: keyed Parquet rows that carry the cell of their vector, in loads.
+
+Layout below the index path, for each build: ``rows/<build>/<load>`` with the rows of one load, sorted
+by cell; ``loads/<build>/<load>`` with one row that makes the load count; and the small tables
+``centroids`` and ``meta``, the last of which names the build. A load is written to a folder of its own
+and counts only when its entry is written, so a failure at any point leaves the rows as they were. A
+sync adds a load with the changed rows alone; readers take the latest row of each key, and
+``compact_index`` makes one load of many.
 """
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 import numpy as np
@@ -17,46 +20,59 @@ from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, IntegerType
+from pyspark.sql.types import IntegerType
 
-from passagemill.operators.changes import live, versioned
-from passagemill.operators.embed import check_vectors, run_once, same_embedder
+from passagemill.functions.vectors import vector_fault
+from passagemill.operators.changes import latest_rows, live, versioned
+from passagemill.operators.embed import run_once, same_embedder
 from passagemill.operators.vector_search import (
-    BLOCK_BYTES,
     SCORE_CELLS,
-    cell_order,
     matrix,
+    probe_order,
     vector_topk,
-    vector_topk_probed,
+    vector_topk_in_cells,
     with_columns,
 )
+from passagemill.session import stage
 
-TRAIN_ROWS_PER_CELL = 256
 NO_CELL = -1
 
 
 @dataclass(frozen=True)
 class VectorIndex:
     path: str
+    build: str
     key: str
     vector: str
     dim: int
     embedder: str
-    buckets: int
     centroids: np.ndarray
 
+    def loads(self, spark: SparkSession) -> list[str]:
+        """The folders of the loads that count, by name."""
+        entries = spark.read.parquet(f"{self.path}/loads/{self.build}").collect()
+        replaced = {name for entry in entries for name in entry["replaces"]}
+        return sorted(e["folder"] for e in entries if e["folder"] not in replaced)
+
+    def has_load(self, spark: SparkSession, load: str) -> bool:
+        entries = spark.read.parquet(f"{self.path}/loads/{self.build}")
+        return not entries.where(F.col("load") == load).isEmpty()
+
     def stored_rows(self, spark: SparkSession) -> DataFrame:
-        """All rows with their version, tombstones included."""
-        return spark.read.parquet(f"{self.path}/rows")
+        """The latest row of each key with its version, tombstones included."""
+        loads = self.loads(spark)
+        rows = spark.read.parquet(*[f"{self.path}/rows/{self.build}/{load}" for load in loads])
+        return rows if len(loads) == 1 else latest_rows(rows, self.key).select(*rows.columns)
 
     def rows(self, spark: SparkSession) -> DataFrame:
-        return live(self.stored_rows(spark)).drop("bucket")
+        return live(self.stored_rows(spark))
 
 
 def nearest_cell(vector: Column, centroids: np.ndarray) -> Column:
-    """The cell whose centroid is nearest; rows without a usable vector get ``NO_CELL``."""
-    if centroids.nbytes > BLOCK_BYTES:
-        raise ValueError("the centroid table is too large to broadcast: use fewer cells")
+    """The cell whose centroid is nearest; rows without a usable vector get ``NO_CELL``.
+
+    Every task gets the centroids: cells x width x 8 bytes, as the caller has chosen.
+    """
     dim = centroids.shape[1]
     squares = (centroids**2).sum(axis=1)
 
@@ -76,29 +92,29 @@ def nearest_cell(vector: Column, centroids: np.ndarray) -> Column:
 
 
 def train_centroids(rows: DataFrame, vector: str, cells: int, seed: int = 42) -> np.ndarray:
-    """k-means centres. Only the training uses a sample; every row is assigned later."""
-    count = rows.count()
-    wanted = cells * TRAIN_ROWS_PER_CELL
+    """k-means centres of all rows."""
     points = rows.select(array_to_vector(F.col(vector).cast("array<double>")).alias("features"))
-    if count > wanted:
-        points = points.sample(wanted / count, seed)
     return np.array(KMeans(k=cells, seed=seed, maxIter=10).fit(points).clusterCenters())
 
 
-def bucket_of(key: str, buckets: int) -> Column:
-    return F.pmod(F.xxhash64(F.col(key)), F.lit(buckets)).cast("int")
-
+def add_load(
+    rows: DataFrame, path: str, build: str, load: str, replaces: list[str] | None = None
+) -> None:
+    """Write the rows of a load, then the entry that makes it count.
 
-def write_rows(rows: DataFrame, path: str, mode: str) -> None:
-    """Write index rows bucket by bucket; with ``overwrite`` only the buckets in ``rows`` change."""
+    Rows of one cell lie together; large cells are split over files.
+    """
+    spark = rows.sparkSession
+    folder = f"{load}-{uuid.uuid4().hex[:12]}"
     (
-        rows.hint("rebalance", F.col("bucket"))
-        .sortWithinPartitions("bucket", "cell")
-        .write.mode(mode)
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("bucket")
-        .parquet(f"{path}/rows")
+        rows.hint("rebalance", F.col("cell"))
+        .sortWithinPartitions("cell")
+        .write.parquet(f"{path}/rows/{build}/{folder}")
     )
+    entry = [(load, folder, replaces or [])]
+    spark.createDataFrame(entry, "load string, folder string, replaces array<string>").coalesce(
+        1
+    ).write.mode("append").parquet(f"{path}/loads/{build}")
 
 
 def write_rejected(rows: DataFrame, path: str, load: str) -> None:
@@ -114,46 +130,54 @@ def build_index(
     dim: int = 256,
     cells: int = 16,
     embedder: str = "hashing",
-    buckets: int = 8,
     version: int = 0,
     centroids: np.ndarray | None = None,
 ) -> VectorIndex:
     """Create the index. ``meta`` is written last: an index without it does not exist yet.
 
-    Cells come from k-means unless ``centroids`` gives their centres, one row per cell. Rows whose vector cannot be indexed go to ``rejected`` below the path, with the reason.
+    Cells come from k-means over all rows unless ``centroids`` gives their centres, one row per cell.
+    Rows whose vector cannot be indexed go to ``rejected`` below the path, with the reason. The table
+    is evaluated once.
     """
     spark = table.sparkSession
-    good, bad = check_vectors(table, dim, vector)
+    build = uuid.uuid4().hex[:12]
+    marked = stage(table.withColumn("_fault", vector_fault(F.col(vector), dim)), "index-rows")
+    good = marked.where("_fault is null").drop("_fault")
     if centroids is None:
         centroids = train_centroids(good, vector, cells)
-    placed = (
-        versioned(good, version)
-        .withColumn("cell", nearest_cell(F.col(vector), centroids))
-        .withColumn("bucket", bucket_of(key, buckets))
-    )
-    write_rows(placed, path, "overwrite")
+    placed = versioned(good, version).withColumn("cell", nearest_cell(F.col(vector), centroids))
+    add_load(placed, path, build, "build")
+    bad = marked.where("_fault is not null").withColumnRenamed("_fault", "fault")
     write_rejected(bad, path, "build")
     spark.createDataFrame(
         [(cell, centre) for cell, centre in enumerate(centroids.tolist())],
         "cell int, centroid array<double>",
-    ).coalesce(1).write.mode("overwrite").parquet(f"{path}/centroids")
+    ).coalesce(1).write.mode("overwrite").parquet(f"{path}/centroids/{build}")
     spark.createDataFrame(
-        [(key, vector, dim, embedder, buckets, "ONLINE")],
-        "key string, vector string, dim int, embedder string, buckets int, status string",
+        [(build, key, vector, dim, embedder, "ONLINE")],
+        "build string, key string, vector string, dim int, embedder string, status string",
     ).coalesce(1).write.mode("overwrite").parquet(f"{path}/meta")
     return open_index(spark, path)
 
 
+def compact_index(spark: SparkSession, path: str) -> None:
+    """Make one load of all; the old ones stop to count when the new one's entry is written."""
+    index = open_index(spark, path)
+    loads = index.loads(spark)
+    if len(loads) > 1:
+        add_load(index.stored_rows(spark), path, index.build, "compact", loads)
+
+
 def open_index(spark: SparkSession, path: str) -> VectorIndex:
     meta = spark.read.parquet(f"{path}/meta").first()
-    centres = spark.read.parquet(f"{path}/centroids").orderBy("cell").collect()
+    centres = spark.read.parquet(f"{path}/centroids/{meta['build']}").orderBy("cell").collect()
     return VectorIndex(
         path,
+        meta["build"],
         meta["key"],
         meta["vector"],
         meta["dim"],
         meta["embedder"],
-        meta["buckets"],
         np.array([row["centroid"] for row in centres]),
     )
 
@@ -169,16 +193,13 @@ def index_exists(spark: SparkSession, path: str) -> bool:
 
 
 def describe_index(spark: SparkSession, path: str) -> DataFrame:
-    """One row: live rows, distinct keys, vector width, last version, tombstones.
-
-    Build and sync let only vectors of the index's width in, so no vector is read for it.
-    """
+    """One row: live rows, distinct keys, greatest vector width, last version, tombstones."""
     index = open_index(spark, path)
     alive = ~F.col("_deleted")
     return index.stored_rows(spark).agg(
         F.count_if(alive).alias("row_count"),
         F.countDistinct(F.when(alive, F.col(index.key))).alias("key_count"),
-        F.lit(index.dim).cast("bigint").alias("width"),
+        F.max(F.when(alive, F.size(index.vector))).cast("bigint").alias("width"),
         F.max("_commit_version").alias("last_version"),
         F.count_if(F.col("_deleted")).alias("tombstone_count"),
     )
@@ -191,43 +212,37 @@ def rows_per_cell(spark: SparkSession, path: str) -> DataFrame:
 def vector_topk_indexed(
     queries: DataFrame,
     index: VectorIndex,
+    embedder: tuple[str, int],
     k: int = 5,
     probes: int = 4,
     metric: str = "cosine",
-    embedder: str | None = None,
     query_id: str = "query_id",
     query_vector: str = "embedding",
 ) -> DataFrame:
-    """Approximate k nearest rows; exact when ``probes`` is the number of cells."""
-    spark = queries.sparkSession
-    if embedder is not None:
-        same_embedder((index.embedder, index.dim), (embedder, index.dim))
-    return vector_topk_probed(
-        queries,
-        index.rows(spark),
-        index.centroids,
-        probes,
+    """Approximate k nearest rows; exact when ``probes`` is the number of cells.
+
+    ``embedder`` names the model of the questions' vectors and their width; both must be the
+    index's. ``recall_by_probes`` tells how complete the hits are for each number of probes.
+    """
+    same_embedder((index.embedder, index.dim), embedder)
+    asked = queries.select(query_id, query_vector).withColumn(
+        "_cells", probe_order(F.col(query_vector), index.centroids, metric, probes)
+    )
+    return vector_topk_in_cells(
+        asked,
+        index.rows(queries.sparkSession),
+        index.dim,
         k,
         metric,
-        query_id=query_id,
-        query_vector=query_vector,
-        base_id=index.key,
-        base_vector=index.vector,
+        query_id,
+        query_vector,
+        index.key,
+        index.vector,
+        F.col("_cells"),
+        "cell",
     )
 
 
-def probe_order(vector: Column, index: VectorIndex, metric: str) -> Column:
-    """All cells of the index, nearest first: the order in which a question probes them."""
-    centroids, dim = index.centroids, index.dim
-
-    def order(vectors: pa.Array) -> pa.Array:
-        cells = cell_order(matrix(vectors, dim), centroids, metric)
-        offsets = np.arange(0, cells.size + 1, cells.shape[1], dtype=np.int32)
-        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(cells.ravel().astype(np.int32)))
-
-    return run_once(order, ArrayType(IntegerType()))(vector)
-
-
 def recall_by_probes(
     queries: DataFrame, index: VectorIndex, k: int, metric: str = "cosine"
 ) -> DataFrame:
@@ -240,11 +255,11 @@ def recall_by_probes(
     questions = queries.select("query_id", "embedding").where(F.size("embedding") == index.dim)
     rows = index.rows(spark)
     exact = vector_topk(
-        questions, rows, k, metric, index.dim, base_id=index.key, base_vector=index.vector
+        questions, rows, index.dim, k, metric, base_id=index.key, base_vector=index.vector
     )
+    order = probe_order(F.col("embedding"), index.centroids, metric, len(index.centroids))
     placed = with_columns(exact, rows, ["cell"], index.key).join(
-        questions.select("query_id", probe_order(F.col("embedding"), index, metric).alias("order")),
-        "query_id",
+        questions.select("query_id", order.alias("order")), "query_id"
     )
     found = placed.groupBy(F.array_position("order", F.col("cell")).alias("probes")).agg(
         F.count("*").alias("hits")

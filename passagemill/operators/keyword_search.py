@@ -9,7 +9,6 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
 
 from passagemill.functions.text import terms, truncated
 from passagemill.operators.topk import (
@@ -17,17 +16,19 @@ from passagemill.operators.topk import (
     BestRows,
     candidates,
     hit_schema,
-    query_blocks,
-    scan_search,
+    met,
+    one_cell,
+    ranked,
+    unique_questions,
 )
 from passagemill.operators.vector_search import with_columns
+from passagemill.session import stage
 
 # The usual BM25 constants.
 K1 = 1.2
 B = 0.75
-# Bounds of one broadcast block of questions, and of one score matrix in a task.
+# Questions that one task holds, and the size bound of one score matrix in it.
 BLOCK_QUESTIONS = 256
-BLOCK_CELLS = 16_000_000
 SCORE_CELLS = 2_000_000
 
 
@@ -56,59 +57,33 @@ def _coded(term_lists: pa.Array, vocabulary: pa.Array) -> tuple[np.ndarray, np.n
     return rows, np.asarray(pc.drop_null(codes)).astype(np.int64), lengths
 
 
-def _count_terms(shared):
-    """Task function: per vocabulary term the rows holding it; code -1 counts rows and terms."""
-
-    def run(batches):
-        vocabulary = shared.value[0]
-        holding = np.zeros(len(vocabulary), dtype=np.int64)
-        documents = length = 0
-        for batch in batches:
-            rows, codes, lengths = _coded(batch.column(0), vocabulary)
-            pairs = np.unique(rows * len(vocabulary) + codes)
-            holding += np.bincount(pairs % len(vocabulary), minlength=len(vocabulary))
-            documents += len(lengths)
-            length += int(lengths.sum())
-        seen = np.flatnonzero(holding)
-        yield pa.RecordBatch.from_pydict(
-            {
-                "code": np.concatenate([[-1], seen]).astype(np.int64),
-                "rows": np.concatenate([[documents], holding[seen]]).astype(np.int64),
-                "terms": np.concatenate([[length], np.zeros(len(seen))]).astype(np.int64),
-            }
+def _best_texts(
+    asked: pa.Table, held: pa.Table, mean_length: float, k: int, query_id: str, doc_id: str, arrow
+) -> pa.Table:
+    """The best texts of one group for one block of questions."""
+    lists, weights = (asked.column(name).combine_chunks() for name in ("terms", "weights"))
+    vocabulary = lists.flatten().unique()
+    question, term, _ = _coded(lists, vocabulary)
+    rarity = np.zeros((len(vocabulary), len(lists)))
+    rarity[term, question] = weights.flatten().to_numpy(zero_copy_only=False)
+    best = BestRows(len(lists), k)
+    texts = held.column("terms").combine_chunks()
+    step = max(1, SCORE_CELLS // max(1, max(rarity.shape)))
+    for at in range(0, len(texts), step):
+        part = texts.slice(at, step)
+        rows, codes, lengths = _coded(part, vocabulary)
+        cells = np.bincount(
+            rows * len(vocabulary) + codes, minlength=len(part) * len(vocabulary)
         )
-
-    return run
-
-
-def _score_terms(shared, k: int, schema):
-    """Task function: Arrow batches of (id, terms) in, the task's best rows out."""
-    from pyspark.sql.pandas.types import to_arrow_schema
-
-    arrow_schema = to_arrow_schema(schema)
-
-    def run(batches):
-        vocabulary, query_ids, weights, mean_length = shared.value
-        best = BestRows(weights.shape[1], k)
-        step = max(1, SCORE_CELLS // max(1, max(weights.shape)))
-        for batch in batches:
-            ids = batch.column(0).to_numpy(zero_copy_only=False)
-            for at in range(0, batch.num_rows, step):
-                part = batch.column(1).slice(at, step)
-                rows, codes, lengths = _coded(part, vocabulary)
-                cells = np.bincount(
-                    rows * len(vocabulary) + codes, minlength=len(part) * len(vocabulary)
-                )
-                counts = cells.reshape(len(part), len(vocabulary)).astype(np.float64)
-                pressed = K1 * (1 - B + B * lengths / mean_length)
-                gain = counts * (K1 + 1) / (counts + pressed[:, None])
-                scores = np.round((gain @ weights).T, SCORE_DIGITS)
-                scores[scores == 0] = -np.inf
-                chosen, row = candidates(scores, best.floor, k)
-                best.add(chosen, scores[chosen, row], ids[at : at + step][row])
-        yield best.table(query_ids, arrow_schema)
-
-    return run
+        counts = cells.reshape(len(part), len(vocabulary)).astype(np.float64)
+        pressed = K1 * (1 - B + B * lengths / mean_length)
+        gain = counts * (K1 + 1) / (counts + pressed[:, None])
+        exact = (gain @ rarity).T
+        # every shared term adds something, however little is left of it after rounding
+        scores = np.where(exact > 0, np.round(exact, SCORE_DIGITS), -np.inf)
+        chosen, row = candidates(scores, best.floor, k)
+        best.add(chosen, scores[chosen, row], row + at)
+    return best.table(asked.column(query_id), held.column(doc_id), arrow)
 
 
 def keyword_topk(
@@ -119,93 +94,64 @@ def keyword_topk(
     query_text: str = "query",
     doc_id: str = "id",
     doc_text: str = "content",
-    block_questions: int | None = None,
+    block_questions: int = BLOCK_QUESTIONS,
     term_counts: DataFrame | None = None,
     totals: DataFrame | None = None,
 ) -> DataFrame:
     """The k best rows per question by BM25 over distinct question terms: rank from 1, id, score.
 
-    Rows without any question term are no hits. The corpus is read twice: once to count the
-    questions' terms, once to score; neither pass shuffles text. Stored copies of
-    ``document_frequency`` and ``corpus_totals`` save the first pass.
+    Rows without any question term are no hits. How many rows hold a question's terms is counted
+    first, unless stored copies of ``document_frequency`` and ``corpus_totals`` are given.
     """
     if (term_counts is None) != (totals is None):
         raise ValueError("term_counts and totals go together")
-    spark = docs.sparkSession
-    asked = queries.select(query_id, F.array_distinct(terms(F.col(query_text))).alias("terms"))
+    unique_questions(queries, query_id)
+    asked = queries.select(
+        query_id, F.explode(F.array_distinct(terms(F.col(query_text)))).alias("term")
+    )
     # The filter is on the text: on the terms it would find them a second time.
     corpus = docs.where(F.col(doc_text).isNotNull()).select(
         doc_id, terms(F.col(doc_text)).alias("terms")
     )
-    schema = hit_schema(queries, query_id, docs, doc_id)
-    counted = StructType(
-        [StructField(n, LongType()) for n in ("code", "rows", "terms")]
-    )
-
-    def one_pass(block: pa.Table) -> DataFrame:
-        lists = block.column(1).combine_chunks()
-        vocabulary = lists.flatten().unique().drop_null()
-        if len(vocabulary) == 0:
-            return spark.createDataFrame([], schema)
-        if term_counts is None:
-            shared = spark.sparkContext.broadcast((vocabulary,))
-            passed = corpus.select("terms").mapInArrow(_count_terms(shared), counted)
-        else:
-            passed = _stored_counts(vocabulary, term_counts, totals)
-        # At most one row per vocabulary term of the block.
-        counts = passed.groupBy("code").agg(
-            F.sum("rows").alias("rows"), F.sum("terms").alias("terms")
+    words = asked.select("term").distinct()
+    if term_counts is None:
+        held = corpus.select(F.explode(F.array_distinct("terms")).alias("term"))
+        term_counts = (
+            held.join(words, "term", "left_semi")
+            .groupBy("term")
+            .agg(F.count("*").alias("doc_count"))
         )
-        weights, mean_length = _weights(lists, vocabulary, counts.toArrow())
-        query_ids = block.column(0).combine_chunks()
-        scorer = spark.sparkContext.broadcast((vocabulary, query_ids, weights, mean_length))
-        return corpus.mapInArrow(_score_terms(scorer, k, schema), schema)
-
-    blocks = _narrow(query_blocks(asked, query_id, block_questions or BLOCK_QUESTIONS))
-    return scan_search(blocks, one_pass, query_id, k, corpus)
+        totals = corpus.agg(F.count("*").alias("rows"), F.sum(F.size("terms")).alias("terms"))
+    rows, length = totals.select("rows", "terms").first()
+    held_by = F.coalesce("doc_count", F.lit(0))
+    weight = F.log(1 + (F.lit(float(rows)) - held_by + 0.5) / (held_by + 0.5))
+    weighed = (
+        asked.join(term_counts.join(words, "term", "left_semi"), "term", "left")
+        .groupBy(query_id)
+        .agg(F.sort_array(F.collect_list(F.struct("term", weight.alias("weight")))).alias("_all"))
+        .select(
+            query_id,
+            F.col("_all.term").alias("terms"),
+            F.col("_all.weight").alias("weights"),
+            F.lit(0).alias("cell"),
+        )
+    )
+    mean_length = max((length or 0) / max(rows, 1), math.ulp(1.0))
 
+    def score(left: pa.Table, right: pa.Table, arrow: pa.Schema) -> pa.Table:
+        return _best_texts(left, right, mean_length, k, query_id, doc_id, arrow)
 
-def _stored_counts(
-    vocabulary: pa.Array, term_counts: DataFrame, totals: DataFrame
-) -> DataFrame:
-    """Stored counts of one block's vocabulary in the form that the counting pass yields."""
-    words = term_counts.sparkSession.createDataFrame(
-        pa.table({"term": vocabulary, "code": np.arange(len(vocabulary))})
-    )
-    none = F.lit(0).cast("bigint").alias("terms")
-    held = term_counts.join(F.broadcast(words), "term").select(
-        "code", F.col("doc_count").alias("rows"), none
+    schema = hit_schema(queries, query_id, docs, doc_id)
+    hits = met(
+        stage(weighed, "question-weights"),
+        corpus.withColumn("cell", one_cell(doc_id)),
+        query_id,
+        doc_id,
+        score,
+        schema,
+        block_questions,
     )
-    return held.unionByName(totals.select(F.lit(-1).cast("bigint").alias("code"), "rows", "terms"))
-
-
-def _narrow(blocks: list[pa.Table]) -> list[pa.Table]:
-    """Halve blocks whose vocabulary times questions would not fit the weight matrix bound."""
-    done = []
-    while blocks:
-        block = blocks.pop()
-        words = len(block.column(1).combine_chunks().flatten().unique())
-        if words * block.num_rows > BLOCK_CELLS and block.num_rows > 1:
-            middle = block.num_rows // 2
-            blocks += [block.slice(0, middle), block.slice(middle)]
-        else:
-            done.append(block)
-    return done
-
-
-def _weights(lists: pa.Array, vocabulary: pa.Array, totals: pa.Table) -> tuple[np.ndarray, float]:
-    """Inverse document frequency per (term, question), and the mean row length."""
-    code = totals.column("code").to_numpy()
-    rows = totals.column("rows").to_numpy()
-    documents = int(rows[code == -1].sum())
-    length = int(totals.column("terms").to_numpy()[code == -1].sum())
-    holding = np.zeros(len(vocabulary))
-    holding[code[code >= 0]] = rows[code >= 0]
-    rarity = np.log(1 + (documents - holding + 0.5) / (holding + 0.5))
-    weights = np.zeros((len(vocabulary), len(lists)))
-    question, term, _ = _coded(lists, vocabulary)
-    weights[term, question] = rarity[term]
-    return weights, max(length / max(documents, 1), math.ulp(1.0))
+    return ranked(hits, query_id, k)
 
 
 def keyword_lookup(

@@ -9,16 +9,13 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from passagemill.functions.text import fill_template
 
-QA_TEMPLATE = """Answer the question from the passages below and nothing else.
-If they do not hold the answer, say that you do not know. Be brief.
+QA_TEMPLATE = """You are given passages from a document collection, each under its file name.
+Reply to the request at the end in a few words, with what the passages say and nothing else. If they
+say nothing about it, reply: not found.
 
-<context>
 {context}
-</context>
 
-Question: {question}
-
-Answer:
+Request: {question}
 """
 
 
@@ -45,9 +42,15 @@ def build_prompt(
     query_id: str = "query_id",
     query: str = "query",
     sep: str = "\n\n",
+    file: str = "pdf_name",
 ) -> DataFrame:
-    """The questions with their prompt; one without passages gets an empty context."""
-    context = stuff_context(hits, query_id, sep=sep)
+    """The questions with their prompt; one without passages gets an empty context.
+
+    Passages are numbered by rank and stand below the name of their file.
+    """
+    head = F.concat(F.lit("["), F.col("rank").cast("string"), F.lit("] "), F.col(file))
+    named = hits.withColumn("content", F.concat_ws("\n", head, F.col("content")))
+    context = stuff_context(named, query_id, sep=sep)
     return fill_template(
         questions.join(context, query_id, "left"), template, "prompt", question=query
     )
@@ -60,18 +63,23 @@ def generate(
     batch: int = 16,
     out: str = "response",
     on_error: str = "fail",
+    max_tokens: int | None = None,
 ) -> DataFrame:
-    """Model replies as a struct (content, error). Stage the result: a reply is never recomputed."""
+    """Model replies as a struct (content, error). Stage the result: a reply is never recomputed.
+
+    With ``max_tokens`` the provider is told how long a reply may be.
+    """
     if on_error not in ("fail", "null"):
         raise ValueError("on_error is 'fail' or 'null'")
     reply = StructType([StructField("content", StringType()), StructField("error", StringType())])
 
     def make():
         predict = provider.make()
+        options = {} if max_tokens is None else {"max_tokens": max_tokens}
 
         def run(prompts) -> list[dict]:
             try:
-                return [{"content": text, "error": ""} for text in predict(list(prompts))]
+                return [{"content": text, "error": ""} for text in predict(list(prompts), **options)]
             except Exception as failure:
                 if on_error == "fail":
                     raise

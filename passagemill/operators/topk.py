@@ -1,58 +1,35 @@
-"""Shared parts of the two scan searches: bounded query blocks, per-task best rows, final ranking.
-
-A search is one pass over the base table. A block of questions, whose size is checked, is broadcast;
-every task scores its rows against the block and hands on only its best k rows per question. So
-neither pairs nor base rows are shuffled, hot groups of the base stay spread over their splits, and
-the merge sees at most k rows per question and task. More questions than one block holds become
-several blocks, each searched by a pass of its own: scoring a full block costs far more than
-reading the rows, so the extra reads do not matter.
+"""Shared parts of the two scan searches: groups of base rows meet blocks of questions.
+
+The base is dealt into groups of a given size and the questions into blocks of a given size. Every
+group meets every block of its cell in one task, through an equi-join on their numbers, and hands on
+its best k rows per question. Neither side passes the driver, no task holds more than a group and a
+block, and the ranking gets groups x questions x k rows, however many splits the base has.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
 from passagemill.session import stage
 
 SCORE_DIGITS = 6
-MERGED_CORES = 256
-
-
-def query_blocks(queries: DataFrame, key: str, limit: int) -> list[pa.Table]:
-    """The questions in blocks of at most ``limit`` rows, by hash of their key."""
-    head = queries.limit(limit + 1).toArrow()
-    if head.num_rows <= limit:
-        return [head]
-    staged = stage(queries, "questions")
-    parts = math.ceil(staged.count() / (limit / 2))
-    todo = [(part, parts) for part in range(parts)]
-    blocks = []
-    while todo:
-        part, parts = todo.pop()
-        rows = staged.where(F.pmod(F.xxhash64(key), F.lit(parts)) == part)
-        block = rows.limit(limit + 1).toArrow()
-        if block.num_rows <= limit:
-            blocks.append(block)
-        elif parts < 2**40:
-            todo += [(part, 2 * parts), (part + parts, 2 * parts)]
-        else:
-            raise ValueError(f"{key} is not unique: one block of questions is too large")
-    return blocks
+
+#: Rows of the base that one task holds.
+GROUP_ROWS = 50_000
 
 
 class BestRows:
-    """The best k rows per question seen so far in a task.
+    """The best k rows per question seen so far in a task, by row number.
 
     Candidates are gathered and sorted in from time to time. ``floor`` is each question's k-th
-    score as of the last sort; rows below it need not be offered.
+    score as of the last sort; rows below it need not be offered. Equal scores rank by row number.
     """
 
     def __init__(self, questions: int, k: int):
@@ -62,9 +39,9 @@ class BestRows:
         self.waiting = 0
         self.sort_at = max(50_000, 2 * questions * k)
 
-    def add(self, query: np.ndarray, score: np.ndarray, ident: np.ndarray) -> None:
+    def add(self, query: np.ndarray, score: np.ndarray, row: np.ndarray) -> None:
         if len(query):
-            self.parts.append((query, score, ident))
+            self.parts.append((query, score, row))
             self.waiting += len(query)
         if self.waiting >= self.sort_at:
             self.sort()
@@ -72,29 +49,26 @@ class BestRows:
     def sort(self) -> None:
         if not self.parts:
             return
-        query, score, ident = (np.concatenate(column) for column in zip(*self.parts))
-        by_id = np.unique(ident, return_inverse=True)[1]
-        order = np.lexsort((by_id, -score, query))
+        query, score, row = (np.concatenate(column) for column in zip(*self.parts))
+        order = np.lexsort((row, -score, query))
         grouped = query[order]
         place = np.arange(len(order)) - np.searchsorted(grouped, grouped, side="left")
         order, place = order[place < self.k], place[place < self.k]
-        query, score, ident = query[order], score[order], ident[order]
+        query, score, row = query[order], score[order], row[order]
         last = place == self.k - 1
         self.floor[query[last]] = score[last]
-        self.parts = [(query, score, ident)]
+        self.parts = [(query, score, row)]
         self.waiting = 0
 
-    def table(self, query_ids: pa.Array, schema: pa.Schema) -> pa.RecordBatch:
+    def table(self, query_ids: pa.Array, ids: pa.Array, schema: pa.Schema) -> pa.Table:
         self.sort()
         if not self.parts:
-            return pa.RecordBatch.from_arrays([pa.array([], f.type) for f in schema], schema=schema)
-        query, score, ident = self.parts[0]
-        columns = [
-            query_ids.take(pa.array(query)).cast(schema.field(0).type),
-            pa.array(ident, type=schema.field(1).type),
-            pa.array(score),
-        ]
-        return pa.RecordBatch.from_arrays(columns, schema=schema)
+            return schema.empty_table()
+        query, score, row = self.parts[0]
+        columns = [query_ids.take(pa.array(query)), ids.take(pa.array(row)), pa.array(score)]
+        return pa.Table.from_arrays(
+            [column.cast(field.type) for column, field in zip(columns, schema)], schema=schema
+        )
 
 
 def candidates(
@@ -123,21 +97,16 @@ def hit_schema(queries: DataFrame, query_id: str, base: DataFrame, base_id: str)
     )
 
 
-def ranked(hits: DataFrame, query_id: str, k: int, salts: int = 1) -> DataFrame:
-    """The best k hits per question; equal scores rank by id.
+def unique_questions(queries: DataFrame, query_id: str) -> None:
+    """Refuse questions that share a key: their rankings could not be told apart."""
+    shared = queries.groupBy(query_id).count().where("count > 1")
+    if not shared.isEmpty():
+        raise ValueError(f"{query_id} is not unique")
 
-    With ``salts`` above 1 the hits of a question are first thinned out in that many groups.
-    """
+
+def ranked(hits: DataFrame, query_id: str, k: int) -> DataFrame:
+    """The best k hits per question; equal scores rank by id."""
     order = [F.col("score").desc(), F.col("id")]
-    if salts > 1:
-        salt = F.pmod(F.xxhash64("id"), F.lit(salts))
-        place = F.row_number().over(Window.partitionBy(query_id, "_salt").orderBy(*order))
-        hits = (
-            hits.withColumn("_salt", salt)
-            .withColumn("_place", place)
-            .where(F.col("_place") <= k)
-            .drop("_salt", "_place")
-        )
     rank = F.row_number().over(Window.partitionBy(query_id).orderBy(*order))
     return (
         hits.withColumn("rank", rank.cast(LongType()))
@@ -146,15 +115,61 @@ def ranked(hits: DataFrame, query_id: str, k: int, salts: int = 1) -> DataFrame:
     )
 
 
-def scan_search(
-    blocks: list[pa.Table],
-    one_pass: Callable[[pa.Table], DataFrame],
-    query_id: str,
-    k: int,
+def one_cell(key: str) -> Column:
+    """Cell 0 for every row, for a search of the whole base. It is no constant, so that the cell stays
+    a join key."""
+    return F.pmod(F.xxhash64(key), F.lit(1)).cast("int")
+
+
+def sorted_rows(table: pa.Table, key: str) -> pa.Table:
+    """A group's rows in the order of their ids, so that row numbers rank like ids."""
+    return table.take(pc.sort_indices(table, sort_keys=[(key, "ascending")])).combine_chunks()
+
+
+def met(
+    questions: DataFrame,
     base: DataFrame,
+    query_id: str,
+    base_id: str,
+    score: Callable[[pa.Table, pa.Table, pa.Schema], pa.Table],
+    schema: StructType,
+    block_rows: int,
+    group_rows: int = GROUP_ROWS,
 ) -> DataFrame:
-    """All blocks' passes over ``base``, ranked. Every task of a pass sends up to k rows for each
-    question; on a cluster with many cores, so many tasks, they are merged in two steps."""
-    salts = math.ceil(base.sparkSession.sparkContext.defaultParallelism / MERGED_CORES)
-    passes = [one_pass(block) for block in blocks]
-    return ranked(reduce(DataFrame.unionByName, passes), query_id, k, salts)
+    """``score`` of every block of questions with every group of rows of the same ``cell``.
+
+    Both sides carry ``cell``. How many groups and blocks a cell has is counted first, so a large
+    cell, or one that many questions ask for, is split like the others.
+    """
+
+    def sizes(rows: DataFrame, size: int, name: str) -> DataFrame:
+        parts = F.ceil(F.count("*") / F.lit(float(size))).cast("int")
+        return rows.groupBy("cell").agg(parts.alias(name))
+
+    # one row per cell
+    shape = stage(
+        sizes(base, group_rows, "groups").join(sizes(questions, block_rows, "blocks"), "cell"),
+        "search-shape",
+    )
+
+    def dealt(rows: DataFrame, key: str, own: str, count: str, other: str, others: str) -> DataFrame:
+        return (
+            rows.join(shape, "cell")
+            .withColumn(own, F.pmod(F.xxhash64(key), F.col(count)).cast("int"))
+            .withColumn(other, F.explode(F.sequence(F.lit(0), F.col(others) - 1)))
+            .drop("groups", "blocks")
+        )
+
+    asked = dealt(questions, query_id, "_block", "blocks", "_group", "groups")
+    held = dealt(base, base_id, "_group", "groups", "_block", "blocks")
+    together = ["cell", "_group", "_block"]
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        from pyspark.sql.pandas.types import to_arrow_schema
+
+        arrow = to_arrow_schema(schema)
+        if not left.num_rows or not right.num_rows:
+            return arrow.empty_table()
+        return score(left.combine_chunks(), sorted_rows(right, base_id), arrow)
+
+    return asked.groupBy(*together).cogroup(held.groupBy(*together)).applyInArrow(run, schema)

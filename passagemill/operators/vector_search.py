@@ -3,30 +3,31 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
-from itertools import pairwise
-from operator import or_
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType
 
+from passagemill.functions.vectors import vector_fault
+from passagemill.operators.embed import run_once
 from passagemill.operators.topk import (
     SCORE_DIGITS,
     BestRows,
     candidates,
     hit_schema,
-    query_blocks,
-    scan_search,
+    met,
+    one_cell,
+    ranked,
+    unique_questions,
 )
 from passagemill.session import stage
 
 METRICS = ("cosine", "l2", "dot")
-# Size bound of one broadcast block of question vectors, and of one score matrix in a task.
-BLOCK_BYTES = 64 * 1024 * 1024
+#: Questions that one task holds, and the size bound of one score matrix in it.
+BLOCK_QUESTIONS = 4_096
 SCORE_CELLS = 2_000_000
-MAX_CELL_RANGES = 64
 
 
 def matrix(vectors: pa.Array, dim: int) -> np.ndarray:
@@ -48,165 +49,125 @@ def _score(questions: np.ndarray, rows: np.ndarray, metric: str) -> np.ndarray:
     return products
 
 
-def _scorer(questions: np.ndarray, metric: str, k: int):
-    """Adds one run of rows to a task's best rows, for the given questions."""
-
-    def add(best: BestRows, asked: np.ndarray, ids: np.ndarray, rows: np.ndarray) -> None:
-        if metric == "cosine":
-            rows = _unit(rows)
-        asking = questions if len(asked) == len(questions) else questions[asked]
-        step = max(1, SCORE_CELLS // max(1, len(asked)))
-        for at in range(0, len(rows), step):
-            part = rows[at : at + step]
-            scores = _score(asking, part, metric)
-            if metric == "l2":
-                # The expanded square loses digits near zero: choose with slack, then measure.
-                squares = (asking**2).sum(axis=1).max(initial=0)
-                squares += (part**2).sum(axis=1).max(initial=0)
-                slack = 4 * np.sqrt(np.finfo(float).eps * part.shape[1] * squares) + 1e-6
-                chosen, row = candidates(scores, best.floor[asked], k, slack)
-                gaps = asking[chosen] - part[row]
-                found = -np.sqrt((gaps * gaps).sum(axis=1))
-            else:
-                scores = np.round(scores, SCORE_DIGITS)
-                chosen, row = candidates(scores, best.floor[asked], k)
-                found = scores[chosen, row]
-            found = np.round(found, SCORE_DIGITS) + 0.0
-            best.add(asked[chosen], found, ids[at : at + step][row])
-
-    return add
-
-
-def _usable(df: DataFrame, vector: str, dim: int) -> DataFrame:
-    """Rows whose vector can be compared; ``check_vectors`` reports the others.
-
-    A vector with a null or NaN element scores NaN, which is never a candidate.
-    """
-    return df.where(F.size(vector) == dim)
-
-
-def _width(queries: DataFrame, vector: str) -> int:
-    widest = queries.agg(F.max(F.size(vector))).first()[0]
-    if not widest or widest < 0:
-        return 0
-    return widest
-
-
-def _ids(column: pa.Array) -> np.ndarray:
-    return column.to_numpy(zero_copy_only=False)
-
-
-def vector_topk(
-    queries: DataFrame,
+def _best(questions: np.ndarray, rows: np.ndarray, metric: str, k: int) -> BestRows:
+    """The best rows of one group for one block of questions."""
+    if metric == "cosine":
+        questions, rows = _unit(questions), _unit(rows)
+    best = BestRows(len(questions), k)
+    step = max(1, SCORE_CELLS // max(1, len(questions)))
+    for at in range(0, len(rows), step):
+        part = rows[at : at + step]
+        scores = _score(questions, part, metric)
+        if metric == "l2":
+            # The expanded square loses digits near zero: choose with slack, then measure.
+            squares = (questions**2).sum(axis=1).max(initial=0)
+            squares += (part**2).sum(axis=1).max(initial=0)
+            slack = 4 * np.sqrt(np.finfo(float).eps * part.shape[1] * squares) + 1e-6
+            chosen, row = candidates(scores, best.floor, k, slack)
+            gaps = questions[chosen] - part[row]
+            found = -np.sqrt((gaps * gaps).sum(axis=1))
+        else:
+            scores = np.round(scores, SCORE_DIGITS)
+            chosen, row = candidates(scores, best.floor, k)
+            found = scores[chosen, row]
+        best.add(chosen, np.round(found, SCORE_DIGITS) + 0.0, row + at)
+    return best
+
+
+def question_faults(queries: DataFrame, dim: int, query_vector: str = "embedding") -> DataFrame:
+    """Questions that a search of this width cannot answer, with the reason in ``fault``."""
+    fault = vector_fault(F.col(query_vector), dim)
+    return queries.withColumn("fault", fault).where(F.col("fault").isin("null", "width"))
+
+
+def _searched(
+    questions: DataFrame,
     base: DataFrame,
-    k: int = 5,
-    metric: str = "cosine",
-    dim: int | None = None,
-    query_id: str = "query_id",
-    query_vector: str = "embedding",
-    base_id: str = "id",
-    base_vector: str = "embedding",
-    block_rows: int | None = None,
+    k: int,
+    metric: str,
+    dim: int,
+    query_id: str,
+    base_id: str,
+    block_rows: int,
+    schema,
 ) -> DataFrame:
-    """Exact k nearest base rows per question: query id, rank (from 1), id, score.
+    """Questions (query id, vector, cell) with base rows (id, vector, cell) of the same cell."""
+
+    def score(asked: pa.Table, held: pa.Table, arrow: pa.Schema) -> pa.Table:
+        best = _best(
+            matrix(asked.column("_asked").combine_chunks(), dim),
+            matrix(held.column("_held").combine_chunks(), dim),
+            metric,
+            k,
+        )
+        return best.table(asked.column(query_id), held.column(base_id), arrow)
 
-    ``l2`` scores are negative distances. Scores are rounded to six digits before ranking and equal
-    scores rank by id. Only id and vector are read from ``base``; ``with_columns`` adds others.
-    """
-    return _search(
-        queries, base, k, metric, dim, query_id, query_vector, base_id, base_vector, block_rows
-    )
+    hits = met(questions, base, query_id, base_id, score, schema, block_rows)
+    return ranked(hits, query_id, k)
 
 
-def vector_topk_probed(
+def vector_topk(
     queries: DataFrame,
     base: DataFrame,
-    centroids: np.ndarray,
-    probes: int,
+    dim: int,
     k: int = 5,
     metric: str = "cosine",
     query_id: str = "query_id",
     query_vector: str = "embedding",
     base_id: str = "id",
     base_vector: str = "embedding",
-    cell: str = "cell",
-    block_rows: int | None = None,
+    block_rows: int = BLOCK_QUESTIONS,
 ) -> DataFrame:
-    """Like ``vector_topk``, but a question only meets the rows of its ``probes`` nearest cells.
+    """Exact k nearest base rows per question: query id, rank (from 1), id, score.
 
-    ``centroids`` is the index's small table, one row per cell. The cells that no question probes
-    are filtered out at the scan, where row-group and page statistics of ``cell`` skip them.
+    ``dim`` is the vectors' width. Questions of another width are never answered and listed by
+    ``question_faults``; ``check_vectors`` lists such rows of the base. ``l2`` scores are negative
+    distances. Scores are rounded to six digits before ranking and equal scores rank by id. Only id
+    and vector are read from ``base``; ``with_columns`` adds others.
     """
-    return _search(
-        queries,
-        base,
+    return vector_topk_in_cells(
+        queries.select(query_id, query_vector, F.array(one_cell(query_id)).alias("_cells")),
+        base.select(base_id, base_vector, one_cell(base_id).alias("_cell")),
+        dim,
         k,
         metric,
-        centroids.shape[1],
         query_id,
         query_vector,
         base_id,
         base_vector,
+        F.col("_cells"),
+        "_cell",
         block_rows,
-        centroids=centroids,
-        probes=probes,
-        cell=cell,
     )
 
 
-def _search(
+def vector_topk_in_cells(
     queries: DataFrame,
     base: DataFrame,
+    dim: int,
     k: int,
     metric: str,
-    dim: int | None,
     query_id: str,
     query_vector: str,
     base_id: str,
     base_vector: str,
-    block_rows: int | None,
-    centroids: np.ndarray | None = None,
-    probes: int = 0,
-    cell: str | None = None,
+    cells: Column,
+    cell: str,
+    block_rows: int = BLOCK_QUESTIONS,
 ) -> DataFrame:
+    """Like ``vector_topk``, but a question only meets the rows of its own ``cells``."""
     if metric not in METRICS:
         raise ValueError(f"metric is one of {METRICS}")
-    queries = queries.select(query_id, query_vector)
-    dim = _width(queries, query_vector) if dim is None else dim
+    unique_questions(queries, query_id)
     schema = hit_schema(queries, query_id, base, base_id)
-    spark = base.sparkSession
-    if dim == 0:
-        return spark.createDataFrame([], schema).selectExpr(
-            query_id, "cast(null as bigint) as rank", "id", "score"
-        )
-    limit = block_rows or max(1, BLOCK_BYTES // (8 * dim))
-    columns = [base_id, base_vector] + ([] if cell is None else [cell])
-    rows = _usable(base.select(*columns), base_vector, dim)
-
-    def one_pass(block: pa.Table) -> DataFrame:
-        questions = matrix(block.column(1).combine_chunks(), dim)
-        probed = None if centroids is None else _probed_cells(questions, centroids, probes, metric)
-        if metric == "cosine":
-            questions = _unit(questions)
-        shared = spark.sparkContext.broadcast((block.column(0).combine_chunks(), questions, probed))
-        scanned = rows
-        if probed:
-            scanned = rows.where(_cell_filter(cell, sorted(probed)))
-        return scanned.mapInArrow(_scan(shared, k, metric, dim, schema), schema)
-
-    blocks = query_blocks(_usable(queries, query_vector, dim), query_id, limit)
-    return scan_search(blocks, one_pass, query_id, k, rows)
-
-
-def _cell_filter(cell: str, cells: Sequence[int]) -> Column:
-    """A filter that keeps all rows of these cells, and of others if that saves ranges.
-
-    Ranges, unlike a long IN list, reach the Parquet scan one by one; the scan drops the extra rows.
-    """
-    gaps = sorted((a - b, at) for at, (a, b) in enumerate(pairwise(cells)) if b - a > 1)
-    cuts = sorted(at + 1 for _, at in gaps[: MAX_CELL_RANGES - 1])
-    bounds = zip([0, *cuts], [*cuts, len(cells)])
-    return reduce(or_, (F.col(cell).between(cells[a], cells[b - 1]) for a, b in bounds))
+    asked = queries.where(F.size(query_vector) == dim).select(
+        query_id, F.col(query_vector).alias("_asked"), F.explode(cells).alias("cell")
+    )
+    # A vector with a null or NaN element scores NaN, which is never a candidate.
+    held = base.where(F.size(base_vector) == dim).select(
+        base_id, F.col(base_vector).alias("_held"), F.col(cell).alias("cell")
+    )
+    return _searched(asked, held, k, metric, dim, query_id, base_id, block_rows, schema)
 
 
 def cell_order(questions: np.ndarray, centroids: np.ndarray, metric: str) -> np.ndarray:
@@ -218,47 +179,27 @@ def cell_order(questions: np.ndarray, centroids: np.ndarray, metric: str) -> np.
     return np.argsort(-nearness, axis=1, kind="stable")
 
 
-def _probed_cells(
-    questions: np.ndarray, centroids: np.ndarray, probes: int, metric: str
-) -> dict[int, np.ndarray]:
-    """For every cell the questions that probe it."""
-    order = cell_order(questions, centroids, metric)[:, :probes]
-    asked = np.repeat(np.arange(len(questions)), order.shape[1])
-    return {c: asked[places] for c, places in _places(order.ravel())}
-
-
-def _places(cells: np.ndarray) -> list[tuple[int, np.ndarray]]:
-    """Every cell that occurs, with the positions where it does."""
-    order = np.argsort(cells, kind="stable")
-    names, starts = np.unique(cells[order], return_index=True)
-    return list(zip(names.tolist(), np.split(order, starts[1:])))
-
-
-def _scan(shared, k: int, metric: str, dim: int, schema):
-    """Task function: Arrow batches of (id, vector[, cell]) in, the task's best rows out."""
-    from pyspark.sql.pandas.types import to_arrow_schema
-
-    arrow_schema = to_arrow_schema(schema)
-
-    def run(batches):
-        query_ids, questions, probed = shared.value
-        best = BestRows(len(questions), k)
-        add = _scorer(questions, metric, k)
-        everyone = np.arange(len(questions))
-        for batch in batches:
-            if batch.num_rows == 0:
-                continue
-            ids = _ids(batch.column(0))
-            rows = matrix(batch.column(1), dim)
-            if probed is None:
-                add(best, everyone, ids, rows)
-                continue
-            for c, places in _places(batch.column(2).to_numpy(zero_copy_only=False)):
-                if c in probed:
-                    add(best, probed[c], ids[places], rows[places])
-        yield best.table(query_ids, arrow_schema)
-
-    return run
+def probe_order(vector: Column, centroids: np.ndarray, metric: str, probes: int) -> Column:
+    """The ``probes`` nearest cells, nearest first; none for a vector of another width."""
+    dim = centroids.shape[1]
+
+    def order(vectors: pa.Array) -> pa.Array:
+        widths = np.asarray(vectors.value_lengths().fill_null(0))
+        usable = np.flatnonzero(widths == dim)
+        rows = matrix(vectors.take(pa.array(usable)), dim)
+        step = max(1, SCORE_CELLS // len(centroids))
+        parts = [
+            cell_order(rows[at : at + step], centroids, metric)[:, :probes]
+            for at in range(0, len(rows), step)
+        ]
+        cells = np.concatenate(parts) if parts else np.zeros((0, probes), dtype=np.int64)
+        counts = np.zeros(len(vectors) + 1, dtype=np.int32)
+        counts[usable + 1] = cells.shape[1]
+        return pa.ListArray.from_arrays(
+            pa.array(np.cumsum(counts, dtype=np.int32)), pa.array(cells.ravel().astype(np.int32))
+        )
+
+    return run_once(order, ArrayType(IntegerType()))(vector)
 
 
 def with_columns(

@@ -14,14 +14,15 @@ _local_folders: dict[str, str] = {}
 def work_folder(spark: SparkSession) -> str:
     """The cluster's shared folder, from ``spark.checkpoint.dir``.
 
-    Only a local-mode session may go without it; it then gets one temporary folder per application.
+    Where it is unset, a cluster session uses a folder below the warehouse, which all executors reach,
+    and a local one a temporary folder per application.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
     app = spark.sparkContext.applicationId
+    if not spark.sparkContext.master.startswith("local"):
+        return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_staged-{app}"
     if app not in _local_folders:
         _local_folders[app] = tempfile.mkdtemp(prefix="passagemill-")
     return _local_folders[app]
@@ -31,16 +32,6 @@ def new_path(spark: SparkSession, label: str) -> str:
     return f"{work_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Hash rows over all cores if the input has fewer splits than there are cores.
-
-    Meant for a small table as read, in one row group; a large one has many splits and is left
-    alone.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, *keys)
-
-
 @contextmanager
 def arrow_batch_rows(spark: SparkSession, rows: int):
     """Set the Arrow batch row cap for the jobs run inside the block, then restore it."""

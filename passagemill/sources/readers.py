@@ -32,14 +32,19 @@ def read_table(spark: SparkSession, name: str, columns: Sequence[str] | None = N
     return table if columns is None else table.select(*columns)
 
 
-def read_csv_file(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
-    """A CSV file with a header; fields may hold quoted commas, quotes and line ends."""
+def read_csv_file(
+    spark: SparkSession, path: str, schema: StructType | str, multi_line: bool = False
+) -> DataFrame:
+    """A CSV file with a header; fields may hold quoted commas and quotes.
+
+    With ``multi_line`` they may hold line ends too, but then a file cannot be split over tasks.
+    """
     return (
         spark.read.schema(schema)
         .option("header", True)
         .option("quote", '"')
         .option("escape", '"')
-        .option("multiLine", True)
+        .option("multiLine", multi_line)
         .csv(path)
     )
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
+from hashlib import md5
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,21 +12,24 @@ from passagemill.functions.vectors import vector_fault
 from passagemill.operators.changes import (
     DELETE,
     UPDATE_BEFORE,
-    apply_changes,
     diff_snapshots,
+    latest_changes,
 )
 from passagemill.operators.index import (
     VectorIndex,
-    bucket_of,
+    add_load,
     build_index,
+    compact_index,
     index_exists,
     nearest_cell,
     open_index,
     write_rejected,
-    write_rows,
 )
 from passagemill.sources.writers import has_change_feed, write_evolved
 
+#: More loads than this are made one after a sync.
+MOST_LOADS = 8
+
 
 def append_changes(changes: DataFrame, path: str) -> None:
     """Add change rows to the feed that the sync reads."""
@@ -31,17 +37,16 @@ def append_changes(changes: DataFrame, path: str) -> None:
 
 
 def apply_to_index(
-    spark: SparkSession, index: VectorIndex, changes: DataFrame, load: str = "sync"
+    spark: SparkSession, index: VectorIndex, changes: DataFrame, load: str | None = None
 ) -> None:
-    """Apply change rows to the stored index, reading and writing only the buckets they fall into.
+    """Add change rows to the index as a load of their own; no stored row is rewritten.
 
-    A row whose new vector cannot be indexed leaves the index and is listed in ``rejected``.
-    Applying the same changes again leads to the same rows, so a batch may be replayed after a
-    failure at any point.
+    A row whose new vector cannot be indexed leaves the index and is listed in ``rejected``. A load
+    with a name that the index has already is not added again, so a batch may be replayed after a
+    failure at any point: before its entry is written, none of its rows count.
     """
-    hit = changes.select(bucket_of(index.key, index.buckets).alias("bucket")).distinct()
-    touched = [row["bucket"] for row in hit.collect()]  # at most index.buckets numbers
-    if not touched:
+    load = load or uuid.uuid4().hex[:12]
+    if changes.isEmpty() or index.has_load(spark, load):
         return
     fault = F.when(
         ~F.col("_change_type").isin(DELETE, UPDATE_BEFORE),
@@ -55,11 +60,8 @@ def apply_to_index(
         .drop("fault")
         .withColumn("cell", nearest_cell(F.col(index.vector), index.centroids))
     )
-    stored = index.stored_rows(spark).where(F.col("bucket").isin(touched)).drop("bucket")
-    merged = apply_changes(stored, placed, index.key).withColumn(
-        "bucket", bucket_of(index.key, index.buckets)
-    )
-    write_rows(merged, index.path, "overwrite")
+    columns = index.stored_rows(spark).columns
+    add_load(latest_changes(placed, index.key).select(*columns), index.path, index.build, load)
 
 
 def sync_index_stream(
@@ -79,10 +81,11 @@ def sync_index_stream(
     reader = spark.readStream.schema(feed_schema)
     if files_per_batch is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    source = md5(checkpoint.encode()).hexdigest()[:8]
     query = (
         reader.parquet(feed)
         .writeStream.foreachBatch(
-            lambda batch, number: apply_to_index(spark, index, batch, f"batch{number}")
+            lambda batch, number: apply_to_index(spark, index, batch, f"{source}-{number}")
         )
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
@@ -115,4 +118,7 @@ def create_or_sync(
     if not index_exists(spark, index_path):
         return build_index(table, index_path, **build)
     sync_index_stream(spark, feed, feed_schema, index_path, checkpoint)
-    return open_index(spark, index_path)
+    index = open_index(spark, index_path)
+    if len(index.loads(spark)) > MOST_LOADS:
+        compact_index(spark, index_path)
+    return index

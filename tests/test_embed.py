@@ -7,7 +7,7 @@ from pyspark.errors import PythonException
 from pyspark.sql import functions as F
 
 from passagemill.operators.embed import check_vectors, embed, hash_embed, same_embedder
-from passagemill.providers.text_models import HashingEmbedder
+from checks.text_models import HashingEmbedder
 from passagemill.session import stage
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from passagemill.operators.changes import diff_snapshots
 from passagemill.operators.index import (
     build_index,
+    compact_index,
     describe_index,
     index_exists,
     open_index,
@@ -20,7 +21,7 @@ from passagemill.streaming.sync import (
     replace_table,
 )
 
-BUILD = dict(dim=4, cells=3, buckets=4, embedder="test")
+BUILD = dict(dim=4, cells=3, embedder="test")
 
 
 def table(spark, n, text="t"):
@@ -106,7 +107,7 @@ def test_unusable_vectors_leave_the_index(spark, folder):
         "id bigint, content string, embedding array<float>, _change_type string, "
         "_commit_version bigint"
     )
-    apply_to_index(spark, index, spark.createDataFrame(bad, schema))
+    apply_to_index(spark, index, spark.createDataFrame(bad, schema), "sync")
     assert set(contents(spark, folder)) == set(range(20)) - {3, 4}
     rejected = spark.read.parquet(folder + "/rejected")
     assert {(r["id"], r["fault"]) for r in rejected.where("load = 'sync'").collect()} == {
@@ -126,17 +127,71 @@ def test_replaced_table_feeds_its_changes(spark, folder):
     assert has_change_feed(spark, "feeding") and spark.table("feeding").count() == 6
 
 
-def test_sync_leaves_other_buckets_alone(spark, folder):
+def _files(spark, index):
+    rows = spark.read.option("recursiveFileLookup", True).parquet(f"{index.path}/rows/{index.build}")
+    return {r[0] for r in rows.select(F.input_file_name()).distinct().collect()}
+
+
+def test_sync_adds_and_never_rewrites(spark, folder):
     index = build_index(table(spark, 80), folder, **BUILD)
-    files = lambda: {
-        r[0] for r in index.stored_rows(spark).select(F.input_file_name()).distinct().collect()
+    before = _files(spark, index)
+    apply_to_index(spark, index, diff_snapshots(table(spark, 80), table(spark, 81), "id", 1))
+    assert before < _files(spark, index)
+    added = spark.read.parquet(*(_files(spark, index) - before))
+    assert added.count() == 1 and len(contents(spark, folder)) == 81
+
+
+def test_failure_before_the_entry_loses_no_row(spark, folder, monkeypatch):
+    index = build_index(table(spark, 40), folder, **BUILD)
+    old = contents(spark, folder)
+    changes = diff_snapshots(table(spark, 40), table(spark, 50, "u"), "id", 1)
+
+    class Crash(Exception):
+        pass
+
+    def crash(*_, **__):
+        raise Crash
+
+    with monkeypatch.context() as patched:
+        # the entry of a load is the one table that is made from rows of the driver
+        patched.setattr(type(spark), "createDataFrame", crash)
+        with pytest.raises(Crash):
+            apply_to_index(spark, index, changes, "batch")
+    assert contents(spark, folder) == old
+    apply_to_index(spark, index, changes, "batch")
+    assert contents(spark, folder) == {i: f"u{i}" for i in range(50)}
+    apply_to_index(spark, index, changes, "batch")
+    assert len(index.loads(spark)) == 2
+
+
+def test_compaction_keeps_rows_and_tombstones(spark, folder):
+    index = build_index(table(spark, 30), folder, **BUILD)
+    for version in range(1, 4):
+        old, new = (table(spark, 30, f"v{n}").where(f"id >= {n}") for n in (version - 1, version))
+        apply_to_index(spark, index, diff_snapshots(old, new, "id", version))
+    held, stats = contents(spark, folder), describe_index(spark, folder).first()
+    assert len(index.loads(spark)) == 4 and stats["tombstone_count"] == 3
+    compact_index(spark, folder)
+    assert len(index.loads(spark)) == 1
+    assert contents(spark, folder) == held and describe_index(spark, folder).first() == stats
+
+
+def test_added_column_while_the_feed_is_on(spark, folder):
+    write_overwrite(table(spark, 5), "widening")
+    set_change_feed(spark, "widening")
+    wide = table(spark, 6).where("id > 0").withColumn("size", F.length("content"))
+    replace_table(wide, "widening", "id", 1, folder + "/feed")
+    feed = {
+        (r["id"], r["_change_type"], r["size"]) for r in spark.read.parquet(folder + "/feed").collect()
+    }
+    assert feed == {(0, "delete", None), (5, "insert", 2)} | {
+        (i, "update_postimage", 2) for i in range(1, 5)
     }
-    before = files()
-    one = diff_snapshots(table(spark, 80), table(spark, 81), "id", 1)
-    apply_to_index(spark, index, one)
-    kept = before & files()
-    assert len({f.split("bucket=")[1][0] for f in kept}) == 3
-    assert len(contents(spark, folder)) == 81
+    assert has_change_feed(spark, "widening")
+    assert {(r["id"], r["size"]) for r in spark.table("widening").collect()} == {(i, 2) for i in range(1, 6)}
+    # narrower rows leave the column in place, empty
+    replace_table(table(spark, 2), "widening", "id", 2, folder + "/feed")
+    assert {(r["id"], r["size"]) for r in spark.table("widening").collect()} == {(0, None), (1, None)}
 
 
 def test_content_key_depends_on_content_only(spark):

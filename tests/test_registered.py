@@ -36,5 +36,5 @@ def test_entry(spark):
     answers = entry.entry(spark)
     assert answers.columns == ["query_id", "query", "prompt", "result"]
     assert answers.count() == 40
-    assert set(entry.queries()) == set(QUERIES)
-    assert set(entry.oracle_sql()) == set(ORACLES)
+    assert set(QUERIES) <= set(entry.queries())
+    assert set(ORACLES) <= set(entry.oracle_sql())

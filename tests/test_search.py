@@ -18,8 +18,9 @@ from passagemill.operators.keyword_search import (
     keyword_topk,
 )
 from passagemill.operators.rerank import rerank_with
-from passagemill.operators.vector_search import METRICS, _cell_filter, vector_topk
-from passagemill.providers.text_models import WordShareScorer
+from passagemill.operators.topk import met
+from passagemill.operators.vector_search import METRICS, question_faults, vector_topk
+from checks.text_models import WordShareScorer
 
 DIM = 6
 VECTORS = "id string, embedding array<float>"
@@ -65,30 +66,46 @@ def rows(df):
 
 
 @pytest.mark.parametrize("metric", METRICS)
-@pytest.mark.parametrize("block_rows", [None, 7])
-def test_exact_search(spark, data, metric, block_rows):
+@pytest.mark.parametrize("block_rows", [4096, 7])
+def test_exact_search(spark, data, metric, block_rows, monkeypatch):
+    monkeypatch.setattr(met, "__defaults__", (90,))  # several groups of base rows
     queries, base = frames(spark, data)
-    found = rows(vector_topk(queries, base, 4, metric, block_rows=block_rows))
+    found = rows(vector_topk(queries, base, DIM, 4, metric, block_rows=block_rows))
     assert found == brute(metric, *data, 4)
 
 
-def test_two_step_merge(spark, data, monkeypatch):
-    monkeypatch.setattr("passagemill.operators.topk.MERGED_CORES", 1)
-    assert rows(vector_topk(*frames(spark, data), 4)) == brute("cosine", *data, 4)
+def test_odd_questions_do_not_touch_the_others(spark, data):
+    queries, base = data
+    odd = [(200, [1.0, 2.0, 3.0]), (201, [0.5] * 9), (202, None)]
+    asked, held = frames(spark, (queries + odd, base))
+    assert rows(vector_topk(asked, held, DIM, 4)) == brute("cosine", queries, base, 4)
+    faults = {r["query_id"]: r["fault"] for r in question_faults(asked, DIM).collect()}
+    assert faults == {200: "width", 201: "width", 202: "null"}
+
+
+def test_search_never_collects_a_side(spark, data, monkeypatch):
+    queries, base = frames(spark, data)
+
+    def refused(*_):
+        raise AssertionError("rows went through the driver")
+
+    for name in ("toArrow", "toPandas", "collect", "toLocalIterator"):
+        monkeypatch.setattr(type(queries), name, refused)
+    vector_topk(queries, base, DIM, 4).write.format("noop").mode("overwrite").save()
 
 
 def test_k_beyond_the_base(spark, data):
     queries, base = data
     small = base[:3]
-    found = rows(vector_topk(*frames(spark, (queries, small)), 10))
+    found = rows(vector_topk(*frames(spark, (queries, small)), DIM, 10))
     assert found == brute("cosine", queries, small, 10)
 
 
 def test_empty_sides(spark, data):
     queries, base = frames(spark, data)
-    assert vector_topk(queries.limit(0), base, 3).count() == 0
-    assert vector_topk(queries, base.limit(0), 3).count() == 0
-    assert vector_topk(queries.limit(0), base, 3).columns == ["query_id", "rank", "id", "score"]
+    assert vector_topk(queries.limit(0), base, DIM, 3).count() == 0
+    assert vector_topk(queries, base.limit(0), DIM, 3).count() == 0
+    assert vector_topk(queries.limit(0), base, DIM, 3).columns == ["query_id", "rank", "id", "score"]
 
 
 def test_unusable_vectors_are_no_hits(spark):
@@ -97,27 +114,29 @@ def test_unusable_vectors_are_no_hits(spark):
         VECTORS,
     )
     queries = spark.createDataFrame([(1, [1.0, 0.0])], "query_id int, embedding array<float>")
-    found = rows(vector_topk(queries, base, 9, dim=2))
+    found = rows(vector_topk(queries, base, 2, 9))
     assert found == {(1, 1, "a", 1.0), (1, 2, "z", 0.0)}
 
 
 def test_duplicate_question_keys_are_refused(spark):
     same = spark.range(50).select(F.lit(1).alias("query_id"), F.array(F.lit(1.0)).alias("embedding"))
     base = spark.createDataFrame([("a", [1.0])], VECTORS)
-    with pytest.raises(ValueError, match="not unique"):
-        vector_topk(same, base, 1, block_rows=10)
+    for size in (2, 50):
+        with pytest.raises(ValueError, match="not unique"):
+            vector_topk(same.limit(size), base, 1)
 
 
 def test_unknown_metric(spark, data):
     with pytest.raises(ValueError):
-        vector_topk(*frames(spark, data), 1, "manhattan")
+        vector_topk(*frames(spark, data), DIM, 1, "manhattan")
 
 
 def test_index_search(spark, data, folder):
     queries, base = frames(spark, data)
-    index = build_index(base, folder + "/index", dim=DIM, cells=5, buckets=3, embedder="test")
-    assert rows(vector_topk_indexed(queries, index, 4, 5)) == brute("cosine", *data, 4)
-    few = rows(vector_topk_indexed(queries, index, 4, 1, "l2"))
+    index = build_index(base, folder + "/index", dim=DIM, cells=5, embedder="test")
+    model = ("test", DIM)
+    assert rows(vector_topk_indexed(queries, index, model, 4, 5)) == brute("cosine", *data, 4)
+    few = rows(vector_topk_indexed(queries, index, model, 4, 1, "l2"))
     exact = brute("l2", *data, 4)
     cell = {r["id"]: r["cell"] for r in index.rows(spark).select("id", "cell").collect()}
     assert len(cell) == 300 and set(cell.values()) <= set(range(5))
@@ -133,22 +152,13 @@ def test_index_search(spark, data, folder):
     assert curve[5]["recall"] == 1.0 and curve[5]["found_hits"] == len(exact)
     hit = {(q, i) for q, _, i, _ in exact}
     for probes in range(1, 6):
-        near = {(q, i) for q, _, i, _ in rows(vector_topk_indexed(queries, index, 4, probes, "l2"))}
+        near = {(q, i) for q, _, i, _ in rows(vector_topk_indexed(queries, index, model, 4, probes, "l2"))}
         assert curve[probes]["found_hits"] == len(hit & near)
     enough = probes_for_recall(queries, index, 4, 0.8, "l2")
     assert curve[enough]["recall"] >= 0.8 and all(curve[p]["recall"] < 0.8 for p in range(1, enough))
-    with pytest.raises(ValueError):
-        vector_topk_indexed(queries, index, 4, 1, embedder="other")
-
-
-def test_cell_filter_is_pushed_and_keeps_all_cells(spark, folder):
-    cells = [0, 1, 2, 7, 9, 10] + list(range(100, 1000, 3))
-    spark.range(1200).select(F.col("id").cast("int").alias("cell")).write.parquet(folder + "/cells")
-    kept = spark.read.parquet(folder + "/cells").where(_cell_filter("cell", cells))
-    assert set(cells) <= {row["cell"] for row in kept.collect()}
-    exact = spark.read.parquet(folder + "/cells").where(_cell_filter("cell", cells[:6]))
-    assert {row["cell"] for row in exact.collect()} == set(cells[:6])
-    assert "GreaterThanOrEqual(cell,7)" in exact._jdf.queryExecution().toString()
+    for other in (("other", DIM), ("test", DIM + 1)):
+        with pytest.raises(ValueError):
+            vector_topk_indexed(queries, index, other, 4, 1)
 
 
 # ---- keywords
@@ -183,7 +193,7 @@ def bm25(queries, docs, k):
     return found
 
 
-@pytest.mark.parametrize("block", [None, 4])
+@pytest.mark.parametrize("block", [256, 4])
 def test_keyword_search(spark, block):
     queries, docs = texts()
     asked = spark.createDataFrame(queries, "query_id int, query string")
@@ -196,6 +206,18 @@ def test_keyword_search(spark, block):
         keyword_topk(asked, corpus, 3, totals=stored["totals"])
 
 
+def test_hits_whose_score_rounds_to_zero_are_kept(spark):
+    corpus = spark.createDataFrame([(i, "the") for i in range(5)], "id int, content string")
+    asked = spark.createDataFrame([(1, "the")], "query_id int, query string")
+    # a term that all of three million rows hold is worth less than the last digit of a score
+    stored = dict(
+        term_counts=spark.createDataFrame([("the", 3_000_000)], "term string, doc_count long"),
+        totals=spark.createDataFrame([(3_000_000, 3_000_000)], "rows long, terms long"),
+    )
+    found = rows(keyword_topk(asked, corpus, 2, **stored))
+    assert found == {(1, 1, 0, 0.0), (1, 2, 1, 0.0)}
+
+
 def test_keyword_lookup_cuts_text(spark):
     corpus = spark.createDataFrame([(1, "sun " * 100), (2, "moon")], "id int, content string")
     asked = spark.createDataFrame([(7, "sun")], "query_id int, query string")

@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from passagemill.session import new_path, spread, work_folder
+from passagemill.session import new_path, work_folder
 from passagemill.sources.readers import (
     parse_csv_lines,
     read_binary_files,
@@ -55,7 +55,7 @@ def test_csv_lines(spark):
 def test_csv_file(spark, tmp_path):
     path = tmp_path / "eval.csv"
     path.write_text("question,ground_truth,evolution_type,episode_done\n" + "\n".join(l for l, _ in LINES[:3]))
-    rows = read_csv_file(spark, str(path), SCHEMA).collect()
+    rows = read_csv_file(spark, str(path), SCHEMA, multi_line=True).collect()
     assert {tuple(r) for r in rows} == {fields for _, fields in LINES[:3]}
 
 
@@ -103,7 +103,7 @@ def test_work_folder(spark, monkeypatch):
 
     class Conf:
         def get(self, key, default=None):
-            return default
+            return "hdfs:///warehouse" if key == "spark.sql.warehouse.dir" else default
 
     class Cluster:
         conf = Conf()
@@ -112,13 +112,6 @@ def test_work_folder(spark, monkeypatch):
             master = "yarn"
             applicationId = "app"
 
-    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        work_folder(Cluster())
+    assert work_folder(Cluster()) == "hdfs:///warehouse/_staged-app"
     Cluster.sparkContext.master = "local[2]"
     assert work_folder(Cluster()) == work_folder(Cluster())
-
-
-def test_spread_leaves_many_splits_alone(spark):
-    many = spark.range(0, 100, 1, 64)
-    assert spread(many, "id") is many
-    assert spread(spark.range(0, 100, 1, 1), "id").rdd.getNumPartitions() == 8

@@ -9,7 +9,7 @@ from passagemill.functions.text import clean_code, fill_template, html_elements,
 from passagemill.operators.extract import extract_text, extract_with
 from passagemill.operators.prompt import QA_TEMPLATE, build_prompt, generate, stuff_context
 from passagemill.plans.chain import stage_assign, stage_map, stage_pipe
-from passagemill.providers.text_models import FirstTokensModel
+from checks.text_models import FirstTokensModel
 from passagemill.session import stage
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -42,7 +42,7 @@ def test_html(spark):
         "<html><head><style>p{}</style><SCRIPT>var a='</p>';</SCRIPT></head><body><!-- x\n<p>no</p> -->"
         "<nav><a>menu</a></nav><h1>A &amp;lt; B</h1><p>one\n <b>two</b><br>three<p></p>&nbsp;</body>"
     )
-    assert one(spark, page, html_elements) == ["A &lt; B", "one two", "three"]
+    assert one(spark, page, html_elements) == ["menu", "A &lt; B", "one two", "three"]
 
 
 def test_extract_text(spark):
@@ -96,9 +96,11 @@ def test_contexts_and_prompts(spark):
     cut = {r["query_id"]: r["context"] for r in stuff_context(hits, max_chars=3).collect()}
     assert cut == {1: "fir", 2: "onl"}
     questions = spark.createDataFrame([(1, "why?"), (3, "no hit")], "query_id int, query string")
-    prompts = {r["query_id"]: r["prompt"] for r in build_prompt(questions, hits).collect()}
+    named = hits.withColumn("pdf_name", F.lit("a.pdf"))
+    prompts = {r["query_id"]: r["prompt"] for r in build_prompt(questions, named).collect()}
     expected = lambda c, q: QA_TEMPLATE.replace("{context}", c).replace("{question}", q)
-    assert prompts == {1: expected("first\n\nsecond", "why?"), 3: expected("", "no hit")}
+    passages = "[1] a.pdf\nfirst\n\n[2] a.pdf\nsecond"
+    assert prompts == {1: expected(passages, "why?"), 3: expected("", "no hit")}
 
 
 class Refusing:
@@ -129,3 +131,59 @@ def test_chain(spark):
         stage_map("id", c=F.upper("question"), d=as_frame), stage_assign(d=F.concat("c", "d"))
     )
     assert {tuple(r) for r in df.transform(chain).collect()} == {(1, "Q", "QV"), (2, "R", "RW")}
+
+
+class Counting:
+    """Replies with as many words as it may."""
+
+    def make(self):
+        def predict(prompts, max_tokens):
+            return ["w " * max_tokens for _ in prompts]
+
+        return predict
+
+
+def test_reply_length_reaches_the_provider(spark):
+    df = spark.createDataFrame([(1, "a")], "id int, prompt string")
+    reply = generate(df, Counting(), max_tokens=3).first()["response"]["content"]
+    assert reply.split() == ["w"] * 3
+
+
+HTML = [
+    (
+        "<h2>Head</h2><table><tr><td>a</td><td>b</td></tr></table><section>x</section>",
+        "Head\na\nb\nx",
+    ),
+    ("<nav><a>Home</a></nav><p>caf&eacute; &#8217;s &#x41;&amp;lt; &unknown; &#0; 5 &lt; 6</p>",
+     "Home\ncaf\u00e9 \u2019s A&lt; &unknown; &#0; 5 < 6"),
+    ("<p>one<script>var a = '<p>';</script> two<!-- no --></p><STYLE>p{}</STYLE>", "one two"),
+    ("a<br/>b<hr>c<b>d</b>", "a\nb\ncd"),
+]
+
+
+def test_html_pages(spark):
+    from passagemill.operators.extract import extract_text, extract_with
+
+    pages = spark.createDataFrame(
+        [(i, page.encode()) for i, (page, _) in enumerate(HTML)] + [(9, b"<p>bad \xff byte</p>"), (10, None)],
+        "id int, content binary",
+    )
+    found = {r["id"]: r["text"] for r in extract_text(pages).collect()}
+    assert {i: found[i] for i in range(len(HTML))} == {i: text for i, (_, text) in enumerate(HTML)}
+    assert found[9] == "bad \ufffd byte" and found[10] is None
+
+    def make_parser():
+        return lambda data: data.decode("utf-8", "replace").replace(">", "<").split("<")[1:4]
+
+    parsed = {r["id"]: r["text"] for r in extract_with(pages, make_parser).collect()}
+    assert parsed[9] == "p\nbad \ufffd byte\n/p" and parsed[10] is None
+
+
+def test_chunk_documents_takes_a_parser_and_a_tokenizer(spark):
+    from checks.text_models import PieceCounter
+    from passagemill.plans.rag import chunk_documents
+
+    files = spark.createDataFrame([("f", b"one two. three")], "pdf_name string, content binary")
+    make_parser = lambda: (lambda data: data.decode().split(" "))
+    rows = chunk_documents(files, size=4, overlap=0, make_parser=make_parser, tokenizer=PieceCounter())
+    assert [r["content"] for r in rows.orderBy("chunk_no").collect()] == ["one two. three"]
