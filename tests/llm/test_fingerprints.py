@@ -9,7 +9,7 @@ from passagemill.llm.fingerprints import (
     compare_versions,
     difference,
     edited_versions,
-    fingerprint,
+    fingerprints,
     next_ids,
     paragraph_keys,
 )
@@ -63,24 +63,23 @@ def test_next_ids_over_many_ranges(spark):
 
 
 def test_difference_recovers_all_digests_and_grows(spark):
-    rows = spark.createDataFrame(
-        [([1, 2, 3], [1, 2, 4]), ([], []), (list(range(500)), list(range(250, 900))), ([7], [])],
-        "a array<long>, b array<long>",
-    )
-    for row in rows.withColumn("found", difference(F.col("a"), F.col("b"))).collect():
-        found = row["found"]
-        assert found["solved"]
-        assert sorted(found["only_left"]) == sorted(set(row["a"]) - set(row["b"]))
-        assert sorted(found["only_right"]) == sorted(set(row["b"]) - set(row["a"]))
-        assert (found["third"] > 8) == (len(row["a"]) == 500)
+    lists = [([1, 2, 3], [1, 2, 4]), ([], []), (list(range(500)), list(range(250, 900))), ([7], []), ([5], [5])]
+    rows = [(at, a, b) for at, (a, b) in enumerate(lists)]
+    found = difference(spark.createDataFrame(rows, "pair long, a array<long>, b array<long>")).collect()
+    for at, a, b in rows:
+        own = [row for row in found if row["pair"] == at]
+        assert sorted(row["found"] for row in own if row["n"] == 1) == sorted(set(a) - set(b))
+        assert sorted(row["found"] for row in own if row["n"] == -1) == sorted(set(b) - set(a))
+        assert len(own) == len(set(a) ^ set(b))
+        assert all((row["third"] > 8) == (len(a) == 500) for row in own)
 
 
 def test_repeated_paragraphs_count(spark):
-    rows = spark.createDataFrame([("a\na\nb",), ("a\nb",), ("b\na\na",)], "text string")
-    keys = rows.select(paragraph_keys(F.col("text")).alias("keys")).select("keys", fingerprint(F.col("keys")).alias("f"))
-    found = keys.collect()
-    assert [len(row["keys"]) for row in found] == [3, 2, 3]
-    assert found[0]["f"] == found[2]["f"] != found[1]["f"]
+    rows = spark.createDataFrame([(0, "a\na\nb"), (1, "a\nb"), (2, "b\na\na"), (3, "")], "id long, text string")
+    keyed = rows.select("id", paragraph_keys(F.col("text")).alias("keys"))
+    assert [len(row["keys"]) for row in keyed.orderBy("id").collect()] == [3, 2, 3, 0]
+    found = {row["id"]: row["fingerprint"] for row in fingerprints(keyed, "id").collect()}
+    assert found[0] == found[2] != found[1] and 3 not in found
 
 
 def test_plan_is_native(edge_docs):

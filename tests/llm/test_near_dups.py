@@ -116,7 +116,7 @@ def test_odd_sketches_estimate_high_similarity():
     true = 1800 / 2200
     sets = np.concatenate([np.sort(base), np.sort(other)])
     minima = near_dups.min_hashes(sets, np.array([0, 2000, 4000]))
-    left, right = near_dups.odd_sketches(minima)
+    left, right = near_dups.odd_sketches(minima).view(np.uint64)
     differing = int(np.bitwise_count(left ^ right).sum())
     estimate = 1 + near_dups.SKETCH_BITS / 2 * np.log(1 - 2 * differing / near_dups.SKETCH_BITS) / (2 * near_dups.SAMPLES)
     assert abs(estimate - true) < 0.1
