@@ -5,12 +5,14 @@ of counts and the XOR of digests and of their checks. Two versions' sketches are
 cell: equal paragraphs vanish. A cell that holds a single digest gives it up, which frees others,
 until nothing is left. If something is left, the sketch was too small, and a larger one is tried.
 
-All of this is a column expression over a row's own arrays: sorts and folds, in n log n. The only
-shuffles are those that bring a document and the next one together.
+Cells are rows, so that sums, subtraction and peeling are plain aggregations. Rows are dealt by document
+once, before the cells are made; all rounds after that group by document and cell and move nothing.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -22,17 +24,20 @@ from passagemill.session import stage
 #: paragraphs too.
 LONG_LINE = 400
 
-#: Cells in each third of a fingerprint, the growth of a larger try, and how many there are at most:
-#: the last ones have more cells than any text has paragraphs.
+#: Cells in each third of a fingerprint.
 THIRD = 8
+
+#: A second try has this many cells in each third for each paragraph of both versions, which is nearly
+#: always enough; each further one has so many times more.
+SECOND = 0.6
 GROWTH = 3
-TRIES = 14
 
-#: Rounds of giving up digests; a sketch of enough cells needs far fewer.
-ROUNDS = 30
+#: Rounds of giving up digests, one third of the sketch after the other. What is left after them goes
+#: to the next try.
+ROUNDS = 18
 
-_CELL = "struct<cell:int,n:int,key:bigint,check:bigint>"
-_KEY = "struct<n:int,key:bigint>"
+#: The cell number of recovered digests.
+RECOVERED = -1
 
 
 def paragraphs(text: Column) -> Column:
@@ -88,169 +93,163 @@ def paragraph_keys(text: Column) -> Column:
     return let(F.sort_array(digests), numbered)
 
 
-def _cells_of(key: Column, count: Column, third: Column) -> Column:
-    """The three cells of a key."""
-    check = F.xxhash64(key, F.lit("check"))
-    return F.array(
-        *[
-            F.struct(
-                (third * part + F.pmod(F.xxhash64(key, F.lit(part), third), third)).cast("int").alias("cell"),
-                count.alias("n"),
-                key.alias("key"),
-                check.alias("check"),
-            ).cast(_CELL)
-            for part in range(3)
-        ]
-    )
+def _check(key: Column) -> Column:
+    return F.xxhash64(key, F.lit("check"))
 
 
-def _summed(entries: Column) -> Column:
-    """Entries of one cell added up, cells in order; cells that come to nothing are left out."""
-
-    def merged(ordered: Column) -> Column:
-        def one_cell(run: Column) -> Column:
-            zero = F.struct(
-                F.get(ordered, run["begin"])["cell"].alias("cell"),
-                F.lit(0).alias("n"),
-                F.lit(0).cast("long").alias("key"),
-                F.lit(0).cast("long").alias("check"),
-            ).cast(_CELL)
-            return F.aggregate(
-                F.slice(ordered, run["begin"] + 1, run["length"]),
-                zero,
-                lambda total, one: F.struct(
-                    total["cell"].alias("cell"),
-                    (total["n"] + one["n"]).alias("n"),
-                    total["key"].bitwiseXOR(one["key"]).alias("key"),
-                    total["check"].bitwiseXOR(one["check"]).alias("check"),
-                ).cast(_CELL),
-            )
+def _cell(key: Column, part: Column | int, third: Column) -> Column:
+    """The cell of a key in one third of a sketch."""
+    part = F.lit(part) if isinstance(part, int) else part
+    return (third * part + F.pmod(F.xxhash64(key, part, third), third)).cast("int")
 
-        cells = F.transform(_runs(ordered, lambda one: one["cell"]), one_cell)
-        return F.filter(
-            cells, lambda one: (one["n"] != 0) | (one["key"] != 0) | (one["check"] != 0)
-        )
 
-    return let(F.sort_array(entries), merged)
+def _entry(cell: Column, found: Column, n: Column, key: Column, check: Column) -> Column:
+    return F.struct(
+        cell.cast("int").alias("cell"),
+        found.cast("long").alias("found"),
+        n.cast("long").alias("n"),
+        key.cast("long").alias("key"),
+        check.cast("long").alias("check"),
+    )
 
 
-def sketch(keys: Column, third: Column) -> Column:
-    """The cells of a set of keys that are not empty."""
-    one = F.lit(1)
-    return _summed(F.flatten(F.transform(keys, lambda key: _cells_of(key, one, third))))
+def _summed(entries: DataFrame, *owner: str) -> DataFrame:
+    """Entries of one cell added up; cells that come to nothing are left out."""
+    return (
+        entries.groupBy(*owner, "third", "cell", "found")
+        .agg(
+            F.sum("n").alias("n"),
+            F.bit_xor("key").alias("key"),
+            F.bit_xor("check").alias("check"),
+        )
+        .where((F.col("cell") < 0) | (F.col("n") != 0) | (F.col("key") != 0) | (F.col("check") != 0))
+    )
 
 
-def subtract(left: Column, right: Column) -> Column:
-    """The sketch of the keys that only one of two sketches of the same size has."""
-    negative = F.transform(
-        right,
-        lambda one: F.struct(
-            one["cell"].alias("cell"),
-            (-one["n"]).alias("n"),
-            one["key"].alias("key"),
-            one["check"].alias("check"),
-        ).cast(_CELL),
+def sketches(keyed: DataFrame, *owner: str) -> DataFrame:
+    """The cells of ``keyed(*owner, third, n, key)``: ``n`` is 1 for a version's keys, and -1 for those of
+    the version that is subtracted from it. Cells are linear, so the sum of both is the difference."""
+    parts = keyed.withColumn("part", F.explode(F.array(*[F.lit(part) for part in range(3)])))
+    entries = parts.select(
+        *owner,
+        "third",
+        _cell(F.col("key"), F.col("part"), F.col("third")).alias("cell"),
+        F.lit(0).cast("long").alias("found"),
+        F.col("n").cast("long").alias("n"),
+        "key",
+        _check(F.col("key")).alias("check"),
     )
-    return _summed(F.concat(left, negative))
+    return _summed(entries, *owner)
 
 
-def peel(cells: Column, third: Column) -> Column:
-    """``cells`` left over and ``keys`` recovered (``n`` is 1 on the left side, -1 on the right)."""
-    state = f"struct<cells:array<{_CELL}>,keys:array<{_KEY}>>"
+def peel(cells: DataFrame, pair: str = "pair") -> DataFrame:
+    """Recovered digests as rows with ``cell`` = ``RECOVERED`` (``found`` the digest, ``n`` 1 for the left
+    version and -1 for the right), and the cells that are left.
 
-    def round_of(now: Column) -> Column:
-        def given(pure: Column) -> Column:
-            freed = F.flatten(
-                F.transform(pure, lambda one: _cells_of(one["key"], -one["n"], third))
-            )
-            return F.when(F.size(pure) == 0, now).otherwise(
-                F.struct(
-                    _summed(F.concat(now["cells"], freed)).alias("cells"),
-                    F.concat(now["keys"], pure).alias("keys"),
-                ).cast(state)
-            )
-
-        single = F.filter(
-            now["cells"],
-            lambda one: (F.abs(one["n"]) == 1)
-            & (one["check"] == F.xxhash64(one["key"], F.lit("check"))),
+    A round looks at one third: a digest has one cell there, so it is given up once.
+    """
+    zero = F.lit(0)
+    for number in range(ROUNDS):
+        part = number % 3
+        third, n, key, check = (F.col(name) for name in ("third", "n", "key", "check"))
+        pure = (
+            (F.col("cell") >= third * part)
+            & (F.col("cell") < third * (part + 1))
+            & (F.abs(n) == 1)
+            & (check == _check(key))
         )
-        pure = F.array_distinct(
-            F.transform(single, lambda one: F.struct(one["n"].alias("n"), one["key"].alias("key")).cast(_KEY))
+        freed = [
+            _entry(_cell(key, other, third), zero, -n, key, check) for other in range(3) if other != part
+        ]
+        given = F.array(_entry(F.lit(RECOVERED), key, n, zero, zero), *freed)
+        same = F.array(_entry(F.col("cell"), F.col("found"), n, key, check))
+        entries = cells.select(pair, "third", F.inline(F.when(pure, given).otherwise(same)))
+        cells = _summed(entries, pair)
+    return cells
+
+
+def _attempt(pairs: DataFrame) -> DataFrame:
+    """``pair, third, cell, found, n`` after peeling the difference of ``pairs(pair, third, a, b)``."""
+
+    def signed(side: str, n: int) -> Column:
+        return F.transform(side, lambda key: F.struct(F.lit(n).alias("n"), key.alias("key")))
+
+    dealt = pairs.repartition("pair")
+    keyed = dealt.select("pair", "third", F.inline(F.concat(signed("a", 1), signed("b", -1))))
+    return peel(sketches(keyed, "pair"))
+
+
+def _tries(pairs: DataFrame, third: int, kept) -> DataFrame:
+    """``kept`` of the peeled cells of each pair's successful try.
+
+    ``kept`` makes rows with ``pair`` and ``left`` (whether cells were left over) of peeled cells.
+    """
+    todo = pairs.select("pair", "a", "b", F.lit(third).cast("long").alias("third"))
+    solved: list[DataFrame] = []
+    while True:
+        tried = stage(kept(_attempt(todo)), "fingerprint-peeled")
+        failed = tried.where("left").select("pair").distinct()
+        solved.append(tried.join(failed, "pair", "left_anti").drop("left"))
+        if failed.isEmpty():
+            return reduce(DataFrame.unionByName, solved)
+        second = F.ceil((F.size("a") + F.size("b")) * F.lit(SECOND))
+        larger = F.greatest(F.col("third") * GROWTH, second).cast("long")
+        todo = stage(
+            todo.join(failed, "pair", "left_semi").withColumn("third", larger), "fingerprint-unsolved"
         )
-        return let(pure, given)
-
-    begin = F.struct(
-        cells.alias("cells"), F.array().cast(f"array<{_KEY}>").alias("keys")
-    ).cast(state)
-    return F.aggregate(
-        F.sequence(F.lit(1), F.lit(ROUNDS)),
-        begin,
-        lambda now, _: F.when(F.size(now["cells"]) == 0, now).otherwise(round_of(now)),
-    )
 
 
-def difference(left: Column, right: Column, third: int = THIRD) -> Column:
-    """Compare two key arrays by their sketches alone.
+def difference(pairs: DataFrame, third: int = THIRD) -> DataFrame:
+    """Compare the key arrays ``a`` and ``b`` of ``pairs(pair, a, b)`` by their sketches alone.
 
-    A struct of ``solved``, ``third`` (the size that gave the answer), ``only_left`` and
-    ``only_right`` (the recovered keys). A try that leaves cells over is repeated with a larger
-    sketch.
+    Returns ``pair, third, found, n`` for each recovered digest, ``n`` 1 if only ``a`` has it and -1 if
+    only ``b`` has it; ``third`` is the size that gave the answer. ``pair`` is unique; a pair without a
+    difference has no row. Tries go on until every pair is solved.
     """
-    keys = "array<bigint>"
-    kind = f"struct<solved:boolean,third:bigint,only_left:{keys},only_right:{keys}>"
-
-    def side(found: Column, count: int) -> Column:
-        held = F.filter(found["keys"], lambda one: one["n"] == count)
-        return F.transform(held, lambda one: one["key"])
-
-    def attempt(size: Column) -> Column:
-        left_over = subtract(sketch(left, size), sketch(right, size))
-        return let(
-            let(left_over, lambda cells: peel(cells, size)),
-            lambda found: F.struct(
-                (F.size(found["cells"]) == 0).alias("solved"),
-                size.alias("third"),
-                side(found, 1).alias("only_left"),
-                side(found, -1).alias("only_right"),
-            ).cast(kind),
+
+    def digests(peeled: DataFrame) -> DataFrame:
+        return peeled.select("pair", "third", "found", "n", (F.col("cell") >= 0).alias("left"))
+
+    return _tries(pairs, third, digests)
+
+
+def difference_sizes(pairs: DataFrame, third: int = THIRD) -> DataFrame:
+    """Like ``difference``, but only how many digests each side has alone: ``pair, only_a, only_b``."""
+
+    def sizes(peeled: DataFrame) -> DataFrame:
+        recovered = F.col("cell") == RECOVERED
+        return peeled.groupBy("pair").agg(
+            F.count_if(recovered & (F.col("n") == 1)).alias("only_a"),
+            F.count_if(recovered & (F.col("n") == -1)).alias("only_b"),
+            F.max(F.col("cell") >= 0).alias("left"),
         )
 
-    none = F.array().cast(keys)
-    begin = F.struct(
-        F.lit(False).alias("solved"),
-        F.lit(third).cast("long").alias("third"),
-        none.alias("only_left"),
-        none.alias("only_right"),
-    ).cast(kind)
-    sizes = F.array(*[F.lit(third * GROWTH**step).cast("long") for step in range(TRIES)])
-    return F.aggregate(
-        sizes, begin, lambda now, size: F.when(now["solved"], now).otherwise(attempt(size))
-    )
+    return _tries(pairs, third, sizes)
 
 
-def likeness(left: Column, right: Column, found: Column) -> Column:
-    """Shared paragraphs over all paragraphs, from the sizes and the recovered difference."""
-    common = F.size(left) - F.size(found["only_left"])
-    union = F.size(right) + F.size(found["only_left"])
-    return (
-        F.when(~found["solved"], F.lit(0.0))
-        .when(union == 0, F.lit(1.0))
-        .otherwise(common.cast("double") / union)
-    )
+def likeness(n_a: Column, n_b: Column, only_a: Column, only_b: Column) -> Column:
+    """Shared paragraphs over all paragraphs, from the sizes and the recovered difference; texts
+    without paragraphs are wholly like each other."""
+    union = n_b + only_a
+    return F.when(union == 0, F.lit(1.0)).otherwise((n_a - only_a).cast("double") / union)
 
 
-def fingerprint(keys: Column, third: int = THIRD) -> Column:
-    """The sketch as text: per cell in use its number, count, digest and check, in hexadecimal."""
-    size = F.lit(third).cast("long")
-    return F.concat_ws(
-        ";",
-        F.transform(
-            sketch(keys, size),
-            lambda one: F.concat_ws(
-                ":", one["cell"].cast("string"), one["n"].cast("string"), F.hex(one["key"]), F.hex(one["check"])
-            ),
-        ),
+def fingerprints(keyed: DataFrame, *owner: str, third: int = THIRD) -> DataFrame:
+    """``*owner, fingerprint`` of ``keyed(*owner, keys)``: the sketch as text, with the number, count,
+    digest and check of each cell in use, in hexadecimal. Without paragraphs it is empty."""
+    rows = keyed.select(
+        *owner,
+        F.lit(third).cast("long").alias("third"),
+        F.explode("keys").alias("key"),
+        F.lit(1).alias("n"),
+    )
+    written = F.concat_ws(
+        ":", F.col("cell").cast("string"), F.col("n").cast("string"), F.hex("key"), F.hex("check")
+    )
+    listed = F.array_sort(F.collect_list(F.struct("cell", written.alias("text"))))
+    texts = sketches(rows, *owner).groupBy(*owner).agg(listed.alias("cells"))
+    return texts.select(
+        *owner, F.array_join(F.transform("cells", lambda one: one["text"]), ";").alias("fingerprint")
     )
 
 
@@ -290,12 +289,15 @@ def edited_versions(documents: DataFrame) -> DataFrame:
     A row without id has no next document: nothing takes the place of its last third.
     """
     rows = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    nameless = rows.where("doc_id is null")
+    rows = rows.where("doc_id is not null")
     following = stage(next_ids(rows), "fingerprint-next")
     wanted = following.select(
         F.col("doc_id").alias("to_id"), F.col("next_id").alias("doc_id"), "n_chars"
     )
+    # both joins deal the texts by id, so Spark deals them once
     given = (
-        rows.join(wanted, "doc_id")
+        rows.join(wanted.hint("merge"), "doc_id")
         .select(
             "to_id",
             F.expr("substring(text, 1, cast(floor(n_chars / 3) as int))").alias("start"),
@@ -303,18 +305,18 @@ def edited_versions(documents: DataFrame) -> DataFrame:
         )
         .groupBy(F.col("to_id").alias("doc_id"))
         .agg(F.min(F.struct("start", "next_keys")).alias("given"))
+        .select("doc_id", "given.*")
     )
     cut = "cast(floor(length(text) / 3) as int)"
     edited = F.concat(
         F.expr(f"substring(text, 1, length(text) - {cut})"),
-        F.expr(f"coalesce(substring(given.start, 1, {cut}), '')"),
+        F.expr(f"coalesce(substring(start, 1, {cut}), '')"),
     )
-    return rows.join(given, "doc_id", "left").select(
-        "doc_id",
-        "text",
-        edited.alias("edited"),
-        F.coalesce("given.next_keys", F.array().cast("array<bigint>")).alias("next_keys"),
+    both = rows.join(given.hint("merge"), "doc_id")
+    alone = nameless.select(
+        "*", F.lit("").alias("start"), F.array().cast("array<bigint>").alias("next_keys")
     )
+    return both.unionByName(alone).select("doc_id", "text", edited.alias("edited"), "next_keys")
 
 
 def compare_versions(versions: DataFrame, third: int = THIRD) -> DataFrame:
@@ -323,24 +325,75 @@ def compare_versions(versions: DataFrame, third: int = THIRD) -> DataFrame:
     Empty texts have an empty fingerprint and are wholly like each other. Repeated rows are compared
     each; an empty table gives an empty table.
     """
-
-    def compared(held: Column) -> Column:
-        own, edited, after = held["own"], held["edited"], held["next"]
-        return F.struct(
-            fingerprint(own, third).alias("fingerprint"),
-            fingerprint(edited, third).alias("edited_fingerprint"),
-            let(difference(own, edited, third), lambda found: likeness(own, edited, found)).alias("near_edited"),
-            let(difference(own, after, third), lambda found: likeness(own, after, found)).alias("near_next"),
+    held = stage(
+        versions.select(
+            F.monotonically_increasing_id().alias("row"),
+            "doc_id",
+            F.length("text").cast("long").alias("n_chars"),
+            F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
+            paragraph_keys(F.col("text")).alias("own"),
+            paragraph_keys(F.col("edited")).alias("edited"),
+            F.col("next_keys").alias("next"),
+        ),
+        "fingerprint-keys",
+    )
+    # a row's comparisons with the edited text and with the next one are its pairs 0 and 1
+    sides = F.array(
+        *[
+            F.struct(F.lit(number).alias("number"), F.col(name).alias("b"))
+            for number, name in enumerate(("edited", "next"))
+        ]
+    )
+    pairs = held.select("row", F.col("own").alias("a"), F.inline(sides)).select(
+        (F.col("row") * 2 + F.col("number")).alias("pair"), "a", "b"
+    )
+    found = difference_sizes(pairs, third).select(
+        F.floor(F.col("pair") / 2).cast("long").alias("row"),
+        (F.col("pair") % 2).alias("number"),
+        "only_a",
+        "only_b",
+    )
+    counts = found.groupBy("row").agg(
+        *[
+            F.sum(F.when(F.col("number") == number, F.col(f"only_{side}"))).alias(f"{name}_{side}")
+            for number, name in enumerate(("edited", "next"))
+            for side in ("a", "b")
+        ]
+    )
+    texts = F.array(
+        *[
+            F.struct(F.lit(name).alias("version"), F.col(name).alias("keys"))
+            for name in ("own", "edited")
+        ]
+    )
+    printed = (
+        fingerprints(held.repartition("row").select("row", F.inline(texts)), "row", "version", third=third)
+        .groupBy("row")
+        .agg(
+            F.max(F.when(F.col("version") == "own", F.col("fingerprint"))).alias("own_print"),
+            F.max(F.when(F.col("version") == "edited", F.col("fingerprint"))).alias("edited_print"),
+        )
+    )
+    zero = F.lit(0)
+    near = {
+        name: likeness(
+            F.size("own"),
+            F.size(name),
+            F.coalesce(F.col(f"{name}_a"), zero),
+            F.coalesce(F.col(f"{name}_b"), zero),
+        )
+        for name in ("edited", "next")
+    }
+    return (
+        held.join(counts, "row", "left")
+        .join(printed, "row", "left")
+        .select(
+            "doc_id",
+            "n_chars",
+            "edited_sha256",
+            F.coalesce("own_print", F.lit("")).alias("fingerprint"),
+            F.coalesce("edited_print", F.lit("")).alias("edited_fingerprint"),
+            near["edited"].alias("near_edited"),
+            near["next"].alias("near_next"),
         )
-
-    held = F.struct(
-        paragraph_keys(F.col("text")).alias("own"),
-        paragraph_keys(F.col("edited")).alias("edited"),
-        F.col("next_keys").alias("next"),
     )
-    return versions.select(
-        "doc_id",
-        F.length("text").cast("long").alias("n_chars"),
-        F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
-        let(held, compared).alias("found"),
-    ).select("doc_id", "n_chars", "edited_sha256", "found.*")
