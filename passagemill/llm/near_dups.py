@@ -1,7 +1,7 @@
 """Near duplicates by MinHash bands and odd sketches.
 
-A text's distinct word shingles give ``SAMPLES`` MinHash values. Bands of them are the bucket keys
-that find candidates; all of them, folded into a bitmap by parity, are its odd sketch. The XOR of two
+A text's distinct word shingles give ``SAMPLES`` MinHash values. Bands of the first ones are the bucket
+keys that find candidates; all of them, folded into a bitmap by parity, are its odd sketch. The XOR of two
 odd sketches counts the samples in which two sets differ, which sorts candidates out before the full
 sets are compared.
 
@@ -18,6 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -40,9 +41,13 @@ SKETCH_LONGS = SKETCH_BITS // 64
 #: wanted similarity; 0.15 is more than four standard errors of the samples.
 MARGIN = 0.15
 
+#: Bits at most of the filter of ids that are read again, and places of an id in it.
+FILTER_BITS = 1 << 27
+FILTER_PLACES = 4
+
 _BLOCK = 1 << 15
 _FACTORS = mix(np.arange(1, SAMPLES + 1, dtype=np.uint64) << np.uint64(20)) | np.uint64(1)
-_PLACES = mix(np.arange(1, 9, dtype=np.uint64) << np.uint64(33)) | np.uint64(1)
+_WEIGHTS = mix(np.arange(1, 3, dtype=np.uint64) << np.uint64(33)) | np.uint64(1)
 
 
 def shingle_hashes(column: pa.Array, words: int) -> tuple[np.ndarray, np.ndarray]:
@@ -58,11 +63,11 @@ def shingle_hashes(column: pa.Array, words: int) -> tuple[np.ndarray, np.ndarray
     rows = np.repeat(np.arange(len(sizes)), sizes)
     begin = np.arange(first[-1]) - first[rows] + found.first[rows]
     width = np.minimum(counts[rows], words)
-    total = width.astype(np.uint64) * _PLACES[-1]
+    weights = mix(np.arange(1, words + 2, dtype=np.uint64) << np.uint64(33)) | np.uint64(1)
+    total = width.astype(np.uint64) * weights[-1]
     for step in range(words):
         inside = width > step
-        place = mix(np.array([step + 1], dtype=np.uint64) << np.uint64(33))[0] | np.uint64(1)
-        total[inside] += found.hashes[begin[inside] + step] * place
+        total[inside] += found.hashes[begin[inside] + step] * weights[step]
     return mix(total), first
 
 
@@ -100,7 +105,7 @@ def odd_sketches(minima: np.ndarray) -> np.ndarray:
 def band_keys(minima: np.ndarray) -> np.ndarray:
     """Rows x ``BANDS`` bucket keys."""
     places = mix(np.arange(1, ROWS + 1, dtype=np.uint64) << np.uint64(41)) | np.uint64(1)
-    grouped = minima.reshape(BANDS, ROWS, -1) * places[None, :, None]
+    grouped = minima[: BANDS * ROWS].reshape(BANDS, ROWS, -1) * places[None, :, None]
     number = np.arange(BANDS, dtype=np.uint64)[:, None] * np.uint64(0xD6E8FEB86659FD93)
     return mix(grouped.sum(axis=1, dtype=np.uint64) + number).view(np.int64).T
 
@@ -141,7 +146,7 @@ def signatures(documents: DataFrame, words: int = WORDS) -> DataFrame:
                     starts = first[:-1][full]
                     minima[:, full] = min_hashes(sets, np.append(starts, len(sets)))
                     digests[0, full] = np.add.reduceat(mix(sets), starts)
-                    digests[1, full] = np.bitwise_xor.reduceat(mix(sets * _PLACES[0] + _PLACES[1]), starts)
+                    digests[1, full] = np.bitwise_xor.reduceat(mix(sets * _WEIGHTS[0] + _WEIGHTS[1]), starts)
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column(0),
@@ -160,11 +165,60 @@ def signatures(documents: DataFrame, words: int = WORDS) -> DataFrame:
     return documents.select("doc_id", "text").mapInArrow(signed, schema)
 
 
-def shingle_sets(documents: DataFrame, words: int = WORDS) -> DataFrame:
-    """``node, shingles``: the sorted distinct shingle hashes of each row."""
+def _places(ids: np.ndarray, bits: int) -> np.ndarray:
+    """The places of each id in a filter of so many bits (a power of two): ids x ``FILTER_PLACES``."""
+    number = np.arange(1, FILTER_PLACES + 1, dtype=np.uint64)[None, :] * np.uint64(0x9E3779B97F4A7C15)
+    return (mix(ids.view(np.uint64)[:, None] + number) & np.uint64(bits - 1)).astype(np.int64)
+
+
+def id_filter(nodes: DataFrame) -> np.ndarray:
+    """A Bloom filter of the ids in ``nodes(node)``, as 64-bit words.
+
+    Its size follows the number of ids up to ``FILTER_BITS``, a bound for what is broadcast; beyond
+    that it lets more ids pass that are not there, and never holds one back that is.
+    """
+    bits = 1 << min(max(16 * nodes.count(), 1 << 16).bit_length(), FILTER_BITS.bit_length() - 1)
+
+    def marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            places = _places(batch.column(0).to_numpy(zero_copy_only=False), bits).ravel()
+            places = np.unique(places)
+            word, first = np.unique(places >> 6, return_index=True)
+            masks = np.uint64(1) << (places & 63).astype(np.uint64)
+            mask = np.bitwise_or.reduceat(masks, first) if len(first) else masks
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(word), pa.array(mask.view(np.int64))], ["word", "mask"]
+            )
+
+    words = nodes.select("node").mapInArrow(marked, "word long, mask long")
+    found = words.groupBy("word").agg(F.bit_or("mask").alias("mask")).toArrow()
+    held = np.zeros(bits // 64, dtype=np.uint64)
+    held[found.column("word").to_numpy()] = found.column("mask").to_numpy().view(np.uint64)
+    return held
+
+
+def shingle_sets(documents: DataFrame, nodes: DataFrame, words: int = WORDS) -> DataFrame:
+    """``node, shingles``: the sorted distinct shingle hashes of the documents in ``nodes(node)``.
+
+    Documents are sorted out by a filter of the ids before anything is computed or shuffled; a few
+    others pass it. A task gives each id once.
+    """
+    shared = documents.sparkSession.sparkContext.broadcast(id_filter(nodes))
 
     def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = shared.value
+        seen: set[int] = set()
         for batch in batches:
+            batch = batch.filter(pc.is_valid(batch.column(0)))
+            ids = batch.column(0).to_numpy(zero_copy_only=False)
+            places = _places(ids, 64 * len(held))
+            bit = (held[places >> 6] >> (places & 63).astype(np.uint64)) & np.uint64(1)
+            passed = []
+            for at in np.flatnonzero(bit.all(axis=1)):
+                if ids[at] not in seen:
+                    seen.add(int(ids[at]))
+                    passed.append(at)
+            batch = batch.take(pa.array(passed, pa.int64()))
             for low, high in row_blocks(batch.column(1)):
                 part = batch.slice(low, high - low)
                 sets, first = distinct_sets(*shingle_hashes(part.column(1), words))
@@ -229,10 +283,8 @@ def verified(pairs: DataFrame, documents: DataFrame, words: int, similarity: int
     a join that Spark splits.
     """
     pairs = stage(pairs.select("a", "b"), "near-dup-pairs")
-    nodes = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    wanted = documents.select("doc_id", "text").join(nodes, "doc_id", "left_semi")
-    # rows with one id have one text, or are one document anyway
-    sets = stage(shingle_sets(wanted, words), "near-dup-sets").dropDuplicates(["node"])
+    nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    sets = stage(shingle_sets(documents, nodes, words), "near-dup-sets")
     left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("left"))
     right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("right"))
     common = F.size(F.array_intersect("left", "right"))
@@ -242,6 +294,7 @@ def verified(pairs: DataFrame, documents: DataFrame, words: int, similarity: int
         .join(right, "b")
         .where((common >= 1) & (100 * common >= similarity * union))
         .select("a", "b")
+        .distinct()
     )
 
 
@@ -287,6 +340,10 @@ def near_duplicates(
     most = math.ceil(differing_bits(similarity / 100 - MARGIN))
     labels = single.select("node", F.col("node").alias("label")).where("false")
 
+    # one leader for each document, then the leaders of all buckets that hold several components
+    first = members.groupBy("node").agg(F.min("least").alias("leader")).where("node <> leader")
+    links = _alike(first.select(F.col("leader").alias("a"), F.col("node").alias("b")), sketches, most)
+    labels = connect(labels, verified(links, documents, words, similarity))
     for leader in ("least", "greatest"):
         labelled = _relabelled(members.withColumn("label", F.col("node")), "label", labels)
         led = _relabelled(labelled.withColumn("led", F.col(leader)), "led", labels)
