@@ -31,15 +31,17 @@ SIMILARITY = 80
 #: 32 bands of 5: two sets of similarity 0.8 share no band with a chance of 3 in a million.
 BANDS = 32
 ROWS = 5
-SAMPLES = BANDS * ROWS
+
+#: MinHash values of a set. All are folded into the odd sketch, the first ones are the bands.
+SAMPLES = 512
 
 #: Bits of an odd sketch, kept as 64-bit numbers.
-SKETCH_BITS = 512
+SKETCH_BITS = 2048
 SKETCH_LONGS = SKETCH_BITS // 64
 
-#: Candidates go to the full comparison if their sketches show at least this much less than the
-#: wanted similarity; 0.15 is more than four standard errors of the samples.
-MARGIN = 0.15
+#: Candidates go to the full comparison if their sketches show no more than this less than the
+#: wanted similarity: more than four standard errors of the estimate.
+MARGIN = 0.08
 
 #: Bits at most of the filter of ids that are read again, and places of an id in it.
 FILTER_BITS = 1 << 27
