@@ -47,6 +47,9 @@ MARGIN = 0.08
 FILTER_BITS = 1 << 27
 FILTER_PLACES = 4
 
+#: A class is all texts with one set of shingles.
+CLASS = ["set_a", "set_b", "n_shingles"]
+
 _BLOCK = 1 << 15
 _FACTORS = mix(np.arange(1, SAMPLES + 1, dtype=np.uint64) << np.uint64(20)) | np.uint64(1)
 _WEIGHTS = mix(np.arange(1, 3, dtype=np.uint64) << np.uint64(33)) | np.uint64(1)
@@ -130,31 +133,47 @@ def _lists(values: np.ndarray) -> pa.ListArray:
     return pa.ListArray.from_arrays(offsets, pa.array(np.ascontiguousarray(values).reshape(-1)))
 
 
+def keyed_rows(documents: DataFrame) -> DataFrame:
+    """The rows with ``row_a, row_b``, a 128-bit key of ``doc_id`` and ``text``."""
+    return documents.withColumns(
+        {"row_a": F.xxhash64("doc_id", "text"), "row_b": F.xxhash64(F.lit("row"), "text", "doc_id")}
+    )
+
+
+def set_digests(sets: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """A 128-bit digest of each row's distinct shingles, 0 without any: 2 x rows."""
+    sizes = np.diff(first)
+    full = np.flatnonzero(sizes)
+    digests = np.zeros((2, len(sizes)), dtype=np.uint64)
+    if len(full):
+        starts = first[:-1][full]
+        digests[0, full] = np.add.reduceat(mix(sets), starts)
+        digests[1, full] = np.bitwise_xor.reduceat(mix(sets * _WEIGHTS[0] + _WEIGHTS[1]), starts)
+    return digests.view(np.int64)
+
+
 def signatures(documents: DataFrame, words: int = WORDS) -> DataFrame:
-    """``doc_id, n_shingles, set_a, set_b, bands, sketch`` of each row; ``set_a, set_b`` are a 128-bit
-    digest of the whole set."""
-    names = ["doc_id", "n_shingles", "set_a", "set_b", "bands", "sketch"]
+    """``doc_id, row_a, row_b, n_shingles, set_a, set_b, bands, sketch`` of each row; ``set_a, set_b``
+    are a 128-bit digest of the whole set."""
+    names = ["doc_id", "row_a", "row_b", "n_shingles", "set_a", "set_b", "bands", "sketch"]
 
     def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for low, high in row_blocks(batch.column(1)):
+            for low, high in row_blocks(batch.column(3)):
                 part = batch.slice(low, high - low)
-                sets, first = distinct_sets(*shingle_hashes(part.column(1), words))
+                sets, first = distinct_sets(*shingle_hashes(part.column(3), words))
                 sizes = np.diff(first)
                 full = np.flatnonzero(sizes)
                 minima = np.zeros((SAMPLES, len(sizes)), dtype=np.uint64)
-                digests = np.zeros((2, len(sizes)), dtype=np.uint64)
                 if len(full):
-                    starts = first[:-1][full]
-                    minima[:, full] = min_hashes(sets, np.append(starts, len(sets)))
-                    digests[0, full] = np.add.reduceat(mix(sets), starts)
-                    digests[1, full] = np.bitwise_xor.reduceat(mix(sets * _WEIGHTS[0] + _WEIGHTS[1]), starts)
+                    minima[:, full] = min_hashes(sets, np.append(first[:-1][full], len(sets)))
+                digests = set_digests(sets, first)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        part.column(0),
+                        *part.columns[:3],
                         pa.array(sizes),
-                        pa.array(digests[0].view(np.int64)),
-                        pa.array(digests[1].view(np.int64)),
+                        pa.array(digests[0]),
+                        pa.array(digests[1]),
                         _lists(band_keys(minima)),
                         _lists(odd_sketches(minima)),
                     ],
@@ -162,9 +181,11 @@ def signatures(documents: DataFrame, words: int = WORDS) -> DataFrame:
                 )
 
     schema = (
-        "doc_id long, n_shingles long, set_a long, set_b long, bands array<long>, sketch array<long>"
+        "doc_id long, row_a long, row_b long, n_shingles long, set_a long, set_b long, "
+        "bands array<long>, sketch array<long>"
     )
-    return documents.select("doc_id", "text").mapInArrow(signed, schema)
+    rows = keyed_rows(documents.select("doc_id", "text"))
+    return rows.select("doc_id", "row_a", "row_b", "text").mapInArrow(signed, schema)
 
 
 def _places(ids: np.ndarray, bits: int) -> np.ndarray:
@@ -173,13 +194,13 @@ def _places(ids: np.ndarray, bits: int) -> np.ndarray:
     return (mix(ids.view(np.uint64)[:, None] + number) & np.uint64(bits - 1)).astype(np.int64)
 
 
-def id_filter(nodes: DataFrame) -> np.ndarray:
-    """A Bloom filter of the ids in ``nodes(node)``, as 64-bit words.
+def id_filter(ids: DataFrame) -> np.ndarray:
+    """A Bloom filter of the one column of ``ids``, as 64-bit words.
 
     Its size follows the number of ids up to ``FILTER_BITS``, a bound for what is broadcast; beyond
     that it lets more ids pass that are not there, and never holds one back that is.
     """
-    bits = 1 << min(max(16 * nodes.count(), 1 << 16).bit_length(), FILTER_BITS.bit_length() - 1)
+    bits = 1 << min(max(16 * ids.count(), 1 << 16).bit_length(), FILTER_BITS.bit_length() - 1)
 
     def marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -192,44 +213,50 @@ def id_filter(nodes: DataFrame) -> np.ndarray:
                 [pa.array(word), pa.array(mask.view(np.int64))], ["word", "mask"]
             )
 
-    words = nodes.select("node").mapInArrow(marked, "word long, mask long")
+    words = ids.mapInArrow(marked, "word long, mask long")
     found = words.groupBy("word").agg(F.bit_or("mask").alias("mask")).toArrow()
     held = np.zeros(bits // 64, dtype=np.uint64)
     held[found.column("word").to_numpy()] = found.column("mask").to_numpy().view(np.uint64)
     return held
 
 
-def shingle_sets(documents: DataFrame, nodes: DataFrame, words: int = WORDS) -> DataFrame:
-    """``node, shingles``: the sorted distinct shingle hashes of the documents in ``nodes(node)``.
+def shingle_sets(documents: DataFrame, wanted: DataFrame, words: int = WORDS) -> DataFrame:
+    """``node, shingles``: the sorted distinct shingle hashes of ``wanted(node, row_a)`` and their digests.
 
-    Documents are sorted out by a filter of the ids before anything is computed or shuffled; a few
-    others pass it. A task gives each id once.
+    Rows are sorted out by a filter of their keys before anything is computed or shuffled. A few others
+    pass it; the digests sort those out, and repeated rows count once.
     """
-    shared = documents.sparkSession.sparkContext.broadcast(id_filter(nodes))
+    shared = documents.sparkSession.sparkContext.broadcast(id_filter(wanted.select("row_a")))
 
     def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = shared.value
-        seen: set[int] = set()
+        seen: set[tuple[int, int]] = set()
         for batch in batches:
-            batch = batch.filter(pc.is_valid(batch.column(0)))
-            ids = batch.column(0).to_numpy(zero_copy_only=False)
-            places = _places(ids, 64 * len(held))
+            keys = [batch.column(at).to_numpy(zero_copy_only=False) for at in range(2)]
+            places = _places(keys[0], 64 * len(held))
             bit = (held[places >> 6] >> (places & 63).astype(np.uint64)) & np.uint64(1)
             passed = []
             for at in np.flatnonzero(bit.all(axis=1)):
-                if ids[at] not in seen:
-                    seen.add(int(ids[at]))
+                key = int(keys[0][at]), int(keys[1][at])
+                if key not in seen:
+                    seen.add(key)
                     passed.append(at)
             batch = batch.take(pa.array(passed, pa.int64()))
-            for low, high in row_blocks(batch.column(1)):
-                part = batch.slice(low, high - low)
-                sets, first = distinct_sets(*shingle_hashes(part.column(1), words))
+            for low, high in row_blocks(batch.column(2)):
+                sets, first = distinct_sets(*shingle_hashes(batch.column(2).slice(low, high - low), words))
                 lists = pa.ListArray.from_arrays(
                     pa.array(first.astype(np.int32)), pa.array(sets.view(np.int64))
                 )
-                yield pa.RecordBatch.from_arrays([part.column(0), lists], ["node", "shingles"])
+                digests = set_digests(sets, first)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(digests[0]), pa.array(digests[1]), pa.array(np.diff(first)), lists],
+                    [*CLASS, "shingles"],
+                )
 
-    return documents.select("doc_id", "text").mapInArrow(listed, "node long, shingles array<long>")
+    schema = "set_a long, set_b long, n_shingles long, shingles array<long>"
+    rows = keyed_rows(documents.select("doc_id", "text")).select("row_a", "row_b", "text")
+    found = rows.mapInArrow(listed, schema).dropDuplicates(CLASS)
+    return found.join(wanted.select("node", *CLASS), CLASS).select("node", "shingles")
 
 
 def _relabelled(rows: DataFrame, column: str, labels: DataFrame) -> DataFrame:
@@ -278,15 +305,18 @@ def _differing(left: str, right: str) -> Column:
     return sum(counts[1:], counts[0])
 
 
-def verified(pairs: DataFrame, documents: DataFrame, words: int, similarity: int) -> DataFrame:
+def verified(
+    pairs: DataFrame, classes: DataFrame, documents: DataFrame, words: int, similarity: int
+) -> DataFrame:
     """The pairs ``a, b`` whose full sets have 100 * common >= similarity * union.
 
-    Only documents in a pair are read again. The sets of a document in very many pairs meet them in
+    Only one document of each class in a pair is read again. The sets of a document in very many pairs meet them in
     a join that Spark splits.
     """
     pairs = stage(pairs.select("a", "b"), "near-dup-pairs")
     nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    sets = stage(shingle_sets(documents, nodes, words), "near-dup-sets")
+    wanted = stage(classes.select("node", "head.row_a", *CLASS).join(nodes, "node"), "near-dup-wanted")
+    sets = stage(shingle_sets(documents, wanted, words), "near-dup-sets")
     left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("left"))
     right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("right"))
     common = F.size(F.array_intersect("left", "right"))
@@ -307,28 +337,26 @@ def _alike(pairs: DataFrame, sketches: DataFrame, most: int) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").where(_differing("left", "right") <= most).select("a", "b")
 
 
-def near_duplicates(
+def components(
     documents: DataFrame, words: int = WORDS, similarity: int = SIMILARITY
-) -> DataFrame:
-    """Per row of ``documents(doc_id, text)``: ``doc_id, n_shingles, component_id, kept``.
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The rows' signatures, ``set_a, set_b, n_shingles, label`` per class, and ``label, head`` per
+    component.
 
-    Documents are linked if their sets of ``words``-word shingles have a Jaccard similarity of at
-    least ``similarity`` percent; ``component_id`` is the smallest ``doc_id`` that links lead to.
-    Null, empty and wordless texts are linked with nothing. Rows with one ``doc_id`` are one
-    document. A null ``doc_id`` joins the class of its text, and is kept if there is no other id in
-    it. An empty table gives an empty table; other columns are ignored.
+    Links are between texts, whatever ids their rows have. ``head`` describes the row that stands for the
+    component: the smallest by id, then by digest; rows without id come last.
     """
     documents = documents.select("doc_id", "text")
     signed = stage(signatures(documents, words), "near-dup-signatures")
-    full = signed.where("n_shingles > 0")
-    classes = full.groupBy("set_a", "set_b", "n_shingles").agg(F.min("doc_id").alias("node"))
-    # the row of the smallest id stands for its class
+    head = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", *CLASS, "row_a", "row_b")
+    # bands and sketch follow from the set, so any row's will do; nodes go by id, since leaders are the
+    # smallest nodes and an original tends to be older than its copies
     single = (
-        full.select("doc_id", "set_a", "set_b", "n_shingles", "bands", "sketch")
-        .join(classes.select("set_a", "set_b", "n_shingles", F.col("node").alias("doc_id")),
-              ["set_a", "set_b", "n_shingles", "doc_id"], "left_semi")
-        .dropDuplicates(["doc_id"])
-        .select(F.col("doc_id").alias("node"), "bands", "sketch")
+        signed.where("n_shingles > 0")
+        .groupBy(*CLASS)
+        .agg(F.min(head).alias("head"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"))
+        .orderBy("head")
+        .withColumn("node", F.monotonically_increasing_id())
     )
     single = stage(single, "near-dup-classes")
     buckets = single.select("node", F.explode("bands").alias("bucket"))
@@ -345,14 +373,14 @@ def near_duplicates(
     # one leader for each document, then the leaders of all buckets that hold several components
     first = members.groupBy("node").agg(F.min("least").alias("leader")).where("node <> leader")
     links = _alike(first.select(F.col("leader").alias("a"), F.col("node").alias("b")), sketches, most)
-    labels = connect(labels, verified(links, documents, words, similarity))
+    labels = connect(labels, verified(links, single, documents, words, similarity))
     for leader in ("least", "greatest"):
         labelled = _relabelled(members.withColumn("label", F.col("node")), "label", labels)
         led = _relabelled(labelled.withColumn("led", F.col(leader)), "led", labels)
         pairs = led.where("label <> led").select(
             F.least("node", leader).alias("a"), F.greatest("node", leader).alias("b")
         )
-        links = verified(_alike(pairs.distinct(), sketches, most), documents, words, similarity)
+        links = verified(_alike(pairs.distinct(), sketches, most), single, documents, words, similarity)
         labels = connect(labels, links)
 
     labelled = _relabelled(members.withColumn("label", F.col("node")), "label", labels)
@@ -373,25 +401,55 @@ def near_duplicates(
         .select("a", "b")
         .distinct()
     )
-    labels = connect(labels, verified(across, documents, words, similarity))
+    labels = connect(labels, verified(across, single, documents, words, similarity))
 
-    named = _relabelled(classes.withColumn("component_id", F.col("node")), "component_id", labels)
-    linked = full.join(
-        named.select("set_a", "set_b", "n_shingles", "component_id"), ["set_a", "set_b", "n_shingles"]
-    ).select("doc_id", "n_shingles", "component_id")
-    alone = signed.where("n_shingles = 0").select(
-        "doc_id", "n_shingles", F.col("doc_id").alias("component_id")
+    classes = single.select(*CLASS, "head", F.col("node").alias("label"))
+    classes = stage(_relabelled(classes, "label", labels), "near-dup-components")
+    heads = stage(classes.groupBy("label").agg(F.min("head").alias("head")), "near-dup-heads")
+    return signed, classes.select(*CLASS, "label"), heads
+
+
+def near_duplicates(
+    documents: DataFrame, words: int = WORDS, similarity: int = SIMILARITY
+) -> DataFrame:
+    """Per row of ``documents(doc_id, text)``: ``doc_id, n_shingles, component_id, kept``.
+
+    Texts are linked if their sets of ``words``-word shingles have a Jaccard similarity of at least
+    ``similarity`` percent; ``component_id`` is the smallest ``doc_id`` that links lead to, null if
+    none of them has an id. Null, empty and wordless texts are linked with nothing. Each row goes by its
+    own text, also where rows share a ``doc_id`` or have none. Of a component the rows are kept that have
+    its smallest id, and of several texts under this id (or without any) those of one. An empty table
+    gives an empty table; other columns are ignored.
+    """
+    signed, classes, heads = components(documents, words, similarity)
+    named = stage(classes.join(heads, "label"), "near-dup-named")
+    linked = signed.where("n_shingles > 0").select("doc_id", *CLASS).join(named, CLASS).select(
+        "doc_id",
+        "n_shingles",
+        F.col("head.doc_id").alias("component_id"),
+        (
+            F.col("doc_id").eqNullSafe(F.col("head.doc_id"))
+            & (F.col("set_a") == F.col("head.set_a"))
+            & (F.col("set_b") == F.col("head.set_b"))
+        ).alias("kept"),
     )
-    return linked.unionByName(alone).withColumn(
-        "kept", F.col("doc_id").eqNullSafe(F.col("component_id"))
+    alone = signed.where("n_shingles = 0").select(
+        "doc_id", "n_shingles", F.col("doc_id").alias("component_id"), F.lit(True).alias("kept")
     )
+    return linked.unionByName(alone)
 
 
 def drop_near_duplicates(documents: DataFrame, words: int = WORDS, similarity: int = SIMILARITY) -> DataFrame:
-    """One document of each component, with its own columns: the one with the smallest id."""
-    kept = near_duplicates(documents, words, similarity).where("kept").select("doc_id").distinct()
-    own = documents.select(
-        F.struct(*[F.col(f"`{name}`") for name in documents.columns]).alias("row"), "doc_id"
-    )
-    matched = own.join(kept.withColumnRenamed("doc_id", "kept_id"), F.col("doc_id").eqNullSafe(F.col("kept_id")))
-    return matched.dropDuplicates(["doc_id"]).select("row.*")
+    """One document of each component, with its own columns: the one with the smallest id.
+
+    Wordless texts all stay, repeated rows of one id and text as one.
+    """
+    signed, _, heads = components(documents, words, similarity)
+    wordless = signed.where("n_shingles = 0 and doc_id is not null").select("row_a", "row_b")
+    kept = heads.select("head.row_a", "head.row_b").union(wordless.distinct())
+    row = F.struct(*[F.col(f"`{name}`") for name in documents.columns]).alias("row")
+    own = keyed_rows(documents.select(row, "doc_id", "text"))
+    # without id and words there is nothing to tell rows apart by
+    nameless = F.col("doc_id").isNull() & ~F.coalesce("text", F.lit("")).rlike(r"[^\x20\x09-\x0D]")
+    matched = own.where(~nameless).join(kept, ["row_a", "row_b"]).dropDuplicates(["row_a", "row_b"])
+    return matched.select("row.*").unionByName(own.where(nameless).select("row.*"))

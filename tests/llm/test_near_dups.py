@@ -99,6 +99,29 @@ def test_one_document_of_each_group_stays(edge_docs, no_docs):
     assert drop_near_duplicates(no_docs).count() == 0
 
 
+def test_unlike_texts_stay_under_one_id_and_without_id(spark):
+    draw = random.Random(9)
+    texts = [" ".join(draw.choices([f"w{at}" for at in range(500)], k=60)) for _ in range(5)]
+    near = texts[4] + " end"
+    rows = [(7, texts[0]), (7, texts[1]), (None, texts[2]), (None, texts[3]), (None, texts[0]),
+            (9, texts[1] + " end"), (None, texts[4]), (None, near), (7, texts[0]), (None, " "), (None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = {}
+    for row, flag in zip(rows, [1, 1, 1, 1, 0, 0, None, None, 1, 1, 1]):
+        found.setdefault((row[0], row[1]), flag)
+    kept = [tuple(row) for row in drop_near_duplicates(docs).collect()]
+    for row, flag in found.items():
+        if flag is not None:
+            assert kept.count(row) == flag, row
+    assert kept.count((None, texts[4])) + kept.count((None, near)) == 1
+    marks = near_duplicates(docs).collect()
+    assert len(marks) == len(rows)
+    assert sorted((row["component_id"], row["kept"]) for row in marks if row["component_id"] is not None) == [
+        (7, False), (7, False), (7, True), (7, True), (7, True)
+    ]
+    assert sorted(row["kept"] for row in marks if row["component_id"] is None) == [False, *[True] * 5]
+
+
 def test_connect_follows_long_chains(spark):
     chain = [(at, at + 1) for at in range(0, 40)] + [(100, 101), (101, 100), (102, 101)]
     links = spark.createDataFrame(chain, "a long, b long")
