@@ -40,6 +40,10 @@ _OUTSIDE = frozenset(
     "head nav footer aside form button select option optgroup datalist fieldset menu dialog svg math "
     "canvas object embed audio video map".split()
 )
+#: Those of them that have no running text, or none that is shown with the page.
+_NEVER = frozenset(
+    "head button select option optgroup datalist svg math canvas object embed audio video map".split()
+)
 _ROLES = frozenset(
     "navigation banner contentinfo complementary search dialog alertdialog alert form menu menubar "
     "toolbar tablist status".split()
@@ -88,41 +92,45 @@ MOST_TEXT = 0.5
 class Element:
     """An element with its content in order: text and further elements."""
 
-    __slots__ = ("tag", "parent", "content", "block", "outside", "layout", "link",
-                 "own", "own_links", "commas", "chars", "links", "score", "mass")
+    __slots__ = ("tag", "parent", "content", "block", "outside", "layout", "named", "link",
+                 "own", "own_links", "commas", "chars", "links", "score", "mass", "mains")
 
     def __init__(self, tag: str, parent):
         self.tag, self.parent, self.content = tag, parent, []
         self.block = tag not in _INLINE
         self.link = tag == "a" or (parent is not None and parent.link)
-        self.outside = self.layout = False
-        self.own = self.own_links = self.commas = self.chars = self.links = self.mass = 0
+        self.outside = self.layout = self.named = False
+        self.own = self.own_links = self.commas = self.chars = self.links = self.mass = self.mains = 0
         self.score = 0.0
 
 
 def _mark(element: Element, attributes: str) -> None:
-    """Note whether the element belongs to the surroundings of an article."""
+    """Note whether the element belongs to the surroundings of an article, and whether it does so by its
+    tag, role or class alone (``named``), which a wrapper around the whole page may have too."""
     tag = element.tag
+    element.named = tag in _OUTSIDE and tag not in _NEVER
     element.outside = tag in _OUTSIDE
     if not attributes or tag in ("html", "body"):
         return
     names: list[str] = []
+    unseen = tag in _NEVER
     for name, value, flag in _ATTRIBUTE.findall(attributes):
         name = (name or flag).lower()
         value = html.unescape(value.strip("\"'"))
         if name in ("class", "id"):
             names += [part.lower() for part in _NAME_PART.findall(value)]
         elif name == "role" and value.lower() in _ROLES:
-            element.outside = True
+            element.outside = element.named = True
         elif name == "hidden" or name == "aria-hidden" and value.lower() == "true":
-            element.outside = True
+            element.outside = unseen = True
         elif name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
-            element.outside = True
+            element.outside = unseen = True
     if not _COMMENTS.isdisjoint(names):
-        element.outside = True
+        element.outside = unseen = True
     elif tag not in _MAIN and tag not in _HEADINGS and not _SURROUNDINGS.isdisjoint(names):
         element.layout = not element.outside and _SURROUNDINGS.intersection(names) <= _LAYOUT
-        element.outside = True
+        element.outside = element.named = True
+    element.named = element.named and not unseen
 
 
 def parse(page: str) -> list[Element]:
@@ -210,21 +218,25 @@ def _measure(elements: list[Element]) -> None:
     for element in reversed(elements):
         if element.block and element.own >= PARAGRAPH_CHARS and element.own_links * 2 < element.own:
             element.mass += element.own
+        element.mains += element.tag in _MAIN and element.chars > 0 and not element.outside
         if element.parent is not None:
             element.parent.chars += element.chars
             element.parent.links += element.links
             element.parent.mass += element.mass
+            element.parent.mains += element.mains
 
 
 def _settle_outside(elements: list[Element]) -> None:
     """Page headers are surroundings, an article's own heading is not; what holds most of the page's
-    paragraphs is no surroundings, whatever it is called. Marks pass down."""
+    paragraphs is no surroundings, whatever it is called, unless an article or main element lies beside
+    it. Marks pass down."""
     total = elements[0].mass
     for element in elements[1:]:
         above = element.parent
         if element.tag == "header":
+            element.named = element.named or not element.outside
             element.outside = True
-        if element.layout:
+        if element.layout or element.named and element.mains == elements[0].mains:
             element.outside = not (total and element.mass > MOST_TEXT * total)
         if above.outside:
             in_article_header = above.tag == "header" and element.tag in _HEADINGS

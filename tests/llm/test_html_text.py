@@ -4,6 +4,7 @@ from passagemill.llm.html_text import extract_main_text, main_text
 
 LONG = "It was a long day by the river, and the boats came in late, with little wind."
 MORE = "Nobody spoke of it again, but the stones were moved, one by one, before winter."
+SHORT = "Buy this now, it is cheap and good."
 
 PAGES = {
     "article": (
@@ -55,6 +56,20 @@ PAGES = {
         f"<article><section><p>{LONG}</p></section><section><h2>Part</h2><p>Brief.</p></section></article>",
         f"{LONG} Part Brief.",
     ),
+    "form around the page": (
+        f'<form id="aspnetForm"><div class="menu"><a>Home</a></div><div><p>{LONG}</p><p>{MORE}</p>'
+        "<form>Search <input></form></div></form>",
+        f"{LONG} {MORE}",
+    ),
+    "advert words on a wrapper": (
+        f'<div class="post has-ads"><p>{LONG}</p><div class="ads">{SHORT}</div><p>{MORE}</p></div>',
+        f"{LONG} {MORE}",
+    ),
+    "sharing words and a role on a wrapper": (
+        f'<div role="search"><div class="content social-share"><p>{LONG}</p><p>{MORE}</p></div></div>',
+        f"{LONG} {MORE}",
+    ),
+    "hidden wrapper": (f'<div hidden class="ads"><p>{LONG}</p></div><p>{SHORT}</p>', "Buy this now, it is cheap and good."),
     "plain text": ("just <i>text</i>", "just text"),
     "only a menu": ("<nav><a>Home</a></nav>", ""),
     "broken": ("<p>a <b", "a"),
