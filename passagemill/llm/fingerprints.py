@@ -1,5 +1,9 @@
 """Document fingerprints: invertible Bloom lookup sketches of a text's paragraphs.
 
+Paragraphs are lines, cut after sentence ends and, where those are far apart, at words chosen by a
+hash. Where a cut falls depends on the few words before it alone, so an edit changes the paragraphs around it
+and no others.
+
 Each paragraph's digest goes into three cells, one in each third of the sketch; a cell keeps the sum
 of counts and the XOR of digests and of their checks. Two versions' sketches are subtracted cell by
 cell: equal paragraphs vanish. A cell that holds a single digest gives it up, which frees others,
@@ -20,9 +24,12 @@ from pyspark.sql.window import Window
 from passagemill.llm.common import let
 from passagemill.session import stage
 
-#: Lines with more signs are cut after sentence ends, so that texts without line breaks have
-#: paragraphs too.
-LONG_LINE = 400
+#: Where a line is cut: after sentence ends.
+SENTENCE_END = r"(?<=[.!?])\x20|(?<=[。！？])"
+
+#: After so many words without a sentence end, a line is cut behind one of so many words on average.
+UNCUT_WORDS = 24
+CUT_WORDS = 8
 
 #: Cells in each third of a fingerprint.
 THIRD = 8
@@ -40,15 +47,39 @@ ROUNDS = 18
 RECOVERED = -1
 
 
+def _stretches(sentence: Column) -> Column:
+    """A sentence cut behind words that a hash of them and the word before chooses, and behind words that
+    say the last one again."""
+
+    def cut(words: Column) -> Column:
+        def behind(at: Column) -> Column:
+            last, before = F.get(words, at - 1), F.get(words, at - 2)
+            return (last == before) | (F.pmod(F.xxhash64(last, before), F.lit(CUT_WORDS)) == 0)
+
+        def pieces(starts: Column) -> Column:
+            return F.transform(
+                starts,
+                lambda start, number: F.array_join(
+                    F.slice(
+                        words, start + 1, F.coalesce(F.get(starts, number + 1), F.size(words)) - start
+                    ),
+                    " ",
+                ),
+            )
+
+        places = F.filter(F.sequence(F.lit(UNCUT_WORDS), F.size(words) - 1), behind)
+        return F.when(
+            F.size(words) > UNCUT_WORDS, let(F.concat(F.array(F.lit(0)), places), pieces)
+        ).otherwise(F.array(sentence))
+
+    return let(F.split(sentence, " ", -1), cut)
+
+
 def paragraphs(text: Column) -> Column:
-    """The lines of a text, long ones cut after sentence ends; without empty ones."""
-    cut = F.transform(
-        F.split(text, "\n", -1),
-        lambda line: F.when(
-            F.length(line) > LONG_LINE, F.split(line, r"(?<=[.!?])\x20", -1)
-        ).otherwise(F.array(line)),
-    )
-    return F.filter(F.flatten(cut), lambda one: F.length(one) > 0)
+    """The lines of a text, cut after sentence ends and long sentences at chosen words; without empty
+    ones."""
+    sentences = F.flatten(F.transform(F.split(text, "\n", -1), lambda line: F.split(line, SENTENCE_END, -1)))
+    return F.filter(F.flatten(F.transform(sentences, _stretches)), lambda one: F.length(one) > 0)
 
 
 def _runs(ordered: Column, value) -> Column:

@@ -13,6 +13,7 @@ from passagemill.llm.fingerprints import (
     next_ids,
     paragraph_keys,
 )
+from passagemill.llm.fingerprints import paragraphs as paragraphs_column
 
 
 def paragraphs(text):
@@ -49,6 +50,31 @@ def test_versions_equal_brute_force(edge_docs, edge_rows):
         assert by_text.setdefault(texts[row["doc_id"]], row["fingerprint"]) == row["fingerprint"]
 
 
+def test_cuts_depend_on_nearby_words_alone(spark):
+    sentence = "One of the stones was moved before winter came."
+    plain = " ".join(f"w{at * at % 101}" for at in range(600))
+    texts = {
+        "short": " ".join([sentence] * 8),
+        "long": " ".join([sentence] * 8) + " " + "And" * 10,
+        "plain": plain,
+        "edited": plain[:1500] + " nothing like it " + plain[700:900],
+        "moved": " ".join(plain.split()[300:]),
+        "again": "word " * 500,
+        "signs": "早い。遅い。早い",
+    }
+    assert len(texts["short"]) < 400 < len(texts["long"])
+    rows = spark.createDataFrame(list(texts.items()), "name string, text string")
+    found = {r["name"]: r["cut"] for r in rows.select("name", paragraphs_column(F.col("text")).alias("cut")).collect()}
+    for name in ("short", "plain", "again"):
+        assert " ".join(found[name]).split() == texts[name].split()
+    assert found["short"] == [sentence] * 8 and found["long"][:8] == [sentence] * 8
+    assert len(found["plain"]) > 10 and len(found["again"]) > 100
+    same = [one for one, other in zip(found["plain"], found["edited"]) if one == other]
+    assert len(same) > 5 and len(" ".join(same)) > 1000
+    assert found["moved"][2:] and found["moved"][-1] == found["plain"][-1]
+    assert found["signs"] == ["早い。", "遅い。", "早い"]
+
+
 def test_rows_without_id_have_no_next_document(spark):
     rows = spark.createDataFrame([(None, "abcdef"), (None, None)], "doc_id long, text string")
     found = {row["text"]: row["edited"] for row in edited_versions(rows).collect()}
