@@ -89,7 +89,26 @@ SELECT documents.doc_id, CAST(coalesce(sizes.n, 0) AS BIGINT) AS n_shingles,
 FROM documents LEFT JOIN sizes USING (doc_id) LEFT JOIN least USING (doc_id)
 """
 
+INNER_PRODUCTS = """
+WITH whole AS (
+    SELECT vec_id, row_number() OVER () AS row_no,
+        list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS x
+    FROM embeddings
+    WHERE embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+products AS (
+    SELECT q.row_no, q.vec_id AS query_id, c.vec_id,
+        CAST(list_sum(list_transform(list_zip(q.x, c.x), lambda p: coalesce(p[1] * p[2], 0))) AS BIGINT) AS score
+    FROM whole AS q JOIN whole AS c ON q.row_no <> c.row_no
+    WHERE q.vec_id % 50 = 0),
+ranks AS (
+    SELECT *, row_number() OVER (PARTITION BY row_no ORDER BY score DESC, vec_id NULLS LAST) AS rank
+    FROM products)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranks WHERE rank <= 5
+"""
+
 ORACLES = {
     "op3_near_duplicates": NEAR_DUPLICATES,
     "op10_quality_rules": quality_sql(),
+    "op11_inner_products": INNER_PRODUCTS,
 }

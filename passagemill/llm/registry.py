@@ -8,20 +8,25 @@ from pyspark.sql import functions as F
 from passagemill.llm import (
     fingerprints,
     html_text,
+    inner_products,
     lm_scoring,
     mixing,
     near_dups,
     packing,
+    periodic_runs,
     quality_rules,
     sharding,
     token_counts,
     toxicity,
+    whitening,
 )
 from passagemill.llm.common import id_crc32, table, utf8_bytes
 from passagemill.llm.oracles import ORACLES  # noqa: F401
 
 SHARDS = 24
 TOKEN_LIMIT = 512
+NEAREST = 5
+COMPONENTS = 32
 
 
 def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -131,6 +136,43 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_inner_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    embeddings = table(spark, sf_dir, "embeddings", "vec_id", "embedding")
+    return inner_products.largest_products(embeddings, F.col("vec_id") % 50 == 0, NEAREST).select(
+        "query_id", "rank", F.col("id").alias("vec_id"), "score"
+    )
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    embeddings = table(spark, sf_dir, "embeddings", "vec_id", "embedding")
+    return whitening.whiten(embeddings, components=COMPONENTS).select(
+        F.col("id").alias("vec_id"),
+        "component",
+        "n",
+        F.col("deviation").try_cast("long").alias("deviation"),
+        "whitened",
+        "explained",
+        "identity_error",
+    )
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents", "doc_id", "text")
+    text = periodic_runs.with_repetition(F.col("text"), F.col("doc_id"))
+    longest = periodic_runs.longest_run(F.col("runs"))
+    length, period = longest["length"], -longest["short"]
+    return periodic_runs.find_runs(documents, text, keep=["doc_id"]).select(
+        "row.doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        (-longest["back"]).alias("start"),
+        length.alias("length"),
+        period.alias("period"),
+        F.floor(1000 * length / period).alias("exponent_milli"),
+        periodic_runs.runs_digest(F.col("runs")).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES = {
     "op1_lm_scoring": op1_lm_scoring,
     "op2_source_mixing": op2_source_mixing,
@@ -142,4 +184,7 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_sharding": op9_sharding,
     "op10_quality_rules": op10_quality_rules,
+    "op11_inner_products": op11_inner_products,
+    "op12_whitening": op12_whitening,
+    "op13_periodic_runs": op13_periodic_runs,
 }
