@@ -408,6 +408,7 @@ FROM embeddings""",
     "vector_topk_l2": _nearest("-list_distance(q.v, b.v)") + TOP5,
     "vector_topk_dot": _nearest("list_dot_product(q.v, b.v)") + TOP5,
     "vector_topk_ivf_all_cells": COSINE + TOP5,
+    "vector_topk_ivf_bounded": COSINE + TOP5,
     "vector_topk_ivf_label_cells": LABEL_CELLS + """,
 scored AS (
   SELECT p.vec_id AS query_id, b.vec_id AS id, round(-list_distance(q.v, b.v), 6) + 0.0::DOUBLE AS score

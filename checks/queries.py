@@ -55,6 +55,7 @@ from passagemill.operators.index import (
     open_index,
     recall_by_probes,
     rows_per_cell,
+    vector_topk_bounded,
     vector_topk_indexed,
 )
 from passagemill.operators.keys import add_content_key, add_dense_id
@@ -555,6 +556,13 @@ def vector_topk_ivf_all_cells(spark, sf):
     )
 
 
+def vector_topk_ivf_bounded(spark, sf):
+    """Exact search that reads only cells which can hold a hit."""
+    index = _vector_index(spark, sf)
+    hits = vector_topk_bounded(_vector_questions(spark, sf), index, ("given", 64), 5, 2)
+    return hits.select("query_id", "rank", "id", "score")
+
+
 def _label_index(spark: SparkSession, sf: str):
     """Cells with known centres: the mean vector of every label."""
     rows = _vectors(spark, sf)
@@ -848,6 +856,7 @@ QUERIES = {
         vector_topk_dot,
         vector_topk_ivf,
         vector_topk_ivf_all_cells,
+        vector_topk_ivf_bounded,
         vector_topk_ivf_label_cells,
         ivf_recall,
         search_columns,

@@ -1,16 +1,26 @@
-"""Vector index: keyed Parquet rows that carry the cell of their vector, in loads.
-
-Layout below the index path, for each build: ``rows/<build>/<load>`` with the rows of one load, sorted
-by cell; ``loads/<build>/<load>`` with one row that makes the load count; and the small tables
-``centroids`` and ``meta``, the last of which names the build. A load is written to a folder of its own
-and counts only when its entry is written, so a failure at any point leaves the rows as they were. A
-sync adds a load with the changed rows alone; readers take the latest row of each key, and
-``compact_index`` makes one load of many.
+"""Vector index: keyed Parquet rows in folders by load and cell, read in place.
+
+Layout below the index path, for each build:
+
+- ``rows/<build>/_load=<folder>/cell=<cell>``: the rows that a load added. They are never rewritten.
+- ``sizes/<build>/<folder>``: for each cell of the load how many rows it has and how far from the cell's
+  centre they reach. A search builds the paths of the cells it asks for from this table, so no other
+  folder is listed or read, and nothing is counted.
+- ``keys/<build>/<folder>``: key, version and cell of each change that the load took on, tombstones
+  included; no vectors. Later changes find what they replace here.
+- ``dead/<build>/<folder>``: key, load and cell of each older row that the load replaced or deleted.
+  Readers leave these out, so rows are never grouped by key to find the latest.
+- ``loads/<build>``: one row per load, written last, that makes the load count.
+
+``centroids`` and ``meta`` are small tables; ``meta`` is written last and names the build. A failure at any
+point leaves the index as it was. ``merge_loads`` makes one load of several.
 """
 
 from __future__ import annotations
 
+import json
 import uuid
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -20,11 +30,12 @@ from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType
+from pyspark.sql.types import IntegerType, StringType, StructType
 
 from passagemill.functions.vectors import vector_fault
-from passagemill.operators.changes import latest_rows, live, versioned
+from passagemill.operators.changes import latest_changes
 from passagemill.operators.embed import run_once, same_embedder
+from passagemill.operators.topk import SCORE_DIGITS, ranked
 from passagemill.operators.vector_search import (
     SCORE_CELLS,
     matrix,
@@ -37,6 +48,19 @@ from passagemill.session import stage
 
 NO_CELL = -1
 
+#: Replaced rows up to this number are broadcast to the readers; with more of them the list is joined by a
+#: shuffle until the loads are merged, which ``create_or_sync`` does long before.
+MOST_DEAD = 1_000_000
+
+
+@dataclass(frozen=True)
+class Load:
+    name: str
+    folder: str
+    number: int
+    rows: int
+    dead: int
+
 
 @dataclass(frozen=True)
 class VectorIndex:
@@ -46,26 +70,99 @@ class VectorIndex:
     vector: str
     dim: int
     embedder: str
+    schema: StructType
     centroids: np.ndarray
 
-    def loads(self, spark: SparkSession) -> list[str]:
-        """The folders of the loads that count, by name."""
+    def part(self, kind: str, folder: str) -> str:
+        return f"{self.path}/{kind}/{self.build}/{folder}"
+
+    def loads(self, spark: SparkSession) -> list[Load]:
+        """The loads that count, oldest first."""
         entries = spark.read.parquet(f"{self.path}/loads/{self.build}").collect()
         replaced = {name for entry in entries for name in entry["replaces"]}
-        return sorted(e["folder"] for e in entries if e["folder"] not in replaced)
+        counted = [
+            Load(e["load"], e["folder"], e["number"], e["rows"], e["dead"])
+            for e in entries
+            if e["folder"] not in replaced
+        ]
+        return sorted(counted, key=lambda load: (load.number, load.folder))
 
     def has_load(self, spark: SparkSession, load: str) -> bool:
         entries = spark.read.parquet(f"{self.path}/loads/{self.build}")
         return not entries.where(F.col("load") == load).isEmpty()
 
-    def stored_rows(self, spark: SparkSession) -> DataFrame:
-        """The latest row of each key with its version, tombstones included."""
-        loads = self.loads(spark)
-        rows = spark.read.parquet(*[f"{self.path}/rows/{self.build}/{load}" for load in loads])
-        return rows if len(loads) == 1 else latest_rows(rows, self.key).select(*rows.columns)
-
-    def rows(self, spark: SparkSession) -> DataFrame:
-        return live(self.stored_rows(spark))
+    def parts(self, spark: SparkSession, kind: str, loads: Iterable[Load]) -> DataFrame:
+        return spark.read.parquet(*[self.part(kind, load.folder) for load in loads])
+
+    def cell_sizes(self, spark: SparkSession) -> DataFrame:
+        """``_load, cell, rows`` as written with each load; some of these rows may be dead by now."""
+        return self.parts(spark, "sizes", self.loads(spark))
+
+    def dead_rows(self, spark: SparkSession, loads: Sequence[Load]) -> DataFrame | None:
+        """``key, _load, cell`` of the rows that later loads replaced; none if there are none."""
+        with_dead = [load for load in loads if load.dead]
+        return self.parts(spark, "dead", with_dead) if with_dead else None
+
+    def rows(
+        self,
+        spark: SparkSession,
+        cells: Sequence[int] | None = None,
+        loads: Sequence[Load] | None = None,
+    ) -> DataFrame:
+        """The live rows of the given cells (all if not given), with ``_commit_version`` and ``cell``.
+
+        Only the folders of these cells are listed and read. Rows that a later load replaced are left
+        out by a broadcast list of theirs; the stored rows themselves are not shuffled. ``loads`` reads
+        the rows of some loads only.
+        """
+        counted = self.loads(spark)
+        chosen = counted if loads is None else loads
+        kept = self._stored(spark, chosen, cells)
+        dead = self.dead_rows(spark, counted)
+        if dead is not None:
+            if cells is not None:
+                dead = dead.where(F.col("cell").isin(list(cells)))
+            dead = dead.select(self.key, "_load")
+            if sum(load.dead for load in counted) <= MOST_DEAD:
+                dead = F.broadcast(dead)
+            kept = kept.join(dead, [self.key, "_load"], "left_anti")
+        return kept.select(*self.schema.names, "cell")
+
+    def _stored(
+        self, spark: SparkSession, loads: Sequence[Load], cells: Sequence[int] | None
+    ) -> DataFrame:
+        root = f"{self.path}/rows/{self.build}"
+        schema = StructType([*self.schema.fields]).add("_load", StringType()).add("cell", IntegerType())
+        sizes = self.parts(spark, "sizes", loads) if loads else None
+        if sizes is None:
+            return spark.createDataFrame([], schema)
+        if cells is not None:
+            sizes = sizes.where(F.col("cell").isin(list(cells)))
+        # one row per load and cell
+        held = sizes.select("_load", "cell").collect()
+        paths = [f"{root}/_load={row['_load']}/cell={row['cell']}" for row in held]
+        if cells is None:
+            paths = sorted({f"{root}/_load={row['_load']}" for row in held})
+        if not paths:
+            return spark.createDataFrame([], schema)
+        return spark.read.schema(schema).option("basePath", root).parquet(*paths)
+
+    def key_states(self, spark: SparkSession, keys: DataFrame | None = None) -> DataFrame:
+        """``key, _commit_version, _deleted, cell, _load`` of the last change of each key.
+
+        Reads the narrow tables of keys. With ``keys`` only for those.
+        """
+        states = self.parts(spark, "keys", self.loads(spark))
+        if keys is not None:
+            states = states.join(keys, self.key, "left_semi")
+        values = F.struct(*[name for name in states.columns if name != self.key]).alias("_state")
+        packed = states.select(self.key, values)
+        latest = F.max_by("_state", F.struct("_state._number", "_state._commit_version"))
+        return (
+            packed.groupBy(self.key)
+            .agg(latest.alias("_state"))
+            .select(self.key, "_state._commit_version", "_state._deleted", "_state.cell", "_state._load")
+        )
 
 
 def nearest_cell(vector: Column, centroids: np.ndarray) -> Column:
@@ -91,6 +188,29 @@ def nearest_cell(vector: Column, centroids: np.ndarray) -> Column:
     return run_once(assign, IntegerType())(vector)
 
 
+def cell_reach(vector: Column, cell: Column, centroids: np.ndarray) -> Column:
+    """How far a stored vector lies from its cell's centre: ``gap`` and ``angle`` (in radians).
+
+    The angle is that of a half turn if either is zero, so that nothing is concluded from it.
+    """
+    dim = centroids.shape[1]
+
+    def measure(vectors: pa.Array, cells: pa.Array) -> pa.Array:
+        rows, centres = matrix(vectors, dim), centroids[np.asarray(cells)]
+        gaps = np.sqrt(((rows - centres) ** 2).sum(axis=1))
+        fields = [pa.array(gaps), pa.array(angles(rows, centres))]
+        return pa.StructArray.from_arrays(fields, ["gap", "angle"])
+
+    return run_once(measure, "struct<gap: double, angle: double>")(vector, cell)
+
+
+def angles(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """The angle between each row and the row of the same number; a half turn if one is zero."""
+    norms = np.sqrt((left**2).sum(axis=1) * (right**2).sum(axis=1))
+    cosines = (left * right).sum(axis=1) / np.where(norms == 0, 1.0, norms)
+    return np.where(norms == 0, np.pi, np.arccos(np.clip(cosines, -1, 1)))
+
+
 def train_centroids(rows: DataFrame, vector: str, cells: int, seed: int = 42) -> np.ndarray:
     """k-means centres of all rows."""
     points = rows.select(array_to_vector(F.col(vector).cast("array<double>")).alias("features"))
@@ -98,23 +218,62 @@ def train_centroids(rows: DataFrame, vector: str, cells: int, seed: int = 42) ->
 
 
 def add_load(
-    rows: DataFrame, path: str, build: str, load: str, replaces: list[str] | None = None
+    index: VectorIndex,
+    load: str,
+    number: int,
+    rows: DataFrame,
+    states: DataFrame,
+    dead: DataFrame | None = None,
+    replaces: Sequence[str] = (),
 ) -> None:
-    """Write the rows of a load, then the entry that makes it count.
+    """Write the parts of a load, then the entry that makes it count.
 
-    Rows of one cell lie together; large cells are split over files.
+    ``rows`` are the live rows with ``cell``; ``states`` has key, ``_commit_version``, ``_deleted`` and
+    ``cell`` of every change. Rows of one cell lie together; large cells are split over files.
     """
     spark = rows.sparkSession
     folder = f"{load}-{uuid.uuid4().hex[:12]}"
+
+    written = index.part("rows", f"_load={folder}")
     (
         rows.hint("rebalance", F.col("cell"))
         .sortWithinPartitions("cell")
-        .write.parquet(f"{path}/rows/{build}/{folder}")
+        .write.partitionBy("cell")
+        .parquet(written)
+    )
+    held = spark.read.schema(StructType([*index.schema.fields]).add("cell", IntegerType())).parquet(written)
+    reach = cell_reach(F.col(index.vector), F.col("cell"), index.centroids)
+    (
+        held.select("cell", reach.alias("_reach"))
+        .groupBy("cell")
+        .agg(
+            F.count("*").alias("rows"),
+            F.max("_reach.gap").alias("gap"),
+            F.max("_reach.angle").alias("angle"),
+        )
+        .select(F.lit(folder).alias("_load"), "cell", "rows", "gap", "angle")
+        .coalesce(1)
+        .write.parquet(index.part("sizes", folder))
     )
-    entry = [(load, folder, replaces or [])]
-    spark.createDataFrame(entry, "load string, folder string, replaces array<string>").coalesce(
-        1
-    ).write.mode("append").parquet(f"{path}/loads/{build}")
+    states.select(
+        index.key,
+        "_commit_version",
+        "_deleted",
+        "cell",
+        F.lit(folder).alias("_load"),
+        F.lit(number).alias("_number"),
+    ).write.parquet(index.part("keys", folder))
+    gone = 0
+    if dead is not None:
+        listed = index.part("dead", folder)
+        dead.select(index.key, "_load", "cell").write.parquet(listed)
+        gone = spark.read.parquet(listed).count()
+    sizes = spark.read.parquet(index.part("sizes", folder))
+    total = sizes.agg(F.sum("rows")).first()[0] or 0
+    spark.createDataFrame(
+        [(load, folder, number, total, gone, list(replaces))],
+        "load string, folder string, number int, rows bigint, dead bigint, replaces array<string>",
+    ).coalesce(1).write.mode("append").parquet(f"{index.path}/loads/{index.build}")
 
 
 def write_rejected(rows: DataFrame, path: str, load: str) -> None:
@@ -145,8 +304,14 @@ def build_index(
     good = marked.where("_fault is null").drop("_fault")
     if centroids is None:
         centroids = train_centroids(good, vector, cells)
-    placed = versioned(good, version).withColumn("cell", nearest_cell(F.col(vector), centroids))
-    add_load(placed, path, build, "build")
+    placed = stage(
+        good.withColumn("_commit_version", F.lit(version).cast("bigint")).withColumn(
+            "cell", nearest_cell(F.col(vector), centroids)
+        ),
+        "index-placed",
+    )
+    index = VectorIndex(path, build, key, vector, dim, embedder, placed.drop("cell").schema, centroids)
+    add_load(index, "build", 0, placed, placed.withColumn("_deleted", F.lit(False)))
     bad = marked.where("_fault is not null").withColumnRenamed("_fault", "fault")
     write_rejected(bad, path, "build")
     spark.createDataFrame(
@@ -154,18 +319,74 @@ def build_index(
         "cell int, centroid array<double>",
     ).coalesce(1).write.mode("overwrite").parquet(f"{path}/centroids/{build}")
     spark.createDataFrame(
-        [(build, key, vector, dim, embedder, "ONLINE")],
-        "build string, key string, vector string, dim int, embedder string, status string",
+        [(build, key, vector, dim, embedder, index.schema.json(), "ONLINE")],
+        "build string, key string, vector string, dim int, embedder string, columns string, status string",
     ).coalesce(1).write.mode("overwrite").parquet(f"{path}/meta")
     return open_index(spark, path)
 
 
+def add_changes(spark: SparkSession, index: VectorIndex, changes: DataFrame, load: str) -> None:
+    """Take on change rows (with ``cell``) as a load. No stored row is read or rewritten.
+
+    A change counts if no change of a higher version has come for its key, and of two with one version
+    a row that is there beats a tombstone. The rows that the changes replace are found in the narrow
+    tables of keys and listed as dead.
+    """
+    coming = latest_changes(changes, index.key).withColumnRenamed("cell", "_cell")
+    states = index.key_states(spark, coming.select(index.key)).select(
+        index.key,
+        F.struct("_commit_version", ~F.col("_deleted")).alias("_had"),
+        F.col("_load").alias("_old_load"),
+        F.col("cell").alias("_old_cell"),
+    )
+    newer = F.struct("_commit_version", ~F.col("_deleted")) >= F.col("_had")
+    accepted = stage(
+        coming.join(states, index.key, "left").where(F.col("_had").isNull() | newer),
+        "index-changes",
+    )
+    cell = F.when(~F.col("_deleted"), F.col("_cell")).cast("int").alias("cell")
+    number = 1 + max(held.number for held in index.loads(spark))
+    alive = accepted.where(~F.col("_deleted"))
+    replaced = accepted.where(F.col("_had.col2"))
+    add_load(
+        index,
+        load,
+        number,
+        alive.select(*index.schema.names, cell),
+        accepted.select(index.key, "_commit_version", "_deleted", cell),
+        replaced.select(
+            index.key, F.col("_old_load").alias("_load"), F.col("_old_cell").alias("cell")
+        ),
+    )
+
+
+def merge_loads(spark: SparkSession, path: str, loads: Sequence[Load], name: str = "merged") -> None:
+    """Make one load of the newest ones given; they stop to count when the new one's entry is written.
+
+    Dead rows are not taken along. What the loads replaced in older ones stays listed.
+    """
+    index = open_index(spark, path)
+    folders = [load.folder for load in loads]
+    last = max(load.number for load in loads)
+    inside = F.col("_load").isin(folders)
+    states = index.key_states(spark).where(inside)
+    dead = index.dead_rows(spark, loads)
+    add_load(
+        index,
+        name,
+        last,
+        index.rows(spark, loads=loads),
+        states,
+        None if dead is None else dead.where(~inside),
+        folders,
+    )
+
+
 def compact_index(spark: SparkSession, path: str) -> None:
     """Make one load of all; the old ones stop to count when the new one's entry is written."""
-    index = open_index(spark, path)
-    loads = index.loads(spark)
+    loads = open_index(spark, path).loads(spark)
     if len(loads) > 1:
-        add_load(index.stored_rows(spark), path, index.build, "compact", loads)
+        merge_loads(spark, path, loads, "compact")
 
 
 def open_index(spark: SparkSession, path: str) -> VectorIndex:
@@ -178,6 +399,7 @@ def open_index(spark: SparkSession, path: str) -> VectorIndex:
         meta["vector"],
         meta["dim"],
         meta["embedder"],
+        StructType.fromJson(json.loads(meta["columns"])),
         np.array([row["centroid"] for row in centres]),
     )
 
@@ -195,18 +417,28 @@ def index_exists(spark: SparkSession, path: str) -> bool:
 def describe_index(spark: SparkSession, path: str) -> DataFrame:
     """One row: live rows, distinct keys, greatest vector width, last version, tombstones."""
     index = open_index(spark, path)
-    alive = ~F.col("_deleted")
-    return index.stored_rows(spark).agg(
-        F.count_if(alive).alias("row_count"),
-        F.countDistinct(F.when(alive, F.col(index.key))).alias("key_count"),
-        F.max(F.when(alive, F.size(index.vector))).cast("bigint").alias("width"),
+    live = index.rows(spark).agg(
+        F.count("*").alias("row_count"),
+        F.countDistinct(index.key).alias("key_count"),
+        F.max(F.size(index.vector)).cast("bigint").alias("width"),
+    )
+    states = index.key_states(spark).agg(
         F.max("_commit_version").alias("last_version"),
         F.count_if(F.col("_deleted")).alias("tombstone_count"),
     )
+    # one row each
+    return live.withColumn("_one", F.lit(1)).join(states.withColumn("_one", F.lit(1)), "_one").drop("_one")
 
 
 def rows_per_cell(spark: SparkSession, path: str) -> DataFrame:
-    return open_index(spark, path).rows(spark).groupBy("cell").agg(F.count("*").alias("row_count"))
+    """Live rows of each cell that has any, from the sizes stored with the loads."""
+    index = open_index(spark, path)
+    sizes = index.cell_sizes(spark).select("cell", "rows")
+    dead = index.dead_rows(spark, index.loads(spark))
+    if dead is not None:
+        sizes = sizes.unionByName(dead.groupBy("cell").agg((-F.count("*")).alias("rows")))
+    total = sizes.groupBy("cell").agg(F.sum("rows").alias("row_count"))
+    return total.where(F.col("row_count") > 0)
 
 
 def vector_topk_indexed(
@@ -218,19 +450,31 @@ def vector_topk_indexed(
     metric: str = "cosine",
     query_id: str = "query_id",
     query_vector: str = "embedding",
+    columns: Sequence[str] = (),
 ) -> DataFrame:
     """Approximate k nearest rows; exact when ``probes`` is the number of cells.
 
     ``embedder`` names the model of the questions' vectors and their width; both must be the
-    index's. ``recall_by_probes`` tells how complete the hits are for each number of probes.
+    index's. Only the cells that some question probes are read. ``columns`` of the index's rows are
+    added to the hits. ``recall_by_probes`` tells how complete the hits are for each number of probes.
     """
     same_embedder((index.embedder, index.dim), embedder)
-    asked = queries.select(query_id, query_vector).withColumn(
-        "_cells", probe_order(F.col(query_vector), index.centroids, metric, probes)
+    spark = queries.sparkSession
+    asked = stage(
+        queries.select(query_id, query_vector).withColumn(
+            "_cells", probe_order(F.col(query_vector), index.centroids, metric, probes)
+        ),
+        "index-questions",
     )
-    return vector_topk_in_cells(
+    cells = None
+    if probes < len(index.centroids):
+        # no more than the index has cells
+        probed = asked.select(F.explode("_cells").alias("cell")).distinct().collect()
+        cells = sorted(row["cell"] for row in probed)
+    base = index.rows(spark, cells)
+    hits = vector_topk_in_cells(
         asked,
-        index.rows(queries.sparkSession),
+        base,
         index.dim,
         k,
         metric,
@@ -241,6 +485,93 @@ def vector_topk_indexed(
         F.col("_cells"),
         "cell",
     )
+    return with_columns(hits, base, columns, index.key) if columns else hits
+
+
+def cells_to_look_at(
+    vector: Column,
+    floor: Column,
+    probed: Column,
+    metric: str,
+    centroids: np.ndarray,
+    reach: np.ndarray,
+) -> Column:
+    """The cells beyond ``probed`` that can hold a row of a score of at least ``floor``.
+
+    ``reach`` has gap and angle of each cell, negative where a cell is empty. No row of a cell is nearer
+    than the centre less the gap, turned towards the question by more than the angle, or has a greater
+    product than the centre's plus gap times length. A null floor asks for all cells.
+    """
+    dim, cells = centroids.shape[1], np.arange(len(centroids))
+    slack = 2 * 10.0**-SCORE_DIGITS
+
+    def best_possible(question: np.ndarray) -> np.ndarray:
+        each = np.broadcast_to(question, centroids.shape)
+        if metric == "cosine":
+            return np.cos(np.maximum(angles(each, centroids) - reach[:, 1], 0))
+        if metric == "dot":
+            return centroids @ question + reach[:, 0] * np.sqrt(question @ question)
+        return -np.maximum(np.sqrt(((each - centroids) ** 2).sum(axis=1)) - reach[:, 0], 0)
+
+    def open_cells(vectors: pa.Array, floors: pa.Array, lists: pa.Array) -> pa.Array:
+        out = []
+        for values, least, seen in zip(vectors, floors, lists):
+            if not values.is_valid or len(values) != dim:
+                out.append([])
+                continue
+            may = reach[:, 0] >= 0
+            if least.is_valid:
+                bound = best_possible(np.array(values.as_py(), dtype=np.float64))
+                may &= ~(bound < least.as_py() - slack * (1 + np.abs(bound)))
+            out.append(np.setdiff1d(cells[may], seen.as_py()).tolist())
+        return pa.array(out, pa.list_(pa.int32()))
+
+    return run_once(open_cells, "array<int>")(vector, floor, probed)
+
+
+def vector_topk_bounded(
+    queries: DataFrame,
+    index: VectorIndex,
+    embedder: tuple[str, int],
+    k: int = 5,
+    probes: int = 4,
+    metric: str = "cosine",
+    query_id: str = "query_id",
+    query_vector: str = "embedding",
+) -> DataFrame:
+    """Exact k nearest rows from the cells that can hold them; ``probed_cells`` says how many those were.
+
+    The nearest ``probes`` cells give each question a k-th score. A cell whose stored reach rules out a
+    score as good is never read for it; the others are searched too. The result is that of
+    ``vector_topk`` over all rows.
+    """
+    same_embedder((index.embedder, index.dim), embedder)
+    spark = queries.sparkSession
+    order = probe_order(F.col(query_vector), index.centroids, metric, probes)
+    asked = stage(
+        queries.select(query_id, query_vector).withColumn("_probed", order), "index-questions"
+    )
+
+    def search(rows: DataFrame, lists: str) -> DataFrame:
+        wanted = rows.select(F.explode(lists).alias("cell")).distinct().collect()
+        base = index.rows(spark, sorted(row["cell"] for row in wanted))
+        names = (query_id, query_vector, index.key, index.vector)
+        cells = F.col(lists)
+        return vector_topk_in_cells(rows, base, index.dim, k, metric, *names, cells, "cell")
+
+    first = stage(search(asked, "_probed"), "first-hits")
+    reach = np.full((len(index.centroids), 2), -1.0)
+    for row in index.cell_sizes(spark).groupBy("cell").agg(F.max("gap"), F.max("angle")).collect():
+        reach[row[0]] = row[1], row[2]
+    floors = first.where(F.col("rank") == k).select(query_id, F.col("score").alias("_floor"))
+    more = cells_to_look_at(
+        F.col(query_vector), F.col("_floor"), F.col("_probed"), metric, index.centroids, reach
+    )
+    left = stage(asked.join(floors, query_id, "left").withColumn("_open", more), "open-cells")
+    second = search(left, "_open")
+    both = first.drop("rank").unionByName(second.drop("rank"))
+    counts = left.select(query_id, (F.size("_probed") + F.size("_open")).alias("probed_cells"))
+    return ranked(both, query_id, k).join(counts, query_id)
 
 
 def recall_by_probes(

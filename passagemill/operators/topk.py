@@ -1,14 +1,15 @@
-"""Shared parts of the two scan searches: groups of base rows meet blocks of questions.
+"""Shared parts of the two scan searches.
 
-The base is dealt into groups of a given size and the questions into blocks of a given size. Every
-group meets every block of its cell in one task, through an equi-join on their numbers, and hands on
-its best k rows per question. Neither side passes the driver, no task holds more than a group and a
-block, and the ranking gets groups x questions x k rows, however many splits the base has.
+If the questions are few enough to be broadcast (``fits_broadcast``), the base stays where it is: every
+task walks through its own rows with all questions, keeps the best k per question and hands those on
+(``scanned``). Otherwise the base is dealt into groups of a given size and the questions into blocks of a
+given size, and every group meets every block of its cell in one task, through an equi-join on their
+numbers (``met``); then neither side passes the driver. Both ways lead to the same rows.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -24,6 +25,13 @@ SCORE_DIGITS = 6
 #: Rows of the base that one task holds.
 GROUP_ROWS = 50_000
 
+#: Questions are broadcast up to this size; all of them together are then in each Python worker once.
+BROADCAST_BYTES = 64_000_000
+
+#: Best rows of the tasks are merged within so many parts before they are ranked, so that one question's
+#: rows from very many tasks do not meet in one task.
+MERGE_PARTS = 64
+
 
 class BestRows:
     """The best k rows per question seen so far in a task, by row number.
@@ -104,6 +112,113 @@ def unique_questions(queries: DataFrame, query_id: str) -> None:
         raise ValueError(f"{query_id} is not unique")
 
 
+class TaskBest:
+    """The best k rows per question over all batches of a task, with their ids.
+
+    ``floor`` is each question's k-th score as of the last cut; rows below it need not be offered.
+    """
+
+    def __init__(self, questions: int, k: int):
+        self.k = k
+        self.floor = np.full(questions, -np.inf)
+        self.held: pa.Table | None = None
+        self.parts: list[pa.Table] = []
+        self.waiting = 0
+        self.cut_at = max(50_000, 2 * questions * k)
+
+    def add(self, question: np.ndarray, score: np.ndarray, ids: pa.Array) -> None:
+        if len(question):
+            part = {"question": pa.array(question), "score": pa.array(score), "id": ids}
+            self.parts.append(pa.table(part))
+            self.waiting += len(question)
+        if self.waiting >= self.cut_at:
+            self.cut()
+
+    def cut(self) -> None:
+        if not self.parts:
+            return
+        rows = pa.concat_tables(self.parts if self.held is None else [self.held, *self.parts])
+        keys = [("question", "ascending"), ("score", "descending"), ("id", "ascending")]
+        rows = rows.take(pc.sort_indices(rows, sort_keys=keys))
+        question = rows.column("question").to_numpy()
+        place = np.arange(len(question)) - np.searchsorted(question, question, side="left")
+        self.held = rows.filter(pa.array(place < self.k))
+        last = place == self.k - 1
+        self.floor[question[last]] = rows.column("score").to_numpy()[last]
+        self.parts, self.waiting = [], 0
+
+
+def fits_broadcast(questions: DataFrame, row_bytes: int) -> bool:
+    """Whether written ``questions`` may be broadcast. Counting them reads no column."""
+    return questions.count() * row_bytes <= BROADCAST_BYTES
+
+
+def scanned(
+    questions: DataFrame,
+    base: DataFrame,
+    query_id: str,
+    base_id: str,
+    offer: Callable[[pa.Table, pa.RecordBatch, np.ndarray, TaskBest], None],
+    schema: StructType,
+    k: int,
+    cells: str | None = None,
+) -> DataFrame:
+    """The best rows of every task of ``base`` for each question; ``base`` is not shuffled.
+
+    ``offer`` puts the candidates of one batch of rows into the task's best, for the questions with the
+    given numbers. With ``cells``, the name of the questions' list of cells, a question only meets the
+    rows whose ``cell`` is in it. The questions' size has been looked at by the caller.
+    """
+    spark = base.sparkSession
+    shared = spark.sparkContext.broadcast(questions.toArrow().combine_chunks())
+
+    def best_of_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        asked = shared.value
+        everyone = np.arange(asked.num_rows)
+        if cells is not None:
+            lists = asked.column(cells).combine_chunks()
+            lengths = np.asarray(lists.value_lengths().fill_null(0))
+            probed = np.asarray(lists.flatten()).astype(np.int64)
+            who = np.repeat(everyone, lengths)
+            order = np.argsort(probed, kind="stable")
+            probed, who = probed[order], who[order]
+        best = TaskBest(asked.num_rows, k)
+        for batch in batches:
+            if cells is None:
+                offer(asked, batch, everyone, best)
+                continue
+            of_row = np.asarray(batch.column("cell"))
+            for cell in np.unique(of_row):
+                low, high = np.searchsorted(probed, [cell, cell + 1])
+                if low < high:
+                    rows = pa.array(np.flatnonzero(of_row == cell))
+                    offer(asked, batch.take(rows), who[low:high], best)
+        best.cut()
+        if best.held is not None:
+            found = best.held
+            names = asked.column(query_id).take(found.column("question"))
+            from pyspark.sql.pandas.types import to_arrow_schema
+
+            arrow = to_arrow_schema(schema)
+            columns = [names, found.column("id"), found.column("score")]
+            table = pa.Table.from_arrays(
+                [column.cast(field.type) for column, field in zip(columns, arrow)], schema=arrow
+            )
+            yield from table.to_batches()
+
+    return merged(base.mapInArrow(best_of_task, schema), query_id, k)
+
+
+def merged(hits: DataFrame, query_id: str, k: int) -> DataFrame:
+    """The best k hits per question within each of ``MERGE_PARTS`` parts of the tasks."""
+    part = F.pmod(F.spark_partition_id(), F.lit(MERGE_PARTS)).alias("_part")
+    order = [F.col("score").desc(), F.col("id")]
+    rank = F.row_number().over(Window.partitionBy(query_id, "_part").orderBy(*order))
+    return (
+        hits.select("*", part).withColumn("_rank", rank).where(F.col("_rank") <= k).select(*hits.columns)
+    )
+
+
 def ranked(hits: DataFrame, query_id: str, k: int) -> DataFrame:
     """The best k hits per question; equal scores rank by id."""
     order = [F.col("score").desc(), F.col("id")]

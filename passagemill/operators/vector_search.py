@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType
@@ -15,11 +16,14 @@ from passagemill.operators.embed import run_once
 from passagemill.operators.topk import (
     SCORE_DIGITS,
     BestRows,
+    TaskBest,
     candidates,
+    fits_broadcast,
     hit_schema,
     met,
     one_cell,
     ranked,
+    scanned,
     unique_questions,
 )
 from passagemill.session import stage
@@ -49,11 +53,15 @@ def _score(questions: np.ndarray, rows: np.ndarray, metric: str) -> np.ndarray:
     return products
 
 
-def _best(questions: np.ndarray, rows: np.ndarray, metric: str, k: int) -> BestRows:
-    """The best rows of one group for one block of questions."""
+def _best(
+    questions: np.ndarray, rows: np.ndarray, metric: str, k: int, floor: np.ndarray | None = None
+) -> BestRows:
+    """The best rows of one group for one block of questions, of those that reach its ``floor``."""
     if metric == "cosine":
         questions, rows = _unit(questions), _unit(rows)
     best = BestRows(len(questions), k)
+    if floor is not None:
+        best.floor[:] = floor
     step = max(1, SCORE_CELLS // max(1, len(questions)))
     for at in range(0, len(rows), step):
         part = rows[at : at + step]
@@ -80,7 +88,36 @@ def question_faults(queries: DataFrame, dim: int, query_vector: str = "embedding
     return queries.withColumn("fault", fault).where(F.col("fault").isin("null", "width"))
 
 
-def _searched(
+def _scan(
+    asked: DataFrame,
+    held: DataFrame,
+    k: int,
+    metric: str,
+    dim: int,
+    query_id: str,
+    base_id: str,
+    schema,
+    cells: str | None,
+) -> DataFrame:
+    """Broadcast questions (query id, ``_asked``, list of cells) over base rows in place."""
+
+    def offer(questions: pa.Table, batch: pa.RecordBatch, numbers: np.ndarray, best: TaskBest) -> None:
+        ids = batch.column(base_id)
+        by_id = pc.sort_indices(ids)  # so that row numbers rank like ids
+        some = questions.column("_asked").combine_chunks()
+        if len(numbers) < len(some):
+            some = some.take(pa.array(numbers))
+        rows = matrix(batch.column("_held").take(by_id), dim)
+        found = _best(matrix(some, dim), rows, metric, k, best.floor[numbers])
+        found.sort()
+        if found.parts:
+            question, score, row = found.parts[0]
+            best.add(numbers[question], score, ids.take(by_id).take(pa.array(row)))
+
+    return scanned(asked, held, query_id, base_id, offer, schema, k, cells)
+
+
+def _dealt(
     questions: DataFrame,
     base: DataFrame,
     k: int,
@@ -102,8 +139,7 @@ def _searched(
         )
         return best.table(asked.column(query_id), held.column(base_id), arrow)
 
-    hits = met(questions, base, query_id, base_id, score, schema, block_rows)
-    return ranked(hits, query_id, k)
+    return met(questions, base, query_id, base_id, score, schema, block_rows)
 
 
 def vector_topk(
@@ -158,16 +194,21 @@ def vector_topk_in_cells(
     """Like ``vector_topk``, but a question only meets the rows of its own ``cells``."""
     if metric not in METRICS:
         raise ValueError(f"metric is one of {METRICS}")
-    unique_questions(queries, query_id)
     schema = hit_schema(queries, query_id, base, base_id)
-    asked = queries.where(F.size(query_vector) == dim).select(
-        query_id, F.col(query_vector).alias("_asked"), F.explode(cells).alias("cell")
-    )
+    chosen = queries.select(query_id, F.col(query_vector).alias("_asked"), cells.alias("_cells"))
+    written = stage(chosen, "questions")
+    unique_questions(written, query_id)
+    asked = written.where(F.size("_asked") == dim)
     # A vector with a null or NaN element scores NaN, which is never a candidate.
     held = base.where(F.size(base_vector) == dim).select(
         base_id, F.col(base_vector).alias("_held"), F.col(cell).alias("cell")
     )
-    return _searched(asked, held, k, metric, dim, query_id, base_id, block_rows, schema)
+    if fits_broadcast(written, 8 * dim + 64):
+        hits = _scan(asked, held, k, metric, dim, query_id, base_id, schema, "_cells")
+    else:
+        each = asked.select(query_id, "_asked", F.explode("_cells").alias("cell"))
+        hits = _dealt(each, held, k, metric, dim, query_id, base_id, block_rows, schema)
+    return ranked(hits, query_id, k)
 
 
 def cell_order(questions: np.ndarray, centroids: np.ndarray, metric: str) -> np.ndarray:

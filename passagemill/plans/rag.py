@@ -112,8 +112,8 @@ def batch_retrieve(
     if isinstance(base, VectorIndex):
         given = (embedder.name, embedder.dim)
         count = probes or len(base.centroids)
-        hits = vector_topk_indexed(asked, base, given, k, count, metric, query_id)
-        return with_columns(hits, base.rows(questions.sparkSession), ["pdf_name", "content"], base.key)
+        wide = ["pdf_name", "content"]
+        return vector_topk_indexed(asked, base, given, k, count, metric, query_id, columns=wide)
     hits = vector_topk(asked, base, embedder.dim, k, metric, query_id)
     return with_columns(hits, base, ["pdf_name", "content"])
 

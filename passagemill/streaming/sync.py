@@ -13,22 +13,24 @@ from passagemill.operators.changes import (
     DELETE,
     UPDATE_BEFORE,
     diff_snapshots,
-    latest_changes,
 )
 from passagemill.operators.index import (
+    MOST_DEAD,
     VectorIndex,
-    add_load,
+    add_changes,
     build_index,
     compact_index,
     index_exists,
+    merge_loads,
     nearest_cell,
     open_index,
     write_rejected,
 )
 from passagemill.sources.writers import has_change_feed, write_evolved
 
-#: More loads than this are made one after a sync.
+#: More loads than this are merged after a sync, and more dead rows than this share are removed.
 MOST_LOADS = 8
+MOST_DEAD_SHARE = 0.2
 
 
 def append_changes(changes: DataFrame, path: str) -> None:
@@ -60,8 +62,7 @@ def apply_to_index(
         .drop("fault")
         .withColumn("cell", nearest_cell(F.col(index.vector), index.centroids))
     )
-    columns = index.stored_rows(spark).columns
-    add_load(latest_changes(placed, index.key).select(*columns), index.path, index.build, load)
+    add_changes(spark, index, placed, load)
 
 
 def sync_index_stream(
@@ -119,6 +120,19 @@ def create_or_sync(
         return build_index(table, index_path, **build)
     sync_index_stream(spark, feed, feed_schema, index_path, checkpoint)
     index = open_index(spark, index_path)
-    if len(index.loads(spark)) > MOST_LOADS:
-        compact_index(spark, index_path)
+    tidy_loads(spark, index)
     return index
+
+
+def tidy_loads(spark: SparkSession, index: VectorIndex) -> None:
+    """Keep loads and dead rows few.
+
+    From ``MOST_LOADS`` on all loads but the first are merged, so the cost is that of the changes and
+    not of the index. Once the dead rows are many, or a fair share of all, everything becomes one load.
+    """
+    loads = index.loads(spark)
+    dead, rows = sum(load.dead for load in loads), sum(load.rows for load in loads)
+    if len(loads) > 1 and dead > min(MOST_DEAD, MOST_DEAD_SHARE * rows):
+        compact_index(spark, index.path)
+    elif len(loads) > MOST_LOADS:
+        merge_loads(spark, index.path, loads[1:])

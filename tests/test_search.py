@@ -9,6 +9,7 @@ from passagemill.operators.index import (
     build_index,
     probes_for_recall,
     recall_by_probes,
+    vector_topk_bounded,
     vector_topk_indexed,
 )
 from passagemill.operators.keyword_search import (
@@ -18,6 +19,7 @@ from passagemill.operators.keyword_search import (
     keyword_topk,
 )
 from passagemill.operators.rerank import rerank_with
+from passagemill.operators import topk
 from passagemill.operators.topk import met
 from passagemill.operators.vector_search import METRICS, question_faults, vector_topk
 from checks.text_models import WordShareScorer
@@ -65,9 +67,37 @@ def rows(df):
     return {tuple(row) for row in df.select("query_id", "rank", "id", "score").collect()}
 
 
+@pytest.fixture
+def no_broadcast(monkeypatch):
+    """Questions are taken as too large to be broadcast."""
+    monkeypatch.setattr(topk, "BROADCAST_BYTES", -1)
+
+
+@pytest.mark.parametrize("metric", METRICS)
+def test_exact_search_in_place(spark, data, metric, monkeypatch):
+    queries, base = frames(spark, data)
+    found = vector_topk(queries, base, DIM, 4, metric)
+    assert rows(found) == brute(metric, *data, 4)
+    # best rows are cut and merged many times in each task
+    monkeypatch.setattr(topk.TaskBest, "__init__", frequent_cuts(topk.TaskBest.__init__))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        assert rows(vector_topk(queries, base, DIM, 4, metric)) == brute(metric, *data, 4)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def frequent_cuts(init):
+    def changed(self, questions, k):
+        init(self, questions, k)
+        self.cut_at = 1
+
+    return changed
+
+
 @pytest.mark.parametrize("metric", METRICS)
 @pytest.mark.parametrize("block_rows", [4096, 7])
-def test_exact_search(spark, data, metric, block_rows, monkeypatch):
+def test_exact_search(spark, data, metric, block_rows, monkeypatch, no_broadcast):
     monkeypatch.setattr(met, "__defaults__", (90,))  # several groups of base rows
     queries, base = frames(spark, data)
     found = rows(vector_topk(queries, base, DIM, 4, metric, block_rows=block_rows))
@@ -83,7 +113,7 @@ def test_odd_questions_do_not_touch_the_others(spark, data):
     assert faults == {200: "width", 201: "width", 202: "null"}
 
 
-def test_search_never_collects_a_side(spark, data, monkeypatch):
+def test_large_searches_never_collect_a_side(spark, data, monkeypatch, no_broadcast):
     queries, base = frames(spark, data)
 
     def refused(*_):
@@ -94,6 +124,17 @@ def test_search_never_collects_a_side(spark, data, monkeypatch):
     vector_topk(queries, base, DIM, 4).write.format("noop").mode("overwrite").save()
 
 
+def test_only_questions_of_a_checked_size_are_collected(spark, data, monkeypatch):
+    queries, base = frames(spark, data)
+    collected = []
+    true = type(queries).toArrow
+    monkeypatch.setattr(type(queries), "toArrow", lambda df: collected.append(true(df)) or true(df))
+    assert vector_topk(queries, base, DIM, 4).count() == 26 * 4
+    assert [table.num_rows for table in collected] == [26]
+    monkeypatch.setattr(topk, "BROADCAST_BYTES", 26 * (8 * DIM + 64) - 1)
+    assert vector_topk(queries, base, DIM, 4).count() == 26 * 4 and len(collected) == 1
+
+
 def test_k_beyond_the_base(spark, data):
     queries, base = data
     small = base[:3]
@@ -161,6 +202,27 @@ def test_index_search(spark, data, folder):
             vector_topk_indexed(queries, index, other, 4, 1)
 
 
+@pytest.mark.parametrize("metric, broadcast", [("cosine", True), ("l2", True), ("dot", False)])
+def test_bounded_search_is_exact_with_fewer_cells(spark, folder, metric, broadcast, monkeypatch):
+    if not broadcast:
+        monkeypatch.setattr(topk, "BROADCAST_BYTES", -1)
+    rng = np.random.default_rng(11)
+    centres = rng.normal(size=(12, DIM)) * 6
+    base = [(f"v{i:03d}", (centres[i % 12] + rng.normal(size=DIM) * 0.3).tolist()) for i in range(240)]
+    base += [("far", (centres[3] * 4).tolist())]
+    queries = [(i, (centres[i] + rng.normal(size=DIM) * 0.3).tolist()) for i in range(12)] + [(90, [0.0] * DIM)]
+    asked, held = frames(spark, (queries, base))
+    index = build_index(held, folder, dim=DIM, cells=12, embedder="test", centroids=centres)
+    some = vector_topk_bounded(asked, index, ("test", DIM), 4, 1, metric)
+    real = queries if metric != "cosine" else queries[:-1]
+    want = brute(metric, real, base, 4)
+    found = {row for row in rows(some) if metric != "cosine" or row[0] != 90}
+    assert found == want
+    assert some.agg(F.min("probed_cells")).first()[0] < 12
+    many = vector_topk_bounded(asked, index, ("test", DIM), 300, 1, metric)
+    assert many.groupBy("query_id").count().where("count <> 241").count() == 0
+
+
 # ---- keywords
 
 WORDS = ["red", "green", "blue", "Straße", "sun", "moon", "the"]
