@@ -531,6 +531,19 @@ SELECT coalesce(s.doc_id, f.doc_id) AS doc_id, coalesce(s.content, f.content) AS
   CASE WHEN f.doc_id IS NULL THEN 'insert' WHEN s.doc_id IS NULL THEN 'delete'
     ELSE 'update_postimage' END AS _change_type
 FROM first f FULL JOIN second s ON s.doc_id = f.doc_id"""
+_NEW = "SELECT doc_id, content, {}::BIGINT AS _commit_version{} FROM {} WHERE doc_id NOT IN (SELECT doc_id FROM first)"
+ORACLES["append_change_feed"] = f"""WITH {SNAPSHOTS}
+{_NEW.format(1, ", 'insert' AS _change_type", "second")}"""
+ORACLES["overwrite_change_feed"] = f"""WITH {SNAPSHOTS} {_diff('first', 'second', 1)}
+UNION ALL
+SELECT o.doc_id, o.content, 'update_preimage', 1::BIGINT FROM first o JOIN second n ON o.doc_id = n.doc_id
+WHERE o.content IS DISTINCT FROM n.content"""
+ORACLES["table_version"] = f"WITH {SNAPSHOTS} SELECT doc_id, content FROM second"
+ORACLES["version_diff"] = f"WITH {SNAPSHOTS} {_diff('first', 'second', 2)}"
+ORACLES["sync_index_appends"] = f"""WITH {SNAPSHOTS}
+SELECT doc_id, content, 0::BIGINT AS _commit_version FROM first
+UNION ALL {_NEW.format(1, "", "second")}
+UNION ALL {_NEW.format(2, "", "third")} AND doc_id NOT IN (SELECT doc_id FROM second)"""
 ORACLES["keyword_topk_stored"] = ORACLES["keyword_topk"]
 ORACLES["build_prompt"] = f"""WITH RECURSIVE {_hit_parts(2)}, {_CONTEXTS}
 SELECT q.query_id, {_PROMPT} AS prompt

@@ -86,6 +86,12 @@ from checks.text_models import (
     WordShareScorer,
 )
 from passagemill.session import new_path, stage
+from passagemill.sources.change_log import (
+    diff_versions,
+    keep_changes,
+    read_changes,
+    read_version,
+)
 from passagemill.sources.readers import (
     parse_csv_lines,
     read_binary_files,
@@ -101,7 +107,12 @@ from passagemill.sources.writers import (
     write_evolved,
     write_overwrite,
 )
-from passagemill.streaming.sync import append_changes, create_or_sync, replace_table
+from passagemill.streaming.sync import (
+    append_changes,
+    create_or_sync,
+    replace_table,
+    sync_index_log,
+)
 
 # ---- inputs
 
@@ -266,6 +277,65 @@ def sink_change_feed_added_column(spark, sf):
     return read_table(spark, feed).join(held, "doc_id", "left")
 
 
+def _logged_table(spark: SparkSession, sf: str) -> str:
+    """The first snapshot as a table whose changes are kept."""
+    name, path = _temporary_table(spark)
+    write_overwrite(_snapshots(spark, sf)[0], name, path)
+    keep_changes(spark, name, "doc_id")
+    return name
+
+
+def append_change_feed(spark, sf):
+    """Appending the second snapshot inserts the documents that the first lacks; a rerun adds nothing."""
+    name = _logged_table(spark, sf)
+    for _ in range(2):
+        write_append(_snapshots(spark, sf)[1], name, txn="second")
+        write_append(_snapshots(spark, sf)[1], name)
+    return read_changes(spark, name)
+
+
+def overwrite_change_feed(spark, sf):
+    """Overwriting logs inserts, deletes and both images of each update."""
+    name = _logged_table(spark, sf)
+    for _ in range(2):
+        write_overwrite(_snapshots(spark, sf)[1], name, txn="second")
+    return read_changes(spark, name)
+
+
+def table_version(spark, sf):
+    """The second version of three, after an append on top."""
+    name = _logged_table(spark, sf)
+    first, second, third = _snapshots(spark, sf)
+    write_overwrite(second, name)
+    write_overwrite(third, name)
+    write_append(first, name)
+    return read_version(spark, name, 1)
+
+
+def version_diff(spark, sf):
+    """Net changes over two overwrites and an append."""
+    name = _logged_table(spark, sf)
+    first, second, third = _snapshots(spark, sf)
+    write_overwrite(third, name)
+    write_overwrite(second, name)
+    write_append(first, name)
+    return diff_versions(spark, name, 0, 2)
+
+
+def sync_index_appends(spark, sf):
+    """Chunks appended to a logged table reach its index by triggered syncs."""
+    name, location = _temporary_table(spark)
+    first, second, third = (hash_embed(rows, dim=64) for rows in _snapshots(spark, sf))
+    path, checkpoint = (new_path(spark, n) for n in ("index", "checkpoint"))
+    write_overwrite(first, name, location)
+    keep_changes(spark, name, "doc_id")
+    build_index(spark.table(name), path, key="doc_id", dim=64, cells=8)
+    for rows in (second, third):
+        write_append(rows, name)
+        sync_index_log(spark, name, path, checkpoint)
+    return open_index(spark, path).rows(spark).select("doc_id", "content", "_commit_version")
+
+
 def preview_topn(spark, sf):
     return preview(_table(spark, sf, "documents", "source", "doc_id", "n_chars"), 20, ["source", "doc_id"])
 
@@ -819,6 +889,11 @@ QUERIES = {
         sink_evolve_schema,
         sink_change_feed,
         sink_change_feed_added_column,
+        append_change_feed,
+        overwrite_change_feed,
+        table_version,
+        version_diff,
+        sync_index_appends,
         preview_topn,
         project_rename,
         elements_nonempty,

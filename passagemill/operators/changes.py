@@ -13,10 +13,12 @@ UPDATE_BEFORE = "update_preimage"
 DELETE = "delete"
 
 
-def diff_snapshots(old: DataFrame, new: DataFrame, key: str, version: int) -> DataFrame:
+def diff_snapshots(
+    old: DataFrame, new: DataFrame, key: str, version: int, preimages: bool = False
+) -> DataFrame:
     """The rows to insert, update or delete to get from ``old`` to ``new``.
 
-    A deleted row carries its old values. Keys are unique in both snapshots. A column that ``old``
+    A deleted row carries its old values. With ``preimages`` an updated row comes with its old values too. Keys are unique in both snapshots. A column that ``old``
     lacks counts as null there. Rows are compared by a 128-bit digest of their values, and only the
     rows that differ are fetched whole.
     """
@@ -48,9 +50,13 @@ def diff_snapshots(old: DataFrame, new: DataFrame, key: str, version: int) -> Da
         "changed-keys",
     )
     gone = F.col("_change_type") == DELETE
+    replaced = changed.where(gone)
+    if preimages:
+        updated = changed.where(F.col("_change_type") == UPDATE)
+        replaced = replaced.union(updated.select(key, F.lit(UPDATE_BEFORE)))
     return (
         after.join(changed.where(~gone), key)
-        .unionByName(before.join(changed.where(gone), key))
+        .unionByName(before.join(replaced, key))
         .select(key, *columns, "_change_type", F.lit(version).cast("bigint").alias("_commit_version"))
     )
 

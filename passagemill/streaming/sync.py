@@ -26,6 +26,7 @@ from passagemill.operators.index import (
     open_index,
     write_rejected,
 )
+from passagemill.sources.change_log import ENTRY, change_log
 from passagemill.sources.writers import has_change_feed, write_evolved
 
 #: More loads than this are merged after a sync, and more dead rows than this share are removed.
@@ -98,14 +99,45 @@ def sync_index_stream(
 def replace_table(df: DataFrame, name: str, key: str, version: int, feed: str) -> None:
     """Replace a keyed table; while its change feed is on, the differences go to the feed first.
 
-    Running it again after a failure adds the same change rows again, which a sync takes as one.
+    Running it again after a failure adds the same change rows again, which a sync takes as one. A table
+    with a change log numbers its versions and keeps its changes itself.
     """
     spark = df.sparkSession
-    if spark.catalog.tableExists(name) and has_change_feed(spark, name):
+    held = spark.catalog.tableExists(name) and has_change_feed(spark, name)
+    if held and change_log(spark, name) is None:
         append_changes(diff_snapshots(spark.table(name), df, key, version), feed)
     write_evolved(df, name)
 
 
+def sync_index_log(spark: SparkSession, name: str, index_path: str, checkpoint: str) -> None:
+    """Apply the versions that were committed to a table since the last call, then stop.
+
+    The stream is that of the log's entries, so change rows of a write that is not committed are never
+    seen. A batch is one load of the index, named by its number, and adds nothing when it is run again.
+    """
+    log = change_log(spark, name)
+    index = open_index(spark, index_path)
+    source = md5(checkpoint.encode()).hexdigest()[:8]
+
+    def apply(batch: DataFrame, number: int) -> None:
+        # one short entry for each write
+        folders = sorted({entry["folder"] for entry in batch.select("folder").collect()})
+        if folders:
+            changes = log.read(batch.sparkSession, folders)
+            apply_to_index(batch.sparkSession, index, changes, f"{source}-{number}")
+
+    query = (
+        spark.readStream.schema(ENTRY)
+        .parquet(f"{log.path}/commits")
+        .writeStream.foreachBatch(apply)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    tidy_loads(spark, open_index(spark, index_path))
+
+
 def create_or_sync(
     spark: SparkSession,
     table: DataFrame,
