@@ -11,14 +11,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from passagemill.functions.text import terms, truncated
+from passagemill.operators import topk
 from passagemill.operators.topk import (
     SCORE_DIGITS,
     BestRows,
+    TaskBest,
     candidates,
     hit_schema,
     met,
     one_cell,
     ranked,
+    scanned,
     unique_questions,
 )
 from passagemill.operators.vector_search import with_columns
@@ -30,6 +33,8 @@ B = 0.75
 # Questions that one task holds, and the size bound of one score matrix in it.
 BLOCK_QUESTIONS = 256
 SCORE_CELLS = 2_000_000
+# More questions than this are not broadcast: each task holds their weights as tables.
+SCANNED_QUESTIONS = 4_096
 
 
 def document_frequency(docs: DataFrame, text: str = "content") -> DataFrame:
@@ -57,33 +62,37 @@ def _coded(term_lists: pa.Array, vocabulary: pa.Array) -> tuple[np.ndarray, np.n
     return rows, np.asarray(pc.drop_null(codes)).astype(np.int64), lengths
 
 
-def _best_texts(
-    asked: pa.Table, held: pa.Table, mean_length: float, k: int, query_id: str, doc_id: str, arrow
-) -> pa.Table:
-    """The best texts of one group for one block of questions."""
-    lists, weights = (asked.column(name).combine_chunks() for name in ("terms", "weights"))
-    vocabulary = lists.flatten().unique()
-    question, term, _ = _coded(lists, vocabulary)
-    rarity = np.zeros((len(vocabulary), len(lists)))
-    rarity[term, question] = weights.flatten().to_numpy(zero_copy_only=False)
-    best = BestRows(len(lists), k)
-    texts = held.column("terms").combine_chunks()
-    step = max(1, SCORE_CELLS // max(1, max(rarity.shape)))
-    for at in range(0, len(texts), step):
-        part = texts.slice(at, step)
-        rows, codes, lengths = _coded(part, vocabulary)
-        cells = np.bincount(
-            rows * len(vocabulary) + codes, minlength=len(part) * len(vocabulary)
-        )
-        counts = cells.reshape(len(part), len(vocabulary)).astype(np.float64)
-        pressed = K1 * (1 - B + B * lengths / mean_length)
-        gain = counts * (K1 + 1) / (counts + pressed[:, None])
-        exact = (gain @ rarity).T
-        # every shared term adds something, however little is left of it after rounding
-        scores = np.where(exact > 0, np.round(exact, SCORE_DIGITS), -np.inf)
-        chosen, row = candidates(scores, best.floor, k)
-        best.add(chosen, scores[chosen, row], row + at)
-    return best.table(asked.column(query_id), held.column(doc_id), arrow)
+class _Questions:
+    """A block of questions as a table of weights: distinct terms by questions."""
+
+    def __init__(self, lists: pa.Array, weights: pa.Array):
+        self.vocabulary = lists.flatten().unique()
+        question, term, _ = _coded(lists, self.vocabulary)
+        self.rarity = np.zeros((len(self.vocabulary), len(lists)))
+        self.rarity[term, question] = weights.flatten().to_numpy(zero_copy_only=False)
+
+    def best(
+        self, texts: pa.Array, mean_length: float, k: int, floor: np.ndarray | None = None
+    ) -> BestRows:
+        """The best of the texts, in the order of their ids, of those that reach the ``floor``."""
+        best = BestRows(self.rarity.shape[1], k)
+        if floor is not None:
+            best.floor[:] = floor
+        size = len(self.vocabulary)
+        step = max(1, SCORE_CELLS // max(1, max(self.rarity.shape)))
+        for at in range(0, len(texts), step):
+            part = texts.slice(at, step)
+            rows, codes, lengths = _coded(part, self.vocabulary)
+            cells = np.bincount(rows * size + codes, minlength=len(part) * size)
+            counts = cells.reshape(len(part), size).astype(np.float64)
+            pressed = K1 * (1 - B + B * lengths / mean_length)
+            gain = counts * (K1 + 1) / (counts + pressed[:, None])
+            exact = (gain @ self.rarity).T
+            # every shared term adds something, however little is left of it after rounding
+            scores = np.where(exact > 0, np.round(exact, SCORE_DIGITS), -np.inf)
+            chosen, row = candidates(scores, best.floor, k)
+            best.add(chosen, scores[chosen, row], row + at)
+        return best
 
 
 def keyword_topk(
@@ -138,22 +147,66 @@ def keyword_topk(
     )
     mean_length = max((length or 0) / max(rows, 1), math.ulp(1.0))
 
-    def score(left: pa.Table, right: pa.Table, arrow: pa.Schema) -> pa.Table:
-        return _best_texts(left, right, mean_length, k, query_id, doc_id, arrow)
-
     schema = hit_schema(queries, query_id, docs, doc_id)
-    hits = met(
-        stage(weighed, "question-weights"),
-        corpus.withColumn("cell", one_cell(doc_id)),
-        query_id,
-        doc_id,
-        score,
-        schema,
-        block_questions,
-    )
+    written = stage(weighed, "question-weights")
+    if _few_enough(written):
+        texts = corpus.select(doc_id, "terms")
+        hits = _scan(written, texts, mean_length, k, query_id, doc_id, schema, block_questions)
+    else:
+
+        def score(left: pa.Table, right: pa.Table, arrow: pa.Schema) -> pa.Table:
+            lists, weights = (left.column(name).combine_chunks() for name in ("terms", "weights"))
+            texts = right.column("terms").combine_chunks()
+            best = _Questions(lists, weights).best(texts, mean_length, k)
+            return best.table(left.column(query_id), right.column(doc_id), arrow)
+
+        placed = corpus.withColumn("cell", one_cell(doc_id))
+        hits = met(written, placed, query_id, doc_id, score, schema, block_questions)
     return ranked(hits, query_id, k)
 
 
+def _few_enough(questions: DataFrame) -> bool:
+    """Whether the questions may be broadcast: their number and the bytes of their terms."""
+    letters = F.aggregate("terms", F.lit(0), lambda total, term: total + F.octet_length(term) + 16)
+    asked, size = questions.agg(F.count("*"), F.sum(letters)).first()
+    return asked <= SCANNED_QUESTIONS and (size or 0) <= topk.BROADCAST_BYTES
+
+
+def _scan(
+    questions: DataFrame,
+    corpus: DataFrame,
+    mean_length: float,
+    k: int,
+    query_id: str,
+    doc_id: str,
+    schema,
+    block_questions: int,
+) -> DataFrame:
+    """Broadcast questions over the texts in place; texts and their terms are not shuffled."""
+
+    blocks: list[_Questions] = []  # those of a task, made at its first batch
+
+    def offer(asked: pa.Table, batch: pa.RecordBatch, numbers: np.ndarray, best: TaskBest) -> None:
+        if not blocks:
+            lists, weights = (asked.column(name).combine_chunks() for name in ("terms", "weights"))
+            for at in range(0, len(lists), block_questions):
+                blocks.append(
+                    _Questions(lists.slice(at, block_questions), weights.slice(at, block_questions))
+                )
+        ids = batch.column(doc_id)
+        by_id = pc.sort_indices(ids)
+        texts, ids = batch.column("terms").take(by_id), ids.take(by_id)
+        for number, block in enumerate(blocks):
+            some = numbers[number * block_questions : (number + 1) * block_questions]
+            found = block.best(texts, mean_length, k, best.floor[some])
+            found.sort()
+            if found.parts:
+                question, score, row = found.parts[0]
+                best.add(some[question], score, ids.take(pa.array(row)))
+
+    return scanned(questions, corpus, query_id, doc_id, offer, schema, k)
+
+
 def keyword_lookup(
     queries: DataFrame,
     docs: DataFrame,

@@ -30,6 +30,11 @@ def test_search_leaves_the_base_where_it_is(spark):
     assert "Exchange" not in text[scan:]
 
 
+def test_keyword_search_leaves_the_texts_where_they_are(spark):
+    text = plan(QUERIES["keyword_topk"](spark, SF_DIR))
+    assert "CoGroups" not in text and "Exchange" not in text[text.index("MapInArrow") :]
+
+
 def test_large_search_limits_before_the_shuffle(spark, monkeypatch):
     monkeypatch.setattr("passagemill.operators.topk.BROADCAST_BYTES", -1)
     text = plan(QUERIES["vector_topk_cosine"](spark, SF_DIR))

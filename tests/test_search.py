@@ -255,8 +255,10 @@ def bm25(queries, docs, k):
     return found
 
 
-@pytest.mark.parametrize("block", [256, 4])
-def test_keyword_search(spark, block):
+@pytest.mark.parametrize("block, most", [(256, 4096), (4, 4096), (256, 0), (4, 0)])
+def test_keyword_search(spark, block, most, monkeypatch):
+    """Questions broadcast, and dealt into blocks as if they were too many for that."""
+    monkeypatch.setattr("passagemill.operators.keyword_search.SCANNED_QUESTIONS", most)
     queries, docs = texts()
     asked = spark.createDataFrame(queries, "query_id int, query string")
     corpus = spark.createDataFrame(docs, "id int, content string").repartition(3)
