@@ -305,6 +305,14 @@ def _differing(left: str, right: str) -> Column:
     return sum(counts[1:], counts[0])
 
 
+def _first_shared_band() -> Column:
+    """The number of the first band in which ``bands_a`` and ``bands_b`` are equal."""
+    shared = [
+        F.when(F.get("bands_a", F.lit(at)) == F.get("bands_b", F.lit(at)), F.lit(at)) for at in range(BANDS)
+    ]
+    return F.coalesce(*shared)
+
+
 def verified(
     pairs: DataFrame, classes: DataFrame, documents: DataFrame, words: int, similarity: int
 ) -> DataFrame:
@@ -359,7 +367,7 @@ def components(
         .withColumn("node", F.monotonically_increasing_id())
     )
     single = stage(single, "near-dup-classes")
-    buckets = single.select("node", F.explode("bands").alias("bucket"))
+    buckets = single.select("node", F.posexplode("bands").alias("band", "bucket"))
     shared = (
         buckets.groupBy("bucket")
         .agg(F.min("node").alias("least"), F.max("node").alias("greatest"))
@@ -384,23 +392,33 @@ def components(
         labels = connect(labels, links)
 
     labelled = _relabelled(members.withColumn("label", F.col("node")), "label", labels)
-    labelled = stage(labelled.select("bucket", "node", "label"), "near-dup-labelled")
+    labelled = stage(labelled.select("band", "bucket", "node", "label"), "near-dup-labelled")
     mixed = (
         labelled.groupBy("bucket")
         .agg(F.min("label").alias("low"), F.max("label").alias("high"))
         .where("low < high")
         .select("bucket")
     )
-    rest = labelled.join(mixed, "bucket", "left_semi").join(sketches, "node")
-    rest = stage(rest, "near-dup-mixed")
-    left = rest.select("bucket", F.col("node").alias("a"), F.col("label").alias("label_a"), F.col("sketch").alias("left"))
-    right = rest.select("bucket", F.col("node").alias("b"), F.col("label").alias("label_b"), F.col("sketch").alias("right"))
-    across = (
-        left.join(right, "bucket")
-        .where((F.col("label_a") < F.col("label_b")) & (_differing("left", "right") <= most))
-        .select("a", "b")
-        .distinct()
+    rest = labelled.join(mixed, "bucket", "left_semi").join(
+        single.select("node", "n_shingles", "bands", "sketch"), "node"
     )
+    rest = stage(rest, "near-dup-mixed")
+
+    def side(letter: str) -> DataFrame:
+        names = ["node", "label", "n_shingles", "bands", "sketch"]
+        own = {"node": letter} | {name: f"{name}_{letter}" for name in names[1:]}
+        kept = ["band", "bucket"] if letter == "a" else ["bucket"]
+        return rest.select(*kept, *[F.col(name).alias(own[name]) for name in names])
+
+    # Sets whose sizes are further apart cannot be as similar, and a pair is taken in the first bucket
+    # that it shares, which holds both labels and so is among these.
+    small = F.least("n_shingles_a", "n_shingles_b") * 100
+    across = side("a").join(side("b"), "bucket").where(
+        (F.col("label_a") < F.col("label_b"))
+        & (small >= similarity * F.greatest("n_shingles_a", "n_shingles_b"))
+        & (_differing("sketch_a", "sketch_b") <= most)
+        & (_first_shared_band() == F.col("band"))
+    ).select("a", "b")
     labels = connect(labels, verified(across, single, documents, words, similarity))
 
     classes = single.select(*CLASS, "head", F.col("node").alias("label"))
