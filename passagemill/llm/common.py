@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import math
 import sys
 import types
@@ -56,6 +58,26 @@ def worker_state(name: str) -> dict:
     return holder.__dict__.setdefault("states", {}).setdefault(name, {})
 
 
+def worker_cache(name: str, key) -> dict:
+    """The worker's cache of this name for ``key``. A worker has one cache at a time: the first task that
+    asks for another gives the memory of the last one back."""
+    held = worker_state("cache")
+    if (name, key) not in held:
+        held.clear()
+        release_memory()
+        held[name, key] = {}
+    return held[name, key]
+
+
+def release_memory() -> None:
+    """Hand memory that is no longer used back to the system, where the C library can do so."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def text_list(column: pa.Array) -> list[str]:
     """The strings of an Arrow column, null as empty."""
     return [value or "" for value in column.to_pylist()]

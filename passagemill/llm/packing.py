@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from passagemill.llm.common import let, text_list, worker_state
+from passagemill.llm.common import let, text_list, worker_cache
 from passagemill.llm.tokenizing import (
     PieceCache,
     batches_of,
@@ -30,6 +30,9 @@ TOKENIZER = "word_bpe_49k.json"
 WINDOW = 4096
 END_ID = 2
 
+#: A task hands its ids on when they are so many bytes.
+HELD_BYTES = 1 << 22
+
 
 def encode_words(texts: list[str], tokenizer: str, end_id: int) -> Iterator[bytes]:
     """The ids of each text and the end id, as little-endian unsigned 32-bit numbers.
@@ -37,7 +40,7 @@ def encode_words(texts: list[str], tokenizer: str, end_id: int) -> Iterator[byte
     The tokenizer must drop white space and never join what blanks separate; then a text's ids are
     those of its words, one after the other, and each word is encoded once per worker.
     """
-    cache = worker_state("word_ids").setdefault(tokenizer, PieceCache())
+    cache = worker_cache("word_ids", tokenizer).setdefault("words", PieceCache())
     end = struct.pack("<I", end_id)
 
     def encode(words: list[str]) -> Iterator[bytes]:
@@ -73,10 +76,11 @@ def token_stream(
         part, total = TaskContext.get().partitionId(), 0
         for batch in batches:
             texts = text_list(batch.column(1))
-            ids, begin = [], 0
+            ids, begin, held = [], 0, 0
             for at, one in enumerate(encode_words(texts, tokenizer, end_id)):
                 ids.append(one)
-                if at + 1 == len(texts) or sum(map(len, ids[-64:])) > 1 << 23:
+                held += len(one)
+                if at + 1 == len(texts) or held > HELD_BYTES:
                     sizes = np.array([len(x) // 4 for x in ids], dtype=np.int64)
                     ends = np.cumsum(sizes) + total
                     columns = [
@@ -87,7 +91,7 @@ def token_stream(
                         pa.array(ends - sizes),
                     ]
                     total, begin = int(ends[-1]), at + 1
-                    ids = []
+                    ids, held = [], 0
                     yield pa.RecordBatch.from_arrays(columns, names)
 
     rows = documents.select(F.col(key), F.col(text).alias("text"))

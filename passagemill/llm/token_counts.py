@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from passagemill.llm.common import text_list, utf8_bytes, worker_state
+from passagemill.llm.common import text_list, utf8_bytes, worker_cache
 from passagemill.llm.tokenizing import (
     CACHED_CHARS,
     PieceCache,
@@ -151,7 +151,7 @@ def count_tokens(
         return counts.tolist()
 
     def counted(texts: list[str]) -> Iterator[int]:
-        cache = worker_state("token_counts").setdefault(tokenizer, PieceCache())
+        cache = worker_cache("token_counts", tokenizer).setdefault("pieces", PieceCache())
         for begin, end in batches_of(texts):
             cut = [pre_tokens(value) for value in texts[begin:end]]
             pieces = set().union(*(part for parts in cut if parts for part in parts))

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from passagemill.llm.common import id_crc32, labelled_sample, text_list, worker_state
+from passagemill.llm.common import id_crc32, labelled_sample, text_list, worker_cache
 from passagemill.llm.tokenizing import PieceCache, batches_of
 from passagemill.session import stage
 
@@ -243,7 +243,7 @@ def with_features(rows: DataFrame, lexicon: Lexicon, learned: bool = False) -> D
         known = shared.value
         # a learned text is left out of the counts later; as one of the others it weighs most
         assumed = 0 if learned else None
-        cache = worker_state("toxicity").setdefault((digest, assumed), PieceCache())
+        cache = worker_cache("toxicity", (digest, assumed)).setdefault("words", PieceCache())
         for begin, end in batches_of(texts):
             cut = [text.lower().split() for text in texts[begin:end]]
             cache.fill(

@@ -7,11 +7,8 @@ import pytest
 import vector_cases
 from pyspark.sql import functions as F
 
-from checks.compare import connect, differences
 from passagemill.llm import inner_products
 from passagemill.llm.inner_products import largest_products
-from passagemill.llm.oracles import ORACLES
-from passagemill.llm.registry import QUERIES
 
 
 def brute_force(given, k, scale=256):
@@ -82,10 +79,3 @@ def test_questions_meet_only_groups_in_reach():
     found = inner_products.groups_in_reach(np.full(7, 2.0), floors, longest)
     assert found.tolist() == [4, 4, 4, 3, 1, 1, 0]
     assert inner_products.groups_in_reach(np.zeros(2), np.array([-5.0, 1.0]), longest).tolist() == [4, 0]
-
-
-def test_query_equals_sql(spark):
-    sf_dir = "/root/testdata/sf0.001"
-    found = QUERIES["op11_inner_products"](spark, sf_dir)
-    count, extra, missing = differences(found, connect(sf_dir), ORACLES["op11_inner_products"])
-    assert count == 50 and not extra and not missing

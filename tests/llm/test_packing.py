@@ -1,8 +1,9 @@
 import numpy as np
 import pytest
 
+from passagemill.llm import packing
 from passagemill.llm.packing import pack, piece_report, sequences
-from passagemill.llm.tokenizing import encode_pieces, open_tokenizer
+from passagemill.llm.tokenizing import PieceCache, encode_pieces, open_tokenizer
 
 NAME = "word_bpe_49k.json"
 
@@ -51,3 +52,29 @@ def test_words_alone_have_the_ids_of_the_library(edge_rows):
 
 def test_empty_table(no_docs):
     assert piece_report(pack(no_docs)).count() == 0
+
+
+def test_ids_are_handed_on_by_their_running_size(spark):
+    """Many rows of 100 KB go out in several batches, and every id is there."""
+    text = " ".join(f"word{at % 977}" for at in range(12_000))
+    rows = [(key, text) for key in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    stream = packing.token_stream(docs)
+    held = stream.selectExpr("max(length(ids)) one", "sum(n_ids) all", "max(begin + n_ids) last").first()
+    assert held["all"] == held["last"] and held["one"] * 60 == 4 * held["all"]
+
+
+def test_long_pieces_are_not_cached():
+    cache = PieceCache()
+    long, asked = "y" * 1_000, []
+
+    def encode(pieces):
+        asked.extend(pieces)
+        return [len(piece) for piece in pieces]
+
+    for _ in range(2):
+        cache.fill({"a", long}, encode)
+        assert cache["a"] == 1 and cache[long] == 1_000
+    assert set(cache) == {"a"} and asked.count(long) == 2 and asked.count("a") == 1
+    cache.fill({"b"}, encode)
+    assert long not in cache.long
