@@ -7,6 +7,7 @@ shared folder and read again. All stages but the last return the columns of ``do
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from passagemill.llm import mixing, near_dups, packing, quality_rules, toxicity
 from passagemill.session import new_path
@@ -34,9 +35,9 @@ def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents' tokens in sequences of 4096: one row per piece, with the checksum of its ids."""
+    """All documents' tokens in sequences of 4096: one row per piece, with its ids and their checksum."""
     pieces = packing.pack(docs)
-    return packing.piece_report(pieces)
+    return pieces.withColumn("ids_crc32", F.crc32("ids"))
 
 
 STAGES = [
