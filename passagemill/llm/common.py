@@ -69,6 +69,14 @@ def worker_cache(name: str, key) -> dict:
     return held[name, key]
 
 
+def drop_cache() -> None:
+    """Give the memory of the worker's cache back, before work that has none."""
+    held = worker_state("cache")
+    if held:
+        held.clear()
+        release_memory()
+
+
 def release_memory() -> None:
     """Hand memory that is no longer used back to the system, where the C library can do so."""
     gc.collect()

@@ -22,6 +22,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from passagemill.llm.common import drop_cache
 from passagemill.llm.word_hashes import mix, row_blocks, word_hashes
 from passagemill.session import stage
 
@@ -158,6 +159,7 @@ def signatures(documents: DataFrame, words: int = WORDS) -> DataFrame:
     names = ["doc_id", "row_a", "row_b", "n_shingles", "set_a", "set_b", "bands", "sketch"]
 
     def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_cache()
         for batch in batches:
             for low, high in row_blocks(batch.column(3)):
                 part = batch.slice(low, high - low)
