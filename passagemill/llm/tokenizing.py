@@ -123,20 +123,22 @@ class PieceCache(dict):
         return self.long[piece]
 
     def fill(self, pieces: set, encode: Callable[[list], Iterable]) -> None:
-        long = [piece for piece in pieces if len(piece) > CACHED_CHARS]
+        missing = [piece for piece in pieces if piece not in self]
+        long = [piece for piece in missing if len(piece) > CACHED_CHARS]
         self.long = dict(zip(long, encode(long), strict=True)) if long else {}
-        missing = [piece for piece in pieces if piece not in self and piece not in self.long]
         if len(self) + len(missing) > CACHE_ENTRIES:
             self.older = dict(self)
             self.clear()
-            missing = [piece for piece in pieces if piece not in self.long]
+            missing = list(pieces)
+        if long:
+            missing = [piece for piece in missing if piece not in self.long]
         older = self.older
         self.update((piece, older[piece]) for piece in missing if piece in older)
         unknown = [piece for piece in missing if piece not in older]
         self.update(zip(unknown, encode(unknown), strict=True))
 
 
-def batches_of(texts: list[str], limit: int = 1 << 20) -> Iterable[tuple[int, int]]:
+def batches_of(texts: list[str], limit: int = 1 << 22) -> Iterable[tuple[int, int]]:
     """Bounds of runs of texts with about ``limit`` signs each."""
     begin = size = 0
     for at, text in enumerate(texts):
