@@ -9,14 +9,12 @@ of counts and the XOR of digests and of their checks. Two versions' sketches are
 cell: equal paragraphs vanish. A cell that holds a single digest gives it up, which frees others,
 until nothing is left. If something is left, the sketch was too small, and a larger one is tried.
 
-Cells are rows, so that sums, subtraction and peeling are plain aggregations. Rows are dealt by document
-once, before the cells are made; all rounds after that group by document and cell and move nothing.
+A sketch is an array of its cells in use, in the row of its document, so sums, subtraction and peeling are
+column expressions and move nothing. Only the joins that bring each document the next one shuffle.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -39,12 +37,13 @@ THIRD = 8
 SECOND = 0.6
 GROWTH = 3
 
+#: A difference is tried with at most so many sizes. Each further one fails far more rarely than the one
+#: before, so that the last is never met.
+TRIES = 10
+
 #: Rounds of giving up digests, one third of the sketch after the other. What is left after them goes
 #: to the next try.
-ROUNDS = 18
-
-#: The cell number of recovered digests.
-RECOVERED = -1
+ROUNDS = 36
 
 
 def _stretches(sentence: Column) -> Column:
@@ -128,134 +127,160 @@ def _check(key: Column) -> Column:
     return F.xxhash64(key, F.lit("check"))
 
 
-def _cell(key: Column, part: Column | int, third: Column) -> Column:
-    """The cell of a key in one third of a sketch."""
-    part = F.lit(part) if isinstance(part, int) else part
-    return (third * part + F.pmod(F.xxhash64(key, part, third), third)).cast("int")
+def _entries(n: Column, key: Column, check: Column, third: Column) -> Column:
+    """What a key adds to a sketch: one entry in each third."""
 
+    def entry(part: int) -> Column:
+        cell = third * part + F.pmod(F.xxhash64(key, F.lit(part), third), third)
+        return F.struct(
+            cell.alias("cell"), n.alias("n"), key.alias("key"), check.alias("check")
+        )
 
-def _entry(cell: Column, found: Column, n: Column, key: Column, check: Column) -> Column:
-    return F.struct(
-        cell.cast("int").alias("cell"),
-        found.cast("long").alias("found"),
-        n.cast("long").alias("n"),
-        key.cast("long").alias("key"),
-        check.cast("long").alias("check"),
-    )
+    return F.array(*[entry(part) for part in range(3)])
 
 
-def _summed(entries: DataFrame, *owner: str) -> DataFrame:
-    """Entries of one cell added up; cells that come to nothing are left out."""
-    return (
-        entries.groupBy(*owner, "third", "cell", "found")
-        .agg(
-            F.sum("n").alias("n"),
-            F.bit_xor("key").alias("key"),
-            F.bit_xor("check").alias("check"),
-        )
-        .where((F.col("cell") < 0) | (F.col("n") != 0) | (F.col("key") != 0) | (F.col("check") != 0))
-    )
+def _is_zero(entry: Column) -> Column:
+    return (entry["n"] == 0) & (entry["key"] == 0) & (entry["check"] == 0)
 
 
-def sketches(keyed: DataFrame, *owner: str) -> DataFrame:
-    """The cells of ``keyed(*owner, third, n, key)``: ``n`` is 1 for a version's keys, and -1 for those of
-    the version that is subtracted from it. Cells are linear, so the sum of both is the difference."""
-    parts = keyed.withColumn("part", F.explode(F.array(*[F.lit(part) for part in range(3)])))
-    entries = parts.select(
-        *owner,
-        "third",
-        _cell(F.col("key"), F.col("part"), F.col("third")).alias("cell"),
-        F.lit(0).cast("long").alias("found"),
-        F.col("n").cast("long").alias("n"),
-        "key",
-        _check(F.col("key")).alias("check"),
-    )
-    return _summed(entries, *owner)
-
+def _cells(entries: Column) -> Column:
+    """Entries of one cell added up, in the order of cells; cells that come to nothing are left out."""
 
-def peel(cells: DataFrame, pair: str = "pair") -> DataFrame:
-    """Recovered digests as rows with ``cell`` = ``RECOVERED`` (``found`` the digest, ``n`` 1 for the left
-    version and -1 for the right), and the cells that are left.
+    def add(total: Column, one: Column) -> Column:
+        return F.struct(
+            one["cell"].alias("cell"),
+            (total["n"] + one["n"]).alias("n"),
+            total["key"].bitwiseXOR(one["key"]).alias("key"),
+            total["check"].bitwiseXOR(one["check"]).alias("check"),
+        )
 
-    A round looks at one third: a digest has one cell there, so it is given up once.
-    """
-    zero = F.lit(0)
-    for number in range(ROUNDS):
-        part = number % 3
-        third, n, key, check = (F.col(name) for name in ("third", "n", "key", "check"))
-        pure = (
-            (F.col("cell") >= third * part)
-            & (F.col("cell") < third * (part + 1))
-            & (F.abs(n) == 1)
-            & (check == _check(key))
+    def summed(ordered: Column) -> Column:
+        sums = F.transform(
+            _runs(ordered, lambda one: one["cell"]),
+            lambda run: F.when(run["length"] == 1, F.get(ordered, run["begin"])).otherwise(
+                F.aggregate(
+                    F.slice(ordered, run["begin"] + 2, run["length"] - 1),
+                    F.get(ordered, run["begin"]),
+                    add,
+                )
+            ),
         )
-        freed = [
-            _entry(_cell(key, other, third), zero, -n, key, check) for other in range(3) if other != part
-        ]
-        given = F.array(_entry(F.lit(RECOVERED), key, n, zero, zero), *freed)
-        same = F.array(_entry(F.col("cell"), F.col("found"), n, key, check))
-        entries = cells.select(pair, "third", F.inline(F.when(pure, given).otherwise(same)))
-        cells = _summed(entries, pair)
-    return cells
+        return F.filter(sums, lambda one: ~_is_zero(one))
+
+    return let(F.sort_array(entries), summed)
+
 
+def sketch(keys: Column, third: Column) -> Column:
+    """The cells in use of the sketch of some keys, with so many cells in each third."""
+    one = F.lit(1).cast("long")
+    return _cells(F.flatten(F.transform(keys, lambda key: _entries(one, key, _check(key), third))))
 
-def _attempt(pairs: DataFrame) -> DataFrame:
-    """``pair, third, cell, found, n`` after peeling the difference of ``pairs(pair, third, a, b)``."""
 
-    def signed(side: str, n: int) -> Column:
-        return F.transform(side, lambda key: F.struct(F.lit(n).alias("n"), key.alias("key")))
+def subtract(left: Column, right: Column) -> Column:
+    """The cells of ``left`` minus those of ``right``, both of one size."""
 
-    dealt = pairs.repartition("pair")
-    keyed = dealt.select("pair", "third", F.inline(F.concat(signed("a", 1), signed("b", -1))))
-    return peel(sketches(keyed, "pair"))
+    def negative(cell: Column) -> Column:
+        return F.struct(cell["cell"], (-cell["n"]).alias("n"), cell["key"], cell["check"])
 
+    return _cells(F.concat(left, F.transform(right, negative)))
 
-def _tries(pairs: DataFrame, third: int, kept) -> DataFrame:
-    """``kept`` of the peeled cells of each pair's successful try.
 
-    ``kept`` makes rows with ``pair`` and ``left`` (whether cells were left over) of peeled cells.
+def peel(cells: Column, third: Column) -> Column:
+    """``cells`` that are left and ``recovered`` digests: ``found``, and ``n``, which is 1 for the left
+    version and -1 for the right.
+
+    A round looks at one third: a digest has one cell there, so it is given up once. Rounds end when
+    nothing is left or when all three thirds gave nothing.
     """
-    todo = pairs.select("pair", "a", "b", F.lit(third).cast("long").alias("third"))
-    solved: list[DataFrame] = []
-    while True:
-        tried = stage(kept(_attempt(todo)), "fingerprint-peeled")
-        failed = tried.where("left").select("pair").distinct()
-        solved.append(tried.join(failed, "pair", "left_anti").drop("left"))
-        if failed.isEmpty():
-            return reduce(DataFrame.unionByName, solved)
-        second = F.ceil((F.size("a") + F.size("b")) * F.lit(SECOND))
-        larger = F.greatest(F.col("third") * GROWTH, second).cast("long")
-        todo = stage(
-            todo.join(failed, "pair", "left_semi").withColumn("third", larger), "fingerprint-unsolved"
-        )
 
+    def state(cells: Column, recovered: Column, idle: Column) -> Column:
+        return F.struct(cells.alias("cells"), recovered.alias("recovered"), idle.alias("idle"))
 
-def difference(pairs: DataFrame, third: int = THIRD) -> DataFrame:
-    """Compare the key arrays ``a`` and ``b`` of ``pairs(pair, a, b)`` by their sketches alone.
+    def round_of(before: Column, number: Column) -> Column:
+        low = third * (number % 3)
 
-    Returns ``pair, third, found, n`` for each recovered digest, ``n`` 1 if only ``a`` has it and -1 if
-    only ``b`` has it; ``third`` is the size that gave the answer. ``pair`` is unique; a pair without a
-    difference has no row. Tries go on until every pair is solved.
+        def pure(cell: Column) -> Column:
+            return (
+                (cell["cell"] >= low)
+                & (cell["cell"] < low + third)
+                & (F.abs(cell["n"]) == 1)
+                & (cell["check"] == _check(cell["key"]))
+            )
+
+        def given_up(given: Column) -> Column:
+            taken = F.transform(
+                given, lambda one: _entries(-one["n"], one["key"], one["check"], third)
+            )
+            digests = F.transform(
+                given, lambda one: F.struct(one["key"].alias("found"), one["n"].alias("n"))
+            )
+            return F.when(
+                F.size(given) == 0, state(before["cells"], before["recovered"], before["idle"] + 1)
+            ).otherwise(
+                state(
+                    _cells(F.concat(before["cells"], F.flatten(taken))),
+                    F.concat(before["recovered"], digests),
+                    F.lit(0),
+                )
+            )
+
+        done = (F.size(before["cells"]) == 0) | (before["idle"] >= 3)
+        return F.when(done, before).otherwise(let(F.filter(before["cells"], pure), given_up))
+
+    none = F.array().cast("array<struct<found: bigint, n: bigint>>")
+    return F.aggregate(
+        F.sequence(F.lit(0), F.lit(ROUNDS - 1)), state(cells, none, F.lit(0)), round_of
+    )
+
+
+def recovered(a: Column, b: Column, first: Column, third: int = THIRD) -> Column:
+    """``third, solved, digests`` of the difference of two key arrays.
+
+    ``first`` is the difference of their sketches with ``third`` cells in each third. If that does not
+    peel to nothing, larger sketches are made of the keys until one does.
     """
 
-    def digests(peeled: DataFrame) -> DataFrame:
-        return peeled.select("pair", "third", "found", "n", (F.col("cell") >= 0).alias("left"))
+    def tried(cells: Column, size: Column) -> Column:
+        return let(
+            peel(cells, size),
+            lambda peeled: F.struct(
+                size.cast("long").alias("third"),
+                (F.size(peeled["cells"]) == 0).alias("solved"),
+                peeled["recovered"].alias("digests"),
+            ),
+        )
 
-    return _tries(pairs, third, digests)
+    def again(before: Column, number: Column) -> Column:
+        second = F.ceil((F.size(a) + F.size(b)) * F.lit(SECOND))
+        larger = F.greatest(before["third"] * GROWTH, second).cast("long")
+        return F.when(before["solved"], before).otherwise(
+            let(larger, lambda size: tried(subtract(sketch(a, size), sketch(b, size)), size))
+        )
 
+    return F.aggregate(
+        F.sequence(F.lit(2), F.lit(TRIES)), tried(first, F.lit(third).cast("long")), again
+    )
 
-def difference_sizes(pairs: DataFrame, third: int = THIRD) -> DataFrame:
-    """Like ``difference``, but only how many digests each side has alone: ``pair, only_a, only_b``."""
 
-    def sizes(peeled: DataFrame) -> DataFrame:
-        recovered = F.col("cell") == RECOVERED
-        return peeled.groupBy("pair").agg(
-            F.count_if(recovered & (F.col("n") == 1)).alias("only_a"),
-            F.count_if(recovered & (F.col("n") == -1)).alias("only_b"),
-            F.max(F.col("cell") >= 0).alias("left"),
+def _solved(found: Column) -> Column:
+    """The digests; a difference that no try solved is an error and never a guess."""
+    return F.when(found["solved"], found["digests"]).otherwise(
+        F.raise_error(F.lit("a difference of fingerprints was not recovered")).cast(
+            "array<struct<found: bigint, n: bigint>>"
         )
+    )
 
-    return _tries(pairs, third, sizes)
+
+def difference(pairs: DataFrame, third: int = THIRD) -> DataFrame:
+    """Compare the key arrays ``a`` and ``b`` of ``pairs(pair, a, b)`` by their sketches alone.
+
+    Returns ``pair, third, found, n`` for each recovered digest, ``n`` 1 if only ``a`` has it and -1 if
+    only ``b`` has it; ``third`` is the size that gave the answer. A pair without a difference has no row.
+    """
+    size = F.lit(third).cast("long")
+    first = subtract(sketch(F.col("a"), size), sketch(F.col("b"), size))
+    found = pairs.select("pair", recovered(F.col("a"), F.col("b"), first, third).alias("answer"))
+    return found.select("pair", "answer.third", F.inline(_solved(F.col("answer"))))
 
 
 def likeness(n_a: Column, n_b: Column, only_a: Column, only_b: Column) -> Column:
@@ -265,22 +290,21 @@ def likeness(n_a: Column, n_b: Column, only_a: Column, only_b: Column) -> Column
     return F.when(union == 0, F.lit(1.0)).otherwise((n_a - only_a).cast("double") / union)
 
 
-def fingerprints(keyed: DataFrame, *owner: str, third: int = THIRD) -> DataFrame:
-    """``*owner, fingerprint`` of ``keyed(*owner, keys)``: the sketch as text, with the number, count,
-    digest and check of each cell in use, in hexadecimal. Without paragraphs it is empty."""
-    rows = keyed.select(
-        *owner,
-        F.lit(third).cast("long").alias("third"),
-        F.explode("keys").alias("key"),
-        F.lit(1).alias("n"),
-    )
-    written = F.concat_ws(
-        ":", F.col("cell").cast("string"), F.col("n").cast("string"), F.hex("key"), F.hex("check")
-    )
-    listed = F.array_sort(F.collect_list(F.struct("cell", written.alias("text"))))
-    texts = sketches(rows, *owner).groupBy(*owner).agg(listed.alias("cells"))
-    return texts.select(
-        *owner, F.array_join(F.transform("cells", lambda one: one["text"]), ";").alias("fingerprint")
+def written(cells: Column) -> Column:
+    """A sketch as text: number, count, digest and check of each cell in use, the last two in
+    hexadecimal. Without paragraphs it is empty."""
+    return F.array_join(
+        F.transform(
+            cells,
+            lambda one: F.concat_ws(
+                ":",
+                one["cell"].cast("string"),
+                one["n"].cast("string"),
+                F.hex(one["key"]),
+                F.hex(one["check"]),
+            ),
+        ),
+        ";",
     )
 
 
@@ -353,78 +377,39 @@ def edited_versions(documents: DataFrame) -> DataFrame:
 def compare_versions(versions: DataFrame, third: int = THIRD) -> DataFrame:
     """Fingerprints and likenesses of ``doc_id, text, edited, next_keys``.
 
+    Each version's sketch is made once in its row; the printed one and the subtracted one are the same.
     Empty texts have an empty fingerprint and are wholly like each other. Repeated rows are compared
     each; an empty table gives an empty table.
     """
-    held = stage(
-        versions.select(
-            F.monotonically_increasing_id().alias("row"),
-            "doc_id",
-            F.length("text").cast("long").alias("n_chars"),
-            F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
-            paragraph_keys(F.col("text")).alias("own"),
-            paragraph_keys(F.col("edited")).alias("edited"),
-            F.col("next_keys").alias("next"),
-        ),
-        "fingerprint-keys",
-    )
-    # a row's comparisons with the edited text and with the next one are its pairs 0 and 1
-    sides = F.array(
-        *[
-            F.struct(F.lit(number).alias("number"), F.col(name).alias("b"))
-            for number, name in enumerate(("edited", "next"))
-        ]
-    )
-    pairs = held.select("row", F.col("own").alias("a"), F.inline(sides)).select(
-        (F.col("row") * 2 + F.col("number")).alias("pair"), "a", "b"
-    )
-    found = difference_sizes(pairs, third).select(
-        F.floor(F.col("pair") / 2).cast("long").alias("row"),
-        (F.col("pair") % 2).alias("number"),
-        "only_a",
-        "only_b",
-    )
-    counts = found.groupBy("row").agg(
-        *[
-            F.sum(F.when(F.col("number") == number, F.col(f"only_{side}"))).alias(f"{name}_{side}")
-            for number, name in enumerate(("edited", "next"))
-            for side in ("a", "b")
-        ]
+    size = F.lit(third).cast("long")
+    keyed = versions.select(
+        "doc_id",
+        F.length("text").cast("long").alias("n_chars"),
+        F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
+        paragraph_keys(F.col("text")).alias("own"),
+        paragraph_keys(F.col("edited")).alias("edited"),
+        F.col("next_keys").alias("next"),
     )
-    texts = F.array(
-        *[
-            F.struct(F.lit(name).alias("version"), F.col(name).alias("keys"))
-            for name in ("own", "edited")
-        ]
-    )
-    printed = (
-        fingerprints(held.repartition("row").select("row", F.inline(texts)), "row", "version", third=third)
-        .groupBy("row")
-        .agg(
-            F.max(F.when(F.col("version") == "own", F.col("fingerprint"))).alias("own_print"),
-            F.max(F.when(F.col("version") == "edited", F.col("fingerprint"))).alias("edited_print"),
-        )
-    )
-    zero = F.lit(0)
-    near = {
-        name: likeness(
-            F.size("own"),
-            F.size(name),
-            F.coalesce(F.col(f"{name}_a"), zero),
-            F.coalesce(F.col(f"{name}_b"), zero),
-        )
-        for name in ("edited", "next")
-    }
-    return (
-        held.join(counts, "row", "left")
-        .join(printed, "row", "left")
-        .select(
-            "doc_id",
-            "n_chars",
-            "edited_sha256",
-            F.coalesce("own_print", F.lit("")).alias("fingerprint"),
-            F.coalesce("edited_print", F.lit("")).alias("edited_fingerprint"),
-            near["edited"].alias("near_edited"),
-            near["next"].alias("near_next"),
-        )
+    sides = ("own", "edited", "next")
+    sketched = keyed.select("*", *[sketch(F.col(name), size).alias(f"{name}_cells") for name in sides])
+
+    def near(name: str) -> Column:
+        first = subtract(F.col("own_cells"), F.col(f"{name}_cells"))
+
+        def share(digests: Column) -> Column:
+            only_a = F.size(F.filter(digests, lambda one: one["n"] == 1))
+            only_b = F.size(digests) - only_a
+            return likeness(F.size("own"), F.size(name), only_a, only_b)
+
+        answer = recovered(F.col("own"), F.col(name), first, third)
+        return let(let(answer, _solved), share)
+
+    return sketched.select(
+        "doc_id",
+        "n_chars",
+        "edited_sha256",
+        written(F.col("own_cells")).alias("fingerprint"),
+        written(F.col("edited_cells")).alias("edited_fingerprint"),
+        near("edited").alias("near_edited"),
+        near("next").alias("near_next"),
     )
