@@ -41,8 +41,7 @@ GROWTH = 3
 #: before, so that the last is never met.
 TRIES = 10
 
-#: Rounds of giving up digests, one third of the sketch after the other. What is left after them goes
-#: to the next try.
+#: Rounds of giving up digests at most. What is left after them goes to the next try.
 ROUNDS = 36
 
 
@@ -59,8 +58,9 @@ def _stretches(sentence: Column) -> Column:
             return F.transform(
                 starts,
                 lambda start, number: F.array_join(
-                    F.slice(
-                        words, start + 1, F.coalesce(F.get(starts, number + 1), F.size(words)) - start
+                    F.transform(
+                        F.sequence(start, F.coalesce(F.get(starts, number + 1), F.size(words)) - 1),
+                        lambda at: F.get(words, at),
                     ),
                     " ",
                 ),
@@ -144,7 +144,9 @@ def _is_zero(entry: Column) -> Column:
 
 
 def _cells(entries: Column) -> Column:
-    """Entries of one cell added up, in the order of cells; cells that come to nothing are left out."""
+    """Entries of one cell added up, in the order of cells; cells that come to nothing are left out.
+
+    Runs are read by position: ``slice`` would copy the whole array for each of them."""
 
     def add(total: Column, one: Column) -> Column:
         return F.struct(
@@ -159,9 +161,9 @@ def _cells(entries: Column) -> Column:
             _runs(ordered, lambda one: one["cell"]),
             lambda run: F.when(run["length"] == 1, F.get(ordered, run["begin"])).otherwise(
                 F.aggregate(
-                    F.slice(ordered, run["begin"] + 2, run["length"] - 1),
+                    F.sequence(run["begin"] + 1, run["begin"] + run["length"] - 1),
                     F.get(ordered, run["begin"]),
-                    add,
+                    lambda total, at: add(total, F.get(ordered, at)),
                 )
             ),
         )
@@ -189,47 +191,43 @@ def peel(cells: Column, third: Column) -> Column:
     """``cells`` that are left and ``recovered`` digests: ``found``, and ``n``, which is 1 for the left
     version and -1 for the right.
 
-    A round looks at one third: a digest has one cell there, so it is given up once. Rounds end when
-    nothing is left or when all three thirds gave nothing.
+    A round gives up the digests of all cells that hold a single one, each digest once, however many
+    of its cells do. Rounds end when nothing is left or nothing was given up.
     """
 
-    def state(cells: Column, recovered: Column, idle: Column) -> Column:
-        return F.struct(cells.alias("cells"), recovered.alias("recovered"), idle.alias("idle"))
+    def state(cells: Column, recovered: Column, stuck: Column) -> Column:
+        return F.struct(cells.alias("cells"), recovered.alias("recovered"), stuck.alias("stuck"))
 
-    def round_of(before: Column, number: Column) -> Column:
-        low = third * (number % 3)
-
-        def pure(cell: Column) -> Column:
-            return (
-                (cell["cell"] >= low)
-                & (cell["cell"] < low + third)
-                & (F.abs(cell["n"]) == 1)
-                & (cell["check"] == _check(cell["key"]))
-            )
+    def pure(cells: Column, sign: int) -> Column:
+        held = F.filter(
+            cells, lambda cell: (cell["n"] == sign) & (cell["check"] == _check(cell["key"]))
+        )
+        keys = F.array_distinct(F.transform(held, lambda cell: cell["key"]))
+        n = F.lit(sign).cast("long")
+        return F.transform(keys, lambda key: F.struct(key.alias("found"), n.alias("n")))
 
+    def round_of(before: Column, number: Column) -> Column:
         def given_up(given: Column) -> Column:
             taken = F.transform(
-                given, lambda one: _entries(-one["n"], one["key"], one["check"], third)
-            )
-            digests = F.transform(
-                given, lambda one: F.struct(one["key"].alias("found"), one["n"].alias("n"))
+                given, lambda one: _entries(-one["n"], one["found"], _check(one["found"]), third)
             )
             return F.when(
-                F.size(given) == 0, state(before["cells"], before["recovered"], before["idle"] + 1)
+                F.size(given) == 0, state(before["cells"], before["recovered"], F.lit(True))
             ).otherwise(
                 state(
                     _cells(F.concat(before["cells"], F.flatten(taken))),
-                    F.concat(before["recovered"], digests),
-                    F.lit(0),
+                    F.concat(before["recovered"], given),
+                    F.lit(False),
                 )
             )
 
-        done = (F.size(before["cells"]) == 0) | (before["idle"] >= 3)
-        return F.when(done, before).otherwise(let(F.filter(before["cells"], pure), given_up))
+        found = F.concat(pure(before["cells"], 1), pure(before["cells"], -1))
+        done = before["stuck"] | (F.size(before["cells"]) == 0)
+        return F.when(done, before).otherwise(let(found, given_up))
 
     none = F.array().cast("array<struct<found: bigint, n: bigint>>")
     return F.aggregate(
-        F.sequence(F.lit(0), F.lit(ROUNDS - 1)), state(cells, none, F.lit(0)), round_of
+        F.sequence(F.lit(1), F.lit(ROUNDS)), state(cells, none, F.lit(False)), round_of
     )
 
 
