@@ -91,18 +91,28 @@ def text_list(column: pa.Array) -> list[str]:
     return [value or "" for value in column.to_pylist()]
 
 
-def labelled_sample(documents: DataFrame, labelled: DataFrame, column: str, limit: int) -> DataFrame:
-    """``doc_id, text`` and the label of about ``limit`` labelled rows at most, chosen by a hash.
+def greatest_label(labelled: DataFrame, column: str) -> DataFrame:
+    """One row per key; of several labels the greatest counts. Rows without key are left out."""
+    return labelled.where("doc_id is not null").groupBy("doc_id").agg(F.max(column).alias(column))
+
+
+def texts_of(documents: DataFrame, chosen: DataFrame) -> DataFrame:
+    """``doc_id, text`` and the columns of ``chosen``, one row per key; of several texts the greatest counts.
 
-    If a key has several labels, the greatest counts. The chosen labels are few by construction, so
-    they are broadcast and the documents are not shuffled to find their texts.
+    The chosen rows are few by construction, so they are broadcast: of the documents only theirs are
+    shuffled, and each task adds up its own first.
     """
-    marked = (
-        labelled.where("doc_id is not null").groupBy("doc_id").agg(F.max(column).alias(column))
+    found = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(
+        F.broadcast(chosen), "doc_id"
     )
+    others = [name for name in chosen.columns if name != "doc_id"]
+    return found.groupBy("doc_id", *others).agg(F.max("text").alias("text")).select("doc_id", "text", *others)
+
+
+def labelled_sample(documents: DataFrame, labelled: DataFrame, column: str, limit: int) -> DataFrame:
+    """``doc_id, text`` and the label of about ``limit`` labelled documents at most, chosen by a hash."""
+    marked = greatest_label(labelled, column)
     scale = 1 << 20
     share = math.floor(scale * min(1.0, limit / max(marked.count(), 1)))
     chosen = marked.where(F.pmod(F.xxhash64("doc_id"), F.lit(scale)) < share)
-    return documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(
-        F.broadcast(chosen), "doc_id"
-    )
+    return texts_of(documents, chosen)

@@ -49,9 +49,12 @@ def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = table(spark, sf_dir, "labels", "doc_id", "quality")
     labelled = mixing.labelled_domains(documents, labels)
     rated, rates = mixing.mixed_rates(
-        documents.select("doc_id", "text"), labelled, mixing.language_targets()
+        documents.select("doc_id", "text"), labelled, mixing.language_targets(), mixing.MOST
     )
     domains = F.array(*[F.lit(name) for name in rates.domains])
+    wanted, reached = (
+        F.array(*[F.lit(float(share)) for share in shares]) for shares in (rates.targets, rates.achieved)
+    )
     best = F.array_position("grid", F.array_max("grid")).cast("int")
     return rated.select(
         "row.doc_id",
@@ -60,6 +63,8 @@ def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.transform("grid", lambda one: one / F.lit(float(mixing.GRID))).alias("posteriors"),
         "rate",
         "copies",
+        F.element_at(wanted, best).alias("target_share"),
+        F.element_at(reached, best).alias("achieved_share"),
     )
 
 

@@ -36,7 +36,6 @@ THRESHOLD = 0.3
 #: A term enters the lexicon if so many toxic texts hold it, this much more often than others.
 MIN_TEXTS = 4
 MIN_ODDS = 12.0
-LEXICON_TERMS = 20_000
 
 #: Lengths of word beginnings that are terms besides the word itself.
 BEGINNINGS = (3, 4, 5, 6)
@@ -168,60 +167,41 @@ def _distinct_terms(text: str) -> set[str]:
 
 
 def learn_lexicon(sample: DataFrame) -> Lexicon:
-    """Count terms over the learned sample ``text, toxic``.
+    """Count the terms of both classes over the learned sample ``text, toxic``.
 
-    Terms of toxic texts are counted first and their most frequent ``LEXICON_TERMS`` kept; the other
-    texts are then searched for these alone.
+    All terms are counted and held against the odds where they lie; only those that speak for toxic, with or
+    without the text itself, reach the driver.
     """
-    spark = sample.sparkSession
-    schema = "term string, texts long"
 
-    def batch_of(counter: Counter) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays(
-            [pa.array(list(counter), pa.string()), pa.array(list(counter.values()), pa.int64())],
-            ["term", "texts"],
-        )
-
-    def toxic_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            counter: Counter = Counter()
-            for text in text_list(batch.column(0)):
-                counter.update(_distinct_terms(text))
-            yield batch_of(counter)
+            counters: tuple[Counter, Counter] = (Counter(), Counter())
+            for text, toxic in zip(text_list(batch.column(0)), batch.column(1).to_pylist(), strict=True):
+                counters[toxic].update(_distinct_terms(text))
+            for toxic, counter in enumerate(counters):
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(list(counter), pa.string()),
+                        pa.array(list(counter.values() if toxic else [0] * len(counter)), pa.int64()),
+                        pa.array(list([0] * len(counter) if toxic else counter.values()), pa.int64()),
+                    ],
+                    ["term", "toxic", "clean"],
+                )
 
     counts = {row["toxic"]: row["count"] for row in sample.groupBy("toxic").count().collect()}
+    n_toxic, n_clean = counts.get(1, 0), counts.get(0, 0)
+    # the most that a term's odds can be: a clean text that holds it is left out
+    others = F.greatest(F.col("clean") - 1, F.lit(0))
+    odds = ((F.col("toxic") + 0.5) / (n_toxic + 1)) / ((others + 0.5) / (n_clean + 1))
     found = (
-        sample.where("toxic = 1")
-        .select("text")
-        .mapInArrow(toxic_terms, schema)
-        .groupBy("term")
-        .agg(F.sum("texts").alias("texts"))
-        .where(F.col("texts") >= MIN_TEXTS)
-        .orderBy(F.desc("texts"), "term")
-        .limit(LEXICON_TERMS)
-    )
-    toxic = {row["term"]: row["texts"] for row in found.collect()}
-    shared = spark.sparkContext.broadcast(frozenset(toxic))
-
-    def clean_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            counter: Counter = Counter()
-            for text in text_list(batch.column(0)):
-                counter.update(shared.value.intersection(_distinct_terms(text)))
-            yield batch_of(counter)
-
-    others = (
-        sample.where("toxic = 0")
-        .select("text")
-        .mapInArrow(clean_terms, schema)
+        sample.select("text", "toxic")
+        .mapInArrow(terms, "term string, toxic long, clean long")
         .groupBy("term")
-        .agg(F.sum("texts").alias("texts"))
+        .agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+        .where((F.col("toxic") >= MIN_TEXTS) & (odds >= 0.99 * MIN_ODDS))
     )
-    clean = {row["term"]: row["texts"] for row in others.collect()}
     lexicon = Lexicon(
-        {term: (texts, clean.get(term, 0)) for term, texts in toxic.items()},
-        counts.get(1, 0),
-        counts.get(0, 0),
+        {row["term"]: (row["toxic"], row["clean"]) for row in found.collect()}, n_toxic, n_clean
     )
     return lexicon._replace(
         terms={

@@ -1,15 +1,19 @@
 import random
 import zlib
+from collections import Counter
 
 import pytest
 
 from passagemill.llm.toxicity import (
+    Lexicon,
     drop_toxic,
     features_of,
     fit_toxicity,
+    learn_lexicon,
     learned_rows,
     plain_word,
     score_toxicity,
+    terms_of,
 )
 
 
@@ -47,6 +51,31 @@ def test_held_out_accuracy(marked):
     assert all(row["predicted"] == int(row["score"] >= 0.3) for row in rows)
 
 
+def test_rare_terms_of_many_toxic_texts_are_learned(spark):
+    """Every term that the odds let pass is kept, however many frequent ones there are."""
+    draw = random.Random(5)
+    rows = []
+    for key in range(1_200):
+        words = [f"word{draw.randrange(400)}" for _ in range(20)]
+        toxic = key % 2
+        words += [f"q{draw.randrange(100):02d}mark{draw.randrange(2)}"] if toxic else []
+        rows.append((key, " ".join(words), toxic))
+    sample = spark.createDataFrame(rows, "doc_id long, text string, toxic int").repartition(5)
+    lexicon = learn_lexicon(sample)
+    counts = {0: Counter(), 1: Counter()}
+    for _, text, toxic in rows:
+        counts[toxic].update({term for word in text.split() for term in terms_of(word)})
+    everything = Lexicon(
+        {term: (n, counts[0][term]) for term, n in counts[1].items()}, 600, 600
+    )
+    wanted = {
+        term: both for term, both in everything.terms.items()
+        if everything.weight(term) or everything.weight(term, 0)
+    }
+    assert lexicon.terms == wanted and len(wanted) > 100
+    assert (lexicon.toxic, lexicon.clean) == (600, 600)
+
+
 def test_held_out_rows_are_never_learned(marked):
     docs, labels = marked
     sample = learned_rows(docs, labels, 10_000)
