@@ -31,7 +31,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents are taken as often as the target weights of their domains ask for."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "quality")
-    return mixing.mix(docs, mixing.labelled_domains(docs, labels), mixing.language_targets())
+    labelled = mixing.labelled_domains(docs, labels)
+    return mixing.mix(docs, labelled, mixing.language_targets(), mixing.MOST)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
