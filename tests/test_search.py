@@ -223,6 +223,35 @@ def test_bounded_search_is_exact_with_fewer_cells(spark, folder, metric, broadca
     assert many.groupBy("query_id").count().where("count <> 241").count() == 0
 
 
+def test_search_memory_and_exactness_beyond_one_matrix(monkeypatch):
+    """Ties, near ties and long vectors, over several blocks of questions and rows; no array of
+    pairs is larger than asked for."""
+    from passagemill.operators import vector_search as vs
+
+    rng = np.random.default_rng(5)
+    rows_ = np.concatenate([rng.random((300, 16)), np.tile(rng.random((1, 16)), (200, 1))])
+    rows_[7, 3] = np.nan
+    asked = np.concatenate([rng.random((40, 16)), rows_[-1:], rows_[:1] + 1e-7])
+    rows_, asked = rows_.astype(np.float32), asked.astype(np.float32)
+    monkeypatch.setattr(vs, "SCORE_CELLS", 640)
+    monkeypatch.setattr(vs, "QUESTION_STEP", 16)
+    monkeypatch.setattr(vs, "PAIR_CELLS", 160)
+    true, most = vs._pair_scores, []
+    monkeypatch.setattr(vs, "_pair_scores", lambda q, r, m: most.append(q.size) or true(q, r, m))
+    for scale in (1.0, 1e18):
+        for metric in METRICS:
+            found = vs._best(vs._Side(asked * np.float32(scale), metric, True), rows_ * np.float32(scale), metric, 3)
+            found.sort()
+            question, score, row = found.parts[0]
+            for q in range(len(asked)):
+                pairs = np.tile(asked[q] * np.float32(scale), (len(rows_), 1))
+                scores = np.where(np.isnan(rows_).any(axis=1), -np.inf, true(pairs, rows_ * np.float32(scale), metric))
+                order = np.lexsort((np.arange(len(rows_)), -scores))[:3]
+                assert row[question == q].tolist() == order.tolist()
+                assert score[question == q].tolist() == scores[order].tolist()
+    assert max(most) <= 160
+
+
 # ---- keywords
 
 WORDS = ["red", "green", "blue", "Straße", "sun", "moon", "the"]
