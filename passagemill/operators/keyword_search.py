@@ -235,7 +235,11 @@ def two_hop_lookup(
     doc_id: str = "id",
     doc_text: str = "content",
 ) -> DataFrame:
-    """Search again with the best hit's text, commas removed, as the question."""
+    """Search again with the best hit's text, commas removed, as the question.
+
+    ``docs`` may be computed texts: they are written first, as the search reads them three times.
+    """
+    docs = stage(docs.select(doc_id, doc_text), "second-texts")
     second = first_hits.where(F.col("rank") == 1).select(
         query_id, F.replace(F.col(text), F.lit(","), F.lit("")).alias("query")
     )

@@ -326,3 +326,20 @@ def test_rerank_is_a_subset_of_its_input(spark):
     found = rerank_with(candidates, WordShareScorer(), 3).orderBy("rank").collect()
     assert [(r["rank"], r["id"], r["score"]) for r in found] == [(1, 0, 1.0), (2, 2, 1.0), (3, 4, 1.0)]
     assert Counter(r["query_id"] for r in found) == {1: 3}
+
+
+def test_second_lookup_computes_its_texts_once(spark):
+    from passagemill.operators.keyword_search import two_hop_lookup
+
+    read = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def text(number):
+        read.add(1)
+        return f"sun {number}"
+
+    docs = spark.range(6).select("id", text.asNondeterministic()("id").alias("content"))
+    first = spark.createDataFrame([(1, 1, "sun, 4")], "query_id int, rank int, content string")
+    found = two_hop_lookup(first, docs).collect()
+    assert [(r["query_id"], r["rank"], r["id"]) for r in found] == [(1, 1, 4)]
+    assert read.value == 6
