@@ -18,7 +18,9 @@ from passagemill.session import stage
 
 REQUEST_TEXTS = 150
 HASH_DIM = 256
-RUN_CELLS = 2_000_000
+#: Vectors are counted for runs of rows with at most so many cells, and terms (or one row).
+RUN_CELLS = 262_144
+RUN_TERMS = 500_000
 
 
 def _term_lists_to_unit_vectors(dim: int):
@@ -44,12 +46,17 @@ def _term_lists_to_unit_vectors(dim: int):
         return (counts / norms[:, None]).astype(np.float32)
 
     def unit_vectors(term_lists: pa.Array) -> pa.Array:
-        step = max(1, RUN_CELLS // dim)
-        runs = [
-            run_vectors(term_lists.slice(at, step)).ravel()
-            for at in range(0, len(term_lists), step)
-        ]
-        values = np.concatenate(runs) if runs else np.empty(0, dtype=np.float32)
+        lengths = np.asarray(term_lists.value_lengths().fill_null(0))
+        ends = np.cumsum(lengths, dtype=np.int64)
+        values = np.empty(len(term_lists) * dim, dtype=np.float32)
+        begin = 0
+        while begin < len(term_lists):
+            most = ends[begin] - lengths[begin] + RUN_TERMS
+            stop = min(begin + max(1, RUN_CELLS // dim), int(np.searchsorted(ends, most, "right")))
+            stop = max(stop, begin + 1)
+            part = term_lists.slice(begin, stop - begin)
+            values[begin * dim : stop * dim] = run_vectors(part).ravel()
+            begin = stop
         offsets = pa.array(np.arange(0, (len(term_lists) + 1) * dim, dim, dtype=np.int32))
         mask = term_lists.is_null() if term_lists.null_count else None
         return pa.ListArray.from_arrays(offsets, pa.array(values), mask=mask)

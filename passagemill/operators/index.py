@@ -34,7 +34,7 @@ from pyspark.sql.types import IntegerType, StringType, StructType
 
 from passagemill.functions.vectors import vector_fault
 from passagemill.operators.changes import latest_changes
-from passagemill.operators.embed import run_once, same_embedder
+from passagemill.operators.embed import RUN_CELLS, run_once, same_embedder
 from passagemill.operators.topk import SCORE_DIGITS, ranked
 from passagemill.operators.vector_search import (
     SCORE_CELLS,
@@ -196,9 +196,14 @@ def cell_reach(vector: Column, cell: Column, centroids: np.ndarray) -> Column:
     dim = centroids.shape[1]
 
     def measure(vectors: pa.Array, cells: pa.Array) -> pa.Array:
-        rows, centres = matrix(vectors, dim), centroids[np.asarray(cells)]
-        gaps = np.sqrt(((rows - centres) ** 2).sum(axis=1))
-        fields = [pa.array(gaps), pa.array(angles(rows, centres))]
+        of_row = np.asarray(cells)
+        gaps, turns = np.empty(len(vectors)), np.empty(len(vectors))
+        step = max(1, RUN_CELLS // dim)
+        for at in range(0, len(vectors), step):
+            rows, centres = matrix(vectors.slice(at, step), dim), centroids[of_row[at : at + step]]
+            gaps[at : at + step] = np.sqrt(((rows - centres) ** 2).sum(axis=1))
+            turns[at : at + step] = angles(rows, centres)
+        fields = [pa.array(gaps), pa.array(turns)]
         return pa.StructArray.from_arrays(fields, ["gap", "angle"])
 
     return run_once(measure, "struct<gap: double, angle: double>")(vector, cell)

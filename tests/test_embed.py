@@ -100,3 +100,27 @@ def test_embedders_must_match():
     same_embedder(("hashing", 64), ("hashing", 64))
     with pytest.raises(ValueError):
         same_embedder(("hashing", 64), ("hashing", 32))
+
+
+def test_vectors_are_counted_in_runs_of_bounded_size(monkeypatch):
+    """A batch of long texts is not counted at once, and the vectors are those of single rows."""
+    import numpy as np
+    import pyarrow as pa
+
+    from passagemill.operators import embed as module
+
+    true, sizes = np.bincount, []
+
+    def counted(cells, minlength):
+        sizes.append((len(cells), minlength))
+        return true(cells, minlength=minlength)
+
+    lists = [[f"w{i * j % 37}" for j in range(i % 9 * 100)] for i in range(60)] + [None, []]
+    vectors = module._term_lists_to_unit_vectors(16)
+    single = [vectors(pa.array([one], pa.list_(pa.string())))[0] for one in lists]
+    monkeypatch.setattr(module, "RUN_TERMS", 1_000)
+    monkeypatch.setattr(module, "RUN_CELLS", 16 * 10)
+    monkeypatch.setattr(module.np, "bincount", counted)
+    found = vectors(pa.array(lists, pa.list_(pa.string())))
+    assert found.to_pylist() == [one.as_py() for one in single]
+    assert max(terms for terms, _ in sizes) <= 1_000 and max(cells for _, cells in sizes) <= 160
