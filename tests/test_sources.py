@@ -115,3 +115,18 @@ def test_work_folder(spark, monkeypatch):
     assert work_folder(Cluster()) == "hdfs:///warehouse/_staged-app"
     Cluster.sparkContext.master = "local[2]"
     assert work_folder(Cluster()) == work_folder(Cluster())
+
+
+def test_one_file_is_found_without_listing_the_others(spark, monkeypatch):
+    from checks import queries
+
+    listed = []
+    true = queries.read_binary_files
+    monkeypatch.setattr(
+        queries, "read_binary_files", lambda s, path, **o: listed.append(path) or true(s, path, **o)
+    )
+    pages = spark.createDataFrame([(n, "url", f"<p>{n}</p>") for n in (6, 7, 70)], "page_id long, url string, html string")
+    monkeypatch.setattr(queries, "_table", lambda *_: pages)
+    found = queries.src_one_file(spark, "unused").collect()
+    assert [(row["page_id"], row["length"]) for row in found] == [(7, 9)]
+    assert [path.rsplit("/", 1)[1] for path in listed] == ["page_id=7"]
