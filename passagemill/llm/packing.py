@@ -24,12 +24,15 @@ from passagemill.llm.tokenizing import (
     encode_pieces,
     segments,
 )
-from passagemill.session import new_path
+from passagemill.session import arrow_batch_rows, new_path
 
 TOKENIZER = "word_bpe_49k.json"
 WINDOW = 4096
 END_ID = 2
 
+#: Documents that a worker takes at once.
+BATCH_ROWS = 1_000
+
 #: A task hands its ids on when they are so many bytes.
 HELD_BYTES = 1 << 22
 
@@ -98,7 +101,9 @@ def token_stream(
     schema = f"`{key}` {rows.schema[0].dataType.simpleString()}, ids binary, n_ids long, part long, local long"
     path = new_path(spark, "token-stream")
     stored = rows.mapInArrow(tokenized, schema)
-    stored.write.option("compression", "zstd").parquet(path)
+    # a worker holds a batch's texts as strings and as words
+    with arrow_batch_rows(spark, BATCH_ROWS):
+        stored.write.option("compression", "zstd").parquet(path)
     stored = spark.read.schema(stored.schema).parquet(path)
     totals = stored.groupBy("part").agg(F.sum("n_ids").alias("total"))
     # one row per task of the first pass: some bytes each, so the sums fit one task and a broadcast

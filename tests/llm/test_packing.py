@@ -78,3 +78,16 @@ def test_long_pieces_are_not_cached():
     assert set(cache) == {"a"} and asked.count(long) == 2 and asked.count("a") == 1
     cache.fill({"b"}, encode)
     assert long not in cache.long
+
+
+def test_workers_take_few_documents_at_once(spark, monkeypatch):
+    asked = []
+    true = packing.arrow_batch_rows
+    monkeypatch.setattr(packing, "arrow_batch_rows", lambda s, rows: asked.append(rows) or true(s, rows))
+    monkeypatch.setattr(packing, "BATCH_ROWS", 7)
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    docs = spark.range(0, 20, 1, 1).selectExpr("id as doc_id", "'one two' as text")
+    pieces = pack(docs)
+    assert asked == [7] and spark.conf.get(key) == before
+    assert pieces.count() == 20
