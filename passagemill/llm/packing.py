@@ -12,18 +12,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from passagemill.llm.common import let, text_list, worker_cache
-from passagemill.llm.tokenizing import (
-    PieceCache,
-    batches_of,
-    encode_pieces,
-    segments,
-)
+from passagemill.llm.common import let, worker_cache
+from passagemill.llm.tokenizing import PieceCache, packed_ids, split_words
 from passagemill.session import arrow_batch_rows, new_path
 
 TOKENIZER = "word_bpe_49k.json"
@@ -33,32 +29,46 @@ END_ID = 2
 #: Documents that a worker takes at once.
 BATCH_ROWS = 1_000
 
-#: A task hands its ids on when they are so many bytes.
-HELD_BYTES = 1 << 22
+#: Texts are encoded and handed on in runs of about so many bytes.
+RUN_BYTES = 1 << 22
 
+#: Entries of each generation of a worker's cache of ids.
+CACHED_PIECES = 200_000
 
-def encode_words(texts: list[str], tokenizer: str, end_id: int) -> Iterator[bytes]:
-    """The ids of each text and the end id, as little-endian unsigned 32-bit numbers.
+
+def encode_texts(texts: pa.Array, tokenizer: str, end_id: int) -> Iterator[pa.Array]:
+    """The ids of each text and the end id, as little-endian unsigned 32-bit numbers, run by run.
 
     The tokenizer must drop white space and never join what blanks separate; then a text's ids are
-    those of its words, one after the other, and each word is encoded once per worker.
+    those of its words, one after the other. A run's distinct words are looked up once.
     """
-    cache = worker_cache("word_ids", tokenizer).setdefault("words", PieceCache())
-    end = struct.pack("<I", end_id)
-
-    def encode(words: list[str]) -> Iterator[bytes]:
-        return (struct.pack(f"<{len(ids)}I", *ids) for ids in encode_pieces(words, tokenizer))
-
-    def words_of(text: str) -> list[bytes]:
-        # bytes.split() knows the six ASCII blanks only; str.split() would cut at others too
-        return text.encode("utf-8").split()
-
-    for begin, stop in batches_of(texts):
-        cut = [[words_of(part) for part in segments(text)] for text in texts[begin:stop]]
-        words = set().union(*(part for parts in cut for part in parts))
-        cache.fill(words, lambda missing: encode([word.decode("utf-8") for word in missing]))
-        for parts in cut:
-            yield b"".join([b"".join(map(cache.__getitem__, part)) for part in parts] + [end])
+    cache = worker_cache("word_ids", tokenizer).setdefault("pieces", PieceCache(CACHED_PIECES))
+    end = pa.scalar(struct.pack("<I", end_id), pa.binary())
+
+    def ids_of(pieces: pa.Array) -> pa.Array:
+        distinct = pieces.dictionary_encode()
+        names = distinct.dictionary.to_numpy(zero_copy_only=False).tolist()
+        cache.fill(names, lambda missing: packed_ids(missing, tokenizer))
+        return pa.array(map(cache.__getitem__, names), pa.binary(), size=len(names)).take(distinct.indices)
+
+    def run(texts: pa.Array) -> pa.Array:
+        # this splits at the six ASCII blanks only, and leaves empty words at a text's ends
+        split = pc.ascii_split_whitespace(texts)
+        words = split.flatten().dictionary_encode()
+        stems, signs = (ids_of(pieces) for pieces in split_words(words.dictionary, tokenizer))
+        found = pc.binary_join_element_wise(stems, signs, b"").take(words.indices)
+        _, offsets, ids = found.buffers()
+        bounds = np.frombuffer(offsets, dtype=np.int32)[np.asarray(split.offsets)]
+        whole = pa.Array.from_buffers(pa.binary(), len(texts), [None, pa.py_buffer(bounds), ids])
+        return pc.binary_join_element_wise(whole, end, b"")
+
+    texts = texts.fill_null("")
+    if len(texts):
+        ends = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False))
+        runs = np.concatenate([[0], ends[:-1]]) // RUN_BYTES
+        bounds = [0, *(np.flatnonzero(np.diff(runs)) + 1).tolist(), len(texts)]
+        for begin, stop in zip(bounds[:-1], bounds[1:], strict=True):
+            yield run(texts.slice(begin, stop - begin))
 
 
 def token_stream(
@@ -78,30 +88,25 @@ def token_stream(
     def tokenized(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, total = TaskContext.get().partitionId(), 0
         for batch in batches:
-            texts = text_list(batch.column(1))
-            ids, begin, held = [], 0, 0
-            for at, one in enumerate(encode_words(texts, tokenizer, end_id)):
-                ids.append(one)
-                held += len(one)
-                if at + 1 == len(texts) or held > HELD_BYTES:
-                    sizes = np.array([len(x) // 4 for x in ids], dtype=np.int64)
-                    ends = np.cumsum(sizes) + total
-                    columns = [
-                        batch.column(0).slice(begin, len(ids)),
-                        pa.array(ids, pa.binary()),
-                        pa.array(sizes),
-                        pa.array(np.full(len(ids), part, dtype=np.int64)),
-                        pa.array(ends - sizes),
-                    ]
-                    total, begin = int(ends[-1]), at + 1
-                    ids, held = [], 0
-                    yield pa.RecordBatch.from_arrays(columns, names)
+            begin = 0
+            for ids in encode_texts(batch.column(1), tokenizer, end_id):
+                sizes = pc.binary_length(ids).to_numpy(zero_copy_only=False).astype(np.int64) // 4
+                ends = np.cumsum(sizes) + total
+                columns = [
+                    batch.column(0).slice(begin, len(ids)),
+                    ids,
+                    pa.array(sizes),
+                    pa.array(np.full(len(ids), part, dtype=np.int64)),
+                    pa.array(ends - sizes),
+                ]
+                total, begin = int(ends[-1]), begin + len(ids)
+                yield pa.RecordBatch.from_arrays(columns, names)
 
     rows = documents.select(F.col(key), F.col(text).alias("text"))
     schema = f"`{key}` {rows.schema[0].dataType.simpleString()}, ids binary, n_ids long, part long, local long"
     path = new_path(spark, "token-stream")
     stored = rows.mapInArrow(tokenized, schema)
-    # a worker holds a batch's texts as strings and as words
+    # a worker holds a batch's texts
     with arrow_batch_rows(spark, BATCH_ROWS):
         stored.write.option("compression", "zstd").parquet(path)
     stored = spark.read.schema(stored.schema).parquet(path)

@@ -1,4 +1,5 @@
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from passagemill.llm import packing
@@ -91,3 +92,29 @@ def test_workers_take_few_documents_at_once(spark, monkeypatch):
     pieces = pack(docs)
     assert asked == [7] and spark.conf.get(key) == before
     assert pieces.count() == 20
+
+
+def test_pieces_of_a_run_are_encoded_once(monkeypatch):
+    """A stem is encoded once, whatever its case and the signs behind it."""
+    asked = []
+    true = packing.packed_ids
+    monkeypatch.setattr(packing, "packed_ids", lambda pieces, name: asked.extend(pieces) or true(pieces, name))
+    texts = ["Grölwhy, grölwhy. GRÖLWHY!" * 5, None, "", " grölwhy\x0b\x1cgrölwhy\x85 ", "grölwhy, " * 1_000]
+    found = [one for ids in packing.encode_texts(pa.array(texts), NAME, 2) for one in ids.to_pylist()]
+    assert found == [library_ids(text) for text in texts]
+    assert len(asked) == len(set(asked)) and asked.count("grölwhy") == 1 and "GRÖLWHY" not in asked
+
+
+def test_runs_end_with_their_bytes(monkeypatch):
+    monkeypatch.setattr(packing, "RUN_BYTES", 10)
+    texts = ["one two three", "a", "b", "four five six seven", "", None, "c"]
+    runs = [ids.to_pylist() for ids in packing.encode_texts(pa.array(texts), NAME, 2)]
+    assert [one for ids in runs for one in ids] == [library_ids(text) for text in texts]
+    assert len(runs) > 2 and list(packing.encode_texts(pa.array([], pa.string()), NAME, 2)) == []
+
+
+def test_odd_words_have_the_ids_of_the_library():
+    odd = "J̌ ǰ İ İ Å Å ß ẞ ÿ Ÿ ª µ × a× don't x'll '' ## a#b #a a1 1 ½ ﬁ Ω ΑΣ <|endoftext|> a<|endoftext|> <|ENDOFTEXT|>"
+    texts = [odd, *odd.split(), odd.upper(), "a­b", "x" * 70, "éè" * 40 + "..", "\x00 \x01a", "日本語 한국"]
+    found = [one for ids in packing.encode_texts(pa.array(texts), NAME, 2) for one in ids.to_pylist()]
+    assert found == [library_ids(text) for text in texts]
