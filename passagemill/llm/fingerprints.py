@@ -41,6 +41,10 @@ GROWTH = 3
 #: before, so that the last is never met.
 TRIES = 10
 
+#: A cell's number and an entry's place in its array are held in one long.
+PLACE_BITS = 31
+PLACES = 1 << PLACE_BITS
+
 #: Rounds of giving up digests at most. What is left after them goes to the next try.
 ROUNDS = 36
 
@@ -146,7 +150,10 @@ def _is_zero(entry: Column) -> Column:
 def _cells(entries: Column) -> Column:
     """Entries of one cell added up, in the order of cells; cells that come to nothing are left out.
 
-    Runs are read by position: ``slice`` would copy the whole array for each of them."""
+    Numbers are sorted and not entries, which are far slower to compare: cell and place of each entry."""
+
+    def entry_at(entries: Column, number: Column) -> Column:
+        return F.get(entries, number.bitwiseAND(F.lit(PLACES - 1)).cast("int"))
 
     def add(total: Column, one: Column) -> Column:
         return F.struct(
@@ -156,20 +163,29 @@ def _cells(entries: Column) -> Column:
             total["check"].bitwiseXOR(one["check"]).alias("check"),
         )
 
-    def summed(ordered: Column) -> Column:
+    def summed(bound: Column) -> Column:
+        entries, ordered = bound["entries"], bound["ordered"]
         sums = F.transform(
-            _runs(ordered, lambda one: one["cell"]),
-            lambda run: F.when(run["length"] == 1, F.get(ordered, run["begin"])).otherwise(
+            _runs(ordered, lambda number: F.shiftright(number, PLACE_BITS)),
+            lambda run: F.when(
+                run["length"] == 1, entry_at(entries, F.get(ordered, run["begin"]))
+            ).otherwise(
                 F.aggregate(
                     F.sequence(run["begin"] + 1, run["begin"] + run["length"] - 1),
-                    F.get(ordered, run["begin"]),
-                    lambda total, at: add(total, F.get(ordered, at)),
+                    entry_at(entries, F.get(ordered, run["begin"])),
+                    lambda total, at: add(total, entry_at(entries, F.get(ordered, at))),
                 )
             ),
         )
         return F.filter(sums, lambda one: ~_is_zero(one))
 
-    return let(F.sort_array(entries), summed)
+    def sorted_(entries: Column) -> Column:
+        numbers = F.transform(entries, lambda one, at: F.shiftleft(one["cell"], PLACE_BITS) + at)
+        return let(
+            F.struct(entries.alias("entries"), F.sort_array(numbers).alias("ordered")), summed
+        )
+
+    return let(entries, sorted_)
 
 
 def sketch(keys: Column, third: Column) -> Column:
@@ -187,16 +203,28 @@ def subtract(left: Column, right: Column) -> Column:
     return _cells(F.concat(left, F.transform(right, negative)))
 
 
+def _difference(left: Column, right: Column, third: Column) -> Column:
+    """``subtract`` of the sketches of two key arrays, all entries added up at once."""
+
+    def entries(keys: Column, n: int) -> Column:
+        n = F.lit(n).cast("long")
+        return F.flatten(F.transform(keys, lambda key: _entries(n, key, _check(key), third)))
+
+    return _cells(F.concat(entries(left, 1), entries(right, -1)))
+
+
 def peel(cells: Column, third: Column) -> Column:
     """``cells`` that are left and ``recovered`` digests: ``found``, and ``n``, which is 1 for the left
-    version and -1 for the right.
+    version and -1 for the right; with ``third``.
 
     A round gives up the digests of all cells that hold a single one, each digest once, however many
     of its cells do. Rounds end when nothing is left or nothing was given up.
     """
 
     def state(cells: Column, recovered: Column, stuck: Column) -> Column:
-        return F.struct(cells.alias("cells"), recovered.alias("recovered"), stuck.alias("stuck"))
+        return F.struct(
+            cells.alias("cells"), recovered.alias("recovered"), stuck.alias("stuck"), third.alias("third")
+        )
 
     def pure(cells: Column, sign: int) -> Column:
         held = F.filter(
@@ -238,25 +266,24 @@ def recovered(a: Column, b: Column, first: Column, third: int = THIRD) -> Column
     peel to nothing, larger sketches are made of the keys until one does.
     """
 
-    def tried(cells: Column, size: Column) -> Column:
-        return let(
-            peel(cells, size),
-            lambda peeled: F.struct(
-                size.cast("long").alias("third"),
-                (F.size(peeled["cells"]) == 0).alias("solved"),
-                peeled["recovered"].alias("digests"),
-            ),
-        )
+    second = F.ceil((F.size(a) + F.size(b)) * F.lit(SECOND))
+    larger = F.greatest(F.lit(third * GROWTH), second).cast("long")
 
-    def again(before: Column, number: Column) -> Column:
-        second = F.ceil((F.size(a) + F.size(b)) * F.lit(SECOND))
-        larger = F.greatest(before["third"] * GROWTH, second).cast("long")
-        return F.when(before["solved"], before).otherwise(
-            let(larger, lambda size: tried(subtract(sketch(a, size), sketch(b, size)), size))
+    def again(before: Column, size: Column) -> Column:
+        return F.when(F.size(before["cells"]) == 0, before).otherwise(peel(_difference(a, b, size), size))
+
+    def answer(peeled: Column) -> Column:
+        return F.struct(
+            peeled["third"].alias("third"),
+            (F.size(peeled["cells"]) == 0).alias("solved"),
+            peeled["recovered"].alias("digests"),
         )
 
     return F.aggregate(
-        F.sequence(F.lit(2), F.lit(TRIES)), tried(first, F.lit(third).cast("long")), again
+        F.array(*[larger * GROWTH**at for at in range(TRIES - 1)]),
+        peel(first, F.lit(third).cast("long")),
+        again,
+        answer,
     )
 
 

@@ -132,3 +132,15 @@ def test_repeated_paragraphs_count(spark):
 def test_plan_is_native(edge_docs):
     plan = compare_versions(edited_versions(edge_docs))._jdf.queryExecution().optimizedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_a_difference_at_once_is_that_of_the_sketches(spark):
+    from passagemill.llm.fingerprints import _difference, subtract
+
+    draw = random.Random(9)
+    rows = [([draw.randrange(60) for _ in range(size)], [draw.randrange(60) for _ in range(40)]) for size in (0, 1, 90)]
+    pairs = spark.createDataFrame([(sorted(set(a)), sorted(set(b))) for a, b in rows], "a array<long>, b array<long>")
+    for size in (F.lit(1).cast("long"), F.lit(8).cast("long"), F.lit(200).cast("long")):
+        apart = subtract(sketch(F.col("a"), size), sketch(F.col("b"), size))
+        found = pairs.select(apart.alias("x"), _difference(F.col("a"), F.col("b"), size).alias("y")).collect()
+        assert all(row["x"] == row["y"] for row in found)
