@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from passagemill.llm.common import let, worker_cache
+from passagemill.llm.common import drop_cache, let, worker_cache
 from passagemill.llm.tokenizing import PieceCache, packed_ids, split_words
 from passagemill.session import arrow_batch_rows, new_path
 
@@ -32,7 +32,7 @@ BATCH_ROWS = 1_000
 #: Texts are encoded and handed on in runs of about so many bytes.
 RUN_BYTES = 1 << 22
 
-#: Entries of each generation of a worker's cache of ids.
+#: Entries of each generation of a task's cache of ids.
 CACHED_PIECES = 200_000
 
 
@@ -101,6 +101,8 @@ def token_stream(
                 ]
                 total, begin = int(ends[-1]), begin + len(ids)
                 yield pa.RecordBatch.from_arrays(columns, names)
+        # Spark takes its idle workers in turn: each of them would keep a cache
+        drop_cache()
 
     rows = documents.select(F.col(key), F.col(text).alias("text"))
     schema = f"`{key}` {rows.schema[0].dataType.simpleString()}, ids binary, n_ids long, part long, local long"

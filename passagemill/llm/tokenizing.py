@@ -6,6 +6,7 @@ import os
 import re
 import struct
 from collections.abc import Callable, Iterable
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -19,6 +20,9 @@ CACHE_ENTRIES = 300_000
 #: Longer pieces are encoded each time and never cached.
 CACHED_CHARS = 64
 
+#: Stems that are encoded by one call, whose tokens take far more memory than their ids.
+STEMS_AT_ONCE = 2_000
+
 #: Long texts are cut between words into segments of about this many signs.
 SEGMENT_CHARS = 1 << 20
 
@@ -75,7 +79,7 @@ def _whole(tokenizer, pieces: list[str]) -> list[bytes]:
 
 
 def _direct(tokenizer) -> Callable[[list[str]], list[bytes]] | None:
-    """Ids of lower-case stems straight from the merges, all in one call, without the steps before them
+    """Ids of lower-case stems straight from the merges, many in one call, without the steps before them
     that change nothing in a stem. Their ends are found by the suffix of a word's last token. None unless
     trial words show that the tokenizer is of this kind and that a plain word's ids are those of its
     stem and of its signs."""
@@ -93,8 +97,10 @@ def _direct(tokenizer) -> Callable[[list[str]], list[bytes]] | None:
     spelled = {sign: "".join([signs[byte] for byte in sign.encode()]) for sign in _LOWER if not sign.isascii()}
 
     def ids(stems: list[str]) -> list[bytes]:
-        if not stems:
-            return []
+        calls = range(0, len(stems), STEMS_AT_ONCE)
+        return list(chain.from_iterable(called(stems[begin : begin + STEMS_AT_ONCE]) for begin in calls))
+
+    def called(stems: list[str]) -> list[bytes]:
         text = " ".join(stems)
         if not text.isascii():
             # no sign that one of these puts in is put in place of by another

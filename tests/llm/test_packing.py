@@ -118,3 +118,23 @@ def test_odd_words_have_the_ids_of_the_library():
     texts = [odd, *odd.split(), odd.upper(), "a­b", "x" * 70, "éè" * 40 + "..", "\x00 \x01a", "日本語 한국"]
     found = [one for ids in packing.encode_texts(pa.array(texts), NAME, 2) for one in ids.to_pylist()]
     assert found == [library_ids(text) for text in texts]
+
+
+def test_workers_keep_no_cache_behind_a_task(spark):
+    pack(spark.range(0, 40, 1, 4).selectExpr("id as doc_id", "'one two ' || id as text")).count()
+
+    def held(batches):
+        from passagemill.llm.common import worker_state
+
+        for batch in batches:
+            yield pa.RecordBatch.from_pylist([{"n": len(worker_state("cache"))}])
+
+    assert {row["n"] for row in spark.range(0, 8, 1, 8).mapInArrow(held, "n long").collect()} == {0}
+
+
+def test_stems_go_to_the_library_in_bounded_calls(monkeypatch):
+    from passagemill.llm import tokenizing
+
+    monkeypatch.setattr(tokenizing, "STEMS_AT_ONCE", 3)
+    words = ["one", "two", "three", "fölks", "qzxvkj", "seven", "eight"]
+    assert tokenizing.packed_ids(words, NAME) == [library_ids(word)[:-4] for word in words]
