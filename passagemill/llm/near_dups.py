@@ -22,7 +22,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from passagemill.llm.common import drop_cache
+from passagemill.llm.common import drop_cache, release_memory
 from passagemill.llm.word_hashes import mix, row_blocks, word_hashes
 from passagemill.session import stage
 
@@ -44,6 +44,9 @@ SKETCH_LONGS = SKETCH_BITS // 64
 #: wanted similarity: more than four standard errors of the estimate.
 MARGIN = 0.08
 
+#: Rows that a worker takes at once, with their texts.
+BATCH_ROWS = 1_000
+
 #: Bits at most of the filter of ids that are read again, and places of an id in it.
 FILTER_BITS = 1 << 27
 FILTER_PLACES = 4
@@ -181,6 +184,7 @@ def signatures(documents: DataFrame, words: int = WORDS) -> DataFrame:
                     ],
                     names,
                 )
+        release_memory()
 
     schema = (
         "doc_id long, row_a long, row_b long, n_shingles long, set_a long, set_b long, "
@@ -254,6 +258,7 @@ def shingle_sets(documents: DataFrame, wanted: DataFrame, words: int = WORDS) ->
                     [pa.array(digests[0]), pa.array(digests[1]), pa.array(np.diff(first)), lists],
                     [*CLASS, "shingles"],
                 )
+        release_memory()
 
     schema = "set_a long, set_b long, n_shingles long, shingles array<long>"
     rows = keyed_rows(documents.select("doc_id", "text")).select("row_a", "row_b", "text")
@@ -326,7 +331,7 @@ def verified(
     pairs = stage(pairs.select("a", "b"), "near-dup-pairs")
     nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
     wanted = stage(classes.select("node", "head.row_a", *CLASS).join(nodes, "node"), "near-dup-wanted")
-    sets = stage(shingle_sets(documents, wanted, words), "near-dup-sets")
+    sets = stage(shingle_sets(documents, wanted, words), "near-dup-sets", BATCH_ROWS)
     left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("left"))
     right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("right"))
     common = F.size(F.array_intersect("left", "right"))
@@ -357,7 +362,7 @@ def components(
     component: the smallest by id, then by digest; rows without id come last.
     """
     documents = documents.select("doc_id", "text")
-    signed = stage(signatures(documents, words), "near-dup-signatures")
+    signed = stage(signatures(documents, words), "near-dup-signatures", BATCH_ROWS)
     head = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", *CLASS, "row_a", "row_b")
     # bands and sketch follow from the set, so any row's will do; nodes go by id, since leaders are the
     # smallest nodes and an original tends to be older than its copies

@@ -23,13 +23,16 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from passagemill.llm.common import id_crc32, labelled_sample, text_list, worker_cache
+from passagemill.llm.common import drop_cache, id_crc32, labelled_sample, text_list, worker_cache
 from passagemill.llm.tokenizing import PieceCache, batches_of
 from passagemill.session import stage
 
 #: At most about so many labelled rows are learned from; they are chosen by a hash of their key.
 LABELLED_ROWS = 20_000
 
+#: Texts that a worker holds as strings at once.
+PART_ROWS = 1_000
+
 #: Texts score at least this much to be predicted toxic.
 THRESHOLD = 0.3
 
@@ -239,14 +242,19 @@ def with_features(rows: DataFrame, lexicon: Lexicon, learned: bool = False) -> D
                     ]
                 yield features_of(text, words, weights)
 
+    def parts_of(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        return (batch.slice(begin, PART_ROWS) for begin in range(0, batch.num_rows, PART_ROWS))
+
     def computed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in parts_of(whole)):
             texts = text_list(batch.column("text"))
             labels = batch.column("toxic").to_pylist() if learned else [None] * len(texts)
             found = pa.array(list(vectors(texts, labels)), pa.list_(pa.float64()))
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(name) for name in kept), found], [*kept, "features"]
             )
+        # Spark takes its idle workers in turn: each of them would keep a cache
+        drop_cache()
 
     fields = [field for field in rows.schema.fields if field.name != "text"]
     schema = T.StructType([*fields, T.StructField("features", T.ArrayType(T.DoubleType()))])

@@ -157,3 +157,15 @@ def test_word_hashes_split_as_the_pattern(edge_rows):
         for word, value in zip(words, hashes):
             assert known.setdefault(word, value) == value
     assert len(set(known.values())) == len(known)
+
+
+def test_workers_take_few_texts_at_once(spark, monkeypatch):
+    from passagemill import session
+
+    asked = []
+    true = session.arrow_batch_rows
+    monkeypatch.setattr(session, "arrow_batch_rows", lambda s, rows: asked.append(rows) or true(s, rows))
+    text = "a stone house by the river and a light in its garden"
+    docs = spark.range(0, 30, 1, 1).selectExpr("id as doc_id", f"'{text}' || repeat(' again', int(id)) as text")
+    assert near_dups.near_duplicates(docs, words=4, similarity=80).count() == 30
+    assert asked and set(asked) == {near_dups.BATCH_ROWS}

@@ -109,3 +109,24 @@ def test_words_are_read_through_their_disguise():
 
 def test_features_of_nothing():
     assert set(features_of("", [], [])) == {0.0}
+
+
+def test_texts_are_taken_in_parts_and_no_cache_is_left(spark, monkeypatch):
+    import pyarrow as pa
+
+    from passagemill.llm import toxicity
+    from passagemill.llm.toxicity import Lexicon, with_features
+
+    rows = spark.range(0, 25, 1, 2).selectExpr("id as doc_id", "'you are mean ' || id as text")
+    lexicon = Lexicon({"=mean": (9, 0)}, 10, 10)
+    whole = sorted(map(tuple, with_features(rows, lexicon).collect()))
+    monkeypatch.setattr(toxicity, "PART_ROWS", 4)
+    assert sorted(map(tuple, with_features(rows, lexicon).collect())) == whole and len(whole) == 25
+
+    def held(batches):
+        from passagemill.llm.common import worker_state
+
+        for batch in batches:
+            yield pa.RecordBatch.from_pylist([{"n": len(worker_state("cache"))}])
+
+    assert {row["n"] for row in spark.range(0, 8, 1, 8).mapInArrow(held, "n long").collect()} == {0}
