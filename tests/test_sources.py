@@ -130,3 +130,19 @@ def test_one_file_is_found_without_listing_the_others(spark, monkeypatch):
     found = queries.src_one_file(spark, "unused").collect()
     assert [(row["page_id"], row["length"]) for row in found] == [(7, 9)]
     assert [path.rsplit("/", 1)[1] for path in listed] == ["page_id=7"]
+
+
+def test_page_files_are_written_by_all_cores(spark, tmp_path):
+    from pathlib import Path
+
+    from checks.queries import _page_files, src_binary_files
+
+    rows = [(at, f"page {at}") for at in range(40)] + [(3, "page 3")]
+    pages = spark.createDataFrame(rows, "page_id long, html string").coalesce(1)
+    pages.write.parquet(f"{tmp_path}/pages.parquet")
+    written = list(Path(_page_files(spark, str(tmp_path)).removeprefix("file:")).glob("page_id=*/*.txt"))
+    # one file for each page, by more than the one task that the table gives
+    assert len(written) == 40
+    assert len({one.name.split("-")[1] for one in written}) > 1
+    found = {row["page_id"]: row["length"] for row in src_binary_files(spark, str(tmp_path)).collect()}
+    assert found == {at: (14 if at == 3 else len(f"page {at}") + 1) for at in range(40)}
