@@ -575,12 +575,15 @@ def sync_index(spark, sf):
         stage(hash_embed(state, dim=64), "state") for state in _snapshots(spark, sf)
     )
     feed, path, checkpoint = (new_path(spark, n) for n in ("feed", "index", "checkpoint"))
-    changes = diff_snapshots(first, second, "doc_id", 1)
+    changes = [
+        diff_snapshots(old, new, "doc_id", version)
+        for old, new, version in ((first, second, 1), (second, third, 2))
+    ]
     build = dict(key="doc_id", dim=64, cells=4)
-    for old, new, version in ((None, None, 0), (first, second, 1), (second, third, 2)):
-        if version:
-            append_changes(diff_snapshots(old, new, "doc_id", version), feed)
-        create_or_sync(spark, first, feed, changes.schema, path, checkpoint, **build)
+    for coming in (None, *changes):
+        if coming is not None:
+            append_changes(coming, feed)
+        create_or_sync(spark, first, feed, changes[0].schema, path, checkpoint, **build)
     return open_index(spark, path).rows(spark).select(
         "doc_id", "content", F.size("embedding").cast("bigint").alias("width")
     )

@@ -54,6 +54,8 @@ def diff_snapshots(
     if preimages:
         updated = changed.where(F.col("_change_type") == UPDATE)
         replaced = replaced.union(updated.select(key, F.lit(UPDATE_BEFORE)))
+    # written apart, so that Spark knows how few they are and need not shuffle the old rows for them
+    replaced = stage(replaced, "replaced-keys")
     return (
         after.join(changed.where(~gone), key)
         .unionByName(before.join(replaced, key))

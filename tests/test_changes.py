@@ -82,3 +82,21 @@ def test_diff_then_apply(spark, first, second, third):
     assert state(step) == second
     assert state(apply_changes(step, diff_snapshots(mid, new, "id", 2), "id")) == third
     assert state(apply_changes(versioned(old, 0), both, "id")) == third
+
+
+def test_few_deleted_rows_are_fetched_without_a_shuffle_of_the_old_table(spark):
+    from pyspark.sql import functions as F
+
+    old = spark.range(20_000).select("id", F.concat(F.lit("a"), "id").alias("t"))
+    new = old.where("id >= 3").select("id", F.concat("t", F.lit("b")).alias("t"))
+    setting = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "20000")
+    try:
+        changes = diff_snapshots(old, new, "id", 1)
+        plan = changes._jdf.queryExecution().sparkPlan().toString()
+        found = {row["_change_type"]: row["count"] for row in changes.groupBy("_change_type").count().collect()}
+    finally:
+        spark.conf.set(setting, before)
+    assert plan.count("SortMergeJoin") == 1 and plan.count("BroadcastHashJoin") == 1
+    assert found == {"delete": 3, "update_postimage": 19_997}
