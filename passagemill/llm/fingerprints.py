@@ -22,8 +22,9 @@ from pyspark.sql.window import Window
 from passagemill.llm.common import let
 from passagemill.session import stage
 
-#: Where a line is cut: after sentence ends.
-SENTENCE_END = r"(?<=[.!?])\x20|(?<=[。！？])"
+#: Where a line is cut: at a blank after these signs, and after these.
+BLANK_ENDS = ".!?"
+BARE_ENDS = "。！？"
 
 #: After so many words without a sentence end, a line is cut behind one of so many words on average.
 UNCUT_WORDS = 24
@@ -32,9 +33,10 @@ CUT_WORDS = 8
 #: Cells in each third of a fingerprint.
 THIRD = 8
 
-#: A second try has this many cells in each third for each paragraph of both versions, which is nearly
-#: always enough; each further one has so many times more.
-SECOND = 0.6
+#: A second try has this many cells in each third for each paragraph of both versions; each further one
+#: has so many times more. Only cells in use are held, so a wide sketch is no larger than its entries, and
+#: nearly every digest is alone in one of its cells and given up in the first round.
+SECOND = 16
 GROWTH = 3
 
 #: A difference is tried with at most so many sizes. Each further one fails far more rarely than the one
@@ -45,10 +47,18 @@ TRIES = 10
 PLACE_BITS = 31
 PLACES = 1 << PLACE_BITS
 
+#: A sketch's type.
+CELLS = "array<struct<cell: bigint, n: bigint, key: bigint, check: bigint>>"
+
 #: Rounds of giving up digests at most. What is left after them goes to the next try.
 ROUNDS = 36
 
 
+def _is_long(sentence: Column) -> Column:
+    """Whether a sentence has more words than stay together: what is before so many blanks is less than it."""
+    return F.substring_index(sentence, " ", UNCUT_WORDS) != sentence
+
+
 def _stretches(sentence: Column) -> Column:
     """A sentence cut behind words that a hash of them and the word before chooses, and behind words that
     say the last one again."""
@@ -71,18 +81,28 @@ def _stretches(sentence: Column) -> Column:
             )
 
         places = F.filter(F.sequence(F.lit(UNCUT_WORDS), F.size(words) - 1), behind)
-        return F.when(
-            F.size(words) > UNCUT_WORDS, let(F.concat(F.array(F.lit(0)), places), pieces)
-        ).otherwise(F.array(sentence))
+        return let(F.concat(F.array(F.lit(0)), places), pieces)
 
-    return let(F.split(sentence, " ", -1), cut)
+    return F.when(_is_long(sentence), let(F.split(sentence, " ", -1), cut)).otherwise(
+        F.array(sentence)
+    )
 
 
 def paragraphs(text: Column) -> Column:
     """The lines of a text, cut after sentence ends and long sentences at chosen words; without empty
     ones."""
-    sentences = F.flatten(F.transform(F.split(text, "\n", -1), lambda line: F.split(line, SENTENCE_END, -1)))
-    return F.filter(F.flatten(F.transform(sentences, _stretches)), lambda one: F.length(one) > 0)
+    lines = text
+    for sign in BLANK_ENDS:
+        lines = F.replace(lines, F.lit(f"{sign} "), F.lit(f"{sign}\n"))
+    for sign in BARE_ENDS:
+        lines = F.replace(lines, F.lit(sign), F.lit(f"{sign}\n"))
+
+    def cut(sentences: Column) -> Column:
+        return F.when(
+            F.exists(sentences, _is_long), F.flatten(F.transform(sentences, _stretches))
+        ).otherwise(sentences)
+
+    return F.filter(let(F.split(lines, "\n", -1), cut), lambda one: one != "")
 
 
 def _runs(ordered: Column, value) -> Column:
@@ -123,8 +143,13 @@ def paragraph_keys(text: Column) -> Column:
             )
         )
 
+    def keys(ordered: Column) -> Column:
+        once = F.transform(ordered, lambda one: F.xxhash64(one, F.lit(1)))
+        differ = F.size(F.array_distinct(ordered)) == F.size(ordered)
+        return F.when(differ, once).otherwise(numbered(ordered))
+
     digests = F.transform(paragraphs(F.coalesce(text, F.lit(""))), lambda one: F.xxhash64(one))
-    return let(F.sort_array(digests), numbered)
+    return let(F.sort_array(digests), keys)
 
 
 def _check(key: Column) -> Column:
@@ -188,10 +213,102 @@ def _cells(entries: Column) -> Column:
     return let(entries, sorted_)
 
 
+def _summed(keys: Column, third: Column, left: Column | None = None) -> Column:
+    """The cells in use of the sketch of some keys, or of the first ``left`` keys minus that of the others.
+
+    Like ``_cells`` of all entries, but an entry is only its cell's number and its key's place, in one
+    long, until the entries of a cell are added up; the check of a key is computed once.
+    """
+
+    def number(key: Column, at: Column, part: int) -> Column:
+        cell = third * part + F.pmod(F.xxhash64(key, F.lit(part), third), third)
+        return F.shiftleft(cell, PLACE_BITS) + at
+
+    def signed(key: Column, at: Column) -> Column:
+        n = F.lit(1).cast("long")
+        if left is not None:
+            n = F.when(at < left, n).otherwise(-n)
+        return F.struct(n.alias("n"), key.alias("key"), _check(key).alias("check"))
+
+    def total(signed: Column, ordered: Column, starts: Column) -> Column:
+        def at(number: Column) -> Column:
+            return F.get(signed, number.bitwiseAND(F.lit(PLACES - 1)).cast("int"))
+
+        def cell(first: Column, n: Column, key: Column, check: Column) -> Column:
+            number = F.shiftright(first, PLACE_BITS)
+            return F.struct(number.alias("cell"), n.alias("n"), key.alias("key"), check.alias("check"))
+
+        def alone(first: Column) -> Column:
+            return let(at(first), lambda one: cell(first, one["n"], one["key"], one["check"]))
+
+        def two(first: Column, second: Column) -> Column:
+            def both(held: Column) -> Column:
+                one, other = held["one"], held["other"]
+                sum_ = cell(
+                    first,
+                    one["n"] + other["n"],
+                    one["key"].bitwiseXOR(other["key"]),
+                    one["check"].bitwiseXOR(other["check"]),
+                )
+                # a key of both versions vanishes
+                gone = (one["key"] == other["key"]) & (one["n"] != other["n"])
+                return F.when(~gone, sum_)
+
+            return let(F.struct(at(first).alias("one"), at(second).alias("other")), both)
+
+        def several(first: Column, numbers: Column) -> Column:
+            zero = F.lit(0).cast("long")
+            n = F.size(numbers).cast("long")
+            return let(
+                F.transform(numbers, at),
+                lambda held: cell(
+                    first,
+                    n if left is None else F.aggregate(held, zero, lambda sum_, one: sum_ + one["n"]),
+                    F.aggregate(held, zero, lambda sum_, one: sum_.bitwiseXOR(one["key"])),
+                    F.aggregate(held, zero, lambda sum_, one: sum_.bitwiseXOR(one["check"])),
+                ),
+            )
+
+        def sum_of(start: Column, run: Column) -> Column:
+            first = F.get(ordered, start)
+            size = F.coalesce(F.get(starts, run + 1), F.size(ordered)) - start
+            return (
+                F.when(size == 1, alone(first))
+                .when(size == 2, two(first, F.get(ordered, start + 1)))
+                .otherwise(several(first, F.slice(ordered, start + 1, size)))
+            )
+
+        return F.filter(
+            F.transform(starts, sum_of), lambda one: one.isNotNull() & ~_is_zero(one)
+        )
+
+    def starts(ordered: Column) -> Column:
+        """Where a cell's entries begin; there are three entries or more."""
+
+        def differs(at: Column) -> Column:
+            return F.get(ordered, at).bitwiseXOR(F.get(ordered, at - 1)) >= PLACES
+
+        return F.concat(F.array(F.lit(0)), F.filter(F.sequence(F.lit(1), F.size(ordered) - 1), differs))
+
+    def added(keys: Column) -> Column:
+        numbers = F.flatten(
+            F.transform(keys, lambda key, at: F.array(*[number(key, at, part) for part in range(3)]))
+        )
+        sums = let(
+            F.transform(keys, signed),
+            lambda signed: let(
+                F.sort_array(numbers),
+                lambda ordered: let(starts(ordered), lambda starts: total(signed, ordered, starts)),
+            ),
+        )
+        return F.when(F.size(keys) == 0, F.array().cast(CELLS)).otherwise(sums)
+
+    return let(keys, added)
+
+
 def sketch(keys: Column, third: Column) -> Column:
     """The cells in use of the sketch of some keys, with so many cells in each third."""
-    one = F.lit(1).cast("long")
-    return _cells(F.flatten(F.transform(keys, lambda key: _entries(one, key, _check(key), third))))
+    return _summed(keys, third)
 
 
 def subtract(left: Column, right: Column) -> Column:
@@ -205,12 +322,7 @@ def subtract(left: Column, right: Column) -> Column:
 
 def _difference(left: Column, right: Column, third: Column) -> Column:
     """``subtract`` of the sketches of two key arrays, all entries added up at once."""
-
-    def entries(keys: Column, n: int) -> Column:
-        n = F.lit(n).cast("long")
-        return F.flatten(F.transform(keys, lambda key: _entries(n, key, _check(key), third)))
-
-    return _cells(F.concat(entries(left, 1), entries(right, -1)))
+    return _summed(F.concat(left, right), third, F.size(left))
 
 
 def peel(cells: Column, third: Column) -> Column:
@@ -218,7 +330,9 @@ def peel(cells: Column, third: Column) -> Column:
     version and -1 for the right; with ``third``.
 
     A round gives up the digests of all cells that hold a single one, each digest once, however many
-    of its cells do. Rounds end when nothing is left or nothing was given up.
+    of its cells do. Rounds end when nothing is left or nothing was given up. Each digest is in three
+    cells, so all cells' digests and checks come to the XOR of what they hold: if that is what was given
+    up, nothing is left, and the cells need not be added up once more.
     """
 
     def state(cells: Column, recovered: Column, stuck: Column) -> Column:
@@ -230,9 +344,22 @@ def peel(cells: Column, third: Column) -> Column:
         held = F.filter(
             cells, lambda cell: (cell["n"] == sign) & (cell["check"] == _check(cell["key"]))
         )
-        keys = F.array_distinct(F.transform(held, lambda cell: cell["key"]))
+        keys = F.transform(held, lambda cell: cell["key"])
         n = F.lit(sign).cast("long")
-        return F.transform(keys, lambda key: F.struct(key.alias("found"), n.alias("n")))
+        return F.transform(
+            F.array_distinct(keys), lambda key: F.struct(key.alias("found"), n.alias("n"))
+        )
+
+    def all_of(values: Column, value) -> Column:
+        zero = F.lit(0).cast("long")
+        return F.aggregate(values, zero, lambda sum_, one: sum_.bitwiseXOR(value(one)))
+
+    def account_for(given: Column, cells: Column) -> Column:
+        return (
+            all_of(given, lambda one: one["found"]) == all_of(cells, lambda cell: cell["key"])
+        ) & (
+            all_of(given, lambda one: _check(one["found"])) == all_of(cells, lambda cell: cell["check"])
+        )
 
     def round_of(before: Column, number: Column) -> Column:
         def given_up(given: Column) -> Column:
@@ -241,6 +368,9 @@ def peel(cells: Column, third: Column) -> Column:
             )
             return F.when(
                 F.size(given) == 0, state(before["cells"], before["recovered"], F.lit(True))
+            ).when(
+                account_for(given, before["cells"]),
+                state(nothing, F.concat(before["recovered"], given), F.lit(False)),
             ).otherwise(
                 state(
                     _cells(F.concat(before["cells"], F.flatten(taken))),
@@ -253,6 +383,7 @@ def peel(cells: Column, third: Column) -> Column:
         done = before["stuck"] | (F.size(before["cells"]) == 0)
         return F.when(done, before).otherwise(let(found, given_up))
 
+    nothing = F.array().cast(CELLS)
     none = F.array().cast("array<struct<found: bigint, n: bigint>>")
     return F.aggregate(
         F.sequence(F.lit(1), F.lit(ROUNDS)), state(cells, none, F.lit(False)), round_of

@@ -144,3 +144,35 @@ def test_a_difference_at_once_is_that_of_the_sketches(spark):
         apart = subtract(sketch(F.col("a"), size), sketch(F.col("b"), size))
         found = pairs.select(apart.alias("x"), _difference(F.col("a"), F.col("b"), size).alias("y")).collect()
         assert all(row["x"] == row["y"] for row in found)
+
+
+def test_wide_sketches_give_up_nearly_all_in_one_round(spark):
+    from passagemill.llm import fingerprints
+
+    draw = random.Random(4)
+    keys = [[draw.getrandbits(62) for _ in range(size)] for size in (40, 200, 1)]
+    rows = [(a + keys[1][:shared], b + keys[1][:shared]) for a in keys for b in ([], keys[0][:7]) for shared in (0, 30)]
+    pairs = spark.createDataFrame(rows, "a array<long>, b array<long>")
+    pairs = pairs.select(F.array_distinct("a").alias("a"), F.array_distinct("b").alias("b"))
+    width = F.ceil((F.size("a") + F.size("b")) * F.lit(fingerprints.SECOND)).cast("long")
+    cells = fingerprints._difference(F.col("a"), F.col("b"), width)
+    pure = F.filter(cells, lambda one: (F.abs(one["n"]) == 1) & (one["check"] == fingerprints._check(one["key"])))
+    peeled = fingerprints.peel(cells, width)
+    found = pairs.select("a", "b", F.transform(pure, lambda one: one["key"]).alias("pure"), peeled.alias("peeled"))
+    for row in found.collect():
+        differ = set(row["a"]) ^ set(row["b"])
+        signs = [(key, 1 if key in set(row["a"]) else -1) for key in differ]
+        assert sorted(map(tuple, row["peeled"]["recovered"])) == sorted(signs) and not row["peeled"]["cells"]
+        assert len(set(row["pure"])) >= 0.97 * len(differ)
+
+
+def test_keys_of_repeated_and_single_paragraphs_are_alike(spark):
+    texts = ["a. b! c? d", "d\nc?\nb!\na.", "a. a. b", "b\na.\na.", "早い。遅い。. x", ". . a", ""]
+    rows = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
+    found = rows.select("text", paragraphs_column(F.col("text")).alias("cut"), paragraph_keys(F.col("text")).alias("keys"))
+    held = {row["text"]: (row["cut"], row["keys"]) for row in found.collect()}
+    for text, (cut, keys) in held.items():
+        assert Counter(cut) == paragraphs(text)
+        assert len(set(keys)) == len(keys) == len(cut)
+    assert set(held[texts[0]][1]) == set(held[texts[1]][1])
+    assert len(set(held[texts[2]][1]) & set(held[texts[3]][1])) == 3
