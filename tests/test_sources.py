@@ -16,6 +16,7 @@ from passagemill.sources.writers import (
     set_change_feed,
     write_append,
     write_evolved,
+    write_files,
     write_overwrite,
 )
 
@@ -132,6 +133,43 @@ def test_one_file_is_found_without_listing_the_others(spark, monkeypatch):
     assert [path.rsplit("/", 1)[1] for path in listed] == ["page_id=7"]
 
 
+def test_files_are_written_whole_and_again(spark, tmp_path):
+    rows = [(1, "one"), (2, "é"), (1, "more"), (3, None), (None, "no key"), (4, "")]
+    df = spark.createDataFrame(rows, "k long, line string")
+    for _ in range(2):  # a second run puts the same files in place
+        write_files(df, str(tmp_path / "files"), "k", "line", 3)
+    files = [one for one in (tmp_path / "files").rglob("*") if one.is_file()]
+    # nothing but the files: no check sums, nothing half written
+    assert {one.suffix for one in files} == {".txt"} and len(files) == 5
+    found = {one.parent.name: sorted(one.read_bytes().splitlines(True)) for one in files}
+    assert found == {
+        "k=1": [b"more\n", b"one\n"],
+        "k=2": ["é\n".encode()],
+        "k=3": [b"\n"],
+        "k=4": [b"\n"],
+        "k=__HIVE_DEFAULT_PARTITION__": [b"no key\n"],
+    }
+    write_files(df.limit(0), str(tmp_path / "none"), "k", "line", 3)
+    assert read_binary_files(spark, str(tmp_path / "none")).count() == 0
+
+
+def test_many_folders_are_listed_by_few_tasks(spark, tmp_path):
+    folders = 40 * spark.sparkContext.defaultParallelism
+    write_files(spark.range(folders).withColumn("line", F.lit("x")), str(tmp_path / "many"), "id", "line", 4)
+    key = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    before = spark.conf.get(key)
+    spark.sparkContext.setJobGroup("listing", "listing")
+    try:
+        files = read_binary_files(spark, str(tmp_path / "many"))
+        tracker = spark.sparkContext.statusTracker()
+        jobs = [tracker.getJobInfo(job) for job in tracker.getJobIdsForGroup("listing")]
+        tasks = [tracker.getStageInfo(stage).numTasks for job in jobs for stage in job.stageIds]
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert tasks and max(tasks) <= 16 * spark.sparkContext.defaultParallelism
+    assert files.count() == folders and spark.conf.get(key) == before
+
+
 def test_page_files_are_written_by_all_cores(spark, tmp_path):
     from pathlib import Path
 
