@@ -118,19 +118,25 @@ def test_work_folder(spark, monkeypatch):
     assert work_folder(Cluster()) == work_folder(Cluster())
 
 
-def test_one_file_is_found_without_listing_the_others(spark, monkeypatch):
+def test_one_file_is_found_for_every_page(spark, monkeypatch):
     from checks import queries
 
-    listed = []
-    true = queries.read_binary_files
-    monkeypatch.setattr(
-        queries, "read_binary_files", lambda s, path, **o: listed.append(path) or true(s, path, **o)
-    )
-    pages = spark.createDataFrame([(n, "url", f"<p>{n}</p>") for n in (6, 7, 70)], "page_id long, url string, html string")
+    rows = [(n, "url", f"<p>{n}</p>") for n in (6, 7, 70)] + [(8, "url", None)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
     monkeypatch.setattr(queries, "_table", lambda *_: pages)
-    found = queries.src_one_file(spark, "unused").collect()
-    assert [(row["page_id"], row["length"]) for row in found] == [(7, 9)]
-    assert [path.rsplit("/", 1)[1] for path in listed] == ["page_id=7"]
+    found = queries.src_one_file(spark, "unused")
+    assert {(row["page_id"], row["length"]) for row in found.collect()} == {(6, 9), (7, 9), (8, 1), (70, 10)}
+    # files are opened before the rows are dealt by page
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "octet_length(content" in plan.split("Window", 1)[1]
+
+
+def test_one_file_by_a_column(spark):
+    files = spark.createDataFrame(
+        [("/d/a.txt", "a.txt"), ("/d/ba.txt", "a.txt"), ("/d/c.txt", None)], "path string, name string"
+    )
+    assert [row["path"] for row in read_one_file(files, F.col("name")).collect()] == ["/d/a.txt"]
+    assert [row["path"] for row in read_one_file(files, "c.txt").collect()] == ["/d/c.txt"]
 
 
 def test_files_are_written_whole_and_again(spark, tmp_path):
