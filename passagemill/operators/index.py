@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructType
 
 from passagemill.functions.vectors import vector_fault
-from passagemill.operators.changes import latest_changes
+from passagemill.operators.changes import DELETE, UPDATE_BEFORE, latest_changes
 from passagemill.operators.embed import RUN_CELLS, run_once, same_embedder
 from passagemill.operators.topk import SCORE_DIGITS, ranked
 from passagemill.operators.vector_search import (
@@ -44,7 +44,7 @@ from passagemill.operators.vector_search import (
     vector_topk_in_cells,
     with_columns,
 )
-from passagemill.session import stage
+from passagemill.session import delete_folder, stage, staged_meanwhile
 
 NO_CELL = -1
 
@@ -234,7 +234,8 @@ def add_load(
     """Write the parts of a load, then the entry that makes it count.
 
     ``rows`` are the live rows with ``cell``; ``states`` has key, ``_commit_version``, ``_deleted`` and
-    ``cell`` of every change. Rows of one cell lie together; large cells are split over files.
+    ``cell`` of every change, or no ``cell``: then it is that of the row written for the key. Rows of one
+    cell lie together; large cells are split over files.
     """
     spark = rows.sparkSession
     folder = f"{load}-{uuid.uuid4().hex[:12]}"
@@ -260,6 +261,9 @@ def add_load(
         .coalesce(1)
         .write.parquet(index.part("sizes", folder))
     )
+    if "cell" not in states.columns:
+        placed = held.select(F.col(index.key).alias("_key"), "cell")
+        states = states.join(placed, F.col(index.key).eqNullSafe(F.col("_key")), "left")
     states.select(
         index.key,
         "_commit_version",
@@ -305,20 +309,18 @@ def build_index(
     """
     spark = table.sparkSession
     build = uuid.uuid4().hex[:12]
-    marked = stage(table.withColumn("_fault", vector_fault(F.col(vector), dim)), "index-rows")
-    good = marked.where("_fault is null").drop("_fault")
-    if centroids is None:
-        centroids = train_centroids(good, vector, cells)
-    placed = stage(
-        good.withColumn("_commit_version", F.lit(version).cast("bigint")).withColumn(
-            "cell", nearest_cell(F.col(vector), centroids)
-        ),
-        "index-placed",
-    )
-    index = VectorIndex(path, build, key, vector, dim, embedder, placed.drop("cell").schema, centroids)
-    add_load(index, "build", 0, placed, placed.withColumn("_deleted", F.lit(False)))
-    bad = marked.where("_fault is not null").withColumnRenamed("_fault", "fault")
-    write_rejected(bad, path, "build")
+    faulty = table.withColumn("_fault", vector_fault(F.col(vector), dim))
+    with staged_meanwhile(faulty, "index-rows") as marked:
+        good = marked.where("_fault is null").drop("_fault")
+        if centroids is None:
+            centroids = train_centroids(good, vector, cells)
+        at_version = good.withColumn("_commit_version", F.lit(version).cast("bigint"))
+        celled = at_version.withColumn("cell", nearest_cell(F.col(vector), centroids))
+        index = VectorIndex(path, build, key, vector, dim, embedder, at_version.schema, centroids)
+        with staged_meanwhile(celled, "index-placed") as placed:
+            add_load(index, "build", 0, placed, placed.withColumn("_deleted", F.lit(False)))
+        bad = marked.where("_fault is not null").withColumnRenamed("_fault", "fault")
+        write_rejected(bad, path, "build")
     spark.createDataFrame(
         [(cell, centre) for cell, centre in enumerate(centroids.tolist())],
         "cell int, centroid array<double>",
@@ -334,35 +336,55 @@ def add_changes(spark: SparkSession, index: VectorIndex, changes: DataFrame, loa
     """Take on change rows (with ``cell``) as a load. No stored row is read or rewritten.
 
     A change counts if no change of a higher version has come for its key, and of two with one version
-    a row that is there beats a tombstone. The rows that the changes replace are found in the narrow
-    tables of keys and listed as dead.
+    a row that is there beats a tombstone. Which changes count, and which rows they replace, is found from
+    keys and versions alone; the replaced rows are listed as dead. Whole rows are dealt out by key only
+    where a key comes more than once.
     """
-    coming = latest_changes(changes, index.key).withColumnRenamed("cell", "_cell")
+    key, deleted = F.col(index.key), F.col("_change_type") == DELETE
+    said = changes.where(F.col("_change_type") != UPDATE_BEFORE)
+    now = F.struct("_commit_version", (~deleted).alias("_lives"))
+    coming = said.groupBy(index.key).agg(F.max(now).alias("_now"), F.count("*").alias("_times"))
     states = index.key_states(spark, coming.select(index.key)).select(
         index.key,
-        F.struct("_commit_version", ~F.col("_deleted")).alias("_had"),
+        F.struct("_commit_version", (~F.col("_deleted")).alias("_lives")).alias("_had"),
         F.col("_load").alias("_old_load"),
         F.col("cell").alias("_old_cell"),
     )
-    newer = F.struct("_commit_version", ~F.col("_deleted")) >= F.col("_had")
-    accepted = stage(
-        coming.join(states, index.key, "left").where(F.col("_had").isNull() | newer),
-        "index-changes",
-    )
-    cell = F.when(~F.col("_deleted"), F.col("_cell")).cast("int").alias("cell")
-    number = 1 + max(held.number for held in index.loads(spark))
-    alive = accepted.where(~F.col("_deleted"))
-    replaced = accepted.where(F.col("_had.col2"))
-    add_load(
-        index,
-        load,
-        number,
-        alive.select(*index.schema.names, cell),
-        accepted.select(index.key, "_commit_version", "_deleted", cell),
-        replaced.select(
-            index.key, F.col("_old_load").alias("_load"), F.col("_old_cell").alias("cell")
-        ),
-    )
+    counts = F.col("_had").isNull() | (F.col("_now") >= F.col("_had"))
+    judged = coming.join(states, index.key, "left").withColumn("_counts", counts)
+
+    with staged_meanwhile(judged, "index-changes") as judged:
+        accepted = judged.where("_counts")
+        alive = said.where(~deleted)
+        apart = judged.where("not _counts or _times > 1")
+        if not apart.isEmpty():
+            alive = _matching(alive, key, apart, "left_anti")
+        again = accepted.where("_times > 1 and _now._lives")
+        if not again.isEmpty():
+            last = latest_changes(_matching(said, key, again, "left_semi"), index.key)
+            alive = alive.drop("_change_type").unionByName(last.drop("_deleted"))
+        number = 1 + max(held.number for held in index.loads(spark))
+        replaced = accepted.where("_had._lives")
+        add_load(
+            index,
+            load,
+            number,
+            alive.select(*index.schema.names, "cell"),
+            accepted.select(
+                index.key, "_now._commit_version", (~F.col("_now._lives")).alias("_deleted")
+            ),
+            replaced.select(
+                index.key, F.col("_old_load").alias("_load"), F.col("_old_cell").alias("cell")
+            ),
+        )
+
+
+def _matching(rows: DataFrame, key: Column, listed: DataFrame, how: str) -> DataFrame:
+    """Rows by a list of keys, null included. The rows stay where they are unless the list is long."""
+    keys = listed.select(key.alias("_listed"))
+    if keys.count() <= MOST_DEAD:
+        keys = F.broadcast(keys)
+    return rows.join(keys, key.eqNullSafe(F.col("_listed")), how)
 
 
 def merge_loads(spark: SparkSession, path: str, loads: Sequence[Load], name: str = "merged") -> None:
@@ -387,6 +409,19 @@ def merge_loads(spark: SparkSession, path: str, loads: Sequence[Load], name: str
     )
 
 
+def forget_replaced(spark: SparkSession, path: str) -> None:
+    """Delete the rows of loads that merges have replaced. The entries stay, so their names stay known.
+
+    Who opened the index before such a merge can no longer read it.
+    """
+    index = open_index(spark, path)
+    counted = {load.folder for load in index.loads(spark)}
+    for entry in spark.read.parquet(f"{path}/loads/{index.build}").select("folder").collect():
+        if entry["folder"] not in counted:
+            for kind, name in (("rows", "_load="), ("sizes", ""), ("keys", ""), ("dead", "")):
+                delete_folder(spark, index.part(kind, name + entry["folder"]))
+
+
 def compact_index(spark: SparkSession, path: str) -> None:
     """Make one load of all; the old ones stop to count when the new one's entry is written."""
     loads = open_index(spark, path).loads(spark)

@@ -62,3 +62,21 @@ def stage(df: DataFrame, label: str, arrow_rows: int | None = None) -> DataFrame
         with arrow_batch_rows(spark, arrow_rows):
             df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def staged_meanwhile(df: DataFrame, label: str):
+    """``stage`` for rows that nothing reads after the block: its end deletes them."""
+    spark = df.sparkSession
+    path = new_path(spark, label)
+    try:
+        df.write.parquet(path)
+        yield spark.read.schema(df.schema).parquet(path)
+    finally:
+        delete_folder(spark, path)
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder with all it holds, if it is there."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)

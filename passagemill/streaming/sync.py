@@ -20,6 +20,7 @@ from passagemill.operators.index import (
     add_changes,
     build_index,
     compact_index,
+    forget_replaced,
     index_exists,
     merge_loads,
     nearest_cell,
@@ -161,7 +162,10 @@ def tidy_loads(spark: SparkSession, index: VectorIndex) -> None:
 
     From ``MOST_LOADS`` on all loads but the first are merged, so the cost is that of the changes and
     not of the index. Once the dead rows are many, or a fair share of all, everything becomes one load.
+    What earlier calls have merged is deleted first, so stored rows are those of the index and of the
+    loads of one merge. Who opened the index since the last call can go on reading it.
     """
+    forget_replaced(spark, index.path)
     loads = index.loads(spark)
     dead, rows = sum(load.dead for load in loads), sum(load.rows for load in loads)
     if len(loads) > 1 and dead > min(MOST_DEAD, MOST_DEAD_SHARE * rows):

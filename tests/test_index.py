@@ -210,3 +210,57 @@ def test_dense_ids_with_a_hot_value(spark):
     assert sorted(r["id"] for r in rows) == list(range(3000))
     ordered = [r["k"] for r in sorted(rows, key=lambda r: r["id"])]
     assert ordered == sorted(ordered)
+
+
+def test_changes_that_come_several_times_late_or_without_a_key(spark, folder):
+    index = build_index(table(spark, 8), folder, version=5, **BUILD)
+    says = [
+        (1, "first", "update_postimage", 6), (1, "second", "update_postimage", 7),
+        (2, "gone", "delete", 6), (2, "back", "insert", 6),
+        (3, "late", "update_postimage", 4),
+        (4, "twice", "update_postimage", 6), (4, "twice", "update_postimage", 6),
+        (5, "once", "update_postimage", 6), (5, "before", "update_preimage", 6),
+        (6, "late", "update_postimage", 3), (6, "later", "update_postimage", 4),
+        (7, "gone", "delete", 6),
+        (9, "new", "insert", 6),
+        (None, "a", "insert", 6), (None, "b", "insert", 7),
+    ]
+    rows = spark.createDataFrame(says, "id long, content string, _change_type string, _commit_version long")
+    vector = F.array(*[F.lit(x) for x in (1.0, 0.5, 0.2, 0.1)]).cast("array<float>")
+    apply_to_index(spark, index, rows.withColumn("embedding", vector), "load")
+    index = open_index(spark, folder)
+    found = index.rows(spark).select("id", "content", "cell")
+    assert {row["id"]: row["content"] for row in found.collect()} == {
+        0: "t0", 1: "second", 2: "back", 3: "t3", 4: "twice", 5: "once", 6: "t6", 9: "new", None: "b",
+    }
+    assert found.count() == 9
+    live = index.key_states(spark).where("not _deleted").select("id", "cell")
+    assert sorted(map(str, live.collect())) == sorted(map(str, found.select("id", "cell").collect()))
+    assert {row["id"] for row in index.key_states(spark).where("_deleted").collect()} == {7}
+    total = rows_per_cell(spark, folder).agg(F.sum("row_count")).first()[0]
+    assert total == 9
+
+
+def test_a_sync_leaves_no_copies_behind(spark, folder):
+    from pathlib import Path
+
+    from passagemill.session import work_folder
+
+    def copies():
+        return {one.name for one in Path(work_folder(spark)).glob("index-*")}
+
+    before = copies()
+    states = [table(spark, 40, text) for text in "abc"]
+    feed, path, checkpoint = (f"{folder}/{name}" for name in ("feed", "index", "checkpoint"))
+    create_or_sync(spark, states[0], feed, None, path, checkpoint, key="id", **BUILD)
+    for at, (old, new) in enumerate(zip(states, states[1:]), 1):
+        changes = diff_snapshots(old, new, "id", at)
+        append_changes(changes, feed)
+        opened = open_index(spark, path).rows(spark)
+        create_or_sync(spark, states[0], feed, changes.schema, path, checkpoint, key="id", **BUILD)
+        # rows that were asked for before the call can still be read
+        assert opened.count() == 40
+    assert contents(spark, path) == {n: f"c{n}" for n in range(40)}
+    assert copies() == before
+    # the last merge, and the two loads that it replaced
+    assert len(list(Path(path).glob("rows/*/_load=*"))) == 3
