@@ -15,12 +15,13 @@ from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from passagemill.llm.common import text_list, utf8_bytes, worker_cache
+from passagemill.llm.common import drop_cache, text_list, utf8_bytes, worker_cache
 from passagemill.llm.tokenizing import (
     CACHED_CHARS,
     PieceCache,
@@ -164,10 +165,11 @@ def count_tokens(
                     yield sum(sum(map(cache.__getitem__, part)) for part in parts)
 
     @F.pandas_udf("long")
-    def n_tokens(column):
-        import pandas as pd
-
-        return pd.Series(list(counted([value or "" for value in column])), dtype="int64")
+    def n_tokens(columns: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for column in columns:
+            yield pd.Series(list(counted([value or "" for value in column])), dtype="int64")
+        # Spark takes its idle workers in turn: each of them would keep a cache
+        drop_cache()
 
     return documents.withColumn(output, n_tokens(F.col(text)))
 

@@ -51,3 +51,19 @@ def test_report_and_empty_table(edge_docs, no_docs):
     assert report[8]["over_limit"] and not report[7]["over_limit"]
     assert token_report(no_docs, 512).count() == 0
     assert frequent_pieces(no_docs).count() == 0
+
+
+def test_no_cache_is_left(spark):
+    import pyarrow as pa
+
+    rows = spark.range(0, 40, 1, 8).selectExpr("id as doc_id", "'some words ' || id as text")
+    assert count_tokens(rows, entries=1).count() == 40
+    assert all(row["n_tokens"] > 0 for row in count_tokens(rows, entries=1).collect())
+
+    def held(batches):
+        from passagemill.llm.common import worker_state
+
+        for _ in batches:
+            yield pa.RecordBatch.from_pylist([{"n": len(worker_state("cache"))}])
+
+    assert {row["n"] for row in spark.range(0, 8, 1, 8).mapInArrow(held, "n long").collect()} == {0}
